@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, langid, packing, simhash
+from . import dedup, gif, html, langid, licenses, packing, pieces, simhash, urls, warc
 from .common import UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,17 +41,97 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+#: Captures and dated list entries, both made from pages. Each page is fetched at a time that follows from its id. Each
+#: host has dates that follow from its digest: when lists add, drop and add it again; and each domain is
+#: added to a list and dropped half a year later.
+CAPTURES_SQL = """
+SELECT page_id AS capture_id, url,
+       CAST(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST((page_id * 7919) % 8760 AS INTEGER) AS TIMESTAMP) AS fetched
+FROM pages
+"""
+CAPTURES_SPARK = CAPTURES_SQL.replace("TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST((page_id * 7919) % 8760 AS INTEGER)", "timestampadd(HOUR, cast((page_id * 7919) % 8760 as int), TIMESTAMP '2024-01-01 00:00:00')")
+_NUMBER = {"spark": "cast(conv(substr(md5(host), {a}, 6), 16, 10) as bigint)", "duckdb": "CAST('0x' || substr(md5(host), {a}, 6) AS BIGINT)"}
+_DAY = {"spark": "date_add(DATE '2024-01-01', cast({n} as int))", "duckdb": "CAST(DATE '2024-01-01' + CAST({n} AS INTEGER) AS DATE)"}
+_DOMAIN = {"spark": "regexp_extract(host, '([^.]+[.][^.]+)$', 1)", "duckdb": "regexp_extract(host, '([^.]+[.][^.]+)$', 1)"}
+_HOST = {"spark": "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))", "duckdb": "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"}
+
+
+def entries_sql(engine: str) -> str:
+    number, day = _NUMBER[engine], _DAY[engine]
+    k = lambda a: number.format(a=a)
+    rows = [
+        ("list_name", "host", "'add'", day.format(n="a"), "TRUE"),
+        ("list_name", "host", "'remove'", day.format(n="a + b"), "a % 3 <> 0"),
+        ("list_name", "host", "'add'", day.format(n="a + b + 20"), "a % 6 = 1"),
+        ("'adult'", "host", "'add'", day.format(n="b"), "b % 7 = 0"),
+    ]
+    parts = [f"SELECT {n} AS list_name, {p} AS pattern, {act} AS action, {d} AS effective FROM hosts WHERE {w}" for n, p, act, d, w in rows]
+    parts += [f"SELECT DISTINCT 'domain' AS list_name, {_DOMAIN[engine]} AS pattern, {act} AS action, {day.format(n=n)} AS effective FROM hosts" for act, n in (("'add'", 150), ("'remove'", 300))]
+    return f"""WITH hosts AS (SELECT DISTINCT host, {k(1)} % 330 AS a, 1 + {k(7)} % 120 AS b,
+    CASE {k(13)} % 3 WHEN 0 THEN 'spam' WHEN 1 THEN 'malware' ELSE 'phishing' END AS list_name
+    FROM (SELECT {_HOST[engine]} AS host FROM pages WHERE url IS NOT NULL) u WHERE host <> '')
+{" UNION ALL ".join(parts)}"""
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    captures = spark.sql(CAPTURES_SPARK.replace("FROM pages", "FROM {pages}"), pages=pages)
+    entries = spark.sql(entries_sql("spark").replace("FROM pages", "FROM {pages}"), pages=pages)
+    return urls.filter_captures(captures, entries)
+
+
+URL_FILTER_SQL = f"""
+WITH captures AS ({CAPTURES_SQL}), entries AS ({entries_sql("duckdb")}),
+changes AS (SELECT list_name, pattern, effective, max(action) AS action FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(effective) OVER (PARTITION BY list_name, pattern ORDER BY effective) AS until FROM changes),
+own AS (SELECT capture_id, fetched, {_HOST["duckdb"]} AS host FROM captures),
+met AS (SELECT capture_id, list_name, effective FROM own JOIN spans ON action = 'add' AND (host = pattern OR ends_with(host, '.' || pattern))
+        AND effective <= fetched AND (until IS NULL OR fetched < until)),
+verdict AS (SELECT capture_id, count(*) AS n, string_agg(DISTINCT list_name, ',' ORDER BY list_name) AS lists, CAST(max(effective) AS TIMESTAMP) AS since FROM met GROUP BY 1)
+SELECT capture_id, host, fetched, coalesce(n, 0) AS n_active, coalesce(lists, '') AS lists, since, coalesce(n, 0) > 0 AS blocked
+FROM own LEFT JOIN verdict USING (capture_id)
+"""
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("text", "lang", "source", "n_chars")
+
+
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_ids", "ids_crc32", "score", "round_trip", "ids")
+
+
+def media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return gif.media_columns(docs).select("doc_id", *[c.split()[0] for c in gif.MEASURES.split(", ")])
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     return {
+        "op1_html_extraction": html_extraction,
+        "op2_warc_index": warc_index,
+        "op3_url_filter": url_filter,
         "op4_simhash_near_dedup": simhash_near_dedup,
+        "op5_license_scan": license_scan,
+        "op6_sentencepiece": sentencepiece,
         "op7_language_id": language_id,
         "op8_exact_dedup": exact_dedup,
+        "op9_media_columns": media_columns,
         "op10_best_fit_packing": best_fit_packing,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op3_url_filter": URL_FILTER_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL}
