@@ -12,7 +12,6 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,40 +21,59 @@ CAPACITY = 4096
 END = 1
 #: Rows of one length are ranked in so many groups, so that a frequent length is not one task's work.
 SALTS = 64
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers: twice as many at most.
+REMEMBERED = 500_000
 
-#: The pre-tokenisation pattern of the tokenizer file.
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Texts with other characters go to the tokenizer whole: for these, normalising in Python is the same for sure.
-_OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]|<\\|")
+_OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
 
 
 class Encoder:
-    """Token ids by the `tokenizers` library, word by word: ids of a word are asked for once and remembered."""
+    """Token ids by the `tokenizers` library, word by word (by white space, which no token of this tokenizer
+    crosses): the ids of a word are asked for once and remembered while it is in use."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _learn(self, words: list[str]) -> None:
+        """Asks for some words in one text, and finds each one's ids by where the tokens start."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        first = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
+        starts = np.array([a for a, _ in found.offsets], np.int64)
+        cuts = np.searchsorted(starts, first).tolist()
+        raw = np.array(found.ids, "<u4").tobytes()
+        for w, a, b in zip(words, cuts, cuts[1:], strict=False):
+            self.known[w] = raw[4 * a : 4 * b]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [None if _OTHER.search(t) else _WORD.findall(unicodedata.normalize("NFC", t).lower()) for t in texts]
+        split = [None if _OTHER.search(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
+        wanted: set[str] = set()
+        for words in split:
+            if words:
+                wanted.update(words)
         known = self.known
-        new = list({w for words in split if words for w in words if w not in known})
+        new = [w for w in wanted if w not in known]
         if len(known) + len(new) > REMEMBERED:
-            known = self.known = {}
-            new = list({w for words in split if words for w in words})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, x in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(x.ids, "<u4").tobytes()
-        return [self.whole(t) if words is None else b"".join([known[w] for w in words]) for t, words in zip(texts, split, strict=True)]
+            known, self.before = {}, known
+            self.known, new = known, list(wanted)
+        ask, before = [], self.before
+        for w in new:
+            if (ids := before.get(w)) is None:
+                ask.append(w)
+            else:
+                known[w] = ids
+        for at in range(0, len(ask), 500):
+            self._learn(ask[at : at + 500])
+        get = known.__getitem__
+        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
 
 @cache
@@ -75,15 +93,16 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
             for at in range(0, len(texts), 512):
                 for i, ids in zip(batch["i"].iloc[at : at + 512], encode(texts[at : at + 512]), strict=True):
                     ids += end
+                    i = None if i is None else int(i)
                     for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[a : a + 4 * capacity]
                         out.append((i, k, a // 4, len(part) // 4, zlib.crc32(part)))
             frame = pd.DataFrame(out, columns=["i", "piece", "start", "length", "ids_crc32"])
-            frame["i"] = frame["i"].astype("Int64")
+            frame["i"] = pd.array([x[0] for x in out], dtype="Int64")
             yield frame
 
     ident = F.col(f"`{id_col}`")
-    return docs.select(ident.cast("long").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("i", id_col)
+    return docs.select(ident.cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("i", id_col)
 
 
 @dataclass
