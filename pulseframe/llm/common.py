@@ -36,6 +36,18 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch of whole texts, where the session has Spark's default of 10,000.
+BATCH = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches small enough for rows of whole texts: a Python worker holds a batch several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, str(BATCH))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only; null counts as empty. Pure-ASCII texts take the fast built-in."""
     text = F.coalesce(text, F.lit(""))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small_batches
 
 #: A payload animation's frames have so many columns, which is what payloads are padded to, and rows at most.
 UNIT, ROWS = 576, 16
@@ -261,7 +261,7 @@ def media_columns(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Equal texts give equal values. Null and empty texts are one frame of 255. An empty table gives no rows.
     """
     names = [c.split()[0] for c in MEASURES.split(", ")]
-    docs = docs.drop("media", *names)
+    docs = small_batches(docs).drop("media", *names)
     got = fresh(docs, "got")
     out = docs.withColumn("media", stored(F.col(f"`{text_col}`"))).withColumn(got, measured(F.col("media")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "media", *[F.col(f"{got}.{n}").alias(n) for n in names])
@@ -287,5 +287,5 @@ def frames(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media"
             frame["i"] = pd.array([r[0] for r in rows], dtype="Int64")
             yield frame.astype({"frame": "Int32", "at_ms": "Int64", "delay_ms": "Int64"})
 
-    own = media.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{media_col}`").alias("m"))
+    own = small_batches(media).select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{media_col}`").alias("m"))
     return own.mapInPandas(read, "i long, frame int, at_ms long, delay_ms long, red array<long>, green array<long>, blue array<long>").withColumnRenamed("i", id_col)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, small_batches, written
 
 #: A host needs so many pages for a template, a class so many tokens, and a class must be on such a share of the host's pages.
 LEAST_PAGES, LEAST_TOKENS, SHARE = 4, 3, 0.8
@@ -221,7 +221,7 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -
     Pages of hosts without a template (few pages, no URL) are read by their elements alone. Null and empty html give an empty text;
     repeated rows give equal texts.
     """
-    pages = pages.drop("text", "n_chars")
+    pages = small_batches(pages).drop("text", "n_chars")
     host, got = fresh(pages, "host_of"), fresh(pages, "got")
     found = written(templates(pages, url_col=url_col, html_col=html_col), "templates")
     texts = fresh(pages, "texts")

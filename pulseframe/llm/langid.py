@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small_batches
 
 #: Length of the random vectors.
 DIM = 1024
@@ -101,7 +101,7 @@ def profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang")
                     total[lang] = total.get(lang, 0) + bundled(joined)[0].astype(np.float64)
         yield pd.DataFrame([(k, i, v) for k, x in total.items() for i, v in enumerate(x)], columns=["lang", "i", "v"])
 
-    named = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where("lang is not null and text is not null")
+    named = small_batches(docs).select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where("lang is not null and text is not null")
     # Counts are whole numbers below 2**53, so the sums do not depend on the order of tasks.
     parts = named.mapInPandas(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     found: dict[str, np.ndarray] = {}
@@ -140,7 +140,7 @@ def held_out(ident: Column) -> Column:
 def identify(docs: DataFrame, known: dict[str, np.ndarray], *, text_col: str = "text") -> DataFrame:
     """Adds lang_pred (a known language or `und`), score (0 to 1) and cosines (in the order of known's keys)
     to every row; columns of docs with these names are replaced. Null and letterless texts are `und`."""
-    docs = docs.drop("lang_pred", "score", "cosines")
+    docs = small_batches(docs).drop("lang_pred", "score", "cosines")
     got = fresh(docs, "got")
     out = docs.withColumn(got, predicted(F.col(f"`{text_col}`"), known))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{got}.lang").alias("lang_pred"), F.col(f"{got}.score").alias("score"), F.col(f"{got}.cosines").alias("cosines"))

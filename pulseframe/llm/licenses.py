@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small_batches
 
 #: The base: a phrase's words in a row, and its label.
 BASE = {b"mit license": "mit", b"apache license": "apache", b"general public license": "gpl"}
@@ -212,7 +212,7 @@ def license_scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     weight of the surest detection.
     """
     names = [c.split()[0] for c in FIELDS.split(", ")]
-    docs = docs.drop(*names)
+    docs = small_batches(docs).drop(*names)
     got = fresh(docs, "got")
     out = docs.withColumn(got, scan(F.col(f"`{text_col}`")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"{got}.{n}").alias(n) for n in names])

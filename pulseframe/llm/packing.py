@@ -15,14 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import small_batches, written
 
 CAPACITY = 4096
 END = 1
 #: Rows of one length are ranked in so many groups, so that a frequent length is not one task's work.
 SALTS = 64
 #: Words whose ids a worker remembers: twice as many at most.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 #: Texts with other characters go to the tokenizer whole: for these, normalising in Python is the same for sure.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
             yield frame
 
     ident = F.col(f"`{id_col}`")
-    return docs.select(ident.cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("i", id_col)
+    return small_batches(docs).select(ident.cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("i", id_col)
 
 
 @dataclass

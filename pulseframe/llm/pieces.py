@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, small_batches
 
 SPACE = "▁"
 #: What an unknown character costs beyond the worst piece.
@@ -136,7 +136,7 @@ def decoded(ids: Column, path: str) -> Column:
 def encode_decode(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
     """Adds ids, score (the sum of the pieces' scores), ids_crc32, n_ids and round_trip (whether decoding gives the
     text again, the space sign counting as a space) to every row; columns of docs with these names are replaced."""
-    docs = docs.drop("ids", "score", "ids_crc32", "n_ids", "round_trip")
+    docs = small_batches(docs).drop("ids", "score", "ids_crc32", "n_ids", "round_trip")
     got, back, text = fresh(docs, "got"), fresh(docs, "back"), F.col(f"`{text_col}`")
     out = docs.withColumn(got, encoded(text, path)).withColumn(back, decoded(F.col(f"{got}.ids"), path))
     same = F.col(back) == F.translate(F.coalesce(text, F.lit("")), SPACE, " ")

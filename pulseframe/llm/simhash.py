@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, small_batches, written
 from .graph import components
 
 SHINGLE, SEED = 3, 42
@@ -92,7 +92,7 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     group of copies is one row in the search.
     """
     hashed = F.pandas_udf(fingerprints, "long")
-    rows = written(docs.select(F.col(f"`{id_col}`").alias("i"), hashed(F.col(f"`{text_col}`")).alias("p")), "prints")
+    rows = written(small_batches(docs).select(F.col(f"`{id_col}`").alias("i"), hashed(F.col(f"`{text_col}`")).alias("p")), "prints")
     prints = written(rows.groupBy("p").agg(F.min("i").alias("low")), "prints")
     roots = components(links(prints.select("p")))
     near = prints.join(roots.withColumnRenamed("node", "p"), "p")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import scratch, small_batches, written
 
 #: Payloads of fewer bytes are never revisits.
 LEAST = 100
@@ -278,7 +278,7 @@ def key_of(url: Column, page_id: Column) -> Column:
 def archive(pages: DataFrame, *, roll: int = ROLL, block: int = BLOCK, least: int = LEAST) -> tuple[str, list[tuple[str, str, int, int]]]:
     """Writes archives and index of pages -> the folder and the index's shards."""
     folder = scratch(pages.sparkSession, "warc")
-    places = written(write_archives(planned(pages, least), folder, roll), "places")
+    places = written(write_archives(planned(small_batches(pages), least), folder, roll), "places")
     shards = written(write_index(places, folder, block), "shards").collect()  # a row for each range of the index
     return folder, [tuple(s) for s in shards]
 
