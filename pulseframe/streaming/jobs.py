@@ -60,8 +60,8 @@ SWITCH = "day date, channel string, kind string, client_id string"
 
 
 def channel_events(df: DataFrame) -> DataFrame:
-    """Per client: new, in and out, as its channel is first seen and changes. The state is a client's channel; a
-    micro-batch's rows are taken in event-time order."""
+    """Per client: new, in and out, as its channel is first seen and changes. The state is a client's channel, forgotten
+    after TTL_DAYS; a micro-batch's rows are taken in event-time order, and rows more than an hour late are dropped."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -76,11 +76,11 @@ def channel_events(df: DataFrame) -> DataFrame:
                 out += [(ts.date(), before, "out", key[0]), (ts.date(), channel, "in", key[0])]
             before = channel
         state.update((before,))
-        state.setTimeoutDuration(TTL_DAYS * 86_400_000)
+        state.setTimeoutTimestamp(int((pd.Timestamp(ts) + timedelta(days=TTL_DAYS)).timestamp() * 1000))
         yield pd.DataFrame(out, columns=["day", "channel", "kind", "client_id"])
 
-    own = df.where("client_id is not null and channel is not null").select("client_id", "ts", "event_id", "channel")
-    return own.groupBy("client_id").applyInPandasWithState(step, SWITCH, "channel string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    own = df.where("client_id is not null and channel is not null").withWatermark("ts", "1 hour").select("client_id", "ts", "event_id", "channel")
+    return own.groupBy("client_id").applyInPandasWithState(step, SWITCH, "channel string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def last_seen(df: DataFrame) -> DataFrame:
@@ -115,12 +115,12 @@ def throttled(alerts: DataFrame, seconds: int = THROTTLE_S) -> DataFrame:
             if last is None or at - last >= seconds * 1_000_000:
                 out.append((key[0], ts, alert))
                 last = at
-        if last is not None:
-            state.update((last,))
-        state.setTimeoutDuration(2 * seconds * 1000)
+        state.update((last,))
+        state.setTimeoutTimestamp(last // 1000 + 2 * seconds * 1000)
         yield pd.DataFrame(out, columns=["source", "ts", "alert"])
 
-    return alerts.groupBy("source").applyInPandasWithState(step, "source string, ts timestamp, alert string", "last long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    own = alerts.withWatermark("ts", "1 hour")
+    return own.groupBy("source").applyInPandasWithState(step, "source string, ts timestamp, alert string", "last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def duplicate_counts(df: DataFrame, *, seconds: int = 86_400, horizon: str = "2 days") -> DataFrame:
