@@ -23,6 +23,7 @@ DELAY = 4
 #: Bins of the histograms, by channel.
 BINS = 8
 MOST_CODES = 4096
+GREY = bytes(v for k in range(256) for v in (k, k, k))
 
 
 @cache
@@ -41,28 +42,22 @@ def lzw_encode(data: bytes, size: int = 8) -> bytes:
     codes: list[int] = []
     table: dict[int, int] = {}
     free = clear + 2
-    get = table.get
-    prefix = -1
-    for b in data:
-        if prefix < 0:
-            prefix = b
-            continue
+    rest = iter(data)
+    prefix = next(rest, None)
+    for b in rest:
         key = prefix << 8 | b
-        code = get(key)
-        if code is not None:
+        code = table.setdefault(key, free)
+        if code != free:
             prefix = code
             continue
         codes.append(prefix)
         prefix = b
         if free < MOST_CODES - 1:
-            table[key] = free
             free += 1
         else:
             runs.append(codes)
-            codes = []
-            table.clear()
-            free = clear + 2
-    if prefix >= 0:
+            codes, table, free = [], {}, clear + 2
+    if prefix is not None:
         codes.append(prefix)
     runs.append(codes)
 
@@ -96,25 +91,27 @@ def lzw_decode(data: bytes, size: int) -> bytes:
         n = int(np.searchsorted(begin[1:], total - base, "right"))
         offset = begin[:n] + base
         at = offset >> 3
-        codes = ((raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16) >> (offset & 7) & ((1 << width[:n]) - 1)).tolist()
-        table, previous, used, again = single[:], b"", 0, False
-        grow = table.append
-        for code in codes:
-            used += 1
-            if code == clear or code == end:
-                again = code == clear
-                break
-            if not previous:
-                entry = table[code]
-            else:
-                entry = table[code] if code < len(table) else previous + previous[:1]
-                if len(table) < MOST_CODES:
-                    grow(previous + entry[:1])
-            out.append(entry)
-            previous = entry
+        codes = (raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16) >> (offset & 7) & ((1 << width[:n]) - 1)
+        stops = np.flatnonzero((codes == clear) | (codes == end))
+        used = int(stops[0]) if len(stops) else n
+        again = len(stops) > 0 and codes[used] == clear
+        some = codes[:used].tolist()
+        if some:
+            table = single[:]
+            grow, put, size_now = table.append, out.append, len(single)
+            previous = table[some[0]]
+            put(previous)
+            room = MOST_CODES - size_now + 1
+            for code in some[1:room]:
+                entry = table[code] if code < size_now else previous + previous[:1]
+                grow(previous + entry[:1])
+                size_now += 1
+                put(entry)
+                previous = entry
+            out += [table[code] for code in some[room:]]
         if not again:
             break
-        base += int(begin[used])
+        base += int(begin[used + 1])
     return b"".join(out)
 
 
@@ -125,7 +122,7 @@ def _blocks(data: bytes) -> bytes:
 def write_gif(payload: bytes, width: int = UNIT, rows: int = ROWS, delay: int = DELAY) -> bytes:
     """An animation of grey frames, one sample a byte, of up to rows lines; payload is a positive multiple of width bytes."""
     lines = len(payload) // width
-    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, lines), 0xF7, 0, 0), bytes(v for k in range(256) for v in (k, k, k))]
+    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, lines), 0xF7, 0, 0), GREY]
     for at in range(0, lines, rows):
         part = payload[at * width : (at + rows) * width]
         out += [b"\x21\xf9\x04\x04", struct.pack("<HB", delay, 0), b"\0\x2c", struct.pack("<HHHHB", 0, 0, width, len(part) // width, 0), b"\x08", _blocks(lzw_encode(part))]
