@@ -247,12 +247,13 @@ def validate_pings(df: DataFrame, schemas: dict[str, tuple[T.StructType, list[st
     return df.withColumn("error_type", error).withColumn("parsed", F.when(F.col("error_type").isNull(), found))
 
 
-def fhr_dimensions(df: DataFrame) -> DataFrame:
-    """Health reports (document: JSON text, geo_country) of versions 1 to 3 -> their dimensions, with error for a document without them."""
+def fhr_dimensions(df: DataFrame, info_key: str = "appinfo") -> DataFrame:
+    """Health reports (document: JSON text, geo_country) of versions 1 to 3 -> their dimensions, with error for a document without them.
+    info_key: under which measurement of the last day old documents have them."""
     doc = df.withColumn("doc", F.try_parse_json("document"))
     get = lambda path: F.try_variant_get("doc", path, "string")
     version = F.try_variant_get("doc", "$.version", "int")
-    one = lambda field: F.coalesce(get(f"$.geckoAppInfo.{field}"), get(f"$.data.last['org.mozilla.appInfo.appinfo'].{field}"))
+    one = lambda field: F.coalesce(get(f"$.geckoAppInfo.{field}"), get(f"$.data.last['{info_key}'].{field}"))
     pick = lambda field, two, three: F.when(version == 1, one(field)).when(version == 2, get(two)).when(version == 3, get(three))
     name, ver, channel, build = (pick(f, f"$.geckoAppInfo.{f}", f"$.environments.current.geckoAppInfo.{f}") for f in ("name", "version", "updateChannel", "appBuildID"))
     out = doc.select("*", version.alias("fhr_version"), name.alias("app_name"), ver.alias("app_version"), channel.alias("app_update_channel"), build.alias("app_build_id"))

@@ -451,3 +451,11 @@ def padded_union(spark, sf_dir):
 def except_clients(spark, sf_dir):
     this, last = _periods(spark, sf_dir)
     return last.select("client_id").subtract(this.select("client_id"))
+
+
+@query("jn07_sessions_and_crashes", with_flat("SELECT coalesce(a.channel, b.channel) AS channel, coalesce(a.os, b.os) AS os, coalesce(sessions, 0) AS sessions, coalesce(crashes, 0) AS crashes FROM (SELECT channel, os, count(*) AS sessions FROM m WHERE k > 60 GROUP BY ALL) a FULL JOIN (SELECT channel, os, count(*) AS crashes FROM c WHERE k < 40 GROUP BY ALL) b ON a.channel = b.channel AND a.os = b.os"))
+def sessions_and_crashes(spark, sf_dir):
+    count = lambda df, n: df.groupBy("channel", "os").agg(F.count(F.lit(1)).alias(n))
+    keep = pings(spark, sf_dir).select("event_id", "k")
+    own = count(mains(spark, sf_dir).join(keep.where("k > 60"), "event_id", "left_semi"), "sessions")
+    return reports.merge_aggregates([own, count(crashes(spark, sf_dir).join(keep.where("k < 40"), "event_id", "left_semi"), "crashes")], ["channel", "os"])

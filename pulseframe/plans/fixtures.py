@@ -75,9 +75,9 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw_os").alias("os_name"),
         F.col("raw_country").alias("geo_country"),
         F.concat(F.lit("City"), (F.col("user_id") % 9).cast("string")).alias("geo_city"),
-        F.lit("Firefox").alias("app_name"),
+        F.lit("Browser").alias("app_name"),
         F.concat((40 + F.col("user_id") % 12).cast("string"), F.lit(".0")).alias("app_version"),
-        F.lit("Mozilla").alias("app_vendor"),
+        F.lit("Vendor").alias("app_vendor"),
         F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("030201")).alias("app_build_id"),
         F.struct(
             F.struct((F.unix_date("submission_date") - F.col("profile_offset_days")).alias("creationDate")).alias("profile"),

@@ -36,7 +36,7 @@ def _raw(spark, sf_dir):
         .when(k < 8, F.concat(F.lit("/submit/nowhere/"), F.col("document_id")))
         .when(k < 12, F.lit("/submit/telemetry/"))
         .when(k < 16, F.concat(F.lit("/submit/telemetry/"), F.col("document_id"), F.lit("/main")))
-        .otherwise(F.concat(F.lit("//submit/telemetry/"), F.col("document_id"), F.lit("/"), F.col("doc_type"), F.lit("/Firefox/"), F.col("raw_channel")))
+        .otherwise(F.concat(F.lit("//submit/telemetry/"), F.col("document_id"), F.lit("/"), F.col("doc_type"), F.lit("/Browser/"), F.col("raw_channel")))
     )
     payload = F.when(k < 20, F.repeat(F.col("props"), 40)).otherwise(F.col("props"))
     ip = F.when(k % 3 == 0, F.concat(F.lit("10.0.0."), k.cast("string"), F.lit(", 1.1.1.1")))
@@ -73,8 +73,8 @@ def _documents(spark, sf_dir):
     import pandas as pd
 
     k = F.col("k")
-    unified = F.to_json(F.struct(F.lit(4).alias("version"), F.col("doc_type").alias("type"), F.col("client_id").alias("clientId"), F.struct(F.lit("Firefox").alias("name"), F.col("raw_channel").alias("channel")).alias("application")))
-    old = F.to_json(F.struct(F.lit(3).alias("ver"), F.struct(F.lit("idle").alias("reason"), F.lit("Fennec").alias("appName"), F.col("raw_channel").alias("appUpdateChannel")).alias("info"), F.col("client_id").alias("clientID")))
+    unified = F.to_json(F.struct(F.lit(4).alias("version"), F.col("doc_type").alias("type"), F.col("client_id").alias("clientId"), F.struct(F.lit("Browser").alias("name"), F.col("raw_channel").alias("channel")).alias("application")))
+    old = F.to_json(F.struct(F.lit(3).alias("ver"), F.struct(F.lit("idle").alias("reason"), F.lit("Mobile").alias("appName"), F.col("raw_channel").alias("appUpdateChannel")).alias("info"), F.col("client_id").alias("clientID")))
     text = F.when(k % 10 == 0, "{broken").when(k % 10 == 1, "[1]").when(k % 10 == 2, old).when(k % 10 == 3, "").otherwise(unified)
     zipped = lambda k: k % 10 in (2, 4)
 
@@ -87,7 +87,7 @@ def _documents(spark, sf_dir):
 
 
 @query("j02_decode_pings", with_flat("""SELECT kind, doc_type, app_name, channel, count(*) AS n FROM (SELECT CASE k % 10 WHEN 0 THEN 'json' WHEN 1 THEN 'payload' WHEN 3 THEN 'read' WHEN 5 THEN 'gzip' WHEN 2 THEN 'saved' ELSE 'unified' END AS kind,
-  CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'idle' ELSE doc_type END AS doc_type, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'Fennec' ELSE 'Firefox' END AS app_name, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL ELSE channel END AS channel FROM f) t GROUP BY ALL"""))
+  CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'idle' ELSE doc_type END AS doc_type, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'Mobile' ELSE 'Browser' END AS app_name, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL ELSE channel END AS channel FROM f) t GROUP BY ALL"""))
 def decode(spark, sf_dir):
     decoded, errors = derive.decode_pings(_documents(spark, sf_dir))
     good = decoded.select(F.col("format").alias("kind"), "doc_type", "app_name", F.col("normalized_channel").alias("channel"))
@@ -137,17 +137,17 @@ def payload_size(spark, sf_dir):
     return sizes.groupBy("build", "channel", "doc_type").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
 
 
-@query("j09_fhr_dimensions", with_flat("""SELECT event_id, CASE WHEN k % 6 = 4 THEN NULL WHEN k % 6 = 5 THEN 9 WHEN k % 6 = 3 THEN 1 ELSE k % 6 + 1 END AS fhr_version, CASE WHEN k % 6 < 4 THEN 'Firefox' END AS app_name, CASE WHEN k % 6 < 4 THEN raw_channel END AS app_update_channel,
+@query("j09_fhr_dimensions", with_flat("""SELECT event_id, CASE WHEN k % 6 = 4 THEN NULL WHEN k % 6 = 5 THEN 9 WHEN k % 6 = 3 THEN 1 ELSE k % 6 + 1 END AS fhr_version, CASE WHEN k % 6 < 4 THEN 'Browser' END AS app_name, CASE WHEN k % 6 < 4 THEN raw_channel END AS app_update_channel,
   coalesce(raw_country, '??') AS geo_country, CASE k % 6 WHEN 4 THEN 'json' WHEN 5 THEN 'version' END AS error FROM f"""))
 def fhr(spark, sf_dir):
     k = F.col("k") % 6
-    info = F.struct(F.lit("Firefox").alias("name"), F.col("raw_channel").alias("updateChannel"))
+    info = F.struct(F.lit("Browser").alias("name"), F.col("raw_channel").alias("updateChannel"))
     one = F.to_json(F.struct(F.lit(1).alias("version"), info.alias("geckoAppInfo")))
     two = F.to_json(F.struct(F.lit(2).alias("version"), info.alias("geckoAppInfo")))
     three = F.to_json(F.struct(F.lit(3).alias("version"), F.struct(F.struct(info.alias("geckoAppInfo")).alias("current")).alias("environments")))
-    old = F.to_json(F.struct(F.lit(1).alias("version"), F.struct(F.struct(info.alias("org.mozilla.appInfo.appinfo")).alias("last")).alias("data")))
+    old = F.to_json(F.struct(F.lit(1).alias("version"), F.struct(F.struct(info.alias("old.appinfo")).alias("last")).alias("data")))
     doc = F.when(k == 0, one).when(k == 1, two).when(k == 2, three).when(k == 3, old).when(k == 4, "{").otherwise('{"version": 9}')
-    out = derive.fhr_dimensions(pings(spark, sf_dir).select("event_id", F.col("raw_country").alias("geo_country"), doc.alias("document")))
+    out = derive.fhr_dimensions(pings(spark, sf_dir).select("event_id", F.col("raw_country").alias("geo_country"), doc.alias("document")), "old.appinfo")
     return out.select("event_id", "fhr_version", "app_name", "app_update_channel", "geo_country", "error")
 
 

@@ -153,3 +153,41 @@ def os_and_profile(spark, sf_dir):
 @query("f08_fraction_sampling")
 def fraction_sampling(spark, sf_dir):
     return pings(spark, sf_dir).sample(0.1, 7).select("event_id")
+
+
+@query("sf01_strings", with_flat("SELECT event_id, starts_with(raw_os, 'Win') AS prefix, contains(raw_os, 'nu') OR contains(raw_os, 'NU') AS inside, regexp_matches(raw_channel, '^b.*x$') AS matched, upper(raw_os) AS up, split_part(raw_channel, '-', 2) AS second, replace(raw_channel, '-', '.') AS replaced, substr(raw_channel, 2, 3) AS part FROM f"))
+def strings(spark, sf_dir):
+    os, channel = F.col("raw_os"), F.col("raw_channel")
+    return pings(spark, sf_dir).select("event_id", os.startswith("Win").alias("prefix"), (os.contains("nu") | os.contains("NU")).alias("inside"), channel.rlike("^b.*x$").alias("matched"), F.upper(os).alias("up"), F.split_part(channel, F.lit("-"), F.lit(2)).alias("second"), F.regexp_replace(channel, "-", ".").alias("replaced"), F.substring(channel, 2, 3).alias("part"))
+
+
+@query("sf02_escaping", with_flat("SELECT event_id, replace(replace(replace(raw_os || '|\\' || chr(10), '\\', '\\\\'), '|', '\\|'), chr(10), '\\' || chr(10)) AS bars FROM f"))
+def escaping(spark, sf_dir):
+    return pings(spark, sf_dir).select("event_id", W.escaped(F.concat("raw_os", F.lit("|\\\n")), "|").alias("bars"))
+
+
+@query("sf07_times", with_flat("SELECT event_id, CASE WHEN k % 3 = 0 THEN date_trunc('second', ts) END AS at, CASE WHEN k % 3 = 1 THEN CAST(submission_date AS VARCHAR) END AS day FROM f"))
+def times(spark, sf_dir):
+    k = F.col("k") % 3
+    text = F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.date_format("ts", "yyyy-MM-dd")).otherwise("2024-13-99")
+    at = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
+    day = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+    return pings(spark, sf_dir).select("event_id", at.alias("at"), day.cast("string").alias("day"))
+
+
+@query("sf09_crc32")
+def crc32(spark, sf_dir):
+    return pings(spark, sf_dir).select("event_id", F.crc32(F.col("props").cast("binary")).alias("crc"))
+
+
+@query("sf10_collections", with_flat("SELECT event_id, k % 5 AS size, k % 5 > 2 AS some, CASE WHEN k % 5 > 0 THEN 1 END AS first, CAST((k % 5) * (k % 5 + 1) / 2 AS BIGINT) AS total FROM f"))
+def collections(spark, sf_dir):
+    values = F.when(F.col("k") % 5 > 0, F.sequence(F.lit(1), F.col("k") % 5)).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x)
+    return pings(spark, sf_dir).select("event_id", values.alias("v")).select("event_id", F.size("v").alias("size"), F.exists("v", lambda x: x > 2).alias("some"), F.get("v", F.lit(0)).alias("first"), total.alias("total"))
+
+
+@query("sf11_json", with_flat("SELECT event_id, CASE WHEN k % 2 = 0 THEN k END AS k, k % 2 = 1 AS bad FROM f"))
+def json(spark, sf_dir):
+    doc = F.try_parse_json(F.when(F.col("k") % 2 == 0, F.col("props")).otherwise("{nope"))
+    return pings(spark, sf_dir).select("event_id", doc.alias("d")).select("event_id", F.try_variant_get("d", "$.k", "int").alias("k"), F.col("d").isNull().alias("bad"))
