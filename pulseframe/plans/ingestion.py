@@ -151,7 +151,7 @@ def fhr(spark, sf_dir):
     return out.select("event_id", "fhr_version", "app_name", "app_update_channel", "geo_country", "error")
 
 
-@query("j10_tls_reports", with_flat("""SELECT event_id, 'h' || (user_id % 9) || '.example' AS hostname, CAST(NULL AS VARCHAR) AS "version", k % 3 AS chain_length, 1704067200 + event_id - 1706659200 AS skew, CASE WHEN k % 3 > 0 THEN 'c0' END AS first_certificate, CASE WHEN k % 3 > 0 THEN 'c' || (k % 3 - 1) END AS last_certificate FROM f WHERE k % 7 <> 0"""))
+@query("j10_tls_reports", with_flat("""SELECT event_id, 'h' || (user_id % 9) || '.example' AS hostname, CAST(NULL AS VARCHAR) AS "version", CAST(k % 3 AS BIGINT) AS chain_length, 1704067200 + event_id - 1706659200 AS skew, CASE WHEN k % 3 > 0 THEN 'c0' END AS first_certificate, CASE WHEN k % 3 > 0 THEN 'c' || (k % 3 - 1) END AS last_certificate FROM f WHERE k % 7 <> 0"""))
 def tls(spark, sf_dir):
     chain = F.transform(F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), F.col("k") % 3), lambda x: F.concat(F.lit("c"), x.cast("string")))
     doc = F.when(F.col("k") % 7 == 0, "{").otherwise(F.to_json(F.struct(F.concat(F.lit("h"), (F.col("user_id") % 9).cast("string"), F.lit(".example")).alias("hostname"), (1704067200 + F.col("event_id")).alias("timestamp"), chain.alias("failedCertChain"), F.create_map().cast("map<string,string>").alias("version"))))
@@ -165,7 +165,7 @@ def recombine(spark, sf_dir):
     return derive.recombine(df, {"payload.info": "a", "environment.os": "b"}, ["doc_type"]).select("event_id", "document")
 
 
-@query("j12_oom_crashes", with_flat("""SELECT 'u' || event_id AS uuid, event_id AS address, k * 10 AS uptime, 'a|b' AS app_notes, date_trunc('second', ts) AS date, CAST(NULL AS BIGINT) AS oom_allocation_size FROM f WHERE doc_type = 'crash'"""))
+@query("j12_oom_crashes", with_flat("""SELECT 'u' || event_id AS uuid, event_id AS address, CAST(k * 10 AS BIGINT) AS uptime, 'a|b' AS app_notes, date_trunc('second', ts) AS date, CAST(NULL AS BIGINT) AS oom_allocation_size FROM f WHERE doc_type = 'crash'"""))
 def oom(spark, sf_dir):
     hits = pings(spark, sf_dir).where("doc_type = 'crash'").select(F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("uuid"), F.concat(F.lit("0x"), F.hex("event_id")).alias("address"), (F.col("k") * 10).cast("string").alias("uptime"), F.lit("a\nb").alias("app_notes"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("date"), F.lit("many").alias("oom_allocation_size"))
     return derive.oom_crashes(hits).select("uuid", "address", "uptime", "app_notes", "date", "oom_allocation_size")
@@ -228,7 +228,7 @@ def service_logs(spark, sf_dir):
     return scan.scan_service_logs(spark, path + "/logs", "loop", date(2024, 1, 3), date(2024, 1, 9), schema).select("event_id", "action")
 
 
-@query("s07_import_json_day", with_flat("SELECT event_id, k, raw_os FROM f WHERE submission_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-05'"))
+@query("s07_import_json_day", with_flat("SELECT event_id, CAST(k AS BIGINT) AS k, raw_os FROM f WHERE submission_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-05'"))
 def import_json(spark, sf_dir):
     path = folder(spark)
     schema = {"type": "object", "properties": {"event_id": {"type": "integer"}, "k": {"$ref": "#/definitions/count"}, "raw_os": {"type": ["string", "null"]}}, "definitions": {"count": {"type": "integer"}}}

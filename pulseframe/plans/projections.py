@@ -50,18 +50,18 @@ SIMPLE = {
     "p22_first_forwarded_ip": (lambda: [N.first_forwarded_ip(_ip(), F.lit("9.9.9.9")).alias("ip")], "CASE WHEN user_id % 3 = 0 THEN '10.0.0.' || k ELSE '9.9.9.9' END AS ip"),
     "sf03_calendar": (
         lambda: [N.sunday_week(F.col("submission_date")).cast("string").alias("week"), N.month_start(F.col("submission_date")).cast("string").alias("month"), F.unix_date("submission_date").alias("day")],
-        "CAST(CAST(date_trunc('week', submission_date + 1) AS DATE) - 1 AS VARCHAR) AS week, CAST(CAST(date_trunc('month', submission_date) AS DATE) AS VARCHAR) AS month, submission_date - DATE '1970-01-01' AS day",
+        "CAST(CAST(date_trunc('week', submission_date + 1) AS DATE) - 1 AS VARCHAR) AS week, CAST(CAST(date_trunc('month', submission_date) AS DATE) AS VARCHAR) AS month, CAST(submission_date - DATE '1970-01-01' AS INT) AS day",
     ),
     "sf04_last_complete": (
         lambda: [N.last_complete_week(F.col("submission_date")).cast("string").alias("week"), N.last_complete_month(F.col("submission_date")).cast("string").alias("month")],
         "CAST(CAST(date_trunc('week', submission_date + 1) AS DATE) - 8 AS VARCHAR) AS week, CAST(CAST(date_trunc('month', submission_date) - INTERVAL '1' MONTH AS DATE) AS VARCHAR) AS month",
     ),
     "sf05_previous_wednesday": (lambda: [N.previous_wednesday(F.col("submission_date")).cast("string").alias("wednesday"), F.date_sub(N.previous_wednesday(F.col("submission_date")), 17).cast("string").alias("floor")], "CAST(submission_date - CAST((dayofweek(submission_date) + 4) % 7 AS INT) AS VARCHAR) AS wednesday, CAST(submission_date - CAST((dayofweek(submission_date) + 4) % 7 AS INT) - 17 AS VARCHAR) AS floor"),
-    "sf06_day_number": (lambda: [N.day_number(F.date_format("ts", "yyyyMMdd")).alias("n"), F.datediff("submission_date", F.lit("2024-01-01")).alias("diff")], "submission_date - DATE '1970-01-01' AS n, submission_date - DATE '2024-01-01' AS diff"),
+    "sf06_day_number": (lambda: [N.day_number(F.date_format("ts", "yyyyMMdd")).alias("n"), F.datediff("submission_date", F.lit("2024-01-01")).alias("diff")], "CAST(submission_date - DATE '1970-01-01' AS INT) AS n, CAST(submission_date - DATE '2024-01-01' AS INT) AS diff"),
     "sf08_texts": (lambda: [N.percent(F.col("k"), F.lit(7)).alias("pct"), N.gigabytes(F.col("event_id") * 1048577).alias("gb"), N.pretty_size(F.col("event_id") * 7919 + 1).alias("size")], "printf('%.1f%%', 100.0 * k / 7) AS pct, printf('%.2fGB', event_id * 1048577 / 1073741824.0) AS gb, CASE WHEN (event_id * 7919 + 1) < 1024 THEN (event_id * 7919 + 1) || 'B' WHEN (event_id * 7919 + 1) < 1048576 THEN printf('%.2fKB', (event_id * 7919 + 1) / 1024.0) WHEN (event_id * 7919 + 1) < 1073741824 THEN printf('%.2fMB', (event_id * 7919 + 1) / 1048576.0) ELSE printf('%.2fGB', (event_id * 7919 + 1) / 1073741824.0) END AS size"),
     "w_fitted_types": (
         lambda: [W.fitted(F.col("seconds") * 1000, "SMALLINT").alias("small"), W.fitted(F.col("value"), "INTEGER").alias("whole"), W.fitted(F.concat(F.lit("é"), F.col("raw_os")), "CHAR(5)").alias("char5"), W.fitted(F.col("raw_channel"), "VARCHAR(4)").alias("var4"), W.fitted(F.col("doc_type"), "BOOLEAN").alias("bool")],
-        "CASE WHEN abs(seconds * 1000) <= 32767 THEN seconds * 1000 END AS small, CAST(floor(value) AS INT) AS whole, left('?' || raw_os, 5) AS char5, left(raw_channel, 4) AS var4, CAST(NULL AS BOOLEAN) AS bool",
+        "CAST(CASE WHEN abs(seconds * 1000) <= 32767 THEN seconds * 1000 END AS SMALLINT) AS small, CAST(floor(value) AS INT) AS whole, left('?' || raw_os, 5) AS char5, left(raw_channel, 4) AS var4, CAST(NULL AS BOOLEAN) AS bool",
     ),
     "f02_dimension_values": (
         lambda: [dims.dimension(F.col("raw_channel"), ["release", "aurora", "beta-x"]).alias("listed"), dims.dimension(F.col("raw_country"), "*").alias("any"), dims.dimension(F.col("raw_os"), {"min": "D", "max": "W"}).alias("ranged"), dims.dimension(F.col("doc_type"), {"min": "n"}).alias("least")],
@@ -84,13 +84,13 @@ def norm_country(spark, sf_dir):
     return pings(spark, sf_dir).select("event_id", N.norm_country(F.col("raw_country"), countries(spark)).alias("country"))
 
 
-@query("p08_search_counts", with_flat("SELECT event_id, " + ", ".join(f"CASE WHEN engine_id = {i} THEN k % 5 + 1 ELSE 0 END AS {e}" for i, e in enumerate(N.ENGINES)) + " FROM f"))
+@query("p08_search_counts", with_flat("SELECT event_id, " + ", ".join(f"CAST(CASE WHEN engine_id = {i} THEN k % 5 + 1 ELSE 0 END AS BIGINT) AS {e}" for i, e in enumerate(N.ENGINES)) + " FROM f"))
 def search_counts(spark, sf_dir):
     found = N.search_counts(F.try_element_at("payload.keyedHistograms", F.lit("SEARCH_COUNTS")))
     return nested(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in found.items()])
 
 
-@query("p09_khist_sum", with_flat("SELECT event_id, plugin_crashes AS plugin, CASE WHEN k % 3 > 0 THEN k % 3 END AS hangs, CAST(NULL AS BIGINT) AS none FROM f"))
+@query("p09_khist_sum", with_flat("SELECT event_id, CAST(plugin_crashes AS BIGINT) AS plugin, CAST(CASE WHEN k % 3 > 0 THEN k % 3 END AS BIGINT) AS hangs, CAST(NULL AS BIGINT) AS none FROM f"))
 def khist_sum(spark, sf_dir):
     h = F.col("payload.keyedHistograms")
     crashes = "SUBPROCESS_CRASHES_WITH_DUMP"

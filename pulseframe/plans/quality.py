@@ -24,14 +24,14 @@ _HOURS = "CAST(floor((epoch_us(ts) - epoch_us(created)) / 3600000000.0) AS BIGIN
 h AS (SELECT *, {_HOURS} AS lag_h, epoch_us(now) - epoch_us(ts) AS age FROM n),
 l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series, client_id ORDER BY ts DESC, event_id DESC) AS r FROM h) t WHERE r = 1 AND age <= 42 * 86400000000),
 v AS (SELECT series, 'last_seen' AS metric, age // 86400000000 AS value FROM l UNION ALL SELECT series, 'client_delay', lag_h FROM l UNION ALL SELECT series, 'delay_24h', lag_h FROM h WHERE age < 86400000000 UNION ALL SELECT series, 'delay_7d', lag_h FROM h WHERE age < 7 * 86400000000)
-SELECT series, metric, quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.75) AS p75, quantile_disc(value, 0.99) AS p99 FROM v GROUP BY ALL"""),
+SELECT series, metric, CAST(quantile_disc(value, 0.5) AS DOUBLE) AS median, CAST(quantile_disc(value, 0.75) AS DOUBLE) AS p75, CAST(quantile_disc(value, 0.99) AS DOUBLE) AS p99 FROM v GROUP BY ALL"""),
 )
 def latency(spark, sf_dir):
     df = pings(spark, sf_dir).withColumn("creation_ts", F.expr("timestampadd(MINUTE, -37 * (k % 30), ts)"))
     return quality.latency_percentiles(df.select("client_id", F.col("raw_channel").alias("channel"), F.col("doc_type").alias("reason"), "ts", "event_id", "creation_ts"))
 
 
-@query("t04_nearest_rank", with_flat("SELECT channel, quantile_disc(seconds, 0.75) AS p75 FROM f GROUP BY 1"))
+@query("t04_nearest_rank", with_flat("SELECT channel, CAST(quantile_disc(seconds, 0.75) AS DOUBLE) AS p75 FROM f GROUP BY 1"))
 def nearest(spark, sf_dir):
     return _channelled(spark, sf_dir).groupBy("channel").agg(F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY seconds)").alias("p75"))
 
@@ -212,7 +212,7 @@ def transform(spark, sf_dir):
     return user.transform_rows(pings(spark, sf_dir).select("event_id", "k", "raw_os"), split, "event_id long, part long, os string")
 
 
-@query("x02_user_aggregate", with_flat("SELECT doc_type, CAST(sum(k) AS BIGINT) AS total, max(k) AS most FROM f GROUP BY 1"))
+@query("x02_user_aggregate", with_flat("SELECT doc_type, CAST(sum(k) AS BIGINT) AS total, CAST(max(k) AS BIGINT) AS most FROM f GROUP BY 1"))
 def aggregate(spark, sf_dir):
     def seq(state, row):
         return {"total": state["total"] + row["k"], "most": max(state["most"], row["k"])}
