@@ -13,8 +13,8 @@ from pulseframe.llm import dedup, langid, packing, simhash
 from pulseframe.llm.common import table, written
 
 #: A document goes if its text has no letters, or if another language fits it better than the declared
-#: one by so much (of a cosine).
-MARGIN = 0.25
+#: one by so much (of a cosine): that is when hardly any of it is in the declared one. Documents that quote another language stay.
+MARGIN = 0.5
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

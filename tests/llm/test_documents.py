@@ -212,3 +212,27 @@ def test_pipeline(spark, sf_dir):
     packed = c.run(spark, sf_dir).collect()
     assert {r.doc_id for r in packed} == winners
     assert all(c.exact(spark, docs, sf_dir).columns == c.COLUMNS for _ in range(1))
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd, sf_dir):
+    """Each stage takes nulls, repeated rows and empty tables, and returns the columns of documents."""
+    import corpus_pipeline as c
+
+    docs = odd.where("doc_id <> 10 or doc_id is null")
+    for name, stage in c.STAGES:
+        for table in (docs, docs.limit(0)):
+            got = stage(spark, table, sf_dir)
+            assert name == "pack" or got.columns == c.COLUMNS
+            assert 0 < got.count() <= docs.count() if table is docs else got.count() == 0
+    kept = {r.text for r in c.language(spark, docs, sf_dir).collect()}
+    assert None not in kept and "12 ... 34" not in kept and "some text" in kept
+    assert c.exact(spark, docs, sf_dir).count() == len({lower(r.text) for r in docs.collect()})
+
+
+def test_language_stage_rejects_what_is_in_another_language(spark, sf_dir):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    german = docs.where("lang = 'de' and n_chars > 500").limit(3).selectExpr("doc_id + 100000 AS doc_id", "text", "'en' AS lang", "source", "n_chars")
+    kept = c.language(spark, docs.unionByName(german), sf_dir).select("doc_id").collect()
+    assert max(r.doc_id for r in kept) < 100_000 and len(kept) > 0.98 * docs.count()
