@@ -44,10 +44,10 @@ bsd-3-clause | bsd | (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised b
 bsd-4-clause | bsd | (?:bsd 4 clause|4 clause bsd|original bsd|old bsd)(?: licen[sc]e)? | bsd 4 clause | spdx org licenses bsd 4 clause
 0bsd | bsd | (?:bsd zero clause|zero clause bsd|bsd 0 clause)(?: licen[sc]e)? | 0bsd | opensource org licenses? 0bsd
 bsd | bsd | bsd(?: style| like)? licen[sc]e | bsd | opensource org licenses? bsd licen[sc]e
-mpl-1.0 | mozilla | mozilla public licen[sc]e (?:version |v ?)?1 0 | mpl 1 0 | mozilla org mpl mpl 1 0
-mpl-1.1 | mozilla | mozilla public licen[sc]e (?:version |v ?)?1 1 | mpl 1 1 | mozilla org mpl (?:mpl )?1 1
-mpl-2.0 | mozilla | mozilla public licen[sc]e (?:version |v ?)?2(?: 0)? | mpl 2 0 | mozilla org mpl 2 0
-mpl | mozilla | mozilla public licen[sc]e | mpl | mozilla org (?:en us )?mpl
+mpl-1.0 | mpl | mpl (?:version |v ?)?1 0 | mpl 1 0 | -
+mpl-1.1 | mpl | mpl (?:version |v ?)?1 1 | mpl 1 1 | -
+mpl-2.0 | mpl | mpl (?:version |v ?)?2(?: 0)? | mpl 2 0 | -
+mpl | mpl | mpl licen[sc]e | mpl | -
 epl-1.0 | eclipse | eclipse public licen[sc]e (?:version |v ?)?1(?: 0)? | epl 1 0 | eclipse org legal epl v10
 epl-2.0 | eclipse | eclipse public licen[sc]e (?:version |v ?)?2(?: 0)? | epl 2 0 | eclipse org legal epl (?:2 0|v20)
 epl | eclipse | eclipse public licen[sc]e | epl | eclipse org legal epl

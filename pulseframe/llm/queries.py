@@ -49,6 +49,15 @@ def warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+WARC_INDEX_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+first AS (SELECT h, min(page_id) AS r FROM p WHERE strlen(h) >= 100 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN r <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN r <> page_id THEN r END AS refers_to
+FROM p LEFT JOIN first USING (h)
+"""
+
+
 #: Captures and dated list entries, both made from pages. Each page is fetched at a time that follows from its id. Each
 #: host has dates that follow from its digest: when lists add, drop and add it again; and each domain is
 #: added to a list and dropped half a year later.
@@ -134,4 +143,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": URL_FILTER_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op2_warc_index": WARC_INDEX_SQL, "op3_url_filter": URL_FILTER_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL}
