@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,7 +19,7 @@ from .common import fresh, small_batches
 SPACE = "▁"
 #: What an unknown character costs beyond the worst piece.
 PENALTY = 10.0
-#: Words whose pieces a worker remembers.
+#: Words whose pieces a worker remembers: twice as many at most.
 REMEMBERED = 400_000
 
 
@@ -33,6 +34,8 @@ class Model:
         self.byte_ids = [0] * 256
         self.unknown = p.unk_id()
         self.automaton = ahocorasick.Automaton()
+        self.scores = np.zeros(p.vocab_size())
+        self.singles: set[str] = set()
         scores, inner = [], False
         for i in range(p.vocab_size()):
             piece = p.id_to_piece(i)
@@ -41,39 +44,41 @@ class Model:
                 self.byte_ids[value], self.bytes[i] = i, bytes((value,))
             elif not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i)):
                 scores.append(p.get_score(i))
+                self.scores[i] = p.get_score(i)
                 self.automaton.add_word(piece, (len(piece), p.get_score(i), i))
                 self.bytes[i] = piece.replace(SPACE, " ").encode()
+                self.singles.update([piece] if len(piece) == 1 else [])
                 inner |= bool(re.search(f"[^{SPACE}]{SPACE}", piece))
         self.automaton.make_automaton()
         self.fallback = any(self.byte_ids)
         self.unknown_score = min(scores) - PENALTY
         # No piece goes on over the end of a word, so words can be segmented one by one.
         self.words = re.compile(".+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
-        self.known: dict[str, tuple[bytes, float]] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def segment(self, word: str) -> tuple[list[int], float]:
-        """The ids of the pieces with the largest sum of scores, and that sum. Of equal sums, the longer last piece wins."""
+    def segment(self, word: str) -> list[int]:
+        """The ids of the pieces with the largest sum of scores. Of equal sums, the longer last piece wins.
+
+        The automaton gives at each position the pieces that end there, the longest first and then along its output
+        links; each relaxes the best sum up to there. A character that is no piece can be skipped at a cost.
+        """
         n = len(word)
         best, size, ident = [0.0] + [-float("inf")] * n, [0] * (n + 1), [-1] * (n + 1)
-        single = bytearray(n)
-        at = 0
-
-        def close(p: int) -> None:
-            """Position p has had all its pieces; a character that is no piece can be skipped at a cost."""
-            if not single[p] and (score := best[p] + self.unknown_score) > best[p + 1]:
-                best[p + 1], size[p + 1], ident[p + 1] = score, 1, -1
-
+        odd = [k for k, c in enumerate(word) if c not in self.singles] if not self.singles.issuperset(word) else []
+        todo = iter(odd + [n])
+        skip = next(todo)
         for end, (length, score, i) in self.automaton.iter(word):
-            while at < end:
-                close(at)
-                at += 1
-            if length == 1:
-                single[end] = 1
-            if (score := best[end + 1 - length] + score) > best[end + 1]:
-                best[end + 1], size[end + 1], ident[end + 1] = score, length, i
-        while at < n:
-            close(at)
-            at += 1
+            while skip < end:
+                if (total := best[skip] + self.unknown_score) > best[skip + 1]:
+                    best[skip + 1], size[skip + 1], ident[skip + 1] = total, 1, -1
+                skip = next(todo)
+            if (total := best[end + 1 - length] + score) > best[end + 1]:
+                best[end + 1], size[end + 1], ident[end + 1] = total, length, i
+        while skip < n:
+            if (total := best[skip] + self.unknown_score) > best[skip + 1]:
+                best[skip + 1], size[skip + 1], ident[skip + 1] = total, 1, -1
+            skip = next(todo)
         ids: list[int] = []
         at = n
         while at:
@@ -84,24 +89,28 @@ class Model:
             else:
                 ids.append(self.unknown)
             at -= size[at]
-        return ids[::-1], best[n]
-
-    def encode(self, text: str) -> tuple[np.ndarray, float]:
-        if not text:
-            return np.zeros(0, np.int32), 0.0
-        known, parts, total = self.known, [], 0.0
-        for word in self.words.findall(SPACE + text.replace(" ", SPACE)):
-            found = known.get(word)
-            if found is None:
-                ids, score = self.segment(word)
-                found = np.array(ids, "<i4").tobytes(), score
-                if len(word) <= 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = found
-            parts.append(found[0])
-            total += found[1]
-        return np.frombuffer(b"".join(parts), "<i4"), total
+        return ids[::-1]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Words in use are remembered."""
+        split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        wanted: set[str] = set()
+        for words in split:
+            wanted.update(words)
+        known = self.known
+        new = [w for w in wanted if w not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known, self.before = {}, known
+            self.known, new = known, list(wanted)
+        before = self.before
+        for w in new:
+            ids = before.get(w)
+            known[w] = array("i", self.segment(w)).tobytes() if ids is None else ids
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4") for words in split]
+
+    def score(self, ids: np.ndarray) -> float:
+        """The sum of the pieces' scores; bytes of unknown characters have none."""
+        return float(self.scores[ids].sum())
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids. A piece of the space sign is a space, and the one that encoding puts in front goes."""
@@ -119,8 +128,11 @@ def encoded(text: Column, path: str) -> Column:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            found = [model(path).encode(t or "") for t in texts]
-            yield pd.DataFrame({"ids": [x[0] for x in found], "score": [x[1] for x in found], "ids_crc32": [zlib.crc32(x[0].tobytes()) for x in found]})
+            m, found = model(path), []
+            texts = ["" if t is None else t for t in texts]
+            for at in range(0, len(texts), 256):
+                found += m.encode(texts[at : at + 256])
+            yield pd.DataFrame({"ids": found, "score": [m.score(x) for x in found], "ids_crc32": [zlib.crc32(x.tobytes()) for x in found]})
 
     return F.pandas_udf(run, "ids array<int>, score double, ids_crc32 long")(text)
 
