@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,6 +13,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,11 @@ END = 1
 #: Rows of one length are ranked in so many groups, so that a frequent length is not one task's work.
 SALTS = 64
 #: Words whose ids a worker remembers: twice as many at most.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+
+#: How the tokenizer splits words, and which characters stand for bytes that have none of their own.
+_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 
 #: Texts with other characters go to the tokenizer whole: for these, normalising in Python is the same for sure.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
@@ -36,21 +42,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Asks for some words in one text, and finds each one's ids by where the tokens start."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        first = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
-        starts = np.array([a for a, _ in found.offsets], np.int64)
-        cuts = np.searchsorted(starts, first).tolist()
-        raw = np.array(found.ids, "<u4").tobytes()
-        for w, a, b in zip(words, cuts, cuts[1:], strict=False):
-            self.known[w] = raw[4 * a : 4 * b]
+    def _part(self, part: str) -> bytes:
+        """The ids of what is one word for the tokenizer too. Its model reads bytes as characters."""
+        ids = self.known.get(part)
+        if ids is None:
+            found = self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))
+            ids = array("I", [t.id for t in found]).tobytes()
+        return ids
+
+    def _learn(self, word: str) -> bytes:
+        return self._part(word) if word.isalpha() else b"".join(map(self._part, _WORD.findall(word)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
@@ -64,14 +72,9 @@ class Encoder:
         if len(known) + len(new) > REMEMBERED:
             known, self.before = {}, known
             self.known, new = known, list(wanted)
-        ask, before = [], self.before
+        before = self.before
         for w in new:
-            if (ids := before.get(w)) is None:
-                ask.append(w)
-            else:
-                known[w] = ids
-        for at in range(0, len(ask), 500):
-            self._learn(ask[at : at + 500])
+            known[w] = before.get(w) or self._learn(w)
         get = known.__getitem__
         return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
