@@ -124,7 +124,7 @@ def model(path: str) -> Model:
 
 
 def encoded(text: Column, path: str) -> Column:
-    """text -> struct(ids, score). Null and empty texts have no ids."""
+    """text -> struct(ids, score, ids_crc32, round_trip). Null and empty texts have no ids."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
@@ -132,9 +132,10 @@ def encoded(text: Column, path: str) -> Column:
             texts = ["" if t is None else t for t in texts]
             for at in range(0, len(texts), 256):
                 found += m.encode(texts[at : at + 256])
-            yield pd.DataFrame({"ids": found, "score": [m.score(x) for x in found], "ids_crc32": [zlib.crc32(x.tobytes()) for x in found]})
+            same = [m.decode(x) == t.replace(SPACE, " ") for x, t in zip(found, texts, strict=True)]
+            yield pd.DataFrame({"ids": found, "score": [m.score(x) for x in found], "ids_crc32": [zlib.crc32(x.tobytes()) for x in found], "round_trip": same})
 
-    return F.pandas_udf(run, "ids array<int>, score double, ids_crc32 long")(text)
+    return F.pandas_udf(run, "ids array<int>, score double, ids_crc32 long, round_trip boolean")(text)
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -149,7 +150,6 @@ def encode_decode(docs: DataFrame, path: str, *, text_col: str = "text") -> Data
     """Adds ids, score (the sum of the pieces' scores), ids_crc32, n_ids and round_trip (whether decoding gives the
     text again, the space sign counting as a space) to every row; columns of docs with these names are replaced."""
     docs = small_batches(docs).drop("ids", "score", "ids_crc32", "n_ids", "round_trip")
-    got, back, text = fresh(docs, "got"), fresh(docs, "back"), F.col(f"`{text_col}`")
-    out = docs.withColumn(got, encoded(text, path)).withColumn(back, decoded(F.col(f"{got}.ids"), path))
-    same = F.col(back) == F.translate(F.coalesce(text, F.lit("")), SPACE, " ")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{got}.ids").alias("ids"), F.col(f"{got}.score").alias("score"), F.col(f"{got}.ids_crc32").alias("ids_crc32"), F.size(f"{got}.ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+    got = fresh(docs, "got")
+    out = docs.withColumn(got, encoded(F.col(f"`{text_col}`"), path))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{got}.ids").alias("ids"), F.col(f"{got}.score").alias("score"), F.col(f"{got}.ids_crc32").alias("ids_crc32"), F.size(f"{got}.ids").cast("long").alias("n_ids"), F.col(f"{got}.round_trip").alias("round_trip"))

@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from pulseframe.llm import gif, html, licenses, pieces, queries, urls, warc
 
@@ -196,6 +197,8 @@ def test_encode_decode(spark, odd):
     got = pieces.encode_decode(odd, PIECES).collect()
     assert len(got) == len(TEXTS) and all(r.round_trip and r.got == "e" for r in got)
     assert all(r.n_ids == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<i4").tobytes()) for r in got)
+    back = pieces.encode_decode(odd, PIECES).select("text", pieces.decoded(F.col("ids"), PIECES).alias("back")).collect()
+    assert all(r.back == (r.text or "").replace("▁", " ") for r in back)
     assert pieces.encode_decode(odd.limit(0), PIECES).count() == 0
 
 
