@@ -164,7 +164,7 @@ def first_forwarded_ip(forwarded: Column, remote: Column) -> Column:
 
 def ns_timestamp(ns: Column) -> Column:
     """Nanoseconds since the epoch to a timestamp."""
-    return F.timestamp_micros(F.expr("1") * F.floor(ns / 1000).cast("long"))
+    return F.timestamp_micros(F.floor(ns / 1000).cast("long"))
 
 
 def sunday_week(day: Column) -> Column:

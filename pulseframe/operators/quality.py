@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Clients not seen for so many days are lost.
 LOST_DAYS = 42
+#: Outputs that may stand still.
+IGNORED = ("TelemetryErrorsOutput",)
 PERCENTILES = {"median": 0.5, "p75": 0.75, "p99": 0.99}
 
 
@@ -69,7 +73,7 @@ def counter_deltas(df: DataFrame, source: str, value: str, scale: float | None =
     return df.withColumn("delta", delta if scale is None else delta * scale)
 
 
-def output_health(df: DataFrame, ignored: list[str] = ["TelemetryErrorsOutput"], stall_s: int = 60) -> DataFrame:  # noqa: B006
+def output_health(df: DataFrame, ignored: Iterable[str] = IGNORED, stall_s: int = 60) -> DataFrame:
     """Reports (name, ts, failures, messages) -> alerts: failures rose, or the count of messages stood for more than stall_s seconds;
     the first of each output and hour, a stall before a rise at one time."""
     w = Window.partitionBy("name").orderBy("ts", "event_id")
@@ -77,7 +81,7 @@ def output_health(df: DataFrame, ignored: list[str] = ["TelemetryErrorsOutput"],
     changed = F.when(F.col("messages").eqNullSafe(F.lag("messages").over(w)), 0).otherwise(1)
     runs = df.where("name is not null").select("*", (F.col("failures") > most).alias("rose"), changed.alias("changed")).withColumn("run", F.sum("changed").over(w))
     since = F.first("ts").over(Window.partitionBy("name", "run").orderBy("ts", "event_id"))
-    stalled = (F.unix_micros("ts") - F.unix_micros(since) > stall_s * 1_000_000) & ~F.col("name").isin(ignored)
+    stalled = (F.unix_micros("ts") - F.unix_micros(since) > stall_s * 1_000_000) & ~F.col("name").isin(list(ignored))
     text = F.when(stalled, F.format_string("%s ProcessMessageCount has stalled at %d", "name", "messages")).when(F.col("rose"), F.format_string("%s ProcessFileFailures has increased to %d", "name", "failures"))
     alerts = runs.withColumn("alert", text).where("alert is not null").withColumn("hour", F.date_trunc("hour", "ts"))
     return alerts.withColumn("nth", F.row_number().over(Window.partitionBy("name", "hour").orderBy("ts", "event_id"))).where("nth = 1").select("name", "hour", "ts", "alert")

@@ -117,7 +117,7 @@ def interval_report(df: DataFrame, mode: str = "week", *, os_column: str = "os",
     interval = {"day": F.to_date("timestamp"), "week": N.sunday_week(F.to_date("timestamp")), "month": N.month_start(F.to_date("timestamp"))}[mode]
     dow = F.dayofweek("timestamp") - 1 if mode == "week" else F.lit(0)
     keys = ["country", "channel", "os"]
-    rows = df.where("client_id is not null").withColumn("os", F.col(os_column)).withColumn("interval", interval).withColumn("bit", F.expr("1").cast("int") * F.pow(F.lit(2), dow).cast("int"))
+    rows = df.where("client_id is not null").withColumn("os", F.col(os_column)).withColumn("interval", interval).withColumn("bit", F.pow(F.lit(2), dow).cast("int"))
     spans = rows.select("interval").distinct()
     last = rows.agg(F.max("interval").alias("last"))
     spans = spans.join(F.broadcast(last)).where(F.lit(finalize) | (F.col("interval") < F.col("last"))).select("interval")  # one row is broadcast
