@@ -105,43 +105,48 @@ def cube_all(report: DataFrame, today: date) -> DataFrame:
     return cubed.select(*[F.when(F.col(f"_{d}") == 1, "all").otherwise(F.col(d)).alias(d) for d in DIMS], "date", *MEASURES)
 
 
-def interval_report(df: DataFrame, mode: str = "week", *, os_column: str = "os", finalize: bool = False, most_intervals: int = 52) -> DataFrame:
+def interval_report(df: DataFrame, mode: str = "week", *, os_column: str = "os", finalize: bool = False) -> DataFrame:
     """Per interval, over all clients ever seen: the report's measures by the clients' dimensions as of that interval.
 
     A client counts in the partition of its newest row so far. It is active where it has a row in the interval, else
     inactive, which only partitions with a row in the interval report. It is new in its first interval if
     its profile is not older than that interval; frequent with rows on five days of a week (days
     are told apart in weekly mode only). A missing crash count is one crash, a negative one none. The last interval is open and left out unless
-    finalize. Clients repeat over the intervals after their first, at most most_intervals of them.
+    finalize. Clients do not repeat over the intervals: each enters a partition once and leaves it once, and running sums
+    over a partition's intervals count who is there.
     """
     interval = {"day": F.to_date("timestamp"), "week": N.sunday_week(F.to_date("timestamp")), "month": N.month_start(F.to_date("timestamp"))}[mode]
     dow = F.dayofweek("timestamp") - 1 if mode == "week" else F.lit(0)
     keys = ["country", "channel", "os"]
     rows = df.where("client_id is not null").withColumn("os", F.col(os_column)).withColumn("interval", interval).withColumn("bit", F.pow(F.lit(2), dow).cast("int"))
-    spans = rows.select("interval").distinct()
     last = rows.agg(F.max("interval").alias("last"))
-    spans = spans.join(F.broadcast(last)).where(F.lit(finalize) | (F.col("interval") < F.col("last"))).select("interval")  # one row is broadcast
 
     order = F.struct("timestamp", "event_id")
     per = rows.groupBy("client_id", "interval").agg(
         F.max_by(F.struct(*keys, "default"), order).alias("r"), F.bit_or("bit").alias("mask"), F.min_by("profile_creation_timestamp", order).alias("profile")
     )
     ever = Window.partitionBy("client_id").orderBy("interval")
-    # Each client's rows hold until its next one: the interval it goes to is where the frame ends.
+    # Each client's rows hold until its next one: it enters its partition at the interval and leaves at `until`.
     held = per.select("*", F.lead("interval").over(ever).alias("until"), F.row_number().over(ever).alias("nth"))
-    spine = held.join(F.broadcast(spans.orderBy(F.desc("interval")).limit(most_intervals).withColumnRenamed("interval", "at")), (F.col("at") >= F.col("interval")) & (F.col("until").isNull() | (F.col("at") < F.col("until"))))
-    active = F.col("at") == F.col("interval")
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    clients = spine.groupBy("at", *[F.col(f"r.{k}").alias(k) for k in keys]).agg(
-        count(active).alias("actives"),
-        count(~active).alias("inactives"),
-        count(active & (F.col("nth") == 1) & (F.col("profile") >= F.col("at").cast("timestamp"))).alias("new_records"),
-        count(active & (F.bit_count("mask") >= 5)).alias("five_of_seven"),
-        count(active & F.col("r.default")).alias("default"),
+    count = lambda c, name: F.when(c, 1).otherwise(0).cast("long").alias(name)
+    enters = F.struct(
+        F.col("interval").alias("at"),
+        F.lit(1).cast("long").alias("held"),
+        F.lit(1).cast("long").alias("actives"),
+        count((F.col("nth") == 1) & (F.col("profile") >= F.col("interval").cast("timestamp")), "new_records"),
+        count(F.bit_count("mask") >= 5, "five_of_seven"),
+        count(F.col("r.default"), "default"),
     )
+    none = F.lit(0).cast("long")
+    leaves = F.struct(F.col("until").alias("at"), F.lit(-1).cast("long").alias("held"), *[none.alias(c) for c in ("actives", "new_records", "five_of_seven", "default")])
+    changes = held.select(*[F.col(f"r.{k}").alias(k) for k in keys], F.explode(F.array(enters, leaves)).alias("c")).select(*keys, "c.*").where("at is not null")
     crash = F.when(F.col("doc_type") == "crash", F.greatest(F.coalesce(F.col("crash_count"), F.lit(1)), F.lit(0)) if "crash_count" in df.columns else F.lit(1)).otherwise(0)
-    sums = rows.groupBy(F.col("interval").alias("at"), *keys).agg(F.sum("hours").alias("hours"), F.sum(crash).alias("crashes"), *[F.sum(e).alias(e) for e in ENGINES])
-    both = sums.join(clients, ["at", *keys], "left").join(F.broadcast(spans.withColumnRenamed("interval", "at")), "at", "left_semi")
+    sums = rows.groupBy(F.col("interval").alias("at"), *keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("hours").alias("hours"), F.sum(crash).alias("crashes"), *[F.sum(e).alias(e) for e in ENGINES])
+    parts = sums.unionByName(changes, allowMissingColumns=True)
+    merged = parts.groupBy("at", *keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in ("at", *keys)])
+    so_far = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    both = merged.withColumn("total", F.coalesce(F.sum("held").over(so_far), F.lit(0))).where("rows > 0")
+    both = both.join(F.broadcast(last)).where(F.lit(finalize) | (F.col("at") < F.col("last")))  # one row is broadcast
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    out = both.select(F.col("country").alias("geo"), "channel", "os", F.col("at").alias("date"), zero("actives"), "hours", zero("inactives"), zero("new_records"), zero("five_of_seven"), (F.coalesce("actives", F.lit(0)) + F.coalesce("inactives", F.lit(0))).alias("total_records"), zero("crashes"), zero("default"), *[zero(e) for e in ENGINES])
-    return out
+    inactives = (F.col("total") - F.coalesce("actives", F.lit(0))).alias("inactives")
+    return both.select(F.col("country").alias("geo"), "channel", "os", F.col("at").alias("date"), zero("actives"), "hours", inactives, zero("new_records"), zero("five_of_seven"), F.col("total").alias("total_records"), zero("crashes"), zero("default"), *[zero(e) for e in ENGINES])

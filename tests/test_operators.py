@@ -72,6 +72,24 @@ def test_interval_report_counts_idle_clients(spark):
     assert got == {date(2024, 1, 7): (2, 0, 2, 2), date(2024, 1, 14): (1, 1, 0, 2)}
 
 
+def test_interval_report_counts_every_interval(spark):
+    """60 weeks and 420 days: none is beyond a limit, and the oldest ones count as the newest do."""
+    schema = "client_id string, timestamp timestamp, event_id long, country string, channel string, os string, default boolean, hours double, doc_type string, profile_creation_timestamp timestamp, google long, bing long, yahoo long, other long"
+    row = lambda c, geo, day: (c, datetime(2023, 1, 1, 5) + timedelta(day), day, geo, "release", "Mac", True, 1.0, "main", datetime(2023, 1, 1), 0, 0, 0, 0)
+    # One client a week (each day) in US; another is seen in US on day 0 and in DE from day 210 on; DE has a third one at the start.
+    rows = [row("a", "US", d) for d in range(420)] + [row("b", "US", 0), row("b", "DE", 210), row("c", "DE", 0), row("d", "DE", 350)]
+    df = spark.createDataFrame(rows, schema)
+    for mode, step in (("week", 7), ("day", 1)):
+        got = {(r.geo, r.date): (r.actives, r.inactives, r.new_records, r.five_of_seven, r.total_records) for r in reports.interval_report(df, mode, finalize=True).collect()}
+        assert len(got) == 420 // step + 3
+        frequent = int(mode == "week")
+        for k in range(420 // step):
+            expected = (2, 0, 2, frequent, 2) if k == 0 else (1, int(k * step < 210), 0, frequent, 1 + int(k * step < 210))
+            assert got["US", date(2023, 1, 1) + timedelta(k * step)] == expected
+        de = lambda day: got["DE", date(2023, 1, 1) + timedelta(day)]
+        assert [de(d) for d in (0, 210, 350)] == [(1, 0, 1, 0, 1), (1, 1, 0, 0, 2), (1, 2, 0, 0, 3)]
+
+
 def test_update_status(spark):
     rows = [(None, None, None), ([None], ["2024-01-20"], [9]), (["x.0"], ["2024-01-20"], [9]), (["40.0"], ["2024-01-20"], [9]), (["48.0"], ["2024-01-20"], [9]), (["45.0", "45.0", "44.0"], ["2024-01-20", "bad", "2024-01-19"], [7199, 5000, 9000]), (["45.0", "45.0"], ["2024-01-20", "2024-01-19"], [7199, 1]), (["45.0", "45.0"], ["2024-01-20", "2023-01-19"], [7199, 100])]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k long, version array<string>, subsession_start_date array<string>, subsession_length array<long>")
