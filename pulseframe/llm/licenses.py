@@ -18,10 +18,10 @@ BASE = {b"mit license": "mit", b"apache license": "apache", b"general public lic
 #: A word is a run of digits, a-z and what is not ASCII, after lower-casing A-Z.
 _WORDS = bytes(k + 32 if 65 <= k <= 90 else k if k >= 128 or 48 <= k <= 57 or 97 <= k <= 122 else 32 for k in range(256))
 
-# Label | keyword that any detection holds | name | identifier after an SPDX tag | address.
+# Label | keywords, one of which any detection of the name holds | name | identifier after an SPDX tag | address.
 # All are patterns over lower-case words with one space between them: "GPL-3.0" is "gpl 3 0".
 _FAMILIES = r"""
-mit | mit | (?:the )?(?:mit|expat) licen[sc]e | mit | opensource org licenses? mit
+mit | mit,expat | (?:the )?(?:mit|expat) licen[sc]e | mit | opensource org licenses? mit
 mit-0 | mit | mit no attribution(?: licen[sc]e)?|mit 0 licen[sc]e | mit 0 | opensource org licenses? mit 0
 apache-1.1 | apache | apache (?:software )?licen[sc]e (?:version |v ?)?1 1 | apache 1 1 | apache org licenses license 1 1
 apache-2.0 | apache | apache (?:software )?licen[sc]e (?:version |v ?)?2(?: 0)? | apache 2 0 | apache org licenses license 2 0
@@ -39,15 +39,15 @@ agpl | affero | (?:gnu )?affero general public licen[sc]e | agpl | gnu org licen
 gfdl-1.3 | documentation | gnu free documentation licen[sc]e (?:version |v ?)?1 3 | gfdl 1 3(?: only| or later)? | gnu org licenses fdl 1 3
 gfdl | documentation | (?:gnu )?free documentation licen[sc]e | gfdl | gnu org (?:licenses|copyleft) fdl
 bsd-1-clause | bsd | (?:bsd 1 clause|1 clause bsd)(?: licen[sc]e)? | bsd 1 clause | opensource org licenses? bsd 1 clause
-bsd-2-clause | bsd | (?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[sc]e)? | bsd 2 clause | opensource org licenses? bsd 2 clause
+bsd-2-clause | bsd,freebsd | (?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[sc]e)? | bsd 2 clause | opensource org licenses? bsd 2 clause
 bsd-3-clause | bsd | (?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: licen[sc]e)? | bsd 3 clause | opensource org licenses? bsd 3 clause
 bsd-4-clause | bsd | (?:bsd 4 clause|4 clause bsd|original bsd|old bsd)(?: licen[sc]e)? | bsd 4 clause | spdx org licenses bsd 4 clause
 0bsd | bsd | (?:bsd zero clause|zero clause bsd|bsd 0 clause)(?: licen[sc]e)? | 0bsd | opensource org licenses? 0bsd
 bsd | bsd | bsd(?: style| like)? licen[sc]e | bsd | opensource org licenses? bsd licen[sc]e
-mpl-1.0 | mpl | mpl (?:version |v ?)?1 0 | mpl 1 0 | -
-mpl-1.1 | mpl | mpl (?:version |v ?)?1 1 | mpl 1 1 | -
-mpl-2.0 | mpl | mpl (?:version |v ?)?2(?: 0)? | mpl 2 0 | -
-mpl | mpl | mpl licen[sc]e | mpl | -
+mpl-1.0 | mozilla,mpl | (?:mozilla public licen[sc]e|mpl) (?:version |v ?)?1 0 | mpl 1 0 | mozilla org mpl mpl 1 0
+mpl-1.1 | mozilla,mpl | (?:mozilla public licen[sc]e|mpl) (?:version |v ?)?1 1 | mpl 1 1 | mozilla org mpl (?:mpl )?1 1
+mpl-2.0 | mozilla,mpl | (?:mozilla public licen[sc]e|mpl) (?:version |v ?)?2(?: 0)? | mpl 2 0 | mozilla org mpl 2 0
+mpl | mozilla,mpl | mozilla public licen[sc]e|mpl licen[sc]e | mpl | mozilla org (?:en us )?mpl
 epl-1.0 | eclipse | eclipse public licen[sc]e (?:version |v ?)?1(?: 0)? | epl 1 0 | eclipse org legal epl v10
 epl-2.0 | eclipse | eclipse public licen[sc]e (?:version |v ?)?2(?: 0)? | epl 2 0 | eclipse org legal epl (?:2 0|v20)
 epl | eclipse | eclipse public licen[sc]e | epl | eclipse org legal epl
@@ -82,15 +82,15 @@ cc-by-nc-4.0 | nc | cc by nc 4 0 | cc by nc 4 0 | creativecommons org licenses b
 cc-by-nc-sa-4.0 | nc | cc by nc sa 4 0 | cc by nc sa 4 0 | creativecommons org licenses by nc sa 4 0
 cc-by-nc-nd-4.0 | nc | cc by nc nd 4 0 | cc by nc nd 4 0 | creativecommons org licenses by nc nd 4 0
 cc-by | creative | creative commons attribution(?: \d \d)?(?: international| unported| generic)? | cc by | creativecommons org licenses by
-cc-by-sa | sharealike | creative commons attribution share ?alike|creative commons sharealike | cc by sa | creativecommons org licenses by sa
-cc-by-nd | noderivatives | creative commons attribution no ?derivatives | cc by nd | creativecommons org licenses by nd
-cc-by-nc | noncommercial | creative commons attribution non ?commercial | cc by nc | creativecommons org licenses by nc
-cc-by-nc-sa | noncommercial | creative commons attribution non ?commercial share ?alike | cc by nc sa | creativecommons org licenses by nc sa
-cc-by-nc-nd | noncommercial | creative commons attribution non ?commercial no ?deriv(?:atives|s) | cc by nc nd | creativecommons org licenses by nc nd
+cc-by-sa | sharealike,alike | creative commons attribution share ?alike|creative commons sharealike | cc by sa | creativecommons org licenses by sa
+cc-by-nd | noderivatives,derivatives | creative commons attribution no ?derivatives | cc by nd | creativecommons org licenses by nd
+cc-by-nc | noncommercial,commercial | creative commons attribution non ?commercial | cc by nc | creativecommons org licenses by nc
+cc-by-nc-sa | noncommercial,commercial | creative commons attribution non ?commercial share ?alike | cc by nc sa | creativecommons org licenses by nc sa
+cc-by-nc-nd | noncommercial,commercial | creative commons attribution non ?commercial no ?deriv(?:atives|s) | cc by nc nd | creativecommons org licenses by nc nd
 artistic-1.0 | artistic | artistic licen[sc]e (?:version |v ?)?1 0 | artistic 1 0(?: perl| cl8)? | opensource org licenses? artistic license 1 0
 artistic-2.0 | artistic | artistic licen[sc]e (?:version |v ?)?2(?: 0)? | artistic 2 0 | opensource org licenses? artistic license 2 0
 artistic | artistic | artistic licen[sc]e | artistic | perlfoundation org artistic license
-psf-2.0 | python | python software foundation licen[sc]e|psf licen[sc]e | psf 2 0 | docs python org 3 license
+psf-2.0 | python,psf | python software foundation licen[sc]e|psf licen[sc]e | psf 2 0 | docs python org 3 license
 python-2.0 | python | python licen[sc]e(?: (?:version |v ?)?2(?: 0)?)? | python 2 0 | opensource org licenses? python 2 0
 php-3.01 | php | php licen[sc]e(?: (?:version |v ?)?3 0?1)? | php 3 01 | php net license 3 01
 ruby | ruby | ruby licen[sc]e | ruby | ruby lang org en about license
@@ -120,7 +120,7 @@ ngpl | nethack | nethack general public licen[sc]e | ngpl | opensource org licen
 qpl-1.0 | q | q public licen[sc]e | qpl 1 0 | opensource org licenses? qpl
 sleepycat | sleepycat | sleepycat licen[sc]e | sleepycat | opensource org licenses? sleepycat
 llama | llama | llama (?:\d )*community licen[sc]e | llama | ai meta com llama license
-openrail | openrail | (?:creativeml |bigscience )?open ?rail (?:m )?licen[sc]e | openrail | huggingface co spaces bigscience license
+openrail | openrail,rail | (?:creativeml |bigscience )?open ?rail (?:m )?licen[sc]e | openrail | huggingface co spaces bigscience license
 public-domain | domain | (?:released into|dedicated to|placed in|in) the public domain | public domain | creativecommons org publicdomain mark
 proprietary | reserved | all rights reserved | licenseref proprietary | -
 """
@@ -129,23 +129,25 @@ proprietary | reserved | all rights reserved | licenseref proprietary | -
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
     priority: int
     weight: float
+    order: int  # in the table
 
 
 def _rules() -> dict[bytes, list[Rule]]:
-    """The rules by their keyword, in the order of the table; four for a family."""
+    """The rules by each of their keywords, in the order of the table; four for a family."""
     out: dict[bytes, list[Rule]] = {}
     grant = r"(?:(?:re)?licen[sc]ed|released|distributed|available|published|provided|covered|governed|redistributed|made available) (?:[^ ]+ ){0,3}?(?:under|by|with) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
-    for line in _FAMILIES.strip().splitlines():
-        label, keyword, name, spdx, url = line.split(" | ")
+    for order, line in enumerate(_FAMILIES.strip().splitlines()):
+        label, keywords, name, spdx, url = line.split(" | ")
         tagged = rf"spdx licen[sc]e identifier (?:{spdx})"
-        for key, pattern, priority, weight in ((keyword, rf"{grant}(?:{name})", 3, 0.95), (keyword, rf"(?:{name})", 1, 0.8), ("spdx", tagged, 4, 1.0), (url.split()[0], url, 2, 0.9)):
+        for keys, pattern, priority, weight in ((keywords, rf"{grant}(?:{name})", 3, 0.95), (keywords, rf"(?:{name})", 1, 0.8), ("spdx", tagged, 4, 1.0), (url.split()[0], url, 2, 0.9)):
             if pattern != "-":
-                rule = Rule(label, key.encode(), re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), priority, weight)
-                out.setdefault(rule.keyword, []).append(rule)
+                rule = Rule(label, tuple(keys.encode().split(b",")), re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), priority, weight, order)
+                for key in rule.keywords:
+                    out.setdefault(key, []).append(rule)
     return out
 
 
@@ -160,14 +162,15 @@ def normalised(text: str | None) -> bytes:
 
 
 def detections(words: list[bytes], line: bytes) -> list[tuple[int, int, Rule]]:
-    """What the rules find, in order: (first byte, end, rule). A rule is tried only if its keyword is
+    """What the rules find, in order: (first byte, end, rule). A rule is tried once, if one of its keywords is
     there. A detection goes that lies within a longer one, or within an equal one of a higher
     priority or of an earlier rule."""
-    found = [(m.start(), m.end(), r) for k in sorted(KEYWORDS.intersection(words)) for r in RULES[k] for m in r.pattern.finditer(line)]
+    tried = {id(r): r for k in KEYWORDS.intersection(words) for r in RULES[k]}.values()
+    found = [(m.start(), m.end(), r) for r in tried for m in r.pattern.finditer(line)]
     kept: list[tuple[int, int, Rule]] = []
     reach = -1
     # By start, the longest first: what a detection is within has come before it and reaches as far.
-    for a, b, rule in sorted(found, key=lambda x: (x[0], -x[1], -x[2].priority)):
+    for a, b, rule in sorted(found, key=lambda x: (x[0], -x[1], -x[2].priority, x[2].order)):
         if b > reach:
             kept.append((a, b, rule))
             reach = b

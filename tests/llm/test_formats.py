@@ -1,6 +1,7 @@
 """HTML extraction, WARC, URL filters, license scans, SentencePiece and media columns against brute force or round trips."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -154,6 +155,62 @@ def test_contained_detections_go():
     assert sum(map(len, licenses.RULES.values())) > 300
 
 
+def strings(parsed):
+    """What a pattern matches, the last part varying first; a repeat is taken up to twice more than it must."""
+    parts = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            parts.append([chr(arg)])
+        elif kind == "IN":
+            parts.append([chr(a) if str(o) == "LITERAL" else "7" for o, a in arg if str(o) in ("LITERAL", "CATEGORY")])
+        elif kind == "NOT_LITERAL":
+            parts.append(["x"])
+        elif kind == "BRANCH":
+            parts.append([x for b in arg[1] for x in strings(b)])
+        elif kind == "SUBPATTERN":
+            parts.append(list(strings(arg[3])))
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            parts.append(["".join(x) for n in range(arg[0], min(arg[1], arg[0] + 2) + 1) for x in itertools.product(list(strings(arg[2])), repeat=n)])
+        else:
+            assert kind == "ASSERT", kind
+    return map("".join, itertools.product(*parts))
+
+
+def test_all_that_a_license_rule_matches_passes_the_gate():
+    for rule in {id(r): r for own in licenses.RULES.values() for r in own}.values():
+        tried = 0
+        for text in itertools.islice(strings(re._parser.parse(rule.pattern.pattern.decode())), 400):
+            line = f" {text} ".encode()
+            assert rule.pattern.search(line), (rule.label, text)
+            assert any(a == 1 and b == len(line) - 1 for a, b, _ in licenses.detections(line.split(), line)), (rule.label, text)
+            tried += 1
+        assert tried
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Expat License", "mit"),
+        ("FreeBSD license", "bsd-2-clause"),
+        ("PSF license", "psf-2.0"),
+        ("BigScience open rail license", "openrail"),
+        ("Creative Commons Attribution Share Alike", "cc-by-sa"),
+        ("Creative Commons Attribution No Derivatives", "cc-by-nd"),
+        ("Creative Commons Attribution-Non-Commercial", "cc-by-nc"),
+        ("Creative Commons Attribution-Non-Commercial-Share-Alike", "cc-by-nc-sa"),
+        ("Creative Commons Attribution-Non-Commercial-No-Derivs", "cc-by-nc-nd"),
+        ("Mozilla Public License", "mpl"),
+        ("Mozilla Public License, version 2.0", "mpl-2.0"),
+        ("https://www.mozilla.org/MPL/1.1", "mpl-1.1"),
+        ("https://www.mozilla.org/en-US/MPL/", "mpl"),
+        ("MPL 2.0", "mpl-2.0"),
+    ],
+)
+def test_names_without_the_short_keyword(text, labels):
+    assert licenses.scanned(text)[5] == labels
+
+
 def slow_segment(model, word):
     known = {p: (s, i) for p, (n, s, i) in ((k, model.automaton.get(k)) for k in model.automaton.keys())}
     best = [(0.0, [])] + [None] * len(word)
