@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pulseframe.llm import dedup, langid, packing, simhash
 from pulseframe.llm.common import table, written
 
-#: A document goes if its text has no letters, or if another language fits it better than the declared
-#: one by so much (of a cosine): that is when hardly any of it is in the declared one. Documents that quote another language stay.
-MARGIN = 0.5
+#: A document goes if its text has no letters, or if its cosine with the declared language is under this share of its best
+#: cosine. Both shrink alike on short texts. Documents that quote another language, or are half in it, stay.
+LEAST_SHARE = 0.5
+#: A best cosine below says nothing: it is three deviations of a cosine of random vectors of langid.DIM.
+FLOOR = 0.1
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -25,8 +27,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify(docs, known)
     place = F.array_position(names, F.col("lang"))
     own = F.when(place > 0, F.try_element_at("cosines", place.cast("int")))
-    contradicted = F.coalesce(F.col("score") - own > MARGIN, F.lit(False))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~contradicted).select(*COLUMNS)
+    contradicted = F.coalesce((F.col("score") >= FLOOR) & (own < LEAST_SHARE * F.col("score")), F.lit(False))
+    # Where no language is known at all, all texts are `und`.
+    letters = F.col("lang_pred") != langid.UNKNOWN if known else F.col("text").rlike(r"\p{L}")
+    return found.where(letters & ~contradicted).select(*COLUMNS)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

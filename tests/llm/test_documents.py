@@ -236,3 +236,39 @@ def test_language_stage_rejects_what_is_in_another_language(spark, sf_dir):
     german = docs.where("lang = 'de' and n_chars > 500").limit(3).selectExpr("doc_id + 100000 AS doc_id", "text", "'en' AS lang", "source", "n_chars")
     kept = c.language(spark, docs.unionByName(german), sf_dir).select("doc_id").collect()
     assert max(r.doc_id for r in kept) < 100_000 and len(kept) > 0.98 * docs.count()
+
+
+def test_language_stage_on_short_and_mixed_texts(spark):
+    """Texts of 3 to 30 words go under another language's name and stay under their own; mixed ones stay under either."""
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    by = defaultdict(list)
+    for r in docs.where("n_chars > 900").orderBy("doc_id").collect():
+        by[r.lang].append(r.text.split())
+    by = {k: x[:40] for k, x in by.items()}
+    rows, kinds = [], {}
+
+    def plant(kind, text, lang):
+        rows.append((100_000 + len(rows), text, lang, "", len(text)))
+        kinds[rows[-1][0]] = kind
+
+    for lang, texts in by.items():
+        for k, words in enumerate(texts):
+            for n in (3, 6, 9, 12, 20, 30):
+                text = " ".join(words[:n])
+                plant(("own", n > 9), text, lang)
+                for other in by.keys() - {lang}:
+                    plant(("wrong", n > 9), text, other)
+            other = sorted(by.keys() - {lang})[k % 3]
+            mixed = " ".join(words[:50] + by[other][k % len(by[other])][:50])
+            plant("mixed", mixed, lang)
+            plant("mixed", mixed, other)
+    planted = spark.createDataFrame(rows, docs.select(*c.COLUMNS).schema)
+    kept = Counter(kinds[r.doc_id] for r in c.language(spark, docs.select(*c.COLUMNS).unionByName(planted), sf).where("doc_id >= 100000").select("doc_id").collect())
+    share = {kind: kept[kind] / n for kind, n in Counter(kinds.values()).items()}
+    assert share["wrong", False] < 0.2 and share["wrong", True] < 0.05, share
+    assert share["own", False] > 0.98 and share["own", True] > 0.98 and share["mixed"] > 0.97, share
+    unnamed = planted.limit(9).selectExpr("doc_id", "if(doc_id = 100000, '12 .', text) AS text", "string(null) AS lang", "source", "n_chars")
+    assert c.language(spark, unnamed, sf).count() == 8
