@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh, small_batches, written
 
-#: A host needs so many pages for a template, a class so many tokens, and a class must be on such a share of the host's pages.
+#: A class needs so many pages and so many tokens, and a text of it without marks of a layout must be on such a share of the pages that have its element.
 LEAST_PAGES, LEAST_TOKENS, SHARE = 4, 3, 0.8
 #: Hosts' template tokens in all, up to which the templates are broadcast (8 bytes each).
 MOST_BROADCAST = 500_000
@@ -149,33 +149,36 @@ def parsed(html: str | None) -> Page:
 
 
 def tokens(html: str | None) -> Counter:
-    """(token, the token it stands in, whether it is a text) -> how often the page has it."""
+    """(token, the token it stands in, whether it is a text, whether it marks a layout) -> how often the page has it.
+
+    Elements and texts of regions that are never main text are marks."""
     page = parsed(html)
     out: Counter = Counter()
     for path, n in page.paths.items():
-        out[_digest(path), _digest(path.rpartition("/")[0]), False] += n
+        out[_digest(path), _digest(path.rpartition("/")[0]), False, True] += n
     for text, e in page.blocks:
-        out[_digest(f"{e.path}\0{text}"), _digest(e.path), True] += 1
+        out[_digest(f"{e.path}\0{text}"), _digest(e.path), True, e.out] += 1
     return out
 
 
-def main_text(html: str | None, template: set[int]) -> str:
+def main_text(html: str | None, template: set[int], common: set[int] = frozenset()) -> str:
     """The blocks of the article, a line each.
 
     The slots of the article (else of main, else of the whole page) that are in no region such as a menu or a form; in a header within
     the article only headings. Texts of the host's template go, unless they make up so much of
-    the page's text that they are copies of it.
+    the page's text that they are copies of it; then those common to most of the host go, under the same condition.
     """
     page = parsed(html)
     own = [(t, e) for t, e in page.blocks if not e.out and (not e.header or e.name in _HEADING)]
     for part in ([x for x in own if x[1].article], [x for x in page.blocks if x[1].article and x[1].name in _HEADING | {"p"}] if not own else [], [x for x in own if x[1].main], own):
         if part:
             break
-    kept = [t for t, e in part if _digest(f"{e.path}\0{t}") not in template]
     total = sum(len(t) for t, _ in part)
-    if total - sum(map(len, kept)) > MOST_TEMPLATE * total:
-        kept = [t for t, _ in part]
-    return "\n".join(kept)
+    for known in (template, common):
+        kept = [t for t, e in part if _digest(f"{e.path}\0{t}") not in known]
+        if total - sum(map(len, kept)) <= MOST_TEMPLATE * total:
+            return "\n".join(kept)
+    return "\n".join(t for t, _ in part)
 
 
 def _host(url: Column) -> Column:
@@ -183,36 +186,39 @@ def _host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """pages -> (host, texts): the digests of the texts in each host's template.
+    """pages -> (host, texts, common): the digests of the texts in each host's template, and of those on SHARE of its pages.
 
     A token's occurrence vector is how often each page of the host has it. Tokens with equal vectors form an
     equivalence class; the vector is compared by its sum over pages of a hash of page and count, which
     Spark sums before and after the shuffle, so that a host with a third of all pages is no task's work. Valid
-    classes have LEAST_TOKENS tokens, are on SHARE of at least LEAST_PAGES pages, and nest: the element that a
-    text stands in is on as many pages.
+    classes have LEAST_TOKENS tokens on at least LEAST_PAGES pages, whatever share of the host that is, so that each
+    layout or language of a host has its own. They nest: the element that a text stands in is on as many pages.
+    A text is the template's if its class also has marks of the layout (its elements, menus, footers), or if it is on
+    SHARE of the pages that have its element; what only repeats inside some articles is not.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for host, page, html in zip(batch["host"], batch["page"], batch["html"], strict=True):
-                rows += [(host, page, token, parent, text, n) for (token, parent, text), n in tokens(html).items()]
-                rows.append((host, page, 0, 0, False, 0))
-            frame = pd.DataFrame(rows, columns=["host", "page", "token", "parent", "text", "n"])
+                rows += [(host, page, token, parent, text, mark, n) for (token, parent, text, mark), n in tokens(html).items()]
+                rows.append((host, page, 0, 0, False, False, 0))
+            frame = pd.DataFrame(rows, columns=["host", "page", "token", "parent", "text", "mark", "n"])
             yield frame
 
     own = pages.select(_host(F.col(f"`{url_col}`")).alias("host"), F.xxhash64(F.coalesce(F.col(f"`{html_col}`"), F.lit(""))).alias("page"), F.col(f"`{html_col}`").alias("html"))
-    seen = own.where("host <> '' and html is not null").mapInPandas(read, "host string, page long, token long, parent long, text boolean, n long")
+    seen = own.where("host <> '' and html is not null").mapInPandas(read, "host string, page long, token long, parent long, text boolean, mark boolean, n long")
     hashed = F.xxhash64("page", "n").cast("decimal(38,0)")
-    counts = written(seen.groupBy("host", "token", "parent", "text").agg(F.sum(hashed).alias("vector"), F.count(F.lit(1)).alias("pages")).where(f"pages >= {LEAST_PAGES}"), "tokens")
-    sizes = counts.where("token = 0 and parent = 0").select("host", F.col("pages").alias("of"))
-    frequent = counts.where("token <> 0 or parent <> 0").join(sizes, "host").where((F.col("of") >= LEAST_PAGES) & (F.col("pages") >= SHARE * F.col("of")))
-    classes = frequent.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("tokens")).where(f"tokens >= {LEAST_TOKENS}")
-    valid = frequent.join(classes, ["host", "vector"])
-    outer = frequent.where("not text").select("host", F.col("token").alias("parent"))
-    nested = valid.where("text").join(outer, ["host", "parent"], "left_semi")
-    # A host's template has at most tokens of a page / SHARE texts.
-    return nested.groupBy("host").agg(F.collect_set("token").alias("texts"))
+    frequent = written(seen.groupBy("host", "token", "parent", "text", "mark").agg(F.sum(hashed).alias("vector"), F.count(F.lit(1)).alias("pages")).where(f"pages >= {LEAST_PAGES}"), "tokens")
+    sizes = frequent.where("token = 0 and parent = 0").select("host", F.col("pages").alias("of_host"))
+    frequent = frequent.where("token <> 0 or parent <> 0")
+    classes = frequent.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("tokens"), F.bool_or("mark").alias("marked")).where(f"tokens >= {LEAST_TOKENS}")
+    outer = frequent.where("not text").select("host", F.col("token").alias("parent"), F.col("pages").alias("of"))
+    nested = frequent.where("text").join(classes, ["host", "vector"]).join(outer, ["host", "parent"]).join(sizes, "host")
+    nested = nested.where(F.col("marked") & ~F.col("mark") | (F.col("pages") >= SHARE * F.col("of")))
+    # A layout's template has at most tokens of a page / SHARE texts, and a host has the layouts' together.
+    common = F.collect_set(F.when(F.col("pages") >= SHARE * F.col("of_host"), F.col("token")))
+    return nested.groupBy("host").agg(F.collect_set("token").alias("texts"), common.alias("common"))
 
 
 def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -224,15 +230,18 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -
     pages = small_batches(pages).drop("text", "n_chars")
     host, got = fresh(pages, "host_of"), fresh(pages, "got")
     found = written(templates(pages, url_col=url_col, html_col=html_col), "templates")
-    texts = fresh(pages, "texts")
-    found = found.select(F.col("host").alias(host), F.col("texts").alias(texts))
-    size = found.agg(F.coalesce(F.sum(F.size(texts) + 8), F.lit(0))).first()[0]
+    texts, common = fresh(pages, "texts"), fresh(pages, "common")
+    found = found.select(F.col("host").alias(host), F.col("texts").alias(texts), F.col("common").alias(common))
+    size = found.agg(F.coalesce(F.sum(F.size(texts) + F.size(common) + 8), F.lit(0))).first()[0]
     own = pages.withColumn(host, _host(F.col(f"`{url_col}`")))
     joined = own.join(F.broadcast(found) if size <= MOST_BROADCAST else found, host, "left")
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for html, templates in batches:
-            yield pd.Series([main_text(h, set() if t is None else set(np.asarray(t).tolist())) for h, t in zip(html, templates, strict=True)], dtype=object)
+    def digests(x: np.ndarray | None) -> set[int]:
+        return set() if x is None else set(np.asarray(x).tolist())
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for html, templates, commons in batches:
+            yield pd.Series([main_text(h, digests(t), digests(c)) for h, t, c in zip(html, templates, commons, strict=True)], dtype=object)
 
-    out = joined.withColumn(got, F.pandas_udf(run, "string")(F.col(f"`{html_col}`"), F.col(texts)))
+    out = joined.withColumn(got, F.pandas_udf(run, "string")(F.col(f"`{html_col}`"), F.col(texts), F.col(common)))
     return out.select(*[F.col(f"`{c}`") for c in pages.columns], F.col(got).alias("text"), F.char_length(got).cast("long").alias("n_chars"))

@@ -130,6 +130,30 @@ def test_url_filter_of_no_rows(spark):
     assert urls.filter_captures(captures.limit(0), none).count() == 0
 
 
+def test_html_of_two_layouts(spark):
+    """Two layouts, and two languages of one layout, on half of a host's pages each: the blocks of each go, what four articles quote stays."""
+    rng = random.Random(4)
+    own = lambda k: [" ".join(f"w{rng.randrange(900)}" for _ in range(60)) + f" {k}." for _ in range(3)]
+    blocks = lambda x: [f"{x} notice number {j} of the house." for j in range(3)]
+    rows, expected = [], {}
+    for host in ("layouts.example", "languages.example", "quotes.example"):
+        for k in range(20):
+            texts = own(k)
+            half = "left" if k % 2 else "right"
+            inner = "".join(f"<p>{t}</p>" for t in [*texts, *blocks(half)])
+            if host == "layouts.example":
+                html_ = f'<body><div class="{half}"><article>{inner}</article></div></body>'
+            elif host == "languages.example":
+                html_ = f"<body><nav><a>{half} home</a></nav><article>{inner}</article></body>"
+            else:
+                texts = texts + [f"Quoted line {j}." for j in range(3) if k < 4]
+                html_ = "<body><article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article></body>"
+            rows.append((len(rows), f"https://{host}/{k}", html_))
+            expected[rows[-1][0]] = "\n".join(texts)
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == expected
+
+
 def test_license_scan(spark, odd):
     texts = ["Released under the MIT License. mit-license; MIT license mit license", "GNU Lesser General Public License, version 2.1", "Apache License, Version 2.0", "submit license", "SPDX-License-Identifier: BSD-3-Clause", "general public general public license éMIT license"]
     docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
