@@ -8,7 +8,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -16,27 +15,46 @@ from pyspark.sql import functions as F
 
 from .common import fresh, small_batches, written
 
-#: A class needs so many pages and so many tokens, and a text of it without marks of a layout must be on such a share of the pages that have its element.
-LEAST_PAGES, LEAST_TOKENS, SHARE = 4, 3, 0.8
-#: Hosts' template tokens in all, up to which the templates are broadcast (8 bytes each).
+#: An equivalence class needs so many pages and so many tokens.
+LEAST_PAGES, LEAST_TOKENS = 4, 3
+#: A text of a class that frames nothing is the template's if it is on such a share of the pages that have its element.
+SHARE = 0.8
+#: The article is in the innermost container of the template that holds such a share of its pages' text.
+REGION = 0.95
+#: A class of texts that make up more of their pages' text are copies of an article; a slot of which links are more is a list of links.
+COPY, LINKS = 0.5, 0.5
+#: Templates' tokens in all, up to which the templates are broadcast (16 bytes each).
 MOST_BROADCAST = 500_000
-#: If template texts are a larger share of an article, they are its copies and not boilerplate.
-MOST_TEMPLATE = 0.3
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|math|title|select|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Beyond, hosts of more than 1/MOST_HOT of all pages are broadcast still (there are fewer than MOST_HOT), the others are joined.
+MOST_HOT = 1_000
+#: Elements nested deeper are not told from the one around them; their text is.
+DEPTH = 512
+
+# `=` may start a quoted value; other quotes are part of a name. No part gives back what it has taken, so a tag is read once.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is no text of the page, up to their end tag.
+_RAW = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in ("script", "style", "title", "textarea", "iframe", "noembed", "noframes")}
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _ENDS_P = _BLOCK - frozenset("body head html li td th tr tbody thead tfoot dd dt legend summary figcaption".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Regions that are never main text, by element, role and words of class or id.
-_OUT = frozenset("nav header footer aside form dialog button menu head datalist".split())
+#: Elements that can hold an article, and that are told apart by their places.
+_CONTAINERS = frozenset("html body main article section div center td table ul ol blockquote".split())
+#: An opening tag ends the element of one of these that is open, unless one of _HOLDS is open within.
+_SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+_HOLDS = frozenset("ul ol dl table menu div".split())
+#: Marks of regions that are never main text: elements, roles, and names of class or id all of whose words are known, one as a mark.
+_OUT = frozenset("nav header footer aside form dialog button menu datalist select template".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert warning newsletter subscribe subscription signup login sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar share sharing social related recommended widget popup modal overlay paywall comment comments commentlist disqus respond replies reply discussion toolbar pagination pager search skip form hidden".split()
+_MARKS = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices newsletter subscribe subscription signup login sidebar nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar share sharing social related recommended popup modal overlay paywall comment comments commentlist disqus respond replies reply discussion toolbar pagination pager menu search widget skip".split()
 )
+_NEUTRAL = frozenset("site page main top bottom left right box block list links link container wrapper wrap inner outer area section item items bar global primary secondary post posts article articles entry module region js thread form content text buttons button icons mobile desktop".split())
 _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_DIGITS = re.compile(r"\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -44,204 +62,432 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-@dataclass
+def _marked(name: str) -> bool:
+    """Whether a name of class or id says that its region is no main text: `cookie-notice` does, `form-of-government` does not."""
+    words = [w for w in _PARTS.split(_CAMEL.sub(" ", name).lower()) if w and not w.isdigit()]
+    return any(w in _MARKS for w in words) and all(w in _MARKS or w in _NEUTRAL for w in words)
+
+
 class Element:
-    name: str
-    path: str
-    out: bool  # within a region that is never main text
-    article: int  # the depth of articles around, or of main elements
-    main: int
-    header: bool  # within the header of an article
+    __slots__ = ("name", "role", "out", "article", "main", "header")
 
+    def __init__(self, name: str, role: int, out: bool, article: int, main: int, header: bool) -> None:
+        self.name, self.role = name, role  # the role is a digest of the path of names and classes
+        self.out = out  # within a region with marks
+        self.article, self.main = article, main  # the articles and main elements around
+        self.header = header  # within the header of an article
 
-@dataclass
-class Page:
-    """A page's blocks of text, and its tokens: opening tags by their path, and texts by path and words."""
 
-    blocks: list[tuple[str, Element]] = field(default_factory=list)
-    paths: Counter = field(default_factory=Counter)
+OPEN, CLOSE, TEXT = 0, 1, 2
+#: What happens in a page, in order: (kind, element, text, characters of the text in links).
+Event = tuple[int, Element, str, int]
 
 
-def _region(name: str, attributes: str, above: Element) -> tuple[str, bool]:
-    """The name that the element has in paths, and whether it starts a region that is never main text."""
-    if not attributes.strip():
+def _region(name: str, attributes: str) -> tuple[str, bool]:
+    """The name that the element has in paths, and whether it has marks."""
+    if not attributes or attributes.isspace() or attributes == "/":
         return name, name in _OUT
     named = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes)}
-    label = f"{named.get('class', '')} {named.get('id', '')}".strip()
-    words = set(_PARTS.split(_CAMEL.sub(" ", label).lower())) if label else set()
+    own = f"{named.get('class', '')} {named.get('id', '')}".split()
     out = name in _OUT or named.get("role", "").lower() in _ROLES or "hidden" in named or named.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(named.get("style", "")))
-    if name == "article":
-        out = out or bool(words & {"comment", "comments", "reply", "ad", "ads", "advert", "related"})
-    elif name not in ("main", "body", "html") and name not in _HEADING:
-        out = out or bool(words & _WORDS)
-    return f"{name}.{label}" if label and name in _BLOCK else name, out
-
-
-def parsed(html: str | None) -> Page:
-    """Blocks and tokens of a page, in one pass; end tags that nothing opened are skipped and missing ones implied."""
-    page = Page()
-    root = Element("", "", False, 0, 0, False)
-    stack = [root]
+    if name not in ("main", "body", "html") and name not in _HEADING:
+        out = out or any(map(_marked, own))
+    return f"{name}.{_DIGITS.sub('0', ' '.join(own))}" if own and name in _BLOCK and name not in ("html", "body") else name, out
+
+
+def events(html: str | None) -> list[Event]:
+    """The elements and blocks of text of a page, in one pass over it; end tags that nothing opened are skipped and missing ones implied."""
+    html = html or ""
+    out: list[Event] = []
+    stack = [Element("", 0, False, 0, 0, False)]
+    open_names: Counter[str] = Counter()
+    deeper: Counter[str] = Counter()  # elements beyond DEPTH
     run: list[str] = []
+    links = linked = 0
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join("".join(run).split())
         run.clear()
         if text:
-            page.blocks.append((text, stack[-1]))
+            out.append((TEXT, stack[-1], text, min(linked, len(text))))
+        linked = 0
 
-    def close(name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name == name:
-                del stack[k:]
-                return
+    def pop() -> None:
+        e = stack.pop()
+        open_names[e.name] -= 1
+        out.append((CLOSE, e, "", 0))
 
-    html = html or ""
-    at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            run.append(unescape(html[at : m.start()]))
+    def close(name: str) -> None:
+        if deeper[name]:
+            deeper[name] -= 1
+        elif open_names[name] > 0:
+            while stack[-1].name != name:
+                pop()
+            pop()
+
+    def push(name: str, label: str, marked: bool) -> None:
+        up = stack[-1]
+        if len(stack) > DEPTH:
+            deeper[name] += 1
+            return
+        header = up.header or ("header" in label and up.article + up.main > 0)
+        if "header" in label and header:
+            marked = False
+        stack.append(Element(name, _digest(f"{up.role}/{label}"), up.out or marked, up.article + (name == "article"), up.main + (name == "main"), header))
+        open_names[name] += 1
+        out.append((OPEN, stack[-1], "", 0))
+
+    def words(text: str) -> None:
+        nonlocal linked
+        run.append(unescape(text))
+        if links:
+            linked += len(text)
+
+    at, tag, unclosed, end_of, last = 0, _TAG, set(), len(html), html.rfind(">")
+    while (lt := html.find("<", at)) >= 0:
+        follows = html[lt + 1 : lt + 2]
+        if follows in ("!", "?"):
+            words(html[at:lt])
+            stop = html.find("-->", lt + 4) + 2 if html.startswith("<!--", lt) else html.find(">", lt)
+            at = stop + 1 if stop > lt else end_of
+            continue
+        m = tag.match(html, lt)
+        if m is None and tag is _TAG and (follows.isalpha() or follows == "/"):
+            tag = _PLAIN  # a quote that is never closed: from here on quotes do not count, so that no tag is tried twice
+            m = tag.match(html, lt)
+        if m is None:
+            if follows.isascii() and follows.isalpha() and last < lt:
+                words(html[at:lt])  # an unfinished tag at the end
+                at = end_of
+                break
+            if follows == "/" and last > lt:
+                words(html[at:lt])  # an end tag without a name
+                at = html.find(">", lt) + 1
+                continue
+            words(html[at : lt + 1])  # a sign, no tag
+            at = lt + 1
+            continue
+        words(html[at:lt])
         at = m.end()
-        if m[3] is None:
-            continue  # a comment, a declaration, or an element whose content is no text
-        name = m[3].lower()
+        end, name, attributes = m[1], m[2].lower(), m[3]
+        if name in _RAW:
+            if not end and not attributes.endswith("/") and name not in unclosed:
+                if found := _RAW[name].search(html, at):
+                    stop = html.find(">", found.start())
+                    at = stop + 1 if stop >= 0 else end_of
+                elif name in ("script", "style"):
+                    at = end_of
+                else:
+                    unclosed.add(name)
+            continue
         if name == "br":
             run.append(" ")
             continue
-        end = m[2] == "/"
+        if name == "a":
+            links = 0 if end else 1
         if name not in _BLOCK:
-            _, out = _region(name, m[4], stack[-1]) if not end and name not in _VOID and (m[4] or name in _OUT) else (name, False)
-            if out:
+            if end:
+                if open_names[name] > 0 or deeper[name]:
+                    flush()
+                    close(name)
+            elif name not in _VOID and (attributes or name in _OUT) and _region(name, attributes)[1] and not attributes.endswith("/"):
                 flush()
-                up = stack[-1]
-                stack.append(Element(name, f"{up.path}/{name}", True, up.article, up.main, up.header))
-            elif end and any(e.name == name for e in stack[1:]):
-                flush()
-                close(name)
+                push(name, name, True)
             continue
         flush()
+        links = 0
         if end:
             close(name)
             continue
         if name in _ENDS_P and stack[-1].name == "p":
-            stack.pop()
-        if name in ("li", "dd", "dt", "tr", "td", "th"):
-            same = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}[name]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in same:
-                    del stack[k:]
-                    break
-                if stack[k].name in ("ul", "ol", "dl", "table", "menu", "div"):
-                    break
-        if name == "hr":
-            continue
-        up = stack[-1]
-        label, out = _region(name, m[4], up)
-        header = up.header or (name == "header" and up.article + up.main > 0)
-        if name == "header" and header and not up.out:
-            out = False
-        stack.append(Element(name, f"{up.path}/{label}", up.out or out, up.article + (name == "article"), up.main + (name == "main"), header))
-        page.paths[stack[-1].path] += 1
-    if at < len(html):
-        run.append(unescape(html[at:]) if not html[at:].startswith("<") else "")
+            pop()
+        same = _SAME.get(name, ())
+        if any(open_names[s] > 0 for s in same):
+            k = len(stack) - 1
+            while k > 0 and stack[k].name not in same and stack[k].name not in _HOLDS:
+                k -= 1
+            if k > 0 and stack[k].name in same:
+                while len(stack) > k:
+                    pop()
+        if name != "hr":
+            push(name, *_region(name, attributes))
+    words(html[at:])
     flush()
-    return page
+    while len(stack) > 1:
+        pop()
+    return out
 
 
 def tokens(html: str | None) -> Counter:
-    """(token, the token it stands in, whether it is a text, whether it marks a layout) -> how often the page has it.
+    """(token, the element it stands in, whether it is a text, whether it frames articles) -> how often the page has it.
 
-    Elements and texts of regions that are never main text are marks."""
-    page = parsed(html)
+    A token is an element by its role, or a block of text by its words and its element's role. Elements frame, and texts in regions with marks."""
     out: Counter = Counter()
-    for path, n in page.paths.items():
-        out[_digest(path), _digest(path.rpartition("/")[0]), False, True] += n
-    for text, e in page.blocks:
-        out[_digest(f"{e.path}\0{text}"), _digest(e.path), True, e.out] += 1
+    above = [0]
+    for kind, e, text, _ in events(html):
+        if kind == OPEN:
+            out[e.role, above[-1], False, True] += 1
+            above.append(e.role)
+        elif kind == CLOSE:
+            above.pop()
+        else:
+            out[_digest(f"{e.role}\0{text}"), e.role, True, e.out] += 1
     return out
 
 
-def main_text(html: str | None, template: set[int], common: set[int] = frozenset()) -> str:
+@dataclass
+class Template:
+    """A host's template. tokens: token -> the number of its class, of tokens that a page has once; repeated: elements that each page has
+    equally often, which are told apart by their places; texts: those tokens that are fixed texts; regions: elements that hold
+    most of their pages' text; lists: the tokens after which a slot holds mostly links."""
+
+    tokens: dict[int, int] = field(default_factory=dict)
+    repeated: set[int] = field(default_factory=set)
+    texts: set[int] = field(default_factory=set)
+    regions: set[int] = field(default_factory=set)
+    lists: set[int] = field(default_factory=set)
+
+
+@dataclass
+class Block:
+    text: str
+    linked: int
+    element: Element
+    slot: int  # the last token of the template before it, which names the slot
+    token: int  # its own token, if that is one of the template's
+    at: int  # its place among the events
+
+
+@dataclass
+class Page:
+    """A page held against a template."""
+
+    blocks: list[Block] = field(default_factory=list)
+    within: list[tuple[int, int, int, int]] = field(default_factory=list)  # (token, first and last event, characters) of the template's containers
+    articles: list[tuple[int, int]] = field(default_factory=list)  # first and last event of the articles, inner ones first
+    order: dict[int, int] = field(default_factory=dict)  # class -> a digest of the order of its tokens and of what is around them
+
+
+def matched(html: str | None, template: Template) -> Page:
+    """Deals the blocks of a page to the slots between the template's tokens. Texts in regions with marks or in links do not count as characters."""
+    page, slot, chars, places = Page(), 0, 0, Counter()
+    around: list[tuple[int, int, int, int]] = []  # (token or 0, the token of the template around, first event, characters before)
+    inner = 0
+    for at, (kind, e, text, linked) in enumerate(events(html)):
+        if kind == OPEN:
+            token = e.role if e.role in template.tokens else 0
+            if e.role in template.repeated and e.name in _CONTAINERS:
+                places[e.role] += 1
+                token = _digest(f"{e.role} {places[e.role]}")
+            around.append((token, inner, at, chars))
+            if token:
+                if (c := template.tokens.get(token)) is not None:
+                    page.order[c] = _digest(f"{page.order.get(c, 0)} {inner} {token}")
+                slot = inner = token
+        elif kind == CLOSE:
+            token, outer, first, before = around.pop()
+            if token:
+                slot, inner = _digest(f"{token} end"), outer
+                if e.name in _CONTAINERS:
+                    page.within.append((token, first, at, chars - before))
+            if e.name == "article" and not e.out:
+                page.articles.append((first, at))
+        else:
+            token = _digest(f"{e.role}\0{text}")
+            if (c := template.tokens.get(token)) is not None:
+                page.order[c] = _digest(f"{page.order.get(c, 0)} {inner} {token}")
+                page.blocks.append(Block(text, linked, e, slot, token, at))
+                slot = token
+            else:
+                page.blocks.append(Block(text, linked, e, slot, 0, at))
+            if not e.out:
+                chars += len(text) - linked
+    return page
+
+
+def main_text(html: str | None, template: Template) -> str:
     """The blocks of the article, a line each.
 
-    The slots of the article (else of main, else of the whole page) that are in no region such as a menu or a form; in a header within
-    the article only headings. Texts of the host's template go, unless they make up so much of
-    the page's text that they are copies of it; then those common to most of the host go, under the same condition.
+    The article is in the innermost container of the template that holds the text, or in the whole page where the template names none.
+    The template's own texts go, and so do slots that hold lists of links and regions with marks, but for headings in an
+    article's header. An article element around the container, or else those within, then main elements, are the text. A title that stands
+    before the container belongs to it.
     """
-    page = parsed(html)
-    own = [(t, e) for t, e in page.blocks if not e.out and (not e.header or e.name in _HEADING)]
-    for part in ([x for x in own if x[1].article], [x for x in page.blocks if x[1].article and x[1].name in _HEADING | {"p"}] if not own else [], [x for x in own if x[1].main], own):
+    page = matched(html, template)
+    own = [b for b in page.blocks if not b.element.out and (not b.element.header or b.element.name in _HEADING)]
+    kept = [b for b in own if b.token not in template.texts and (b.slot not in template.lists or b.element.name in _HEADING)]
+    holders = [w for w in page.within if w[0] in template.regions]
+    if holders:
+        _, first, last, _ = max(holders, key=lambda w: w[1])
+        first, last = next(((a, z) for a, z in page.articles if a <= first and last <= z), (first, last))
+        inside = [b for b in kept if first < b.at < last]
+        if inside:
+            title = [] if any(b.element.name == "h1" for b in inside) else [b for b in kept if b.at < first and b.element.name == "h1"]
+            kept = title + inside
+    for part in ([b for b in kept if b.element.article], [b for b in kept if b.element.main]):
         if part:
-            break
-    total = sum(len(t) for t, _ in part)
-    for known in (template, common):
-        kept = [t for t, e in part if _digest(f"{e.path}\0{t}") not in known]
-        if total - sum(map(len, kept)) <= MOST_TEMPLATE * total:
-            return "\n".join(kept)
-    return "\n".join(t for t, _ in part)
+            return "\n".join(b.text for b in part)
+    return "\n".join(b.text for b in kept)
 
 
 def _host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """pages -> (host, texts, common): the digests of the texts in each host's template, and of those on SHARE of its pages.
-
-    A token's occurrence vector is how often each page of the host has it. Tokens with equal vectors form an
-    equivalence class; the vector is compared by its sum over pages of a hash of page and count, which
-    Spark sums before and after the shuffle, so that a host with a third of all pages is no task's work. Valid
-    classes have LEAST_TOKENS tokens on at least LEAST_PAGES pages, whatever share of the host that is, so that each
-    layout or language of a host has its own. They nest: the element that a text stands in is on as many pages.
-    A text is the template's if its class also has marks of the layout (its elements, menus, footers), or if it is on
-    SHARE of the pages that have its element; what only repeats inside some articles is not.
+_ARRAYS = ("tokens", "classes", "repeated", "texts", "regions", "lists")
+
+
+def _template(row: dict) -> Template:
+    """A template of a row's arrays; nulls are empty."""
+    have = {k: [] if row.get(k) is None else [int(x) for x in row[k]] for k in _ARRAYS}
+    return Template(dict(zip(have["tokens"], have["classes"], strict=True)), *[set(have[k]) for k in _ARRAYS[2:]])
+
+
+def _with_templates(pages: DataFrame, found: DataFrame, host: str, names: dict[str, str]) -> DataFrame:
+    """pages with the arrays of their host's template; `_ARRAYS` that found lacks are not there.
+
+    found has a row for each host of LEAST_PAGES pages. Small templates are broadcast. Otherwise those of hosts with a large part of all
+    pages are (fewer than MOST_HOT of them), and only pages of other hosts are shuffled by their host, of which none is large.
+    """
+    own = found.select(F.col("host").alias(host), "n", *[F.col(k).alias(v) for k, v in names.items()])
+    size, every = own.agg(F.sum(sum((F.size(v) for v in names.values()), F.lit(8))), F.sum("n")).first()
+    if (size or 0) <= MOST_BROADCAST:
+        return pages.join(F.broadcast(own.drop("n")), host, "left")
+    large = F.col("n") > every / MOST_HOT
+    hot, rest = own.where(large).drop("n"), own.where(~large).drop("n")
+    least = pages.where(F.col(host) == "")
+    others = pages.where(F.col(host) != "").join(F.broadcast(hot.select(host)), host, "left_anti").join(rest, host, "left")
+    return pages.join(F.broadcast(hot), host).unionByName(others).unionByName(least, allowMissingColumns=True)
+
+
+def _keyed(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    own = pages.select(_host(F.col(f"`{url_col}`")).alias("host"), F.xxhash64(F.coalesce(F.col(f"`{html_col}`"), F.lit(""))).alias("page"), F.col(f"`{html_col}`").alias("html"))
+    return own.where("host <> '' and html is not null")
+
+
+def classes(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """pages -> (host, n, tokens, classes, repeated): for each host of LEAST_PAGES pages the tokens of its valid equivalence classes.
+
+    A token's occurrence vector is how often each page of the host has it. Tokens with equal vectors form a class; the vector is compared
+    by its sum over pages of a hash of page and count, which Spark sums before and after the shuffle, so that a host with a third
+    of all pages is no task's work. A class is valid with LEAST_TOKENS tokens on LEAST_PAGES pages, whatever share of the host
+    that is, so each layout of a host has its own. Tokens that a page has once are the template's; of elements that
+    each page has equally often the first, second and so on are. Classes that frame nothing are what articles quote; their texts
+    are the template's only if they are on SHARE of the pages that have their element.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for host, page, html in zip(batch["host"], batch["page"], batch["html"], strict=True):
-                rows += [(host, page, token, parent, text, mark, n) for (token, parent, text, mark), n in tokens(html).items()]
+                rows += [(host, page, *key, n) for key, n in tokens(html).items()]
                 rows.append((host, page, 0, 0, False, False, 0))
-            frame = pd.DataFrame(rows, columns=["host", "page", "token", "parent", "text", "mark", "n"])
-            yield frame
+            yield pd.DataFrame(rows, columns=["host", "page", "token", "parent", "text", "frame", "n"])
 
-    own = pages.select(_host(F.col(f"`{url_col}`")).alias("host"), F.xxhash64(F.coalesce(F.col(f"`{html_col}`"), F.lit(""))).alias("page"), F.col(f"`{html_col}`").alias("html"))
-    seen = own.where("host <> '' and html is not null").mapInPandas(read, "host string, page long, token long, parent long, text boolean, mark boolean, n long")
+    seen = _keyed(pages, url_col, html_col).mapInPandas(read, "host string, page long, token long, parent long, text boolean, frame boolean, n long")
     hashed = F.xxhash64("page", "n").cast("decimal(38,0)")
-    frequent = written(seen.groupBy("host", "token", "parent", "text", "mark").agg(F.sum(hashed).alias("vector"), F.count(F.lit(1)).alias("pages")).where(f"pages >= {LEAST_PAGES}"), "tokens")
-    sizes = frequent.where("token = 0 and parent = 0").select("host", F.col("pages").alias("of_host"))
+    counted = seen.groupBy("host", "token", "parent", "text", "frame").agg(F.sum(hashed).alias("vector"), F.count(F.lit(1)).alias("pages"), F.min("n").alias("least"), F.max("n").alias("most"))
+    frequent = written(counted.where(f"pages >= {LEAST_PAGES}"), "tokens")
+    hosts = frequent.where("token = 0 and parent = 0").select("host", F.col("pages").alias("n"))
     frequent = frequent.where("token <> 0 or parent <> 0")
-    classes = frequent.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("tokens"), F.bool_or("mark").alias("marked")).where(f"tokens >= {LEAST_TOKENS}")
-    outer = frequent.where("not text").select("host", F.col("token").alias("parent"), F.col("pages").alias("of"))
-    nested = frequent.where("text").join(classes, ["host", "vector"]).join(outer, ["host", "parent"]).join(sizes, "host")
-    nested = nested.where(F.col("marked") & ~F.col("mark") | (F.col("pages") >= SHARE * F.col("of")))
-    # A layout's template has at most tokens of a page / SHARE texts, and a host has the layouts' together.
-    common = F.collect_set(F.when(F.col("pages") >= SHARE * F.col("of_host"), F.col("token")))
-    return nested.groupBy("host").agg(F.collect_set("token").alias("texts"), common.alias("common"))
+    valid = frequent.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size"), F.bool_or("frame").alias("framed")).where(f"size >= {LEAST_TOKENS}")
+    outer = frequent.where("not text").groupBy("host", F.col("token").alias("parent")).agg(F.max("pages").alias("of"))
+    own = frequent.where("least = most").join(valid, ["host", "vector"]).join(outer, ["host", "parent"], "left")
+    own = own.where(~F.col("text") | (F.col("least") == 1) & (F.col("framed") | (F.col("pages") >= SHARE * F.col("of"))))
+    once = F.col("least") == 1
+    # One struct for both arrays, so that tokens and classes stay side by side.
+    pair = F.collect_list(F.when(once, F.struct("token", F.xxhash64("vector").alias("class"))))
+    made = own.groupBy("host").agg(pair.alias("pair"), F.collect_set(F.when(~once, F.col("token"))).alias("repeated"))
+    return hosts.join(made, "host", "left").select("host", "n", F.col("pair.token").alias("tokens"), F.col("pair.class").alias("classes"), "repeated")
+
+
+def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """pages -> (host, n, tokens, classes, repeated, texts, regions, lists): each host's template, see Template.
+
+    The pages are held against the classes. Classes whose tokens are not in the same order and nested in the same elements on all their
+    pages go. For the others Spark sums over the host's pages how much of the text is in each element, in each slot and
+    in each class of texts, which says where the article is. A class of texts that are most of their pages is not
+    what frames articles, but an article of which there are copies.
+    """
+    found = written(classes(pages, url_col=url_col, html_col=html_col), "classes")
+    names = {k: k for k in ("tokens", "classes", "repeated")}
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums: dict[tuple[str, str, int], list[int]] = {}
+            known: dict[str, Template] = {}
+
+            def add(host: str, kind: str, key: int, a: int, b: int, sums: dict = sums) -> None:
+                have = sums.setdefault((host, kind, key), [0, 0])
+                have[0] += a
+                have[1] += b
+
+            orders: dict[tuple[str, int], list[int]] = {}
+            for row in batch.to_dict("records"):
+                host = row["host"]
+                if host not in known:
+                    known[host] = _template(row)
+                template = known[host]
+                page = matched(row["html"], template)
+                counted = [b for b in page.blocks if not b.element.out]
+                total = sum(len(b.text) - b.linked for b in counted)
+                for token, _, _, chars in page.within:
+                    add(host, "region", token, chars, total)
+                fixed: Counter = Counter()
+                for b in counted:
+                    add(host, "slot", b.slot, len(b.text) - b.linked, b.linked)
+                    if b.token:
+                        fixed[template.tokens[b.token]] += len(b.text) - b.linked
+                for c, chars in fixed.items():
+                    add(host, "class", c, chars, total)
+                for c, order in page.order.items():
+                    have = orders.setdefault((host, c), [order, order])
+                    have[:] = min(have[0], order), max(have[1], order)
+            rows = [(h, k, key, a, b, None, None) for (h, k, key), (a, b) in sums.items()] + [(h, "order", key, 0, 0, a, b) for (h, key), (a, b) in orders.items()]
+            frame = pd.DataFrame(rows, columns=["host", "kind", "key", "a", "b", "low", "high"])
+            yield frame.astype({"key": "int64", "a": "int64", "b": "int64"}).assign(low=pd.array(frame["low"].tolist(), dtype="Int64"), high=pd.array(frame["high"].tolist(), dtype="Int64"))
+
+    own = _with_templates(_keyed(pages, url_col, html_col), found, "host", names)
+    seen = own.where("tokens is not null").mapInPandas(read, "host string, kind string, key long, a long, b long, low long, high long")
+    summed = seen.groupBy("host", "kind", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("low").alias("low"), F.max("high").alias("high"))
+    keys = lambda kind, test: F.collect_set(F.when((F.col("kind") == kind) & test, F.col("key")))
+    a, b = F.col("a"), F.col("b")
+    judged = summed.groupBy("host").agg(
+        keys("region", (b > 0) & (a >= REGION * b)).alias("regions"), keys("slot", b > LINKS * (a + b)).alias("lists"), keys("class", a > COPY * b).alias("copies"), keys("order", F.col("low") != F.col("high")).alias("unordered")
+    )
+    # What is not in order is no token; what is a copy is one, but its texts stay.
+    at = F.arrays_zip("tokens", "classes")
+    ordered = F.filter(at, lambda x: ~F.array_contains("unordered", x["classes"]))
+    fixed = F.filter(ordered, lambda x: ~F.array_contains("copies", x["classes"]))
+    none = F.array().cast("array<long>")
+    joined = found.join(judged, "host", "left").withColumns({k: F.coalesce(F.col(k), none) for k in ("tokens", "classes", "repeated", "regions", "lists", "copies", "unordered")})
+    parts = joined.select("host", "n", ordered.alias("ordered"), "repeated", fixed.alias("fixed"), "regions", "lists")
+    return parts.select("host", "n", F.col("ordered.tokens").alias("tokens"), F.col("ordered.classes").alias("classes"), "repeated", F.col("fixed.tokens").alias("texts"), "regions", "lists")
 
 
 def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Adds text and n_chars (code points) to every row; columns of pages with these names are replaced.
 
-    Pages of hosts without a template (few pages, no URL) are read by their elements alone. Null and empty html give an empty text;
-    repeated rows give equal texts.
+    Pages of hosts without a template (few pages, no URL) are read by their elements alone. Null and empty html give an empty text; a page
+    without tags is its text; repeated rows give equal texts; an empty table gives no rows. Pages of any length and nesting are read in one
+    pass: elements deeper than DEPTH count as the one around them, tags that are never closed end with the page.
     """
     pages = small_batches(pages).drop("text", "n_chars")
     host, got = fresh(pages, "host_of"), fresh(pages, "got")
     found = written(templates(pages, url_col=url_col, html_col=html_col), "templates")
-    texts, common = fresh(pages, "texts"), fresh(pages, "common")
-    found = found.select(F.col("host").alias(host), F.col("texts").alias(texts), F.col("common").alias(common))
-    size = found.agg(F.coalesce(F.sum(F.size(texts) + F.size(common) + 8), F.lit(0))).first()[0]
-    own = pages.withColumn(host, _host(F.col(f"`{url_col}`")))
-    joined = own.join(F.broadcast(found) if size <= MOST_BROADCAST else found, host, "left")
-
-    def digests(x: np.ndarray | None) -> set[int]:
-        return set() if x is None else set(np.asarray(x).tolist())
-
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for html, templates, commons in batches:
-            yield pd.Series([main_text(h, digests(t), digests(c)) for h, t, c in zip(html, templates, commons, strict=True)], dtype=object)
-
-    out = joined.withColumn(got, F.pandas_udf(run, "string")(F.col(f"`{html_col}`"), F.col(texts), F.col(common)))
+    names = {k: fresh(pages, f"{k}_of") for k in _ARRAYS}
+    joined = _with_templates(pages.withColumn(host, _host(F.col(f"`{url_col}`"))), found, host, names)
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for html, hosts, *arrays in batches:
+            known: dict[str, Template] = {}
+            out = []
+            for h, name, *values in zip(html, hosts, *arrays, strict=True):
+                if name not in known:
+                    known[name] = _template(dict(zip(_ARRAYS, values, strict=True)))
+                out.append(main_text(h, known[name]))
+            yield pd.Series(out, dtype=object)
+
+    out = joined.withColumn(got, F.pandas_udf(run, "string")(F.col(f"`{html_col}`"), F.col(host), *[F.col(names[k]) for k in _ARRAYS]))
     return out.select(*[F.col(f"`{c}`") for c in pages.columns], F.col(got).alias("text"), F.char_length(got).cast("long").alias("n_chars"))

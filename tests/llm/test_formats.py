@@ -30,7 +30,7 @@ def page(host, k, article):
     return f"""<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><h2>{host} site</h2></header><nav><ul>{nav}</ul></nav><!-- c --><div class="ad">buy {k}</div><div id="cookie-notice">We use cookies</div>
 <article><h1>Title {k} &amp; more</h1><p><b>First   words
-of {k}.<br><p>Caf&eacute; &lt;b&gt; {article}</p><div class="share-links">Share</div><ul><li>one<li>two</ul><p>Read our terms</p><section class="comments"><p>I liked it</p></section><aside>aside</aside><form><p>name</p></form></article>
+of {k}.<br><p>Caf&eacute; &lt;b&gt; {article}</p><div class="share-links">Share</div><ul><li>one {k}<li>two {k}</ul><p>Read our terms</p><section class="comments"><p>I liked it</p></section><aside>aside</aside><form><p>name</p></form></article>
 <div class="sidebar"><p>more</p></div><footer>&copy; {host}</footer>"""
 
 
@@ -43,17 +43,69 @@ def test_html(spark):
     assert len(got) == len(rows)
     tail = "Body of {k} goes on for quite a few words, so that it is most of what the page has."
     for k in range(10):
-        lines = [f"Title {k} & more", f"First words of {k}.", "Café <b> " + tail.format(k=k), "one", "two", *(["Read our terms"] if k >= 8 else [])]
-        if k < 8:  # in each article of a host with enough pages: template
-            assert [x for x in got[k].text.split("\n") if x not in ("one", "two")] == [x for x in lines if x not in ("one", "two")]
-        else:
-            assert got[k].text.split("\n") == lines
+        # What is in each article of a host with enough pages is template.
+        lines = [f"Title {k} & more", f"First words of {k}.", "Café <b> " + tail.format(k=k), f"one {k}", f"two {k}", *(["Read our terms"] if k >= 8 else [])]
+        assert got[k].text.split("\n") == lines
         assert got[k].n_chars == len(got[k].text) and got[k].host_of == "h"
-    assert got[21].text == got[22].text == "" and got[None].text.startswith("plain & simple")
+    assert got[21].text == got[22].text == "" and got[None].text == "plain & simple"
     assert all(got[30 + k].text == "The same copy" for k in range(6))
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_html_template_decides(spark):
+    """Menus, adverts and footers without a telling element or class: only the template says what they are."""
+    rng = random.Random(8)
+    rows, expected = [], {}
+    for k in range(12):
+        texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(50)) + "." for _ in range(rng.randrange(1, 5))]
+        links = "".join(f"<p><a href='/{x}'>topic {rng.randrange(10**6)}</a></p>" for x in range(4))
+        body = f"<div><p>Home</p><p>News</p><p>About us</p></div><div><h2>Head {k}</h2>{''.join(f'<p>{t}</p>' for t in texts)}<p>Tell your friends</p></div><div>{links}</div><div><p>All of it is ours</p></div>"
+        rows.append((k, f"https://plain.example/{k}", f"<html><body>{body}</body></html>"))
+        expected[k] = "\n".join([f"Head {k}", *texts])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(pages).collect()} == expected
+    assert all("Home" in html.main_text(h, html.Template()) for _, _, h in rows)
+
+
+def test_html_copies_stay(spark):
+    """Copies of an article on one host, with menus and adverts of their own, are no template, whether all pages are copies or some."""
+    text = "".join(f"<p>Paragraph {j} of the piece that was sent to all.</p>" for j in range(6))
+    rows = []
+    for host, n in (("all.example", 8), ("some.example", 16)):
+        for k in range(n):
+            own = text if host == "all.example" or k % 2 else "".join(f"<p>Own {j} of {k} with more.</p>" for j in range(5))
+            rows.append((len(rows), f"https://{host}/{k}", f"<body><nav><a>m{k}</a></nav><div class='ad'>buy {k}</div><article><h1>T</h1>{own}</article><footer>f{k}</footer></body>", own))
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, own string")).collect()
+    for r in got:
+        assert [x for x in r.text.split("\n") if x != "T"] == re.findall("<p>(.*?)</p>", r.own)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>a</p><svg/><p>b</p></article>", "a\nb"),
+        ("<article><p>a</p><iframe src=x /><p>b</p></article>", "a\nb"),
+        ("<article><p>a</p><iframe><p>b</p></article>", "a\nb"),
+        ("<article><p>a</p><object><p>b</p></article>", "a\nb"),
+        ("<article>a <math>x<mi>y</mi></math> <noscript>c</noscript></article>", "a xy c"),
+        ("<article><div class='warning'>Mind the gap</div><div class='form-of-government'>a</div><div class='share-links'>b</div></article>", "Mind the gap\na"),
+        ("<article><div class='entry-header'>by me<h1>T</h1></div><p>a</p></article>", "T\na"),
+        ("<article><p>a<script>x</p></script>b<style>p{}</style></p><section id=comments>c</section></article>", "ab"),
+        ("1 < 2 &amp; 3 <b>x</b> <unfinished", "1 < 2 & 3 x"),
+        ('<p title="5" tall">a</p><p title=">">b</p><p title="never>c</p>', "a\nb\nc"),
+        ("a</>b</ >c<!-- d --><!doctype e>", "abc"),
+        ("<ul><li>a<li>b<ul><li>c</ul></ul><dl><dt>d<dd>e</dl><table><tr><td>f<td>g<tr><td>h</table>", "a\nb\nc\nd\ne\nf\ng\nh"),
+        ("<div>" * 100_000 + "a" + "</div>" * 100_000 + "b", "a\nb"),
+        ('<a "' * 50_000 + ">a", "a"),
+        ('<a x="' * 50_001 + ">a", "a"),
+        ("<p>" * 50_000 + "</x>" * 50_000 + "a", "a"),
+        ("x " * 500_000 + "<" * 50_000, "x " * 500_000 + "<" * 50_000),
+    ],
+)
+def test_html_elements(page, text):
+    assert html.main_text(page, html.Template()) == text
+
+
 def test_html_of_the_tables(spark, sf_dir):
     """The generated pages' articles hold plain paragraphs only, so a regular expression finds the same."""
     from html import unescape
@@ -66,9 +118,16 @@ def test_html_of_the_tables(spark, sf_dir):
 
 def test_occurrence_vectors(spark):
     """Texts with the vector of the page's frame are template; those that come and go are not."""
-    rows = [(f"https://h.example/{k}", f"<body><div><p>always</p><p>text {k}</p>{'<p>often</p>' if k % 3 else ''}</div></body>") for k in range(9)]
-    found = html.templates(spark.createDataFrame(rows, "url string, html string")).collect()
-    assert [set(r.texts) for r in found] == [{html._digest("/body/div/p\0always")}]
+    rows = [(f"https://h.example/{k}", f"<body><div><p>always</p><h2>head {k}</h2><section><p>text {k} is longer than the others</p>{'<p>often</p>' if k % 3 else ''}</section></div></body>") for k in range(9)]
+    (found,) = html.templates(spark.createDataFrame(rows, "url string, html string")).collect()
+    role = 0
+    for name in ("body", "div", "p"):
+        role = html._digest(f"{role}/{name}")
+    always = html._digest(f"{role}\0always")
+    assert always in found.texts and found.n == 9 and len(set(found.classes)) == 1
+    template = html._template(found.asDict())
+    for k, (_, h) in enumerate(rows):
+        assert html.main_text(h, template) == "\n".join([f"head {k}", f"text {k} is longer than the others"] + ["often"] * (k % 3 > 0))
 
 
 def test_warc(spark, sf_dir):
