@@ -48,6 +48,24 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+#: A key is hot if it holds more than such a part of all rows, so that there are fewer hot keys than this.
+MOST_HOT = 1_000
+
+
+def joined(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """left with the columns of right by key, which left never has null; no task gets more than its part of a hot key.
+
+    right has one row for each key and says in its column `rows` how many rows left has with it; as it is read more than once,
+    it should be a written table. Rows of right with hot keys are broadcast: there are fewer than MOST_HOT. The others are joined as usual.
+    """
+    every, most = right.agg(F.sum("rows"), F.max("rows")).first()
+    if (most or 0) * MOST_HOT <= (every or 0):
+        return left.join(right.drop("rows"), key, how)
+    large = F.col("rows") * MOST_HOT > every
+    hot, rest = F.broadcast(right.where(large).drop("rows")), right.where(~large).drop("rows")
+    return left.join(hot, key).unionByName(left.join(hot.select(key), key, "left_anti").join(rest, key, how))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only; null counts as empty. Pure-ASCII texts take the fast built-in."""
     text = F.coalesce(text, F.lit(""))

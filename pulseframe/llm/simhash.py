@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, written
+from .common import fresh, joined, small_batches, written
 from .graph import components
 
 SHINGLE, SEED = 3, 42
@@ -81,6 +81,22 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.unionByName(stars).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).distinct()
 
 
+def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs -> (i, p, component, component_id), a row for each row; component is a fingerprint that names the component.
+
+    Equal fingerprints are taken together first, so a large group of copies is one row in the search, and rows of a frequent one
+    get their component where they are.
+    """
+    hashed = F.pandas_udf(fingerprints, "long")
+    rows = written(small_batches(docs).select(F.col(f"`{id_col}`").alias("i"), hashed(F.col(f"`{text_col}`")).alias("p")), "prints")
+    prints = written(rows.groupBy("p").agg(F.min("i").alias("low"), F.count(F.lit(1)).alias("rows")), "prints")
+    linked = written(prints.join(components(links(prints.select("p"))).withColumnRenamed("node", "p"), "p").select("p", "root", "low"), "linked")
+    least = written(linked.groupBy("root").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("rows")), "least")
+    own = joined(linked.drop("low"), least, "root")
+    named = prints.join(own, "p", "left").select("p", F.coalesce("root", "p").alias("component"), F.coalesce("least", "low").alias("component_id"), "rows")
+    return joined(rows, written(named, "named"), "p").select("i", "p", "component", "component_id")
+
+
 def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs -> (id_col, fingerprint, component_id), a row for each row.
 
@@ -88,25 +104,30 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     included; XXH64, seed 42; a bit is set if it is in over half the hashes. Fingerprints link at
     2 or fewer differing bits; component_id is the smallest id reachable through links. Null or
     empty text has fingerprint zero, which links like any other. Null ids get their component's
-    smallest id, null if it has none. Equal fingerprints are taken together first, so a large
-    group of copies is one row in the search.
+    smallest id, null if it has none. Repeated rows have equal results; texts of any length are
+    hashed CHUNK shingles at a time; an empty table gives no rows; columns of docs of any name do not matter.
     """
-    hashed = F.pandas_udf(fingerprints, "long")
-    rows = written(small_batches(docs).select(F.col(f"`{id_col}`").alias("i"), hashed(F.col(f"`{text_col}`")).alias("p")), "prints")
-    prints = written(rows.groupBy("p").agg(F.min("i").alias("low")), "prints")
-    roots = components(links(prints.select("p")))
-    near = prints.join(roots.withColumnRenamed("node", "p"), "p")
-    lows = near.join(near.groupBy("root").agg(F.min("low").alias("least")), "root").select("p", "least")
-    found = rows.join(prints, "p").join(lows, "p", "left")
-    return found.select(F.col("i").alias(id_col), F.lpad(F.lower(F.hex("p")), 16, "0").alias("fingerprint"), F.coalesce("least", "low").alias("component_id"))
+    found = _found(docs, id_col, text_col)
+    return found.select(F.col("i").alias(id_col), F.lpad(F.lower(F.hex("p")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without near copies: of each component the document with the smallest id stays.
+    """The rows of docs without near copies: of each component the row with the smallest id stays.
 
-    A document is all rows with its id. Rows with a null id stay only in a component without ids.
+    Rows that repeat an id are rows of their own: each is judged by its own text. Of rows with one id in one component those with the
+    smallest fingerprint stay. Rows with a null id stay only in a component without ids. Columns of docs are kept as they are.
     """
-    found = simhash_components(docs, id_col=id_col, text_col=text_col)
-    gone = fresh(docs, "gone")
-    out = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(gone)).distinct()
-    return docs.join(out, F.col(f"`{id_col}`").eqNullSafe(F.col(gone)), "left_anti")
+    found = written(_found(docs, id_col, text_col), "found")
+    heads = found.where("i <=> component_id").groupBy("component").agg(F.min("p").alias("head"))
+    stays = F.col("i").eqNullSafe(F.col("component_id")) & F.col("p").eqNullSafe(F.col("head"))
+    judged = written(found.join(heads, "component", "left").groupBy("i", "p").agg(F.bool_or(stays).alias("stays")), "judged")
+    # An id goes where none of its rows stays. Ids of which only some stay are rare; their rows alone are hashed again.
+    per = written(judged.groupBy("i").agg(F.bool_or("stays").alias("some"), F.bool_and("stays").alias("all")).where("not all"), "gone")
+    ident, print_, head = (fresh(docs, x) for x in ("ident", "print", "head"))
+    same = lambda name: F.col(f"`{id_col}`").eqNullSafe(F.col(name))
+    rest = docs.join(per.select(F.col("i").alias(ident)), same(ident), "left_anti")
+    mixed = per.where("some").select(F.col("i").alias(ident))
+    own = judged.where("stays").select(F.col("i").alias(ident), F.col("p").alias(head))
+    hashed = F.pandas_udf(fingerprints, "long")
+    some = docs.join(mixed, same(ident), "left_semi").withColumn(print_, hashed(F.col(f"`{text_col}`")))
+    return rest.unionByName(some.join(own, same(ident) & (F.col(print_) == F.col(head)), "left_semi").drop(print_))

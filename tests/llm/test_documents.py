@@ -10,9 +10,10 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pulseframe.llm import dedup, graph, langid, packing, queries, simhash
+from pulseframe.llm import common, dedup, graph, langid, packing, queries, simhash
 from pulseframe.llm.common import UPPER
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -134,6 +135,25 @@ def test_near_dedup_keeps_one_of_each(spark, odd):
     assert {r.doc_id for r in kept} == {x for x in found.values()}
 
 
+def test_near_dedup_judges_rows_of_one_id_by_their_texts(spark):
+    """Of an id's rows only those go that are copies of another's, and null ids count as larger than any."""
+    a, b, c = ("alpha " * 30, "beta gamma " * 30, "delta epsilon zeta " * 30)
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, b), (None, "eta theta " * 9), (8, None)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, ident string, p string")
+    kept = simhash.near_dedup(docs).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t in (rows[0], rows[2], rows[3], rows[4], rows[6], rows[7]))
+    assert {(r.ident, r.p) for r in kept} == {("x", "y")} and simhash.near_dedup(docs.limit(0)).count() == 0
+
+
+def test_joined_with_a_hot_key(spark):
+    left = spark.range(5_000).select("id", F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"))
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.max("id").alias("top"))
+    for how, some in (("inner", right), ("left", right.where("k % 2 = 0"))):
+        got = {(r.id, r.k, r.top) for r in common.joined(left, some, "k", how).collect()}
+        assert got == {tuple(r) for r in left.join(some.drop("rows"), "k", how).select("id", "k", "top").collect()}
+    assert common.joined(left, right.limit(0), "k", "left").where("top is null").count() == 5_000
+
+
 def test_language_id(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = queries.language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
