@@ -161,14 +161,16 @@ def test_url_filter(spark):
     rng = random.Random(2)
     day = datetime(2024, 1, 1)
     hosts = ["a.x.example", "b.x.example", "x.example", "y.example", "example"]
-    entries = [(rng.choice("pq"), rng.choice(hosts), rng.choice(["add", "remove"]), day + timedelta(days=rng.randrange(90))) for _ in range(60)]
+    case = lambda h: h if rng.random() < 0.7 else h.title()
+    entries = [(rng.choice("pq"), case(rng.choice(hosts)), rng.choice(["add", "remove"]), day + timedelta(days=rng.randrange(90))) for _ in range(60)]
     odd = [(None, "x.example", "add", day), ("p", None, "add", day), ("p", "x.example", None, day), ("p", "x.example", "add", None), ("p", "X.example", "toggle", day)]
-    captures = [(k, f"https://u@{rng.choice(hosts).upper()}:9/x{k}", day + timedelta(hours=rng.randrange(24 * 120))) for k in range(300)]
-    captures += [(300, None, day), (301, "not a url", day), (302, "http://x.example/", None), (None, "http://x.example/", day), (5, *captures[5][1:])]
+    captures = [(k, f"https://u@{rng.choice(hosts).upper()}:9/x{k}", day + timedelta(hours=rng.randrange(24 * 120))) for k in range(1500)]
+    captures += [(1500, None, day), (1501, "not a url", day), (1502, "http://x.example/", None), (1503, "http://" + "a." * 2_000 + "example/" + "x" * 99_000, day), (None, "http://x.example/", day), (5, *captures[5][1:])]
     got = urls.filter_captures(spark.createDataFrame(captures, "capture_id long, url string, fetched timestamp"), spark.createDataFrame(entries + odd, "list_name string, pattern string, action string, effective timestamp")).collect()
     changes = defaultdict(dict)
     for name, pattern, action, at in entries:
-        changes[name, pattern][at] = max(action, changes[name, pattern].get(at, ""))
+        own = changes[name, pattern.lower()]
+        own[at] = max(action, own.get(at, ""))
     expected = []
     for i, url, at in captures:
         m = re.match(r"https?://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
@@ -182,6 +184,14 @@ def test_url_filter(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
+def test_url_filter_ignores_the_case_of_patterns(spark):
+    """A pattern added in capitals and removed in small letters is one pattern."""
+    day = datetime(2024, 1, 1)
+    entries = spark.createDataFrame([("p", "X.example", "add", day), ("p", "x.example", "remove", day + timedelta(days=5))], "list_name string, pattern string, action string, effective timestamp")
+    captures = spark.createDataFrame([(k, "http://a.x.example/", day + timedelta(days=k)) for k in (1, 9)], "capture_id long, url string, fetched timestamp")
+    assert {r.capture_id: r.blocked for r in urls.filter_captures(captures, entries).collect()} == {1: True, 9: False}
+
+
 def test_url_filter_of_no_rows(spark):
     none = spark.createDataFrame([], "list_name string, pattern string, action string, effective timestamp")
     captures = spark.createDataFrame([(1, "http://a.example/", datetime(2024, 1, 1))], "capture_id long, url string, fetched timestamp")
