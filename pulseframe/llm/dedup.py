@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh, written
+from .common import MOST_HOT, ascii_lower, fresh, written
 
 #: Characters of the normalised text that the sampled splitters see.
-PREFIX = 48
-#: At most this many groups count as hot, which bounds the broadcast list of them (some 100 bytes each).
-MOST_HOT = 10_000
+PREFIX = 128
 #: No group of fewer rows is hot.
 LEAST_HOT = 1_000
 
@@ -18,39 +16,47 @@ LEAST_HOT = 1_000
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", most_hot: int = MOST_HOT, least_hot: int = LEAST_HOT) -> DataFrame:
     """Adds to every row of docs the group of equal texts that it belongs to.
 
-    Texts are equal when they are identical after lower-casing A-Z. Rows are dealt to sorted ranges
-    by sampled splitters over the start of the normalised text, then its digest; each range is sorted
-    externally, which puts equal texts side by side, and neighbours are compared in full (the
-    normalised text is part of the window's key). The row with the largest id stays.
+    Texts are equal when they are identical after lower-casing A-Z. Rows are dealt to ranges by sampled splitters over the start of the
+    normalised text, then its digest, where starts are equal; each range is sorted externally by the text, which puts
+    equal texts side by side, and neighbours are compared in full (the normalised text is part of the window's key). The row with
+    the largest id stays.
 
-    A group with more than 1/most_hot of all rows (and least_hot rows at least) is hot. There are
-    at most most_hot of those, so their list is broadcast; rows of a hot group get a salt and are
-    dealt to several ranges.
+    A group with more than 1/most_hot of all rows (and least_hot rows at least) is hot. Rows of a hot group get a salt, so that they
+    are several runs in several ranges. Each run is sorted and compared like any other; then the runs' heads are, one row a run, and
+    what comes out is broadcast to the rows: there are fewer hot groups than most_hot, and some 100 bytes of each.
 
-    Null text counts as empty; a null id is smaller than any other; of rows repeated with the
-    same id one stays. An empty table gives an empty result. Columns of docs are kept as they are.
+    Null text counts as empty; a null id is smaller than any other; of rows repeated with the same id one stays; texts of any length are
+    compared whole. An empty table gives an empty result. Columns of docs are kept as they are.
 
     New columns: keep_id (the id that stays), group_size, kept, text_sha256 (lower-case hex).
     A column of docs with one of these names is replaced.
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     sha, prefix, salt, norm = (fresh(docs, x) for x in ("sha", "prefix", "salt", "norm"))
-    hot_max, hot_n = fresh(docs, "hot_max"), fresh(docs, "hot_n")
+    salts, hot_max, hot_n = fresh(docs, "salts"), fresh(docs, "hot_max"), fresh(docs, "hot_n")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    ident = F.col(f"`{id_col}`")
+    ident, text = F.col(f"`{id_col}`"), ascii_lower(F.col(f"`{text_col}`"))
 
-    rows = docs.select(ident.alias("i"), F.sha2(ascii_lower(F.col(f"`{text_col}`")), 256).alias(sha))
-    least = max(least_hot, -(-docs.count() // most_hot))
-    hot = written(rows.groupBy(sha).agg(F.max("i").alias(hot_max), F.count(F.lit(1)).alias(hot_n)).where(F.col(hot_n) > least), "hot")
+    counted = docs.select(F.sha2(text, 256).alias(sha)).groupBy(sha).agg(F.count(F.lit(1)).alias("n"))
+    counted = written(counted.where(f"n > {least_hot}"), "counted")  # the groups that can be hot
+    least = max(least_hot, docs.count() // most_hot) if counted.take(1) else least_hot
+    hot = F.broadcast(counted.where(f"n > {least}").select(sha, F.ceil(F.col("n") / least).alias(salts)))
 
-    marked = docs.select(*own, ascii_lower(F.col(f"`{text_col}`")).alias(norm)).select(*own, F.left(F.col(norm), F.lit(PREFIX)).alias(prefix), F.sha2(F.col(norm), 256).alias(sha))
-    salted = marked.join(F.broadcast(hot), sha, "left").withColumn(salt, F.when(F.col(hot_n).isNotNull(), F.pmod(F.xxhash64(ident), F.ceil(F.col(hot_n) / least))).otherwise(F.lit(0)))
-    ranged = salted.repartitionByRange(prefix, sha, salt).withColumn(norm, ascii_lower(F.col(f"`{text_col}`")))
+    marked = docs.select(*own, text.alias(norm)).select(*own, F.left(F.col(norm), F.lit(PREFIX)).alias(prefix), F.sha2(F.col(norm), 256).alias(sha))
 
-    run = Window.partitionBy(prefix, sha, salt, norm)
-    newest = run.orderBy(ident.desc_nulls_last())
-    seen = ranged.select(*own, sha, hot_max, hot_n, F.first(ident).over(newest).alias("keep_id"), F.row_number().over(newest).alias(prefix), F.count(F.lit(1)).over(run).alias("group_size"))
+    def runs(rows: DataFrame) -> DataFrame:
+        """Rows with what the comparison of neighbours says of their run: its largest id, its rows, and the row's place."""
+        dealt = rows.withColumn(salt, F.when(F.col(salts).isNotNull(), F.pmod(F.xxhash64(ident), F.col(salts))).otherwise(F.lit(0)))
+        ranged = dealt.repartitionByRange(prefix, sha, salt).withColumn(norm, text)
+        run = Window.partitionBy(prefix, norm, sha, salt)  # sorted by these: the start, then the whole text
+        newest = run.orderBy(ident.desc_nulls_last())
+        return ranged.select(*own, norm, sha, salts, F.first(ident).over(newest).alias("keep_id"), F.row_number().over(newest).alias(prefix), F.count(F.lit(1)).over(run).alias("group_size"))
+
+    heads = runs(marked.join(hot, sha)).where(F.col(prefix) == 1).groupBy(norm, sha).agg(F.max("keep_id").alias(hot_max), F.sum("group_size").alias(hot_n))
+    whole = F.broadcast(written(heads.select(sha, hot_max, hot_n), "hot"))
+
+    seen = runs(marked.join(hot, sha, "left")).drop(norm, salts).join(whole, sha, "left")
     keep = F.when(F.col(hot_n).isNotNull(), F.col(hot_max)).otherwise(F.col("keep_id"))
+    # Rows of a hot group whose ids are all null have no largest id; they have one salt, so one row stays.
     head = (F.col(prefix) == 1) & ident.eqNullSafe(keep)
-    # Rows of a hot group whose ids are all null have no largest id; the runs agree on the salt, so one row stays.
     return seen.select(*own, keep.alias("keep_id"), F.coalesce(F.col(hot_n), F.col("group_size")).alias("group_size"), head.alias("kept"), F.col(sha).alias("text_sha256"))
