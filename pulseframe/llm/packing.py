@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -17,17 +18,21 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import fresh, small_batches, written
 
 CAPACITY = 4096
 END = 1
-#: Rows of one length are ranked in so many groups, so that a frequent length is not one task's work.
-SALTS = 64
-#: Words whose ids a worker remembers: twice as many at most.
-REMEMBERED = 500_000
-
-#: How the tokenizer splits words, and which characters stand for bytes that have none of their own.
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Pieces of one length are ranked in groups of about so many, so that a frequent length is not one task's work.
+RANKED = 100_000
+#: Words whose ids a worker remembers, and characters of them: twice as many at most.
+REMEMBERED, REMEMBERED_CHARS = 500_000, 8_000_000
+
+#: The settings of a tokenizer whose texts can be split into words here.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTERS = [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+#: Which characters stand for bytes that have none of their own.
+_WORD = regex.compile(_SPLIT)
 _BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 
 #: Texts with other characters go to the tokenizer whole: for these, normalising in Python is the same for sure.
@@ -35,14 +40,19 @@ _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
 
 
 class Encoder:
-    """Token ids by the `tokenizers` library, word by word (by white space, which no token of this tokenizer
-    crosses): the ids of a word are asked for once and remembered while it is in use."""
+    """Token ids by the `tokenizers` library. Where the tokenizer's settings are those above, no token crosses white space, and
+    texts are encoded word by word: the ids of a word are asked for once and remembered while it is in use. Any other tokenizer gets whole texts."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        settings = json.loads(open(path, encoding="utf-8").read())
+        normal, split = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+        added = {t["content"] for t in settings.get("added_tokens", [])}
+        self.by_words = normal.get("normalizers") == _NORMALIZERS and split.get("pretokenizers") == _SPLITTERS and settings.get("post_processor") is None and not settings.get("truncation") and not settings.get("padding") and all(t.startswith("<|") for t in added)
+        self.chars = 0
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -62,6 +72,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
+        if not self.by_words:
+            return [self.whole(t) for t in texts]
         split = [None if _OTHER.search(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
         wanted: set[str] = set()
         for words in split:
@@ -69,9 +81,11 @@ class Encoder:
                 wanted.update(words)
         known = self.known
         new = [w for w in wanted if w not in known]
-        if len(known) + len(new) > REMEMBERED:
+        self.chars += sum(map(len, new))
+        if len(known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             known, self.before = {}, known
             self.known, new = known, list(wanted)
+            self.chars = sum(map(len, new))
         before = self.before
         for w in new:
             known[w] = before.get(w) or self._learn(w)
@@ -86,7 +100,7 @@ def encoder(path: str) -> Encoder:
 
 def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """docs -> (id_col, piece, start, length, ids_crc32): each document's ids and the id 1, cut only where
-    longer than capacity. Null text is empty, so it is the id 1 alone."""
+    longer than capacity. Null text is empty, so it is the id 1 alone. Ids of any type are kept; texts of any length are encoded whole."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end = encoder(tokenizer), np.array([END], "<u4").tobytes()
@@ -96,16 +110,14 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
             for at in range(0, len(texts), 512):
                 for i, ids in zip(batch["i"].iloc[at : at + 512], encode(texts[at : at + 512]), strict=True):
                     ids += end
-                    i = None if i is None else int(i)
                     for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[a : a + 4 * capacity]
                         out.append((i, k, a // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(out, columns=["i", "piece", "start", "length", "ids_crc32"])
-            frame["i"] = pd.array([x[0] for x in out], dtype="Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["i", "piece", "start", "length", "ids_crc32"])
 
     ident = F.col(f"`{id_col}`")
-    return small_batches(docs).select(ident.cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("i", id_col)
+    made = small_batches(docs).select(ident.cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")).mapInPandas(cut, "i string, piece int, start long, length long, ids_crc32 long")
+    return made.select(F.col("i").cast(docs.schema[id_col].dataType).alias(id_col), "piece", "start", "length", "ids_crc32")
 
 
 @dataclass
@@ -220,41 +232,50 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan({k: v[0] for k, v in columns.items()}, {k: v[1] for k, v in columns.items()}, {k: v[2] for k, v in columns.items()}, sequence)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, ranked: int = RANKED) -> DataFrame:
     """Packs all documents into few sequences of at most capacity tokens: (id_col, piece, start, length, ids_crc32,
     sequence_id, offset), a row per piece.
 
-    The pieces are written once; a table of counts by length and salt (at most capacity x SALTS rows) decides
-    the plan, and each piece finds its place by its rank among those of its length. Null texts are empty
-    documents; rows repeated or with null ids are documents of their own; an empty table gives no rows.
+    The pieces are written once, numbered. Counts by length (capacity of them) decide the plan. A length with more than `ranked` pieces is
+    dealt to groups of about that size by the pieces' numbers, so no id or length is one task's work; counts by length and group (at most
+    capacity and one for each `ranked` pieces) say where a group's ranks start, and each piece finds its place by its rank. Null texts are
+    empty documents; rows repeated or with null ids are documents of their own; ids keep their type; other columns, of any name, are
+    not looked at; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    cut = written(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity), "pieces")
-    ident = F.col(id_col)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64(ident, "piece"), F.lit(SALTS)).cast("int"))
-    sizes = salted.groupBy("length", "salt").count().collect()  # bounded, see above
-    counts: dict[int, int] = {}
-    before = np.zeros((capacity + 1, SALTS), np.int64)
-    for length, salt, n in sorted((r["length"], r["salt"], r["count"]) for r in sizes):
-        before[length, salt] = counts.get(length, 0)
-        counts[length] = counts.get(length, 0) + n
-    shared = spark.sparkContext.broadcast((before, plan(counts, capacity)))
+    cut = pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity)
+    ident, number, group, rank = (fresh(cut, x) for x in ("ident", "number", "group", "rank"))
+    cut = written(cut.withColumn(number, F.monotonically_increasing_id()), "pieces")
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # bounded by capacity
+    many = {length: -(-n // ranked) for length, n in counts.items() if n > ranked}
+    groups = fresh(cut, "groups")
+    dealt = spark.createDataFrame(sorted(many.items()), f"length long, {groups} int")  # capacity rows at most
+    salted = cut.join(F.broadcast(dealt), "length", "left").withColumn(group, F.pmod(F.xxhash64(number), F.coalesce(groups, F.lit(1))).cast("int"))
+    starts: dict[tuple[int, int], int] = {}
+    total: dict[int, int] = {}
+    for length, g, n in sorted(map(tuple, salted.groupBy("length", group).count().collect())):  # bounded, see above
+        starts[length, g] = total.get(length, 0)
+        total[length] = starts[length, g] + n
+    first = {length: np.array([starts.get((length, g), 0) for g in range(many.get(length, 1))], np.int64) for length in counts}
+    shared = spark.sparkContext.broadcast((first, plan(counts, capacity)))
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before, found = shared.value
+        first, found = shared.value
         for batch in batches:
-            length = batch["length"].to_numpy()
-            rank = before[length, batch["salt"].to_numpy()] + batch["rank"].to_numpy() - 1
+            length, rank_ = batch["length"].to_numpy(), batch[rank].to_numpy() - 1
+            groups_ = batch[group].to_numpy()
             sequence, offset = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             for k in np.unique(length):
                 own = length == k
-                at = np.searchsorted(found.first[k], rank[own], "right") - 1
-                sequence[own] = found.sequence[k][at] + rank[own] - found.first[k][at]
+                place = first[k][groups_[own]] + rank_[own]
+                at = np.searchsorted(found.first[k], place, "right") - 1
+                sequence[own] = found.sequence[k][at] + place - found.first[k][at]
                 offset[own] = found.offset[k][at]
-            out = batch.drop(columns=["salt", "rank"])
+            out = batch.drop(columns=[group, rank])
             out["sequence_id"], out["offset"] = sequence, offset
             yield out
 
-    order = Window.partitionBy("length", "salt").orderBy(ident, "piece", "start", "ids_crc32")
-    ranked = salted.withColumn("rank", F.row_number().over(order))
-    return ranked.mapInPandas(placed, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    ranks = salted.withColumn(rank, F.row_number().over(Window.partitionBy("length", group).orderBy(number)))
+    own = ranks.select(F.col(f"`{id_col}`").cast("string").alias(ident), "piece", "start", "length", "ids_crc32", group, rank)
+    made = own.mapInPandas(placed, f"{ident} string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return made.select(F.col(ident).cast(docs.schema[id_col].dataType).alias(id_col), *made.columns[1:])

@@ -218,6 +218,32 @@ def test_packing(spark, odd, sf_dir):
     assert packing.pack(odd.limit(0), TOKENIZER).count() == 0
 
 
+def test_packing_of_frequent_lengths_and_texts_as_ids(spark):
+    """Lengths that are dealt to many groups, null and repeated ids, ids that are texts, columns with the names of own ones."""
+    rows = [(None if k % 3 == 0 else f"d{k % 7}", "word " * (k % 5), "g", "r") for k in range(200)] + [("long", "word " * 9_000, "g", "r")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, number string, rank string")
+    got = packing.pack(docs, TOKENIZER, ranked=7).collect()
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    ends = Counter(r.doc_id for r in got if r.piece == 0)
+    assert ends == Counter(r[0] for r in rows) and sum(r.length for r in got if r.doc_id == "long") == 9_001
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello  World\n don't ", "", "naïve 日本語 12 345", "x" * 5_000]
+    theirs = Tokenizer.from_file(path)
+    assert not packing.encoder(path).by_words and packing.encoder(TOKENIZER).by_words
+    assert packing.encoder(path)(texts) == [np.array(theirs.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as c
 
