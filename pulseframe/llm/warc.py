@@ -1,7 +1,7 @@
 """WARC archives with a two-level capture index.
 
 Archives, index shards and directories are files in the shared folder, written and range-read through
-pyarrow's file systems; what goes through Spark is a row of places for each record.
+pyarrow's file systems, or what open_folder is set to; what goes through Spark is a row of places for each record.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ import re
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, small_batches, written
+from .common import joined, scratch, small_batches, written
 
 #: Payloads of fewer bytes are never revisits.
 LEAST = 100
@@ -27,17 +27,32 @@ LEAST = 100
 BLOCK, ROLL = 256, 1 << 30
 #: Most archives and index blocks that a task keeps at hand.
 OPEN = 8
+#: Bytes of archives, and rows of an index, that a task reads: more tasks than shuffle partitions where there is more.
+READ_BYTES, READ_ROWS = 256 << 20, 2_000_000
+#: A task is not worth its start for less.
+LEAST_BYTES, LEAST_ROWS = 2 << 20, 4_096
 
 PLACE = "key string, page_id long, file string, offset long, length long"
 _URL = re.compile(r"^([a-zA-Z][\w+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(:\d+)?([^#]*)", re.S)
 
 
 def _files(uri: str):
+    """The file system of a folder and the folder's path there. Hadoop's names of S3 are pyarrow's `s3`; pyarrow finds credentials where its
+    clients do (environment or role), not in Spark's settings. For stores that pyarrow does not know, set open_folder."""
     from pyarrow import fs
 
+    scheme, _, rest = uri.partition("://")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3://{rest}"
+    elif rest and scheme not in ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss"):
+        raise ValueError(f"pyarrow has no file system for {scheme}://; set pulseframe.llm.warc.open_folder")
     return fs.FileSystem.from_uri(uri)
 
 
+#: (uri) -> (a pyarrow file system, the path there). It is called in tasks, so it must be a function that pickles.
+open_folder = _files
+
+
 def url_key(url: str | None) -> str:
     """The URL with its host reversed and without scheme and fragment; line breaks, tabs and spaces are escaped."""
     m = _URL.match(url or "")
@@ -98,25 +113,34 @@ def parse(data: bytes) -> Read:
     return Read(number(fields["WARC-Record-ID"][13:-1]), fields["WARC-Type"], fields["WARC-Payload-Digest"][7:], refers, n, None if revisit else payload)
 
 
+def _tasks(df: DataFrame, size: int, least: int, most: int) -> int:
+    """To how many tasks size bytes or rows are dealt: to the session's shuffle partitions, to fewer of at least `least` where there is little,
+    to more of `most` where there is much."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, size // least), -(-size // most))
+
+
 def planned(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """pages (page_id, url, html) -> the same with digest and response, the smallest page_id with an equal payload
     of least bytes or more where there are several, else null.
 
     Only digests meet; the list of payloads that occur more than once is written, and the join leaves the
-    html where it is when that list is small, or splits a frequent digest when it is not.
+    html where it is when that list is small, and that of frequent payloads always.
     """
     own = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     marked = own.withColumn("digest", F.sha2("html", 256))
-    several = marked.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return marked.join(written(several, "several"), "digest", "left")
+    several = marked.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("response"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return joined(marked, written(several, "several"), "digest", "left")
 
 
 def write_archives(plan: DataFrame, folder: str, roll: int = ROLL) -> DataFrame:
     """Writes the records of planned() to gzip archives in folder -> their places. Each task writes files of its own, under
     names that no other attempt uses, so a task that runs again leaves at most files that no place names."""
 
+    opener = open_folder
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, base = _files(folder)
+        files, base = opener(folder)
         files.create_dir(base, recursive=True)
         out, name, offset = None, "", 0
         for batch in batches:
@@ -144,10 +168,12 @@ def write_archives(plan: DataFrame, folder: str, roll: int = ROLL) -> DataFrame:
 
 def write_index(places: DataFrame, folder: str, block: int = BLOCK) -> DataFrame:
     """Sorts places by key into shards of compressed blocks, each shard with a sparse directory of its blocks' first
-    keys behind them -> (first, file, offset, length), a row for each shard: where its directory is."""
+    keys behind them -> (first, file, offset, length), a row for each shard: where its directory is. places should be a written table."""
+
+    opener = open_folder
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, base = _files(folder)
+        files, base = opener(folder)
         files.create_dir(base, recursive=True)
         out, name, offset, lines, directory = None, "", 0, [], []
 
@@ -176,14 +202,15 @@ def write_index(places: DataFrame, folder: str, block: int = BLOCK) -> DataFrame
             yield pd.DataFrame([(directory[0].partition("\t")[0], name, offset, len(data))], columns=["first", "file", "offset", "length"])
 
     text = places.withColumn("page_id", F.col("page_id").cast("string"))
-    return text.repartitionByRange("key").sortWithinPartitions("key").mapInPandas(write, "first string, file string, offset long, length long")
+    tasks = _tasks(places, places.count(), LEAST_ROWS, READ_ROWS)
+    return text.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInPandas(write, "first string, file string, offset long, length long")
 
 
 class _Ranges:
     """Range reads from the files of a folder, a few of them open at a time."""
 
-    def __init__(self, folder: str) -> None:
-        self.files, self.base = _files(folder)
+    def __init__(self, folder: str, opener: Callable) -> None:
+        self.files, self.base = opener(folder)
         self.open: dict[str, object] = {}
 
     def read(self, name: str, offset: int, length: int) -> bytes:
@@ -203,10 +230,10 @@ def lookup(keys: DataFrame, shards: list[tuple[str, str, int, int]], folder: str
     search over these, its block by binary search over the shard's directory, and only that block is read. Keys are
     sorted first, so that a directory and a block are read once for all keys in them.
     """
-    shards = sorted(tuple(s) for s in shards)
+    shards, opener = sorted(tuple(s) for s in shards), open_folder
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranges, firsts = _Ranges(folder), [s[0] for s in shards]
+        ranges, firsts = _Ranges(folder, opener), [s[0] for s in shards]
         directories: dict[int, list[tuple[str, int, int]]] = {}
         blocks: dict[tuple[int, int], list[list[str]]] = {}
 
@@ -242,7 +269,9 @@ def lookup(keys: DataFrame, shards: list[tuple[str, str, int, int]], folder: str
                     b += 1
             yield _frame(rows, ["key", "page_id", "file", "offset", "length"])
 
-    return keys.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key").mapInPandas(find, PLACE)
+    wanted = keys.select("key").distinct()
+    tasks = _tasks(keys, keys.count(), LEAST_ROWS, READ_ROWS)
+    return wanted.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInPandas(find, PLACE)
 
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -250,10 +279,13 @@ READ = "page_id long, payload_bytes long, payload_digest string, record_type str
 
 def read_records(places: DataFrame, folder: str, *, with_payload: bool = False) -> DataFrame:
     """Range-reads records by place, in the order of the files -> page_id, payload_bytes, payload_digest, record_type,
-    refers_to, and on demand payload (null for revisits). A payload that does not match its digest is an error."""
+    refers_to, and on demand payload (null for revisits). A payload that does not match its digest is an error.
+
+    places should be a written table: its bytes say to how many tasks the records are dealt."""
+    opener = open_folder
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranges = _Ranges(folder)
+        ranges = _Ranges(folder, opener)
         for batch in batches:
             rows = []
             for name, offset, length in zip(batch["file"], batch["offset"], batch["length"], strict=True):
@@ -263,7 +295,8 @@ def read_records(places: DataFrame, folder: str, *, with_payload: bool = False)
                 rows.append((r.page_id, r.n_bytes, r.digest, r.kind, r.refers_to, *([r.payload] if with_payload else [])))
             yield _frame(rows, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if with_payload else [])])
 
-    ordered = places.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    size = places.agg(F.sum("length")).first()[0] or 0
+    ordered = places.select("file", "offset", "length").repartitionByRange(_tasks(places, size, LEAST_BYTES, READ_BYTES), "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInPandas(read, READ + (", payload binary" if with_payload else ""))
 
 
@@ -292,4 +325,4 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     """
     folder, shards = archive(pages, **options)
     keys = pages.select(key_of(F.col("url"), F.col("page_id")).alias("key"))
-    return read_records(lookup(keys, shards, folder), folder)
+    return read_records(written(lookup(keys, shards, folder), "found"), folder)
