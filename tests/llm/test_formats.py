@@ -248,6 +248,53 @@ def test_contained_detections_go():
     assert sum(map(len, licenses.RULES.values())) > 300
 
 
+def slow_labels(text):
+    """Every rule tried on every text, and each pair of detections compared."""
+    line = licenses.normalised(text)
+    rules = {id(r): r for own in licenses.RULES.values() for r in own}.values()
+    found = [(m.start(), m.end(), r) for r in rules for m in r.pattern.finditer(line)]
+    within = lambda x, y: y[0] <= x[0] and x[1] <= y[1] and (y[1] - y[0], y[2].priority, -y[2].order) > (x[1] - x[0], x[2].priority, -x[2].order)
+    left, kept = sorted((x for x in found if not any(within(x, y) for y in found)), key=lambda x: (-x[2].priority, x[0] - x[1], x[0])), []
+    for x in left:
+        if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
+            kept.append(x)
+    return sorted((a, b, r.label) for a, b, r in kept)
+
+
+def test_licenses_against_all_rules():
+    rng = random.Random(6)
+    rules = list({id(r): r for own in licenses.RULES.values() for r in own}.values())
+    phrases = [x for r in rules for x in itertools.islice(strings(re._parser.parse(r.pattern.pattern.decode())), 3)] + ["license", "the", "version 2", "2 0", "public", "gnu", "under the"]
+    for _ in range(60):
+        picked = [rng.choice(phrases).split() for _ in range(rng.randrange(1, 9))]
+        words = [w for p in picked for w in (p[: rng.randrange(1, len(p) + 1)] if rng.random() < 0.4 else p)]
+        text = " ".join(words)
+        line = licenses.normalised(text)
+        assert [(a, b, r.label) for a, b, r in licenses.detections(line.split(), line)] == slow_labels(text), text
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in", "mit"),
+        ("Copyright (c) 2001 X. All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided", "bsd"),
+        ("All rights reserved.", "proprietary"),
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", "gpl,gpl-2.0"),
+        ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "apache,apache-2.0"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above", "isc"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+        ("The Software shall be used for Good, not Evil.", "json"),
+    ],
+)
+def test_license_notices(text, labels):
+    assert licenses.scanned(text)[5] == labels
+
+
+def test_places_of_base_phrases_in_a_long_text():
+    text = "x mit license " * 100_000
+    assert licenses.scanned(text)[:4] == (300_000, 100_000, 1, 299_998)
+
+
 def strings(parsed):
     """What a pattern matches, the last part varying first; a repeat is taken up to twice more than it must."""
     parts = []
