@@ -1,4 +1,7 @@
-"""Media columns in GIF: writing and reading of animations, timed frames and colour histograms."""
+"""Media columns in GIF: writing and reading of animations, timed frames and colour histograms.
+
+A payload is stored one sample a byte. The palette gives each byte a colour of its own, so the composed picture gives the bytes back.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +26,8 @@ DELAY = 4
 #: Bins of the histograms, by channel.
 BINS = 8
 MOST_CODES = 4096
-GREY = bytes(v for k in range(256) for v in (k, k, k))
+#: Fixed rule: three bits of a byte are red, three green, two blue.
+COLOURS = np.array([(36 * (k >> 5), 36 * (k >> 2 & 7), 85 * (k & 3)) for k in range(256)], np.uint8)
 
 
 @cache
@@ -120,12 +124,26 @@ def _blocks(data: bytes) -> bytes:
 
 
 def write_gif(payload: bytes, width: int = UNIT, rows: int = ROWS, delay: int = DELAY) -> bytes:
-    """An animation of grey frames, one sample a byte, of up to rows lines; payload is a positive multiple of width bytes."""
-    lines = len(payload) // width
-    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, lines), 0xF7, 0, 0), GREY]
-    for at in range(0, lines, rows):
-        part = payload[at * width : (at + rows) * width]
-        out += [b"\x21\xf9\x04\x04", struct.pack("<HB", delay, 0), b"\0\x2c", struct.pack("<HHHHB", 0, 0, width, len(part) // width, 0), b"\x08", _blocks(lzw_encode(part))]
+    """An animation of frames of up to rows lines, one sample a byte; payload is a positive multiple of width bytes.
+
+    Samples that are as before in their place are transparent where the frame has a value to spare for that. Frames stay for the next
+    ones, but each third, of which the canvas is put back to what it was.
+    """
+    lines = np.frombuffer(payload, np.uint8).reshape(-1, width)
+    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, len(lines)), 0xF7, 0, 0), COLOURS.tobytes()]
+    canvas = np.zeros((min(rows, len(lines)), width), np.int16) - 1  # nothing painted yet
+    for n, at in enumerate(range(0, len(lines), rows)):
+        part = lines[at : at + rows]
+        below = canvas[: len(part)]
+        spare = np.flatnonzero(np.bincount(part.ravel(), minlength=256) == 0)
+        same = below == part
+        clear = int(spare[0]) if len(spare) and same.any() else None
+        shown = part if clear is None else np.where(same, np.uint8(clear), part)
+        disposal = 3 if n % 3 == 2 else 1
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", disposal << 2 | (clear is not None), delay, clear or 0), b"\0\x2c", struct.pack("<HHHHB", 0, 0, width, len(part), 0), b"\x08", _blocks(lzw_encode(shown.tobytes()))]
+        if disposal == 1:
+            canvas = canvas.copy()
+            canvas[: len(part)] = part
     return b"".join([*out, b"\x3b"])
 
 
@@ -137,8 +155,8 @@ class Frame:
     box: tuple[int, int, int, int]  # left, top, width and height of what this frame painted
 
 
-def read_gif(data: bytes) -> list[Frame]:
-    """All composed frames of a GIF: code streams decoded, interlacing undone, palettes, transparency and
+def read_gif(data: bytes) -> Iterator[Frame]:
+    """The composed frames of a GIF, one after the other: code streams decoded, interlacing undone, palettes, transparency and
     disposal applied. Raises ValueError on other data."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
@@ -150,7 +168,6 @@ def read_gif(data: bytes) -> list[Frame]:
         palette = np.frombuffer(data, np.uint8, 3 * n, pos).reshape(n, 3)
         pos += 3 * n
     canvas = np.zeros((height, width, 3), np.uint8)
-    frames: list[Frame] = []
     clock, delay, disposal, transparent = 0, 0, 0, None
 
     def blocks() -> bytes:
@@ -203,7 +220,7 @@ def read_gif(data: bytes) -> list[Frame]:
                 seen = np.ones(pixels.shape, bool) if transparent is None else pixels != transparent
                 seen = seen[: part.shape[0], : part.shape[1]]
                 part[seen] = painted[: part.shape[0], : part.shape[1]][seen]
-            frames.append(Frame(clock, delay, canvas, (left, top, w, h)))
+            yield Frame(clock, delay, canvas, (left, top, w, h))
             clock += delay
             if disposal == 2:
                 canvas = canvas.copy()
@@ -213,7 +230,6 @@ def read_gif(data: bytes) -> list[Frame]:
             delay, disposal, transparent = 0, 0, None
         else:
             raise ValueError("bad block")
-    return frames
 
 
 def stored(text: Column) -> Column:
@@ -230,24 +246,40 @@ def stored(text: Column) -> Column:
     return F.pandas_udf(write, "binary")(text)
 
 
-MEASURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+MEASURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames array<struct<at_ms: long, delay_ms: long, red: array<long>, green: array<long>, blue: array<long>>>"
+NAMES = [c.split()[0] for c in MEASURES.split(", ")[:7]] + ["frames"]
+
+
+def _bytes_of(rgb: np.ndarray) -> np.ndarray:
+    """The bytes that a picture's colours stand for."""
+    return (rgb[..., 0] // 36 << 5) | (rgb[..., 1] // 36 << 2) | (rgb[..., 2] // 85)
+
+
+def histograms(rgb: np.ndarray) -> list[np.ndarray]:
+    """How many pixels have each eighth of red, of green and of blue."""
+    return [np.bincount(rgb[..., c].ravel() >> 5, minlength=BINS) for c in range(3)]
 
 
 def measured(media: Column) -> Column:
-    """A stored GIF -> what its bytes hold: lengths, digests, and the feature, which names frames, duration and the grey histogram."""
+    """A stored GIF -> what its bytes hold: lengths, digests, timed frames with their colour histograms, and the feature, which names frames,
+    duration and the histograms of all frames. A frame is held at a time."""
 
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for some in batches:
             rows = []
             for data in some:
                 data = bytes(data)
-                frames = read_gif(data)
-                grey = np.concatenate([f.rgb[: f.box[3], :, 0].ravel() for f in frames])
-                payload = grey.tobytes()
-                bins = np.bincount(grey >> 5, minlength=BINS)
-                feature = f"frames={len(frames)};centiseconds={frames[-1].at + frames[-1].delay};histogram={','.join(map(str, bins))}"
-                rows.append((len(payload.rstrip(b"\xff")), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEASURES.split(", ")])
+                payload, frames, total, end = bytearray(), [], np.zeros((3, BINS), np.int64), 0
+                for f in read_gif(data):
+                    own = f.rgb[: f.box[3]]
+                    payload += _bytes_of(own).tobytes()
+                    bins = histograms(own)
+                    total += bins
+                    end = f.at + f.delay
+                    frames.append({"at_ms": 10 * f.at, "delay_ms": 10 * f.delay, "red": bins[0], "green": bins[1], "blue": bins[2]})
+                feature = f"frames={len(frames)};centiseconds={end};" + ";".join(f"{name}={','.join(map(str, x))}" for name, x in zip(("red", "green", "blue"), total.tolist(), strict=True))
+                rows.append((len(payload.rstrip(b"\xff")), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature, frames))
+            yield pd.DataFrame(rows, columns=NAMES)
 
     return F.pandas_udf(read, MEASURES)(media)
 
@@ -255,34 +287,34 @@ def measured(media: Column) -> Column:
 def media_columns(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """Adds the column media (binary) and the measures to every row; columns of docs with these names are replaced.
 
-    Equal texts give equal values. Null and empty texts are one frame of 255. An empty table gives no rows.
+    Equal texts, so repeated rows too, give equal values. Null and empty texts are one frame of 255. Texts of any length are stored whole, a
+    frame at a time; a task holds the text and its GIF. An empty table gives no rows.
     """
-    names = [c.split()[0] for c in MEASURES.split(", ")]
-    docs = small_batches(docs).drop("media", *names)
+    docs = small_batches(docs).drop("media", *NAMES)
     got = fresh(docs, "got")
     out = docs.withColumn("media", stored(F.col(f"`{text_col}`"))).withColumn(got, measured(F.col("media")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "media", *[F.col(f"{got}.{n}").alias(n) for n in names])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "media", *[F.col(f"{got}.{n}").alias(n) for n in NAMES])
 
 
 def frames(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """A row per timed frame: (id_col, frame, at_ms, delay_ms, red, green, blue), the last three being histograms. Rows
-    whose media is null or not a GIF give one row with null frame columns."""
+    whose media is null or not a GIF give one row with null frame columns; a broken GIF gives the frames before the break."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for i, data in zip(batch["i"], batch["m"], strict=True):
-                i = None if i is None else int(i)
+                n = len(rows)
                 try:
-                    found = read_gif(bytes(data)) if data is not None else []
+                    for k, f in enumerate(read_gif(bytes(data)) if data is not None else ()):
+                        rows.append((i, k, 10 * f.at, 10 * f.delay, *[x.tolist() for x in histograms(f.rgb)]))
                 except (ValueError, struct.error, IndexError):
-                    found = []
-                rows += [(i, k, 10 * f.at, 10 * f.delay, *[np.bincount(f.rgb[..., c].ravel() >> 5, minlength=BINS).tolist() for c in range(3)]) for k, f in enumerate(found)]
-                if not found:
+                    pass
+                if len(rows) == n:
                     rows.append((i, None, None, None, None, None, None))
             frame = pd.DataFrame(rows, columns=["i", "frame", "at_ms", "delay_ms", "red", "green", "blue"])
-            frame["i"] = pd.array([r[0] for r in rows], dtype="Int64")
             yield frame.astype({"frame": "Int32", "at_ms": "Int64", "delay_ms": "Int64"})
 
     own = small_batches(media).select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{media_col}`").alias("m"))
-    return own.mapInPandas(read, "i long, frame int, at_ms long, delay_ms long, red array<long>, green array<long>, blue array<long>").withColumnRenamed("i", id_col)
+    made = own.mapInPandas(read, "i string, frame int, at_ms long, delay_ms long, red array<long>, green array<long>, blue array<long>")
+    return made.select(F.col("i").cast(media.schema[id_col].dataType).alias(id_col), *made.columns[1:])

@@ -121,7 +121,7 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return gif.media_columns(docs).select("doc_id", *[c.split()[0] for c in gif.MEASURES.split(", ")])
+    return gif.media_columns(docs).select("doc_id", *gif.NAMES)
 
 
 def queries() -> dict[str, Query]:

@@ -430,13 +430,30 @@ def test_composition():
     assert [f.at for f in gif.read_gif(data)] == [0, 7, 14, 21]
 
 
+def slow_bins(payload, shift, mask, step):
+    out = [0] * 8
+    for b in payload:
+        out[step * (b >> shift & mask) // 32] += 1
+    return out
+
+
 def test_media_columns(spark, odd):
-    media = gif.media_columns(odd)
+    more = [(200, "ab" * 40_000), (201, "".join(map(chr, range(1, 500))) * 60), (202, "same line\n" * 9_000)]
+    docs = odd.unionByName(spark.createDataFrame([(i, t, *"abcde") for i, t in more], odd.schema))
+    media = gif.media_columns(docs)
+    used = set()
     for r in media.collect():
         raw = (r.text or "").encode()
         payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
         assert r.media_bytes == len(r.media) and r.media_sha256 == hashlib.sha256(r.media).hexdigest() and r.got == "e"
+        parts = [payload[a : a + 576 * 16] for a in range(0, len(payload), 576 * 16)]
+        bins = [[slow_bins(p, 5, 7, 36), slow_bins(p, 2, 7, 36), slow_bins(p, 0, 3, 85)] for p in parts]
+        assert [(f.at_ms, f.delay_ms, [f.red, f.green, f.blue]) for f in r.frames] == [(40 * k, 40, b) for k, b in enumerate(bins)]
+        total = [[sum(x) for x in zip(*(b[c] for b in bins))] for c in range(3)]
+        assert r.feature == f"frames={len(parts)};centiseconds={4 * len(parts)};" + ";".join(f"{n}={','.join(map(str, x))}" for n, x in zip(("red", "green", "blue"), total))
+        used |= set(re.findall(rb"\x21\xf9\x04(.)\x04\x00", bytes(r.media), re.S))
+    assert {4, 5, 12, 13} >= {x[0] for x in used} >= {4, 5, 13}  # kept and put back, with and without transparency
     frames = gif.frames(media.select("doc_id", "media").unionByName(spark.createDataFrame([(77, None), (78, bytearray(b"no"))], "doc_id long, media binary"))).collect()
     assert {r.doc_id for r in frames if r.frame is None} == {77, 78}
     assert sum(sum(r.red) for r in frames if r.doc_id == 7) >= 80_000 and [r.at_ms for r in frames if r.doc_id == 7] == sorted(40 * r.frame for r in frames if r.doc_id == 7)
