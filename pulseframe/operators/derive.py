@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import gzip
-import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import normalize as N
 from ..functions import warehouse as W
@@ -17,10 +13,6 @@ from ..functions import warehouse as W
 #: A column of a derived stream: its name, declared type, and an expression: a column's name, a Column, or what makes one.
 Field = tuple[str, str, "str | Column | Callable[[], Column]"]
 
-# The dimensions that a decoded submission has, and what a missing one reads.
-UNKNOWN = "UNKNOWN"
-#: Documents of more bytes are refused.
-MOST_BYTES = 2 * 1024 * 1024
 
 
 def derived_stream(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
@@ -149,118 +141,6 @@ def payload_size(pings: DataFrame, size: Column) -> DataFrame:
     return derived_stream(pings, [("timestamp", "TIMESTAMP", "ts"), ("build", "VARCHAR", "app_build_id"), ("channel", "VARCHAR", N.norm_channel(F.col("app_update_channel"))), ("doc_type", "VARCHAR", "doc_type"), ("size", "BIGINT", size), ("submission_date", "DATE", "submission_date")])
 
 
-def route_submissions(raw: DataFrame, namespaces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """HTTP submissions (path, payload, forwarded_for, remote_addr, ts) and namespaces (namespace, max_data_length,
-    max_path_length, dims: array) -> landfill, decoded and errors.
-
-    Landfill is each submission without addresses. A decoded one has its dimensions by name, or all parts of the path
-    where their number is not that of the namespace. What is wrong is named in error_type, the first that holds.
-    """
-    parts = N.split_path(F.col("path"))
-    seen = raw.select("*", parts.alias("parts"), N.first_forwarded_ip(F.col("forwarded_for"), F.col("remote_addr")).alias("client_ip"), F.to_date("ts").alias("submission_date"))
-    own = seen.withColumn("namespace", F.get("parts", F.lit(1))).withColumn("id", F.get("parts", F.lit(2)))
-    known = own.join(namespaces, "namespace", "left")
-    error = (
-        F.when(F.col("path").isNull(), "missing path")
-        .when(F.coalesce(F.get("parts", F.lit(0)), F.lit("")) != "submit", "not found")
-        .when(F.col("dims").isNull(), "invalid namespace")
-        .when(F.octet_length("payload") > F.col("max_data_length"), "payload too large")
-        .when(F.octet_length("path") > F.col("max_path_length"), "path too long")
-        .when(F.col("id").isNull(), "missing id")
-    )
-    judged = known.withColumn("error_type", error)
-    landfill = raw.drop("forwarded_for", "remote_addr").withColumn("submission_date", F.to_date("ts"))
-    rest = F.slice("parts", 4, F.greatest(F.size("parts") - 3, F.lit(0)))
-    named = F.when((F.size(rest) > 0) & (F.size(rest) == F.size("dims")), F.map_from_arrays("dims", rest)).otherwise(F.create_map(F.lit("PathComponents"), F.array_join(rest, "/")))
-    decoded = judged.where("error_type is null").select("namespace", "id", "ts", "submission_date", "client_ip", "payload", named.alias("dims"))
-    return landfill, decoded, judged.where("error_type is not null").select("path", "ts", "error_type")
-
-
-def gunzipped(payload: Column) -> Column:
-    """Gzip bytes to text; bytes that are not gzip as they are; null where the stream is broken."""
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for some in batches:
-            out = []
-            for b in some:
-                try:
-                    out.append(None if b is None else (gzip.decompress(bytes(b)) if bytes(b[:2]) == b"\x1f\x8b" else bytes(b)).decode("utf-8", "replace"))
-                except (OSError, EOFError, zlib.error):
-                    out.append(None)
-            yield pd.Series(out, dtype=object)
-
-    return F.pandas_udf(run, "string")(payload)
-
-
-def decode_pings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Submissions (payload: binary, ts) -> decoded pings and errors (error_type: read, gzip, size, json or payload).
-
-    The document is parsed once. Its format follows from its fields: ver 3, another ver, version, deviceinfo,
-    v, or none of them; each puts the dimensions elsewhere. A missing dimension is UNKNOWN.
-    """
-    text = raw.withColumn("document", gunzipped(F.col("payload")))
-    parsed = text.withColumn("doc", F.expr("CASE WHEN octet_length(document) <= {} THEN try_parse_json(document) END".format(MOST_BYTES)))
-    get = lambda path, kind="string": F.try_variant_get("doc", path, kind)
-    error = (
-        F.when(F.col("payload").isNull() | (F.octet_length("payload") == 0), "read")
-        .when(F.col("document").isNull(), "gzip")
-        .when(F.octet_length("document") > MOST_BYTES, "size")
-        .when(F.col("doc").isNull(), "json")
-        .when(~F.schema_of_variant("doc").startswith("OBJECT"), "payload")
-    )
-    form = F.when(get("$.ver", "int") == 3, "saved").when(get("$.ver").isNotNull(), "old").when(get("$.version").isNotNull(), "unified").when(F.try_variant_get("doc", "$.deviceinfo", "variant").isNotNull(), "device").when(get("$.v").isNotNull(), "core").otherwise("other")
-    judged = parsed.withColumn("error_type", error).withColumn("format", form)
-    pick = lambda unified, other: F.coalesce(F.when(F.col("format") == "unified", get(unified)), get(other), F.lit(UNKNOWN))
-    client = F.coalesce(get("$.clientId"), get("$.clientID"))
-    decoded = judged.where("error_type is null").select(
-        "ts",
-        "format",
-        pick("$.type", "$.info.reason").alias("doc_type"),
-        pick("$.application.name", "$.info.appName").alias("app_name"),
-        pick("$.application.version", "$.info.appVersion").alias("app_version"),
-        pick("$.application.channel", "$.info.appUpdateChannel").alias("app_update_channel"),
-        pick("$.application.buildId", "$.info.appBuildID").alias("app_build_id"),
-        N.norm_channel(pick("$.application.channel", "$.info.appUpdateChannel")).alias("normalized_channel"),
-        client.alias("client_id"),
-        N.sample_id(client).alias("sample_id"),
-        "document",
-    )
-    return decoded, judged.where("error_type is not null").select("ts", "error_type")
-
-
-def validate_pings(df: DataFrame, schemas: dict[str, tuple[T.StructType, list[str]]]) -> DataFrame:
-    """Documents (doc_type, document: JSON text) against a declared schema per type, with the columns that must be there.
-
-    Adds error_type: uri for a type without schema, json for a document that is none or lacks a required column; and
-    parsed, a map of the required columns as text. saved-session is held against main's schema.
-    """
-    kind = F.when(F.col("doc_type") == "saved-session", "main").otherwise(F.col("doc_type"))
-    error, found = F.when(~F.coalesce(kind.isin(list(schemas)), F.lit(False)), "uri"), F.lit(None).cast("map<string,string>")
-    for name, (schema, required) in schemas.items():
-        open_schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-        value = F.from_json("document", open_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-        bad = value.isNull() | value["_corrupt_record"].isNotNull()
-        for r in required:
-            bad = bad | value[r].isNull()
-        error = error.when((kind == name) & bad, "json")
-        found = F.when(kind == name, F.create_map(*[x for r in required for x in (F.lit(r), value[r].cast("string"))])).otherwise(found)
-    return df.withColumn("error_type", error).withColumn("parsed", F.when(F.col("error_type").isNull(), found))
-
-
-def fhr_dimensions(df: DataFrame, info_key: str = "appinfo") -> DataFrame:
-    """Health reports (document: JSON text, geo_country) of versions 1 to 3 -> their dimensions, with error for a document without them.
-    info_key: under which measurement of the last day old documents have them."""
-    doc = df.withColumn("doc", F.try_parse_json("document"))
-    get = lambda path: F.try_variant_get("doc", path, "string")
-    version = F.try_variant_get("doc", "$.version", "int")
-    one = lambda field: F.coalesce(get(f"$.geckoAppInfo.{field}"), get(f"$.data.last['{info_key}'].{field}"))
-    pick = lambda field, two, three: F.when(version == 1, one(field)).when(version == 2, get(two)).when(version == 3, get(three))
-    name, ver, channel, build = (pick(f, f"$.geckoAppInfo.{f}", f"$.environments.current.geckoAppInfo.{f}") for f in ("name", "version", "updateChannel", "appBuildID"))
-    out = doc.select("*", version.alias("fhr_version"), name.alias("app_name"), ver.alias("app_version"), channel.alias("app_update_channel"), build.alias("app_build_id"))
-    error = F.when(F.col("doc").isNull(), "json").when(F.col("fhr_version").isNull() | ~F.col("fhr_version").between(1, 3), "version").when(F.col("app_name").isNull(), "missing object")
-    return out.select(*[c for c in df.columns if c not in ("geo_country", "document")], F.coalesce("geo_country", F.lit("??")).alias("geo_country"), "fhr_version", "app_name", "app_version", "app_update_channel", "app_build_id", error.alias("error"))
-
-
 # What a certificate report is expected to have.
 TLS_FIELDS = ("hostname", "port", "timestamp", "errorCode", "failedCertChain", "userAgent", "version", "build", "product", "channel")
 

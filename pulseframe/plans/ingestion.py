@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import normalize as N
-from ..operators import derive
+from ..operators import decode, derive
 from ..sources import index, scan, sinks
 from .aggregates import plain
 from .fixtures import countries, crashes, mains, nested, pings, with_flat
@@ -28,82 +28,139 @@ def folder(spark: SparkSession) -> str:
 
 
 def _raw(spark, sf_dir):
-    """Submissions over HTTP: most are well formed, some lack a part."""
+    """Submissions over HTTP: most are well formed, some have a part too few, too many or too long."""
     k = F.col("k")
+    to = lambda *parts: F.concat_ws("/", F.lit(""), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    own = [F.col("document_id"), F.col("doc_type"), "Browser", F.col("raw_channel")]
     path = (
         F.when(k == 0, None)
-        .when(k < 4, F.concat(F.lit("/other/telemetry/"), F.col("document_id")))
-        .when(k < 8, F.concat(F.lit("/submit/nowhere/"), F.col("document_id")))
+        .when(k == 1, F.lit("/submit/"))
+        .when(k < 4, to("other", "telemetry", F.col("document_id")))
+        .when(k < 8, to("submit", "nowhere", F.col("document_id")))
         .when(k < 12, F.lit("/submit/telemetry/"))
-        .when(k < 16, F.concat(F.lit("/submit/telemetry/"), F.col("document_id"), F.lit("/main")))
-        .otherwise(F.concat(F.lit("//submit/telemetry/"), F.col("document_id"), F.lit("/"), F.col("doc_type"), F.lit("/Browser/"), F.col("raw_channel")))
+        .when(k < 16, to("submit", "telemetry", F.col("document_id"), "main"))
+        .when((k >= 20) & (k < 30), to("submit", "telemetry", *own, "more", ""))
+        .when((k >= 30) & (k < 34), to("submit", "telemetry", *own, "x" * 250))
+        .otherwise(F.concat(F.lit("/"), to("submit", F.when(k % 2 == 0, "telemetry").otherwise("plain"), *own)))
     )
-    payload = F.when(k < 20, F.repeat(F.col("props"), 40)).otherwise(F.col("props"))
+    payload = F.when((k >= 16) & (k < 20), F.repeat(F.col("props"), 40)).otherwise(F.col("props"))
     ip = F.when(k % 3 == 0, F.concat(F.lit("10.0.0."), k.cast("string"), F.lit(", 1.1.1.1")))
     return pings(spark, sf_dir).select("event_id", path.alias("path"), payload.alias("payload"), ip.alias("forwarded_for"), F.lit("9.9.9.9").alias("remote_addr"), "ts")
 
 
 def _namespaces(spark):
-    return spark.createDataFrame([("telemetry", 300, 200, ["docType", "appName", "appUpdateChannel"])], "namespace string, max_data_length int, max_path_length int, dims array<string>")
+    rows = [("telemetry", 300, 200, ["docType", "appName", "appUpdateChannel"], None), ("plain", 300, 200, None, "other-log")]
+    return spark.createDataFrame(rows, "namespace string, max_data_length int, max_path_length int, dims array<string>, logger string")
 
 
-_ERROR = "CASE WHEN k = 0 THEN 'missing path' WHEN k < 4 THEN 'not found' WHEN k < 8 THEN 'invalid namespace' WHEN k < 20 AND length(props) * 40 > 300 THEN 'payload too large' WHEN k >= 8 AND k < 12 THEN 'missing id' END"
+def _ranges(spark):
+    return spark.createDataFrame([(167772160, 167772191, "AA", "A-city"), (151587072, 151587327, "BB", "B-city")], "first long, last long, country string, city string")
 
 
-@query("j01_route_submissions", with_flat(f"SELECT coalesce({_ERROR}, 'decoded') AS outcome, count(*) AS n, count(DISTINCT CASE WHEN {_ERROR} IS NULL THEN CASE WHEN k % 3 = 0 THEN '10.0.0.' || k ELSE '9.9.9.9' END END) AS addresses FROM f GROUP BY 1 UNION ALL SELECT 'landfill', count(*), 0 FROM f"))
+_ERROR = "CASE WHEN k < 2 THEN 'not enough path components' WHEN k < 4 THEN 'invalid path prefix' WHEN k < 8 THEN 'invalid namespace' WHEN k BETWEEN 16 AND 19 AND length(props) * 40 > 300 THEN 'payload too large' WHEN k BETWEEN 30 AND 33 THEN 'path too long' END"
+_PLACE = "CASE WHEN k % 3 > 0 THEN 'BB' WHEN k < 32 THEN 'AA' ELSE '??' END"
+
+
+@query("j01_route_submissions", with_flat(f"SELECT coalesce({_ERROR}, 'decoded') AS outcome, CASE WHEN {_ERROR} IS NULL THEN {_PLACE} END AS country, count(*) AS n FROM f GROUP BY ALL UNION ALL SELECT 'landfill', {_PLACE}, count(*) FROM f GROUP BY ALL"))
 def route(spark, sf_dir):
-    landfill, decoded, errors = derive.route_submissions(_raw(spark, sf_dir), _namespaces(spark))
-    count = lambda df, outcome, ip: df.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(ip).alias("addresses"))
+    landfill, decoded, errors = decode.route_submissions(_raw(spark, sf_dir), _namespaces(spark), _ranges(spark))
+    count = lambda df, outcome, place: df.groupBy(outcome.alias("outcome"), place.alias("country")).agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(None).cast("string")
-    return count(landfill, F.lit("landfill"), none).unionByName(count(decoded, F.lit("decoded"), F.col("client_ip"))).unionByName(count(errors, F.col("error_type"), none))
+    return count(landfill, F.lit("landfill"), F.col("geo_country")).unionByName(count(decoded, F.lit("decoded"), F.col("geo_country"))).unionByName(count(errors, F.col("error_type"), none))
+
 
+_PLAIN = "(k >= 34 AND k % 2 = 1 OR k BETWEEN 16 AND 19 AND k % 2 = 1)"
 
-@query("j01_decoded_dimensions", with_flat(f"SELECT document_id AS id, CASE WHEN k < 16 THEN NULL ELSE doc_type END AS doc_type, CASE WHEN k < 16 THEN NULL ELSE raw_channel END AS channel, CASE WHEN k < 16 THEN 'main' END AS components FROM f WHERE {_ERROR} IS NULL"))
+
+@query("j01_decoded_dimensions", with_flat(f"""SELECT CASE WHEN k >= 12 THEN document_id END AS id, CASE WHEN {_PLAIN} THEN 'other-log' ELSE 'telemetry' END AS logger, CASE WHEN k BETWEEN 12 AND 15 THEN 'main' WHEN k >= 16 AND NOT k BETWEEN 20 AND 29 AND NOT {_PLAIN} THEN doc_type END AS doc_type,
+  CASE WHEN k >= 16 AND NOT k BETWEEN 20 AND 29 AND NOT {_PLAIN} THEN raw_channel END AS channel, CASE WHEN k BETWEEN 20 AND 29 THEN doc_type || '/Browser/' || raw_channel || '/more' WHEN {_PLAIN} THEN doc_type || '/Browser/' || raw_channel END AS components FROM f WHERE {_ERROR} IS NULL"""))
 def decoded_dimensions(spark, sf_dir):
-    _, decoded, _ = derive.route_submissions(_raw(spark, sf_dir), _namespaces(spark))
+    _, decoded, _ = decode.route_submissions(_raw(spark, sf_dir), _namespaces(spark), _ranges(spark))
     at = lambda key: F.try_element_at("dims", F.lit(key))
-    return decoded.select("id", at("docType").alias("doc_type"), at("appUpdateChannel").alias("channel"), at("PathComponents").alias("components"))
+    return decoded.select(F.col("document_id").alias("id"), "logger", at("docType").alias("doc_type"), at("appUpdateChannel").alias("channel"), F.array_join("path_components", "/").alias("components"))
 
 
 def _documents(spark, sf_dir):
-    """Payload bytes: unified and old documents, plain and gzip, and broken ones."""
+    """Payload bytes of each format, plain and gzip, with and without what the format must have."""
     import gzip
     from collections.abc import Iterator
 
     import pandas as pd
 
-    k = F.col("k")
-    unified = F.to_json(F.struct(F.lit(4).alias("version"), F.col("doc_type").alias("type"), F.col("client_id").alias("clientId"), F.struct(F.lit("Browser").alias("name"), F.col("raw_channel").alias("channel")).alias("application")))
-    old = F.to_json(F.struct(F.lit(3).alias("ver"), F.struct(F.lit("idle").alias("reason"), F.lit("Mobile").alias("appName"), F.col("raw_channel").alias("appUpdateChannel")).alias("info"), F.col("client_id").alias("clientID")))
-    text = F.when(k % 10 == 0, "{broken").when(k % 10 == 1, "[1]").when(k % 10 == 2, old).when(k % 10 == 3, "").otherwise(unified)
-    zipped = lambda k: k % 10 in (2, 4)
+    k = F.col("k") % 16
+    json = lambda **fields: F.to_json(F.struct(*[(c if hasattr(c, "alias") else F.lit(c)).alias(n) for n, c in fields.items()]))
+    struct = lambda **fields: F.struct(*[(c if hasattr(c, "alias") else F.lit(c)).alias(n) for n, c in fields.items()])
+    app = struct(name="Browser", version="40.0", channel=F.col("raw_channel"), buildId="2015", vendor="V")
+    date_, client, kind = "2024-01-05T10:00:00.000Z", F.col("client_id"), F.col("doc_type")
+    environment = struct(system=struct(os=struct(name=F.col("raw_os"))), settings=struct(telemetryEnabled=F.col("is_default")), other=struct(a=1))
+    texts = {
+        0: F.lit("{broken"),
+        1: F.lit("[1]"),
+        2: json(ver=1, info=struct(reason="idle", appName="Mobile", appUpdateChannel=F.col("raw_channel"), OS=F.col("raw_os"), vendor="V"), clientID=client),
+        3: F.lit(""),
+        4: json(version=4, type=kind, clientId=client, creationDate=date_, application=app, environment=environment, payload=struct(info=struct(reason="shutdown"), extra=1)),
+        6: json(ver=3, clientId=client),
+        7: json(ver=1, clientID=client),
+        8: json(version=4, type=kind, creationDate=date_),
+        9: json(version=4, type=kind, application=app, creationDate="today"),
+        10: F.concat(F.lit('{"deviceinfo":{"deviceinfo.platform_version":"28.0","deviceinfo.update_channel":"'), F.col("raw_channel"), F.lit('"}}')),
+        11: json(v=7, clientId=client),
+        12: json(hello=1),
+        13: F.lit('"text"'),
+    }
+    text = json(version=4, type=kind, clientId=client, creationDate=date_, application=app, payload=struct(info=struct(reason="daily")))
+    for n, t in texts.items():
+        text = F.when(k == n, t).otherwise(text)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            data = [gzip.compress(t.encode()) if zipped(k) else b"\x1f\x8bnot" if k % 10 == 5 else t.encode() for t, k in zip(b["text"], b["k"], strict=True)]
-            yield pd.DataFrame({"ts": b["ts"], "payload": data})
-
-    return pings(spark, sf_dir).select("ts", "k", text.alias("text")).mapInPandas(pack, "ts timestamp, payload binary")
-
-
-@query("j02_decode_pings", with_flat("""SELECT kind, doc_type, app_name, channel, count(*) AS n FROM (SELECT CASE k % 10 WHEN 0 THEN 'json' WHEN 1 THEN 'payload' WHEN 3 THEN 'read' WHEN 5 THEN 'gzip' WHEN 2 THEN 'saved' ELSE 'unified' END AS kind,
-  CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'idle' ELSE doc_type END AS doc_type, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL WHEN k % 10 = 2 THEN 'Mobile' ELSE 'Browser' END AS app_name, CASE WHEN k % 10 IN (0, 1, 3, 5) THEN NULL ELSE channel END AS channel FROM f) t GROUP BY ALL"""))
-def decode(spark, sf_dir):
-    decoded, errors = derive.decode_pings(_documents(spark, sf_dir))
-    good = decoded.select(F.col("format").alias("kind"), "doc_type", "app_name", F.col("normalized_channel").alias("channel"))
-    none = F.lit(None).cast("string")
-    bad = errors.select(F.col("error_type").alias("kind"), none.alias("doc_type"), none.alias("app_name"), none.alias("channel"))
-    return good.unionByName(bad).groupBy("kind", "doc_type", "app_name", "channel").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("j03_validate_pings", with_flat("""SELECT event_id, CASE WHEN k % 5 = 0 THEN 'uri' WHEN k % 5 = 1 OR k % 5 = 2 THEN 'json' END AS error_type, CASE WHEN k % 5 > 2 THEN client_id END AS client FROM f"""))
+            data = [gzip.compress(t.encode()) if k % 16 in (2, 4) else b"\x1f\x8bnot" if k % 16 == 5 else t.encode() for t, k in zip(b["text"], b["k"], strict=True)]
+            yield pd.DataFrame({"ts": b["ts"], "raw_channel": b["raw_channel"], "payload": data})
+
+    made = pings(spark, sf_dir).select("ts", "k", "raw_channel", text.alias("text")).mapInPandas(pack, "ts timestamp, raw_channel string, payload binary")
+    dims = F.create_map(F.lit("docType"), F.lit("ftu"), F.lit("appName"), F.lit("App"), F.lit("appUpdateChannel"), F.col("raw_channel"))
+    return made.select("ts", "payload", dims.alias("dims"))
+
+
+_DECODED = ["kind", "error", "doc_type", "app_name", "app_version", "channel", "os", "reason", "enabled", "version", "sections"]
+
+
+@query("j02_decode_pings", with_flat("""SELECT *, count(*) AS n FROM (SELECT
+  CASE j WHEN 0 THEN 'json' WHEN 3 THEN 'read' WHEN 5 THEN 'gzip' WHEN 7 THEN 'payload' WHEN 8 THEN 'payload' WHEN 9 THEN 'payload' WHEN 13 THEN 'payload' WHEN 1 THEN 'other' WHEN 2 THEN 'old' WHEN 6 THEN 'saved' WHEN 10 THEN 'device' WHEN 11 THEN 'core' WHEN 12 THEN 'other' ELSE 'unified' END AS kind,
+  CASE j WHEN 7 THEN 'missing info object' WHEN 8 THEN 'missing application object' WHEN 9 THEN 'missing creationDate' WHEN 13 THEN 'no object' END AS error,
+  CASE WHEN j IN (0, 3, 5, 7, 8, 9, 13) THEN NULL WHEN j IN (1, 6, 11, 12) THEN 'ftu' WHEN j = 2 THEN 'idle' WHEN j = 10 THEN 'appusage' ELSE doc_type END AS doc_type,
+  CASE WHEN j IN (0, 3, 5, 7, 8, 9, 13) THEN NULL WHEN j IN (1, 6, 11, 12) THEN 'App' WHEN j = 2 THEN 'Mobile' WHEN j = 10 THEN 'Device' ELSE 'Browser' END AS app_name,
+  CASE WHEN j IN (4, 14, 15) THEN '40.0' WHEN j = 2 THEN 'UNKNOWN' WHEN j = 10 THEN '28.0' END AS app_version,
+  CASE WHEN j IN (2, 4, 6, 10, 14, 15) THEN channel END AS channel,
+  CASE WHEN j IN (2, 4) THEN raw_os END AS os,
+  CASE j WHEN 2 THEN 'idle' WHEN 4 THEN 'shutdown' WHEN 14 THEN 'daily' WHEN 15 THEN 'daily' END AS reason,
+  CASE WHEN j = 2 THEN TRUE WHEN j = 4 THEN is_default END AS enabled,
+  CASE WHEN j IN (4, 14, 15) THEN '4' WHEN j = 2 THEN '1' WHEN j IN (6, 10) THEN '3' WHEN j = 11 THEN '7' END AS version,
+  CASE WHEN j = 4 THEN CASE WHEN doc_type = 'crash' THEN 'environment.settings,environment.system' ELSE 'environment.settings,environment.system,payload.info' END WHEN j IN (14, 15) AND doc_type <> 'crash' THEN 'payload.info' WHEN j IN (0, 3, 5, 7, 8, 9, 13) THEN NULL ELSE '' END AS sections
+  FROM (SELECT *, k % 16 AS j FROM f) g) t GROUP BY ALL"""))
+def decoded_pings(spark, sf_dir):
+    good, bad = decode.decode_pings(_documents(spark, sf_dir), device_app="Device")
+    sections = F.array_join(F.array_sort(F.map_keys("sections")), ",")
+    own = good.select(F.col("format").alias("kind"), "doc_type", "app_name", "app_version", F.col("normalized_channel").alias("channel"), "os", "reason", F.col("telemetry_enabled").alias("enabled"), F.col("source_version").alias("version"), sections.alias("sections"))
+    return own.unionByName(bad.select(F.col("error_type").alias("kind"), "error"), allowMissingColumns=True).groupBy(*_DECODED).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("j03_validate_pings", with_flat("""SELECT event_id, CASE WHEN k % 9 < 5 THEN 'uri' WHEN k % 9 < 7 THEN 'json' END AS error_type, CASE WHEN k % 9 > 6 THEN client_id END AS client_id, CASE WHEN k % 9 > 6 THEN channel END AS normalized_channel,
+  CASE k % 9 WHEN 7 THEN 'saved-session' WHEN 8 THEN 'main' END AS doc_type, CASE WHEN k % 9 > 6 THEN raw_os END AS os, CASE WHEN k % 9 > 6 THEN TIMESTAMP '2024-01-05 10:00:00' END AS creation_ts, CASE WHEN k % 9 > 4 THEN CASE k % 9 WHEN 7 THEN 'saved-session' ELSE 'main' END WHEN k % 9 = 4 THEN 'no-such' END AS path_type FROM f"""))
 def validate(spark, sf_dir):
-    k = F.col("k") % 5
-    body = F.when(k == 1, F.lit('{"payload": {}}')).when(k == 2, F.lit("{nope")).otherwise(F.to_json(F.struct(F.col("client_id").alias("clientId"), F.struct(F.lit(1).alias("x")).alias("payload"))))
-    df = pings(spark, sf_dir).select("event_id", F.when(k == 0, "no-such").when(k == 3, "saved-session").otherwise("main").alias("doc_type"), body.alias("document"))
-    schema = T.StructType([T.StructField("clientId", T.StringType()), T.StructField("payload", T.StructType([T.StructField("x", T.LongType())]))])
-    out = derive.validate_pings(df, {"main": (schema, ["clientId", "payload"])})
-    return out.select("event_id", "error_type", F.try_element_at("parsed", F.lit("clientId")).alias("client"))
+    k = F.col("k") % 9
+    to = lambda *parts: F.concat_ws("/", F.lit(""), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    ident = F.col("document_id")
+    kind = F.when(k == 7, "saved-session").when(k == 4, "no-such").otherwise("main")
+    path = F.when(k == 0, to("submit", "telemetry")).when(k == 1, to("other", "telemetry", ident, "main")).when(k == 2, to("submit", "nowhere", ident, "main")).when(k == 3, to("submit", "telemetry", ident, "main", "a", "b", "c")).otherwise(to("submit", "telemetry", ident, kind))
+    app = F.struct(F.lit("Browser").alias("name"), F.col("raw_channel").alias("channel"))
+    environment = F.struct(F.struct(F.struct(F.col("raw_os").alias("name")).alias("os")).alias("system"))
+    whole = F.to_json(F.struct(F.col("client_id").alias("clientId"), kind.alias("type"), F.lit("2024-01-05T10:00:00Z").alias("creationDate"), app.alias("application"), environment.alias("environment")))
+    body = F.when(k == 5, F.lit('{"application": {}}')).when(k == 6, F.lit("{nope")).otherwise(whole)
+    df = pings(spark, sf_dir).select("event_id", path.alias("path"), body.alias("document"))
+    schema = T.StructType([T.StructField("clientId", T.StringType()), T.StructField("application", T.StructType([T.StructField("name", T.StringType())]))])
+    out = decode.validate_pings(df, _namespaces(spark), {"main": (schema, ["clientId", "application.name"])})
+    return out.select("event_id", "error_type", "client_id", "normalized_channel", "doc_type", "os", "creation_ts", F.try_element_at("dims", F.lit("docType")).alias("path_type"))
 
 
 _EXEC = """SELECT event_id, ts AS "timestamp", CASE WHEN doc_type = 'crash' THEN CAST(submission_date - CAST(event_id % 3 AS INT) AS TIMESTAMP) ELSE CAST(submission_date - CAST(event_id % 3 AS INT) AS TIMESTAMP) END AS activity_timestamp, profile_ts AS profile_creation_timestamp,
@@ -137,18 +194,31 @@ def payload_size(spark, sf_dir):
     return sizes.groupBy("build", "channel", "doc_type").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
 
 
-@query("j09_fhr_dimensions", with_flat("""SELECT event_id, CASE WHEN k % 6 = 4 THEN NULL WHEN k % 6 = 5 THEN 9 WHEN k % 6 = 3 THEN 1 ELSE k % 6 + 1 END AS fhr_version, CASE WHEN k % 6 < 4 THEN 'Browser' END AS app_name, CASE WHEN k % 6 < 4 THEN raw_channel END AS app_update_channel,
-  coalesce(raw_country, '??') AS geo_country, CASE k % 6 WHEN 4 THEN 'json' WHEN 5 THEN 'version' END AS error FROM f"""))
+@query("j09_fhr_dimensions", with_flat("""SELECT event_id, CAST(submission_date AS VARCHAR) AS submission_date, coalesce(raw_country, '??') AS geo_country, CASE WHEN j = 8 THEN NULL WHEN j = 9 THEN '9' WHEN j < 4 THEN '1' WHEN j < 6 THEN '2' ELSE '3' END AS fhr_version,
+  CASE WHEN j IN (0, 1, 4, 6) THEN 'Browser' END AS app_name, CASE WHEN j IN (0, 1, 4, 6) THEN 'UNKNOWN' END AS app_version, CASE WHEN j IN (0, 1, 4, 6) THEN raw_channel END AS app_update_channel, CASE WHEN j IN (0, 1, 4, 6) THEN raw_os END AS os, CASE WHEN j IN (0, 1, 4, 6) THEN client_id END AS client_id,
+  CASE j WHEN 2 THEN 'missing object: data.last[.appInfo.appinfo]' WHEN 3 THEN 'missing object: data' WHEN 5 THEN 'missing object: geckoAppInfo' WHEN 7 THEN 'missing object: environments.current' WHEN 8 THEN 'json' WHEN 9 THEN 'unknown payload version' END AS error FROM (SELECT *, k % 10 AS j FROM f) g"""))
 def fhr(spark, sf_dir):
-    k = F.col("k") % 6
-    info = F.struct(F.lit("Browser").alias("name"), F.col("raw_channel").alias("updateChannel"))
-    one = F.to_json(F.struct(F.lit(1).alias("version"), info.alias("geckoAppInfo")))
-    two = F.to_json(F.struct(F.lit(2).alias("version"), info.alias("geckoAppInfo")))
-    three = F.to_json(F.struct(F.lit(3).alias("version"), F.struct(F.struct(info.alias("geckoAppInfo")).alias("current")).alias("environments")))
-    old = F.to_json(F.struct(F.lit(1).alias("version"), F.struct(F.struct(info.alias("old.appinfo")).alias("last")).alias("data")))
-    doc = F.when(k == 0, one).when(k == 1, two).when(k == 2, three).when(k == 3, old).when(k == 4, "{").otherwise('{"version": 9}')
-    out = derive.fhr_dimensions(pings(spark, sf_dir).select("event_id", F.col("raw_country").alias("geo_country"), doc.alias("document")), "old.appinfo")
-    return out.select("event_id", "fhr_version", "app_name", "app_update_channel", "geo_country", "error")
+    k = F.col("k") % 10
+    struct = lambda **fields: F.struct(*[(c if hasattr(c, "alias") else F.lit(c)).alias(n) for n, c in fields.items()])
+    info = struct(name="Browser", updateChannel=F.col("raw_channel"), os=F.col("raw_os"))
+    client = {"clientID": F.col("client_id")}
+    of = lambda key: F.to_json(struct(version=1, data=struct(last=F.struct(info.alias(key))), **client))
+    texts = {
+        0: of("org.x.appInfo.appinfo"),
+        1: of("org.x.appInfo.appinfo.1"),
+        2: of("org.x.appInfo"),
+        3: F.to_json(struct(version=1, **client)),
+        4: F.to_json(struct(version=2, geckoAppInfo=info, **client)),
+        5: F.to_json(struct(version=2, **client)),
+        6: F.to_json(struct(version=3, environments=struct(current=struct(geckoAppInfo=info)), **client)),
+        7: F.to_json(struct(version=3, environments=struct(older=1), **client)),
+        8: F.lit("{"),
+    }
+    doc = F.lit('{"version": 9}')
+    for n, t in texts.items():
+        doc = F.when(k == n, t).otherwise(doc)
+    out = decode.fhr_dimensions(pings(spark, sf_dir).select("event_id", "ts", F.col("raw_country").alias("geo_country"), doc.alias("document")))
+    return plain(out).select("event_id", "submission_date", "geo_country", "fhr_version", "app_name", "app_version", "app_update_channel", "os", "client_id", "error")
 
 
 @query("j10_tls_reports", with_flat("""SELECT event_id, 'h' || (user_id % 9) || '.example' AS hostname, CAST(NULL AS VARCHAR) AS "version", CAST(k % 3 AS BIGINT) AS chain_length, 1704067200 + event_id - 1706659200 AS skew, CASE WHEN k % 3 > 0 THEN 'c0' END AS first_certificate, CASE WHEN k % 3 > 0 THEN 'c' || (k % 3 - 1) END AS last_certificate FROM f WHERE k % 7 <> 0"""))
@@ -312,9 +382,12 @@ def json_gz(spark, sf_dir):
     return spark.read.schema("event_id long, raw_os string, k int").json(path)
 
 
-@query("s14_to_bulk_json", with_flat("""SELECT '{"index":{"_index":"pings","_type":"' || 'ping' || '","_id":"' || document_id || '"}}' || chr(10) || '{"Timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","Latency":' || (event_id % 90) * 60 || ',"doc_type":"' || doc_type || '","k":' || k || '}' AS value FROM f"""))
+@query("s14_to_bulk_json", with_flat("""SELECT '{"index":{"_index":"pings","_type":"ping","_id":"' || document_id || '"}}' || chr(10) || '{"Timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z","doc_type":"' || doc_type || '","k":' || k || CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN ',"tag":"a"' ELSE ',"tag":["a","b"]' END
+  || ',"subsessionStartDate":"' || strftime(submission_date - CAST(event_id % 3 AS INT), '%Y-%m-%d') || 'T00:00:00.0Z","subsessionLength":' || seconds || ',"telemetryEnabled":true,"architecture":"x86","Latency":' || (event_id % 90) * 60 || ',"creationTimestamp":"' || strftime(ts - (event_id % 90) * INTERVAL 1 MINUTE, '%Y-%m-%dT%H:%M:%S') || 'Z"}' AS value FROM f"""))
 def bulk(spark, sf_dir):
-    return sinks.to_bulk_json(nested(spark, sf_dir), "pings", "ping", ["doc_type", "k"])
+    tags = F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), F.col("k") % 3)
+    settings, document = F.lit('{"telemetryEnabled":true,"locale":"x"}'), F.to_json(F.struct(F.struct("environment.build.architecture").alias("application")))
+    return sinks.to_bulk_json(nested(spark, sf_dir).withColumn("tag", tags), "pings", "ping", ["doc_type", "k", "tag"], info=F.to_json("payload.info"), settings=settings, document=document)
 
 
 @query("s15_export_matching", with_flat("""SELECT '{"event_id":' || event_id || ',"doc_type":"' || doc_type || '"}' AS value FROM f WHERE doc_type = 'crash' AND k > 50"""))
