@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,25 +40,49 @@ def horizon(series: DataFrame, rows: int, seconds: int) -> DataFrame:
     return series.join(F.broadcast(newest)).where(F.unix_timestamp("bucket") > F.unix_timestamp("_newest") - rows * seconds).drop("_newest")  # one row
 
 
-def merge_json_counts(docs: DataFrame) -> DataFrame:
-    """Objects of many hosts as rows (path, kind, number, other, ts) -> one value per path: numbers add up, other values are the
-    last ones. The kind that a path has first is its kind; later values of another are passed over."""
-    order = F.struct("ts", "event_id")
-    first = docs.groupBy("path").agg(F.min_by("kind", order).alias("kind"))
-    own = docs.join(first, ["path", "kind"], "left_semi")
-    number = F.sum(F.when(F.col("kind") == "number", F.col("number"))).alias("number")
-    other = F.max_by(F.when(F.col("kind") != "number", F.col("other")), order).alias("other")
-    return own.groupBy("path", "kind").agg(number, other)
-
-
 def flattened(df: DataFrame, doc: str) -> DataFrame:
-    """JSON objects of scalars, two levels deep -> rows (path, kind, number, other)."""
-    top = df.select("*", F.explode(F.from_json(doc, "map<string,string>")).alias("k", "v"))
-    inner = F.from_json("v", "map<string,string>")
-    rows = top.select("*", F.explode(F.when(F.col("v").startswith("{") & inner.isNotNull(), F.map_entries(F.transform_keys(inner, lambda k, _: F.concat("k", F.lit("."), k)))).otherwise(F.array(F.struct(F.col("k").alias("key"), F.col("v").alias("value"))))).alias("e"))
-    number = F.col("e.value").try_cast("double")
-    kind = F.when(number.isNotNull(), "number").when(F.col("e.value").isin("true", "false"), "boolean").otherwise("string")
-    return rows.select(*[c for c in df.columns if c != doc], F.col("e.key").alias("path"), kind.alias("kind"), number.alias("number"), F.col("e.value").alias("other"))
+    """JSON objects (a column of text), of any depth -> rows (parts, kind, number, other), one for each value and each object or array within.
+
+    parts are the keys from the top, those of arrays as [0], [1] and so on. Nulls and text that is no object count for nothing. A level is
+    exploded at a time, until one has no objects and arrays any more.
+    """
+    own = [c for c in df.columns if c != doc]
+    spark = df.sparkSession
+    level = df.select(*own, F.array().cast("array<string>").alias("parts"), F.try_parse_json(doc).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    rows = None
+    while rows is None or level.take(1):
+        inner = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        shape = F.schema_of_variant("value")
+        kind = F.when(shape.rlike("^(OBJECT|ARRAY)"), "table").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", None).otherwise("number")
+        key = F.coalesce("key", F.format_string("[%d]", "pos"))
+        found = inner.select(*own, F.concat("parts", F.array(key)).alias("parts"), kind.alias("kind"), F.col("value").alias("v")).where("kind is not null")
+        number = F.when(F.col("kind") == "number", F.try_variant_get("v", "$", "double"))
+        other = F.when(F.col("kind").isin("string", "boolean"), F.try_variant_get("v", "$", "string"))
+        made = found.select(*own, "parts", "kind", number.alias("number"), other.alias("other"))
+        rows = made if rows is None else rows.unionByName(made)
+        level = found.where("kind = 'table'").select(*own, "parts", "v")
+    return rows
+
+
+def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows of flattened() with ts and event_id -> one value for each key and path: numbers add up, of texts and booleans the last one stays.
+
+    What a path has first is its kind; later values of another kind are passed over, and with an object or array all that is in it. One
+    aggregate by path and kind comes first, so that what meets by path is small.
+    """
+    order = F.struct("ts", "event_id")
+    own = [*keys, "parts"]
+    per = rows.groupBy(*own, "kind").agg(F.min(order).alias("first"), F.sum("number").alias("number"), F.max_by("other", order).alias("other"))
+    chosen = per.groupBy(*own).agg(F.min_by(F.struct("kind", "number", "other"), "first").alias("r")).select(*own, "r.*")
+    above = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.slice("parts", 1, n))
+    inner = chosen.where(F.size("parts") > 1).select(*own, F.explode(above).alias("above"))
+    plain = chosen.where("kind <> 'table'").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("parts").alias("above"))
+    met = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    lost = inner.alias("i").join(plain.alias("p"), reduce(Column.__and__, met, F.col("i.above") == F.col("p.above"))).select(*[F.col(f"i.{k}") for k in own]).distinct()
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"l.{k}")) for k in own]
+    kept = chosen.where("kind <> 'table'").alias("c").join(lost.alias("l"), reduce(Column.__and__, same), "left_anti")
+    path = F.replace(F.array_join("parts", "."), F.lit(".["), F.lit("["))
+    return kept.select(*keys, path.alias("path"), "kind", "number", "other")
 
 
 def merge_series(hosts: DataFrame) -> DataFrame:

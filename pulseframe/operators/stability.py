@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,21 +71,31 @@ def usage_aggregate(mains: DataFrame, crashes: DataFrame, days: tuple[date, date
     return both.fillna(0, sums).groupBy("submission_date", "subsession_date", *DIMS).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def stability_summary(main: DataFrame, crashes: DataFrame) -> DataFrame:
-    """The day's roll-ups summed by channel, build and system; a side that has none reads zero."""
+def stability_summary(main: DataFrame, crashes: DataFrame, days: Sequence[str] = ()) -> DataFrame:
+    """The day's roll-ups summed by channel, build and system (and columns of days); a side that has none reads zero."""
     keys = ["channel", "build_id", "os"]
     sums = ["aborted_session_count", "subsession_lengths", *SUMS, "crashes"]
-    both = main.select(*keys, *sums[:-1]).unionByName(crashes.select(*keys, "crashes"), allowMissingColumns=True)
+    both = main.select(*days, *keys, *sums[:-1]).unionByName(crashes.select(*days, *keys, "crashes"), allowMissingColumns=True)
     empty = [F.coalesce(F.col(k), F.lit("")).alias(k) for k in keys]
-    return both.groupBy(*empty).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    return both.groupBy(*days, *empty).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
 
 
-def stability_rollups(mains: DataFrame, start: date, end: date, *, yesterday: date, latency: int = LATENCY) -> DataFrame:
-    """Main sums for every activity day that submissions of start to end can change: from latency days before start to yesterday at most.
+def stability_rollups(mains: DataFrame, crashes: DataFrame, start: date, end: date, *, yesterday: date, latency: int = LATENCY) -> dict[str, DataFrame]:
+    """The stability tables of every activity day that submissions of start to end can change: from latency days before start to yesterday
+    at most -> main, crashes, actives and summary with their activity_date, and usage of the submission days.
 
-    One plan for all days; write it with dynamic partition overwrite by activity_date.
+    Each is one plan for all days; write it with dynamic partition overwrite by activity_date, usage by submission_date.
     """
     first, last = start - timedelta(latency), min(end, yesterday)
-    own = mains.where(F.col("submission_date").between(F.lit(first - timedelta(1)), F.lit(yesterday)) & F.col("subsession_date").between(F.lit(first), F.lit(last)))
-    timely = own.where(F.datediff("submission_date", "subsession_date").between(-1, latency - 1)).withColumn("activity_date", F.col("subsession_date"))
-    return main_counts(timely, ["activity_date", *DIMS])
+
+    def timely(df: DataFrame, day: str) -> DataFrame:
+        own = df.where(F.col("submission_date").between(F.lit(first - timedelta(1)), F.lit(yesterday)) & F.col(day).between(F.lit(first), F.lit(last)))
+        return own.where(F.datediff("submission_date", day).between(-1, latency - 1)).withColumn("activity_date", F.col(day))
+
+    main = main_counts(timely(mains, "subsession_date"), ["activity_date", *DIMS])
+    crashed = crash_counts(timely(crashes, "crash_date"), ["activity_date", *DIMS, "has_crash_environment"])
+    keys = [d for d in DIMS if d != "build_id"]
+    newest = F.max_by(F.struct(*keys), F.struct("timestamp", "event_id")).alias("r")
+    per = timely(mains, "subsession_date").where("client_id is not null").groupBy("activity_date", "client_id").agg(newest)
+    actives = per.groupBy("activity_date", *[F.col(f"r.{k}").alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("active_users"))
+    return {"main": main, "crashes": crashed, "actives": actives, "usage": usage_aggregate(mains, crashes, (start, last)), "summary": stability_summary(main, crashed, ["activity_date"])}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as N
 from ..operators import budget, derive, reports, stability, updates, usage
 from .fixtures import crashes, countries, mains, nested, pings, summaries, with_flat
-from .registry import query, table
+from .registry import SQL, query, table
 
 WEEK = date(2024, 1, 14)
 DAY = date(2024, 1, 15)
@@ -191,12 +191,45 @@ def summary(spark, sf_dir):
     return stability.stability_summary(stability.stability_main(mains(spark, sf_dir), DAY, YESTERDAY), stability.stability_crashes(crashes(spark, sf_dir), DAY, YESTERDAY))
 
 
+_ROLLED = "submission_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-28' AND {0} BETWEEN DATE '2024-01-10' AND DATE '2024-01-22' AND submission_date - {0} BETWEEN -1 AND 9"
+_ROLLED_MAIN = f"SELECT CAST(activity_date AS VARCHAR) AS activity_date, {_DIMS}, {_MAIN_SUMS} FROM m WHERE {_ROLLED.format('activity_date')} GROUP BY ALL"
+_ROLLED_CRASH = f"SELECT CAST(crash_date AS VARCHAR) AS activity_date, {_DIMS}, has_environment AS has_crash_environment, count(*) AS crashes FROM c WHERE {_ROLLED.format('crash_date')} GROUP BY ALL"
+
+
+def _rolled(spark, sf_dir, name):
+    return plain(stability.stability_rollups(mains(spark, sf_dir), crashes(spark, sf_dir), date(2024, 1, 20), date(2024, 1, 22), yesterday=YESTERDAY)[name])
+
+
+@query("a39_stability_rollups", with_flat(_ROLLED_MAIN))
+def rollups(spark, sf_dir):
+    return _rolled(spark, sf_dir, "main")
+
+
+@query("a39_rollup_crashes", with_flat(_ROLLED_CRASH))
+def rollup_crashes(spark, sf_dir):
+    return _rolled(spark, sf_dir, "crashes")
+
+
 @query(
-    "a39_stability_rollups",
-    with_flat(f"""SELECT CAST(activity_date AS VARCHAR) AS activity_date, {_DIMS}, {_MAIN_SUMS} FROM m WHERE submission_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-28' AND activity_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-22' AND submission_date - activity_date BETWEEN -1 AND 9 GROUP BY ALL"""),
+    "a39_rollup_actives",
+    with_flat(f"""SELECT CAST(activity_date AS VARCHAR) AS activity_date, {', '.join(d for d in stability.DIMS if d != 'build_id')}, count(*) AS active_users FROM (SELECT activity_date, {_DIMS.replace('build_id, ', '')}, row_number() OVER (PARTITION BY client_id, activity_date ORDER BY ts DESC, event_id DESC) AS r FROM m WHERE {_ROLLED.format('activity_date')}) t WHERE r = 1 GROUP BY ALL"""),
 )
-def rollups(spark, sf_dir):
-    return plain(stability.stability_rollups(mains(spark, sf_dir), date(2024, 1, 20), date(2024, 1, 22), yesterday=YESTERDAY))
+def rollup_actives(spark, sf_dir):
+    return _rolled(spark, sf_dir, "actives")
+
+
+@query("a39_rollup_usage", SQL["a12_usage_aggregate"].replace("2024-01-10", "2024-01-20").replace("2024-01-16", "2024-01-22"))
+def rollup_usage(spark, sf_dir):
+    return _rolled(spark, sf_dir, "usage")
+
+
+@query(
+    "a39_rollup_summary",
+    with_flat(f"""SELECT activity_date, channel, build_id, os, {', '.join(f'CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}' for c in [*_SUMMARY, 'crashes'])} FROM (
+  SELECT activity_date, channel, build_id, os, {', '.join(_SUMMARY)}, 0 AS crashes FROM ({_ROLLED_MAIN}) a UNION ALL SELECT activity_date, channel, build_id, os, {', '.join('0' for _ in _SUMMARY)}, crashes FROM ({_ROLLED_CRASH}) b) t GROUP BY ALL"""),
+)
+def rollup_summary(spark, sf_dir):
+    return _rolled(spark, sf_dir, "summary")
 
 
 _SIZES = "z AS (SELECT channel, CASE WHEN doc_type IN ('main', 'saved-session') THEN doc_type ELSE 'other' END AS doc_type, submission_date, CASE WHEN user_id % 4 = 0 THEN NULL ELSE submission_date - CAST(user_id % 5 AS INT) END AS build_day, length(props) * 100 AS size FROM f)"

@@ -64,19 +64,40 @@ def switches(spark, sf_dir):
 _JSON = "json_object('n', k, 'os', raw_os, 'on', is_default, 'sub', json_object('x', k % 3))"
 
 
+_BUCKET = "time_bucket(INTERVAL '{} seconds', ts, TIMESTAMP '1970-01-01')"
+_LAST = "arg_max({}, (ts, event_id))"
+
+
 @query(
     "a31_merge_json_counts",
-    with_flat("""SELECT path, CASE WHEN path IN ('n', 'sub.x') THEN 'number' WHEN path = 'on' THEN 'boolean' ELSE 'string' END AS kind, number, other FROM (
-  SELECT 'n' AS path, CAST(sum(k) AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS other FROM f UNION ALL SELECT 'sub.x', CAST(sum(k % 3) AS DOUBLE), NULL FROM f
-  UNION ALL SELECT 'os', NULL, arg_max(raw_os, (ts, event_id)) FROM f UNION ALL SELECT 'on', NULL, arg_max(CASE WHEN is_default THEN 'true' ELSE 'false' END, (ts, event_id)) FROM f) t"""),
+    with_flat(f"""SELECT path, kind, number, other FROM (
+  SELECT 'n' AS path, 'number' AS kind, CAST(sum(k) AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS other FROM f UNION ALL SELECT 'sub.x.deep', 'number', CAST(sum(k % 3) AS DOUBLE), NULL FROM f
+  UNION ALL SELECT 'list[' || i || ']', 'number', CAST(sum(k) AS DOUBLE), NULL FROM f, range(0, 3) r(i) WHERE i <= event_id % 3 GROUP BY i
+  UNION ALL SELECT 'digits', 'string', NULL, {_LAST.format("'00' || k")} FROM f
+  UNION ALL SELECT 'os', 'string', NULL, {_LAST.format("raw_os")} FROM f UNION ALL SELECT 'on', 'boolean', NULL, {_LAST.format("CASE WHEN is_default THEN 'true' ELSE 'false' END")} FROM f) t"""),
 )
 def merge_json(spark, sf_dir):
-    doc = F.to_json(F.struct(F.col("k").alias("n"), F.col("raw_os").alias("os"), F.col("is_default").alias("on"), F.struct((F.col("k") % 3).alias("x")).alias("sub")))
+    """Objects, arrays of different lengths, texts of digits, and three levels."""
+    k = F.col("k")
+    items = F.transform(F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")), lambda _: k)
+    doc = F.to_json(F.struct(k.alias("n"), F.col("raw_os").alias("os"), F.col("is_default").alias("on"), F.struct(F.struct((k % 3).alias("deep")).alias("x")).alias("sub"), items.alias("list"), F.concat(F.lit("00"), k.cast("string")).alias("digits")))
     rows = series.flattened(pings(spark, sf_dir).select("ts", "event_id", doc.alias("doc")), "doc")
     return series.merge_json_counts(rows)
 
 
-_BUCKET = "time_bucket(INTERVAL '{} seconds', ts, TIMESTAMP '1970-01-01')"
+@query(
+    "sf13_deep_merge",
+    with_flat(f""", h AS (SELECT raw_os, event_id, ts, k, k % 2 = 0 AS even, {_LAST.replace("arg_max", "arg_min").format("k % 2 = 0")} OVER (PARTITION BY raw_os) AS first FROM f)
+  SELECT raw_os, 'v.x' AS path, 'number' AS kind, CAST(sum(k) AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS other FROM h WHERE even AND first GROUP BY raw_os
+  UNION ALL SELECT raw_os, 'v', 'number', CAST(sum(k) AS DOUBLE), NULL FROM h WHERE NOT even AND NOT first GROUP BY raw_os
+  UNION ALL SELECT raw_os, 'n', 'number', CAST(count(*) AS DOUBLE), NULL FROM h GROUP BY raw_os"""),
+)
+def deep_merge(spark, sf_dir):
+    """By system: v is an object in some rows and a number in others; what comes first decides."""
+    k = F.col("k").cast("string")
+    doc = F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"n":1,"v":{"x":'), k, F.lit("}}"))).otherwise(F.concat(F.lit('{"n":1,"v":'), k, F.lit("}")))
+    rows = series.flattened(pings(spark, sf_dir).select("raw_os", "ts", "event_id", doc.alias("doc")), "doc")
+    return series.merge_json_counts(rows, ["raw_os"])
 
 
 @query(

@@ -20,10 +20,18 @@ def test_budget_keeps_newest_days(spark):
     assert days == [date(2015, 6, d) for d in range(22, 27)]
 
 
+def merged(spark, *docs):
+    rows = spark.createDataFrame([(d, T0, k) for k, d in enumerate(docs)], "doc string, ts timestamp, event_id long")
+    return {r.path: r.number if r.kind == "number" else r.other for r in series.merge_json_counts(series.flattened(rows, "doc")).collect()}
+
+
 def test_merge_of_objects(spark):
-    docs = spark.createDataFrame([('{"foo": 1, "s": "a", "sub": {"x": 3}}', T0, 1), ('{"foo": 5, "s": "b", "sub": {"y": 100}}', T0, 2), ('{"foo": "text"}', T0, 3)], "doc string, ts timestamp, event_id long")
-    got = {r.path: r.number if r.kind == "number" else r.other for r in series.merge_json_counts(series.flattened(docs, "doc")).collect()}
-    assert got == {"foo": 6, "s": "b", "sub.x": 3, "sub.y": 100}
+    assert merged(spark, '{"foo": 1, "s": "a", "sub": {"x": 3}}', '{"foo": 5, "s": "b", "sub": {"y": 100}}', '{"foo": "text"}') == {"foo": 6, "s": "b", "sub.x": 3, "sub.y": 100}
+    both = merged(spark, '{"foo":1,"bar":[1,1,3],"quux":3}', '{"foo":5,"bar":[0,0,5,1],"baz":{"hello":100}}')
+    assert both == {"foo": 6, "bar[0]": 1, "bar[1]": 1, "bar[2]": 8, "bar[3]": 1, "baz.hello": 100, "quux": 3}
+    assert merged(spark, '{"a": "007", "t": true, "n": null}', '{"a": "5", "t": false, "n": 1}', "[1]", "{", None) == {"a": "5", "t": "false", "n": 1}
+    assert merged(spark, '{"a": {"b": {"c": 1}}, "x": 2}', '{"a": 7, "x": {"y": 1}}', '{"a": {"b": 3}}', '{"a": {"b": {"c": 4, "d": [{"e": 1.5}]}}}') == {"a.b.c": 5, "a.b.d[0].e": 1.5, "x": 2}
+    assert merged(spark, None) == {}
 
 
 def test_merge_of_series(spark):
