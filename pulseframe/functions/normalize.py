@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import zoneinfo
 from collections.abc import Iterable
+from functools import cache
+from importlib import resources
+from pathlib import Path
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OTHER = "Other"
@@ -26,9 +30,12 @@ ANDROID = {8: "Froyo", 9: "Gingerbread", 10: "Gingerbread", 11: "Honeycomb", 12:
 ENGINES = ("google", "bing", "yahoo", "other")
 
 
-def iso_countries(spark: SparkSession) -> list[str]:
-    """The two-letter country codes of ISO 3166-1."""
-    return sorted(spark._jvm.java.util.Locale.getISOCountries())
+@cache
+def iso_countries() -> tuple[str, ...]:
+    """The two-letter country codes of ISO 3166-1, as the time zone database lists them."""
+    places = [Path(p) / "iso3166.tab" for p in zoneinfo.TZPATH] + [resources.files("tzdata") / "zoneinfo" / "iso3166.tab"]
+    table = next(p for p in places if p.is_file())
+    return tuple(sorted(line[:2] for line in table.read_text(encoding="utf-8").splitlines() if line and line[0] != "#"))
 
 
 def norm_channel(c: Column) -> Column:

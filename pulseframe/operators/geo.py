@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Keys to which the rows of a network are dealt.
+SALTS = 16
 #: Addresses of one join key: the first 16 bits.
 BITS = 16
 
@@ -17,14 +19,20 @@ def ip_number(ip: Column) -> Column:
     return F.when(ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), value)
 
 
-def locate(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
+def locate(df: DataFrame, ranges: DataFrame, ip: str = "ip", *, salts: int = SALTS) -> DataFrame:
     """Adds country and city of the range (first, last: numbers; country, city) that holds an address; `??` where none does.
 
-    Ranges are cut by the address's first 16 bits, on which both sides meet, and never overlap. Addresses are
-    looked up once each, so that a frequent one is no task's work.
+    Ranges are cut by the address's first 16 bits, on which both sides meet, and never overlap. Rows are dealt to salts keys beside, in each of which
+    all ranges are, so that neither a frequent address nor a frequent network is one task's work; ranges are few beside rows.
+    Columns of df named country or city are replaced.
     """
-    asked = df.select(F.col(ip).alias("_ip")).where("_ip is not null").distinct().withColumn("_n", ip_number(F.col("_ip")))
-    keyed = asked.where("_n is not null").withColumn("_key", F.shiftright("_n", BITS))
-    cut = ranges.select("*", F.explode(F.sequence(F.shiftright("first", BITS), F.shiftright("last", BITS))).alias("_key"))
-    found = keyed.join(cut, "_key").where("_n between first and last").select(F.col("_ip").alias(ip), "country", "city")
-    return df.join(found, ip, "left").withColumns({"country": F.coalesce("country", F.lit("??")), "city": F.coalesce("city", F.lit("??"))})
+    own = df.drop("country", "city")
+    asked = own.withColumn("_n", ip_number(F.col(ip)))
+    keyed = asked.withColumns({"_key": F.shiftright("_n", BITS), "_salt": F.pmod(F.xxhash64(*own.columns), F.lit(salts)).cast("int")})
+    cut = ranges.select("first", "last", "country", "city", F.explode(F.sequence(F.shiftright("first", BITS), F.shiftright("last", BITS))).alias("_key"))
+    dealt = cut.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    known, rest = keyed.where("_n is not null"), keyed.where("_n is null")
+    k, d = known.alias("k"), dealt.alias("d")
+    met = k.join(d, (F.col("k._key") == F.col("d._key")) & (F.col("k._salt") == F.col("d._salt")) & F.col("_n").between(F.col("first"), F.col("last")), "left")
+    found = met.select(*[F.col(f"k.{c}") for c in own.columns], "country", "city").unionByName(rest.select(*own.columns), allowMissingColumns=True)
+    return found.withColumns({"country": F.coalesce("country", F.lit("??")), "city": F.coalesce("city", F.lit("??"))})

@@ -139,13 +139,20 @@ def window_filter(df: DataFrame, activity: str, submission: str, low: date, high
 def engagement(df: DataFrame, days: DataFrame, *, past: int = 28, future: int = 10) -> DataFrame:
     """(client_id, activity_date, submission_date) and target days -> dau, mau and their ratio per day.
 
-    In one pass: a row counts for the target days that it can reach, and each (day, client) is taken once before the count.
+    In one pass: only rows that a target day can reach are read (their submission days are partitions), each counts for the target days that
+    it can reach, and each (day, client) is taken once before the count. The target days are a report's, so they are one row.
     """
-    own = df.where("client_id is not null").groupBy("client_id", "activity_date", "submission_date").agg(F.lit(1).alias("one"))
-    reach = own.select("client_id", "activity_date", "submission_date", F.explode(F.sequence("activity_date", F.date_add("activity_date", past))).alias("day"))
+    low, high = days.agg(F.min("day"), F.max("day")).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "day date, dau long, mau long, ratio double")
+    near = window_filter(df, "activity_date", "submission_date", low, high, past, future)
+    own = near.where("client_id is not null").groupBy("client_id", "activity_date", "submission_date").agg(F.lit(1).alias("one"))
+    targets = days.agg(F.collect_set("day").alias("targets"))
+    reached = F.array_intersect(F.sequence("activity_date", F.date_add("activity_date", past)), F.col("targets"))
+    reach = own.join(F.broadcast(targets)).select("client_id", "activity_date", "submission_date", F.explode(reached).alias("day"))  # one row
     fits = F.col("submission_date").between(F.date_sub("day", past), F.date_add("day", future))
     daily = (F.col("activity_date") == F.col("day")) & (F.col("submission_date") >= F.col("day"))
-    met = reach.where(fits).join(days.select("day").distinct(), "day", "left_semi").groupBy("day", "client_id").agg(F.max(daily.cast("int")).alias("daily"))
+    met = reach.where(fits).groupBy("day", "client_id").agg(F.max(daily.cast("int")).alias("daily"))
     return met.groupBy("day").agg(F.sum("daily").alias("dau"), F.count(F.lit(1)).alias("mau")).withColumn("ratio", F.col("dau") / F.col("mau"))
 
 

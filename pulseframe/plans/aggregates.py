@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..functions.normalize import iso_countries
 from ..operators import budget, derive, reports, stability, updates, usage
-from .fixtures import crashes, countries, mains, nested, pings, summaries, with_flat
+from .fixtures import crashes, mains, nested, pings, summaries, with_flat
 from .registry import SQL, query, table
 
 WEEK = date(2024, 1, 14)
@@ -119,7 +120,7 @@ def _core(spark, sf_dir):
 
     df = unique_documents(df)  # the earliest of a document's rows, so that the result does not depend on the run
     day = F.when(F.col("k") % 10 != 0, F.unix_date("submission_date") - F.col("profile_offset_days"))
-    return df.select("document_id", "client_id", "submission_date", (8 + F.col("user_id") % 16).cast("string").alias("os_version"), N.norm_country(F.col("raw_country"), countries(spark)).alias("country"), N.norm_channel(F.col("raw_channel")).alias("channel"), day.alias("profile_day"))
+    return df.select("document_id", "client_id", "submission_date", (8 + F.col("user_id") % 16).cast("string").alias("os_version"), N.norm_country(F.col("raw_country"), iso_countries()).alias("country"), N.norm_channel(F.col("raw_channel")).alias("channel"), day.alias("profile_day"))
 
 
 @query("a08_mobile_retention", with_flat(_MOBILE))
@@ -281,7 +282,7 @@ days AS (SELECT CAST(unnest(generate_series(min(submission_date), max(submission
 SELECT CAST(days.day AS VARCHAR) AS day, kk.engine, kk.kind, kk.name, CAST(coalesce(g.n, 0) AS BIGINT) AS searches FROM (SELECT DISTINCT engine, kind, name FROM g) kk CROSS JOIN days LEFT JOIN g ON g.day = days.day AND g.engine = kk.engine AND g.kind = kk.kind AND g.name = kk.name"""),
 )
 def searches(spark, sf_dir):
-    country = N.norm_country(F.col("geo_country"), countries(spark))
+    country = N.norm_country(F.col("geo_country"), iso_countries())
     return plain(usage.search_totals(nested(spark, sf_dir), F.try_element_at("payload.keyedHistograms", F.lit("SEARCH_COUNTS")), country))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.normalize import iso_countries
 from ..operators import derive
 from .registry import table
 
@@ -44,7 +45,7 @@ f AS (SELECT *,
   CASE WHEN k = 0 THEN NULL ELSE k END AS plugin_crashes,
   strftime(ts, '%Y%m%d') || '030201' AS build_id
   FROM p),
-s AS (SELECT * FROM f WHERE doc_type IN ('main', 'crash') AND user_id % 4 <> (day(submission_date) - 1) // 7 % 4),
+s AS (SELECT * REPLACE (CASE WHEN user_id % 4 = (day(submission_date) - 1) // 7 % 4 THEN client_id || 'b' ELSE client_id END AS client_id) FROM f WHERE doc_type IN ('main', 'crash')),
 m AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN 'aborted-session' ELSE 'shutdown' END AS reason,
   CASE WHEN seconds < 0 THEN 0 WHEN seconds > 90000 THEN 90000 ELSE seconds END AS clamped,
   submission_date - CAST(event_id % 3 AS INT) AS activity_date FROM f WHERE doc_type = 'main'),
@@ -102,21 +103,16 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def countries(spark: SparkSession) -> list[str]:
-    from ..functions.normalize import iso_countries
-
-    return iso_countries(spark)
-
-
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The executive summary of clients that each pause for a week now and then."""
-    pause = F.floor((F.dayofmonth("submission_date") - 1) / 7) % 4
-    return derive.executive_summary(nested(spark, sf_dir).where(F.col("user_id") % 4 != pause), countries(spark))
+    """The executive summary of all submissions. Each user sends from another client in one week of four, so clients pause and come back."""
+    other = F.col("user_id") % 4 == F.floor((F.dayofmonth("submission_date") - 1) / 7) % 4
+    client = F.when(other, F.concat("client_id", F.lit("b"))).otherwise(F.col("client_id"))
+    return derive.executive_summary(nested(spark, sf_dir).withColumn("client_id", client), iso_countries())
 
 
 def mains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.main_summary(nested(spark, sf_dir), countries(spark))
+    return derive.main_summary(nested(spark, sf_dir), iso_countries())
 
 
 def crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.crash_summary(nested(spark, sf_dir), countries(spark))
+    return derive.crash_summary(nested(spark, sf_dir), iso_countries())

@@ -7,10 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..functions.normalize import iso_countries
 from ..functions import warehouse as W
 from ..operators import usage
 from ..sources import dims
-from .fixtures import countries, nested, pings, with_flat
+from .fixtures import nested, pings, with_flat
 from .registry import QUERIES, SQL, query, table
 
 _VERSIONS = ("10.0", "6.1", "6.2", "6.3", "5.1", "x")
@@ -81,7 +82,7 @@ for _name, (_columns, _sql) in SIMPLE.items():
 
 @query("p03_norm_country", with_flat("SELECT event_id, country FROM f"))
 def norm_country(spark, sf_dir):
-    return pings(spark, sf_dir).select("event_id", N.norm_country(F.col("raw_country"), countries(spark)).alias("country"))
+    return pings(spark, sf_dir).select("event_id", N.norm_country(F.col("raw_country"), iso_countries()).alias("country"))
 
 
 @query("p08_search_counts", with_flat("SELECT event_id, " + ", ".join(f"CAST(CASE WHEN engine_id = {i} THEN k % 5 + 1 ELSE 0 END AS BIGINT) AS {e}" for i, e in enumerate(N.ENGINES)) + " FROM f"))

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Files that a lookup names to the scan at most; their names go through the driver.
+MOST_FILES = 10_000
+
+
 def build_client_index(spark: SparkSession, path: str, *, client: str = "client_id", day: str = "submission_date") -> DataFrame:
     """Each file's clients with their number of rows; rows without a client are under null."""
     return spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), day, client).groupBy("file", day, client).agg(F.count(F.lit(1)).alias("rows"))
@@ -16,11 +20,15 @@ def build_client_index(spark: SparkSession, path: str, *, client: str = "client_
 def lookup_clients(spark: SparkSession, index: DataFrame, path: str, clients: DataFrame, start: date, end: date, *, client: str = "client_id", day: str = "submission_date") -> DataFrame:
     """All rows of the listed clients from start to end. The index is asked first; only its files are read.
 
-    The names of these files go through the driver, as those of any scan do.
+    Up to MOST_FILES of them are named to the scan. Where there are more, the table's days are read and rows of other files left out by a join.
     """
     wanted = clients.select(client).where(F.col(client).isNotNull()).distinct()
     own = index.where(F.col(day).between(F.lit(start), F.lit(end))).join(wanted, client, "left_semi")
-    files = [r.file for r in own.select("file").distinct().toLocalIterator()]
-    base = spark.read.option("basePath", path)
-    rows = base.parquet(*files) if files else spark.read.parquet(path).limit(0)
+    wanted_files = own.select("file").distinct()
+    files = [r.file for r in wanted_files.limit(MOST_FILES + 1).collect()]
+    if len(files) > MOST_FILES:
+        whole = spark.read.parquet(path)
+        rows = whole.withColumn("_file", F.col("_metadata.file_path")).join(wanted_files.withColumnRenamed("file", "_file"), "_file", "left_semi").drop("_file")
+    else:
+        rows = spark.read.option("basePath", path).parquet(*files) if files else spark.read.parquet(path).limit(0)
     return rows.where(F.col(day).between(F.lit(start), F.lit(end))).join(wanted, client, "left_semi")

@@ -26,7 +26,7 @@ def test_os(spark, value, expected):
 
 
 def test_country(spark):
-    codes = N.iso_countries(spark)
+    codes = N.iso_countries()
     assert 240 < len(codes) < 260
     assert [one(spark, N.norm_country(F.col("c"), codes), c=c) for c in ("us", "De", "??", "", None)] == ["US", "DE", "Other", "Other", "Other"]
 
