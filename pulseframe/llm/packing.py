@@ -25,7 +25,7 @@ END = 1
 #: Pieces of one length are ranked in groups of about so many, so that a frequent length is not one task's work.
 RANKED = 100_000
 #: Words whose ids a worker remembers, and characters of them: twice as many at most.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 300_000, 6_000_000
 
 #: The settings of a tokenizer whose texts can be split into words here.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -48,10 +48,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        settings = json.loads(open(path, encoding="utf-8").read())
-        normal, split = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
-        added = {t["content"] for t in settings.get("added_tokens", [])}
-        self.by_words = normal.get("normalizers") == _NORMALIZERS and split.get("pretokenizers") == _SPLITTERS and settings.get("post_processor") is None and not settings.get("truncation") and not settings.get("padding") and all(t.startswith("<|") for t in added)
+        t = self.tokenizer
+        normal, split = (json.loads(x.__getstate__()) if x else {} for x in (t.normalizer, t.pre_tokenizer))
+        plain = t.post_processor is None and t.truncation is None and t.padding is None and all(x.content.startswith("<|") for x in t.get_added_tokens_decoder().values())
+        self.by_words = plain and normal.get("normalizers") == _NORMALIZERS and split.get("pretokenizers") == _SPLITTERS
         self.chars = 0
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
