@@ -18,11 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, kind: str) -> str:
     """A new folder name under the folder that the cluster shares.
 
-    That folder is ``spark.checkpoint.dir``; only where it is unset (tests on one machine) a
-    temporary one is made and remembered in the session.
+    That folder is ``spark.checkpoint.dir``; only where it is unset in a local session a
+    temporary one is made and remembered in the session. Elsewhere executors would not share it, which is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: executors do not share a machine's folders")
         base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
