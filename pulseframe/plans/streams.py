@@ -37,6 +37,27 @@ def _updates(spark, df, path, mode):
     return spark.read.option("basePath", path + "/out").parquet(path + "/out")
 
 
+#: One row of seven comes after all others, in a file of its own.
+LATE = "event_id % 7 = 3"
+
+
+def late_source(spark, sf_dir, query, mode="update"):
+    """Runs a query over the submissions that are on time and again over the late ones, from where it stopped -> its rows by micro-batch."""
+    path = folder(spark)
+    df = pings(spark, sf_dir).select(*_COLUMNS)
+    df.where(f"not ({LATE})").write.parquet(path + "/in")
+    schema = spark.read.parquet(path + "/in").schema
+    _updates(spark, query(scan.stream_new_files(spark, path + "/in", schema)), path, mode)
+    df.where(LATE).write.mode("append").parquet(path + "/in")
+    return _updates(spark, query(scan.stream_new_files(spark, path + "/in", schema)), path, mode)
+
+
+def _late_sql(days, keys=""):
+    """A late row counts if its bucket was not closed yet: if it ends after the newest time that was on time, less the horizon."""
+    bucket = _BUCKET.format(86400)
+    return with_flat(f"SELECT {bucket} AS bucket, {keys} count(*) AS n FROM f WHERE NOT ({LATE}) OR {bucket} + INTERVAL 1 DAY > (SELECT max(ts) FROM f WHERE NOT ({LATE})) - INTERVAL {days} DAY GROUP BY ALL")
+
+
 _BUCKET = "time_bucket(INTERVAL '{} seconds', ts, TIMESTAMP '1970-01-01')"
 
 
@@ -57,6 +78,13 @@ def delta_output(spark, sf_dir):
     return out.groupBy("bucket").agg(F.max_by("n", "batch").alias("n"))
 
 
+@query("st02_horizon_stream", _late_sql(2))
+def horizon_stream(spark, sf_dir):
+    """A horizon of two buckets of a day: of the late rows only those within it are counted."""
+    out = late_source(spark, sf_dir, lambda df: jobs.bucket_counts(df, [], seconds=86_400, rows=2))
+    return out.groupBy("bucket").agg(F.max_by("n", "batch").alias("n"))
+
+
 @query("st02_horizon_batch", with_flat("SELECT event_id FROM f WHERE epoch(ts) > (SELECT max(epoch(ts)) FROM f) - 2 * 86400"))
 def horizon(spark, sf_dir):
     df = pings(spark, sf_dir)
@@ -86,20 +114,19 @@ def channel_events(spark, sf_dir):
     return plain(out.groupBy("day", "channel", "kind").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query("st07_last_seen", with_flat("SELECT client_id, max(ts) AS last_seen FROM f GROUP BY 1"))
+@query("st07_last_seen", with_flat("SELECT client_id, max(ts) AS last_seen, max(ts) + INTERVAL 2 DAY < (SELECT max(ts) FROM f) - INTERVAL 1 HOUR AS forgotten FROM f GROUP BY 1"))
 def last_seen(spark, sf_dir):
+    """Clients idle for two days at the end are forgotten then."""
     df, path = source(spark, sf_dir)
-    out = _updates(spark, jobs.last_seen(df), path, "update")
-    return out.groupBy("client_id").agg(F.max("last_seen").alias("last_seen"))
+    out = _updates(spark, jobs.last_seen(df, ttl_days=2), path, "update")
+    return out.groupBy("client_id").agg(F.max("last_seen").alias("last_seen"), F.max_by("forgotten", "batch").alias("forgotten"))
 
 
-@query("st08_late_rows", with_flat(f"SELECT {_BUCKET.format(86400)} AS bucket, count(*) AS n FROM f GROUP BY 1"))
+@query("st08_late_rows", _late_sql(10, "doc_type,"))
 def late_rows(spark, sf_dir):
-    """With a watermark as long as the input no row is late."""
-    df, path = source(spark, sf_dir)
-    out = _updates(spark, jobs.bucket_counts(df, [], seconds=86_400, rows=60), path, "complete")
-    last = out.agg(F.max("batch").alias("batch"))
-    return out.join(F.broadcast(last), "batch").select("bucket", "n")  # one row
+    """Rows later than ten days are dropped, others are added to their bucket."""
+    out = late_source(spark, sf_dir, lambda df: jobs.bucket_counts(df, [F.col("doc_type")], seconds=86_400, rows=10))
+    return out.groupBy("bucket", "doc_type").agg(F.max_by("n", "batch").alias("n"))
 
 
 @query("st09_merged_hosts", with_flat("SELECT time_bucket(INTERVAL '60 seconds', ts, TIMESTAMP '1970-01-01') AS bucket, doc_type AS name, round(sum(value), 4) AS value FROM f GROUP BY ALL"))
@@ -139,11 +166,15 @@ def fan_out(spark, sf_dir):
     return read("summary").unionByName(read("original"))
 
 
-@query("st13_rolled_folders", with_flat("SELECT doc_type, count(*) AS n FROM f GROUP BY 1"))
+@query("st13_rolled_folders", with_flat("SELECT doc_type, count(*) AS n, TRUE AS by_size, TRUE AS by_age FROM f GROUP BY 1"))
 def rolled(spark, sf_dir):
+    """Folders by type; a file has 40 rows at most, and none has rows of two micro-batches, of which there is one for each input file."""
     df, path = source(spark, sf_dir)
-    out = finished(spark, df.select("event_id", "doc_type"), path, partition_by=["doc_type"])
-    return out.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"))
+    one = scan.stream_new_files(spark, path + "/in", df.schema, per_trigger=1)
+    own = one.select("event_id", "doc_type", F.col("_metadata.file_name").alias("origin"))
+    out = finished(spark, own, path, partition_by=["doc_type"], roll_rows=40)
+    files = out.withColumn("file", F.col("_metadata.file_path")).groupBy("doc_type", "file").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("origin").alias("origins"))
+    return files.groupBy("doc_type").agg(F.sum("n").alias("n"), (F.max("n") <= 40).alias("by_size"), (F.max("origins") == 1).alias("by_age"))
 
 
 @query("s06_stream_new_files", with_flat("SELECT event_id, k FROM f"))

@@ -31,10 +31,14 @@ def unique_within(df: DataFrame, horizon: str = "2 days") -> DataFrame:
     return df.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["document_id"])
 
 
-def run(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", every: str | None = None, partition_by: list[str] | None = None, fmt: str = "parquet", version: int = 1):
+def run(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", every: str | None = None, partition_by: list[str] | None = None, fmt: str = "parquet", version: int = 1, roll_rows: int = 0):
     """Starts a query. every: a trigger interval such as `60 seconds`, else what there is and an end. A new version of
-    a query's state has a new checkpoint folder, so that it starts afresh."""
+    a query's state has a new checkpoint folder, so that it starts afresh.
+
+    Files roll by age with each trigger, since a micro-batch writes files of its own, and by size after roll_rows rows.
+    """
     writer = df.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", f"{checkpoint}/v{version}")
+    writer = writer.option("maxRecordsPerFile", roll_rows) if roll_rows else writer
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start(path)
@@ -83,27 +87,33 @@ def channel_events(df: DataFrame) -> DataFrame:
     return own.groupBy("client_id").applyInPandasWithState(step, SWITCH, "channel string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def last_seen(df: DataFrame) -> DataFrame:
-    """Per client the newest time seen, with each micro-batch that has rows of it; idle clients are forgotten after TTL_DAYS of event time."""
+def last_seen(df: DataFrame, *, ttl_days: int = TTL_DAYS) -> DataFrame:
+    """Per client the newest time seen, with each micro-batch that has rows of it. A client idle for ttl_days of event time is forgotten, which is
+    a row too (forgotten is true); one that comes back later starts anew. The state is a time."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
+            last = state.get[0]
             state.remove()
+            yield pd.DataFrame({"client_id": [key[0]], "last_seen": [pd.Timestamp(last)], "forgotten": [True]})
             return
-        newest = max([state.get[0]] if state.exists else [], default=None)
+        newest = pd.Timestamp(state.get[0]) if state.exists else None
         for p in parts:
-            newest = p["ts"].max() if newest is None else max(pd.Timestamp(newest), p["ts"].max())
-        newest = pd.Timestamp(newest)
+            most = p["ts"].max()
+            newest = most if newest is None or most > newest else newest
         state.update((newest.to_pydatetime(),))
-        state.setTimeoutTimestamp(int((newest + timedelta(days=TTL_DAYS)).timestamp() * 1000))
-        yield pd.DataFrame({"client_id": [key[0]], "last_seen": [newest]})
+        state.setTimeoutTimestamp(int((newest + timedelta(days=ttl_days)).timestamp() * 1000))
+        yield pd.DataFrame({"client_id": [key[0]], "last_seen": [newest], "forgotten": [False]})
 
     own = df.where("client_id is not null").withWatermark("ts", "1 hour").select("client_id", "ts")
-    return own.groupBy("client_id").applyInPandasWithState(step, "client_id string, last_seen timestamp", "seen timestamp", "update", GroupStateTimeout.EventTimeTimeout)
+    return own.groupBy("client_id").applyInPandasWithState(step, "client_id string, last_seen timestamp, forgotten boolean", "seen timestamp", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def throttled(alerts: DataFrame, seconds: int = THROTTLE_S) -> DataFrame:
-    """Alerts (source, ts, event_id, alert): those that come seconds or more after the source's last one that passed."""
+    """Alerts (source, ts, event_id, alert): those that come seconds or more after the source's last one that passed.
+
+    A source's alerts of one micro-batch are ordered in memory, so bound micro-batches (maxFilesPerTrigger) to what a task can hold.
+    """
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
