@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
@@ -301,9 +302,18 @@ def instances(spark, sf_dir):
     return plain(usage.active_instances(summaries(spark, sf_dir)))
 
 
-@query("a18_active_instances_sketch")
+def _near(estimate, exact):
+    """Whether an estimate is within a twentieth of the exact count, or off by one."""
+    return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * 0.05)
+
+
+@query("a18_active_instances_sketch", with_flat("SELECT CAST(date_trunc('month', submission_date) AS VARCHAR) AS month, count(DISTINCT client_id) AS clients, TRUE AS near FROM s GROUP BY 1").replace("CAST(date_trunc('month', submission_date) AS VARCHAR)", "strftime(submission_date, '%Y-%m-01')"))
 def instances_sketch(spark, sf_dir):
-    return plain(usage.active_instances(summaries(spark, sf_dir), exact=False, period="month"))
+    """The sketch beside the exact count: near tells whether it is within its error."""
+    df = summaries(spark, sf_dir)
+    exact, sketch = (usage.active_instances(df, exact=e, period="month") for e in (True, False))
+    both = exact.join(sketch.withColumnRenamed("clients", "estimate"), "month")
+    return plain(both.select("month", "clients", _near(F.col("estimate"), F.col("clients")).alias("near")))
 
 
 _DAYS = "d AS (SELECT DISTINCT client_id, submission_date AS day FROM s)"
@@ -314,9 +324,14 @@ def dau(spark, sf_dir):
     return plain(usage.dau_wau_mau(_days(spark, sf_dir)))
 
 
-@query("a19_dau_wau_mau_sketch")
+@query("a19_dau_wau_mau_sketch", f"SELECT *, TRUE AS near FROM ({SQL['a19_dau_wau_mau']}) q")
 def dau_sketch(spark, sf_dir):
-    return plain(usage.dau_wau_mau(_days(spark, sf_dir), exact=False))
+    """The sketches beside the exact counts: near tells whether all three are within their error."""
+    days = _days(spark, sf_dir)
+    names = ("dau", "wau", "mau")
+    sketch = usage.dau_wau_mau(days, exact=False).withColumnsRenamed({n: f"{n}_estimate" for n in names})
+    near = reduce(Column.__and__, [_near(F.col(f"{n}_estimate"), F.col(n)) for n in names])
+    return plain(usage.dau_wau_mau(days).join(sketch, "day").select("day", *names, near.alias("near")))
 
 
 def _days(spark, sf_dir):
@@ -339,9 +354,10 @@ for _name, _n in (("daily", 1), ("weekly", 7), ("monthly", 28)):
     _register_retention(_name, _n)
 
 
-@query("a21_sketch_error")
+@query("a21_sketch_error", with_flat("SELECT CAST(submission_date AS VARCHAR) AS day, count(DISTINCT client_id) AS exact, TRUE AS near FROM s GROUP BY 1"))
 def sketch_error(spark, sf_dir):
-    return plain(usage.sketch_error(_days(spark, sf_dir)))
+    errors = usage.sketch_error(_days(spark, sf_dir))
+    return plain(errors.select("day", "exact", (F.abs(F.col("ratio") - 1) <= F.greatest(F.lit(0.1), 1 / F.col("exact"))).alias("near")))
 
 
 _ENGAGE = """SELECT t.day AS day, CAST(sum(CASE WHEN daily THEN 1 ELSE 0 END) AS BIGINT) AS dau, count(*) AS mau, round(sum(CASE WHEN daily THEN 1 ELSE 0 END) / count(*), 6) AS ratio FROM (

@@ -108,7 +108,11 @@ def num_active_addons(spark, sf_dir):
     return nested(spark, sf_dir).select("event_id", N.num_active_addons(F.col("environment.addons.activeAddons")).alias("addons"))
 
 
-@query("p13_sample_id")
+#: CRC-32 of an ASCII text, a bit at a time: each character is xored in and followed by eight shifts.
+_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}, ''), lambda ch: [(unicode(ch) + 256)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, x: xor((CASE WHEN x > 0 THEN xor(c, x - 256) ELSE c END) >> 1, CASE WHEN (CASE WHEN x > 0 THEN xor(c, x - 256) ELSE c END) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"
+
+
+@query("p13_sample_id", with_flat(f"SELECT event_id, CAST({_CRC.format('client_id')} % 100 AS INT) AS sample_id FROM f"))
 def sample_id(spark, sf_dir):
     return pings(spark, sf_dir).select("event_id", N.sample_id(F.col("client_id")).alias("sample_id"))
 
@@ -140,7 +144,7 @@ def window_filter(spark, sf_dir):
     return usage.window_filter(df, "activity_date", "submission_date", date(2024, 1, 12), date(2024, 1, 12), 7, 1).select("event_id")
 
 
-@query("f05_sampling_filter")
+@query("f05_sampling_filter", with_flat(f"SELECT event_id, client_id FROM f WHERE {_CRC.format('client_id')} % 100 = 42"))
 def sampling_filter(spark, sf_dir):
     return pings(spark, sf_dir).where(N.sample_id(F.col("client_id")) == 42).select("event_id", "client_id")
 
@@ -176,7 +180,7 @@ def times(spark, sf_dir):
     return pings(spark, sf_dir).select("event_id", at.alias("at"), day.cast("string").alias("day"))
 
 
-@query("sf09_crc32")
+@query("sf09_crc32", with_flat(f"SELECT event_id, {_CRC.format('props')} AS crc FROM f"))
 def crc32(spark, sf_dir):
     return pings(spark, sf_dir).select("event_id", F.crc32(F.col("props").cast("binary")).alias("crc"))
 

@@ -138,9 +138,14 @@ def merged_hosts(spark, sf_dir):
     return out.join(F.broadcast(last), "batch").select("bucket", "name", F.round("value", 4).alias("value"))  # one row
 
 
-@query("st10_throttled")
+@query(
+    "st10_throttled",
+    with_flat(""", a AS (SELECT raw_channel AS source, ts, arg_min(document_id, event_id) AS alert FROM f WHERE doc_type = 'crash' GROUP BY ALL),
+r AS (WITH RECURSIVE t(source, ts) AS (SELECT source, min(ts) FROM a GROUP BY 1 UNION ALL SELECT t.source, min(a.ts) FROM t JOIN a ON a.source = t.source AND a.ts >= t.ts + INTERVAL 1 HOUR GROUP BY t.source, t.ts) SELECT * FROM t)
+SELECT source, ts, alert FROM r JOIN a USING (source, ts)"""),
+)
 def throttled(spark, sf_dir):
-    """No SQL: whether an alert passes depends on the last that passed. tests/ hold it against a loop."""
+    """Whether an alert passes depends on the last that passed, so the SQL is recursive."""
     df, path = source(spark, sf_dir)
     alerts = df.where("doc_type = 'crash'").select(F.col("raw_channel").alias("source"), "ts", "event_id", F.col("document_id").alias("alert"))
     return finished(spark, jobs.throttled(alerts), path)
