@@ -137,14 +137,14 @@ _DECODED = ["kind", "error", "doc_type", "app_name", "app_version", "channel", "
   CASE WHEN j IN (2, 4, 6, 10, 14, 15) THEN channel END AS channel,
   CASE WHEN j IN (2, 4) THEN raw_os END AS os,
   CASE j WHEN 2 THEN 'idle' WHEN 4 THEN 'shutdown' WHEN 14 THEN 'daily' WHEN 15 THEN 'daily' END AS reason,
-  CASE WHEN j = 2 THEN TRUE WHEN j = 4 THEN is_default END AS enabled,
+  CASE WHEN j = 2 OR j = 4 AND is_default THEN 'true' WHEN j = 4 THEN 'false' END AS enabled,
   CASE WHEN j IN (4, 14, 15) THEN '4' WHEN j = 2 THEN '1' WHEN j IN (6, 10) THEN '3' WHEN j = 11 THEN '7' END AS version,
   CASE WHEN j = 4 THEN CASE WHEN doc_type = 'crash' THEN 'environment.settings,environment.system' ELSE 'environment.settings,environment.system,payload.info' END WHEN j IN (14, 15) AND doc_type <> 'crash' THEN 'payload.info' WHEN j IN (0, 3, 5, 7, 8, 9, 13) THEN NULL ELSE '' END AS sections
   FROM (SELECT *, k % 16 AS j FROM f) g) t GROUP BY ALL"""))
 def decoded_pings(spark, sf_dir):
     good, bad = decode.decode_pings(_documents(spark, sf_dir), device_app="Device")
     sections = F.array_join(F.array_sort(F.map_keys("sections")), ",")
-    own = good.select(F.col("format").alias("kind"), "doc_type", "app_name", "app_version", F.col("normalized_channel").alias("channel"), "os", "reason", F.col("telemetry_enabled").alias("enabled"), F.col("source_version").alias("version"), sections.alias("sections"))
+    own = good.select(F.col("format").alias("kind"), "doc_type", "app_name", "app_version", F.col("normalized_channel").alias("channel"), "os", "reason", F.col("telemetry_enabled").cast("string").alias("enabled"), F.col("source_version").alias("version"), sections.alias("sections"))
     return own.unionByName(bad.select(F.col("error_type").alias("kind"), "error"), allowMissingColumns=True).groupBy(*_DECODED).agg(F.count(F.lit(1)).alias("n"))
 
 
