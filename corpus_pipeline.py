@@ -21,7 +21,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose declared language (if any) their text does not contradict."""
+    """Documents with letters whose declared language (if any) their text does not contradict.
+
+    Null and empty texts have no letters and go. A null language, or one that no document teaches, contradicts nothing. Repeated rows share
+    their fate, ids do not matter, an empty table stays empty, columns beside those of documents are dropped.
+    """
     known = langid.profiles(docs.where(~langid.held_out(F.col("doc_id"))))
     names = F.array(*[F.lit(k) for k in known]) if known else F.array().cast("array<string>")
     found = langid.identify(docs, known)
@@ -34,17 +38,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts, that with the largest id: null ids are smaller than others, null text is empty, of rows
+    repeated with one id one stays. An empty table stays empty."""
     return dedup.exact_dedup(docs).where("kept").select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest id, see simhash.near_dedup for nulls and repeated ids. Texts without
+    words are each other's copies. An empty table stays empty."""
     return simhash.near_dedup(docs).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all that is left in sequences of 4096 tokens."""
+    """The places of all that is left in sequences of 4096 tokens: null text is the end mark alone, repeated rows and null ids are documents of
+    their own, an empty table gives no rows."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -18,6 +18,8 @@ DIM = 1024
 LETTERS = 128
 SEED = 7
 UNKNOWN = "und"
+#: The driver holds a vector for each language, so there are no more of them.
+MOST_LANGUAGES = 5_000
 #: Characters of documents that are scored at a time, and n-grams whose vectors are held at a time.
 CHUNK, SLICE = 400_000, 4096
 
@@ -89,7 +91,8 @@ def profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang")
     """The language prototypes: the bundled n-gram vectors of all documents of each non-null language.
 
     Each task sums its documents per language, Spark sums the tasks' vectors. What reaches the driver is
-    a vector per language. Documents without letters add nothing; an empty table gives no prototype.
+    a vector per language (4 KB), of which there are MOST_LANGUAGES at most; more are an error, as the column then holds no languages.
+    Documents without letters add nothing, repeated rows count again; an empty table gives no prototype.
     """
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,6 +109,8 @@ def profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang")
     parts = named.mapInPandas(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     found: dict[str, np.ndarray] = {}
     for lang, i, v in parts.toLocalIterator():
+        if lang not in found and len(found) == MOST_LANGUAGES:
+            raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values")
         found.setdefault(lang, np.zeros(DIM))[i] = v
     return {k: (v / np.linalg.norm(v)).astype(np.float32) for k, v in sorted(found.items()) if np.linalg.norm(v)}
 
@@ -139,7 +144,11 @@ def held_out(ident: Column) -> Column:
 
 def identify(docs: DataFrame, known: dict[str, np.ndarray], *, text_col: str = "text") -> DataFrame:
     """Adds lang_pred (a known language or `und`), score (0 to 1) and cosines (in the order of known's keys)
-    to every row; columns of docs with these names are replaced. Null and letterless texts are `und`."""
+    to every row; columns of docs with these names are replaced.
+
+    Null and letterless texts are `und` with score zero and no cosines. Of languages with one cosine the first by name wins, so repeated
+    rows have equal results. Texts of any length are counted whole, several at a time up to CHUNK n-grams. An empty table gives no rows.
+    """
     docs = small_batches(docs).drop("lang_pred", "score", "cosines")
     got = fresh(docs, "got")
     out = docs.withColumn(got, predicted(F.col(f"`{text_col}`"), known))

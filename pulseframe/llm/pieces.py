@@ -19,8 +19,8 @@ from .common import fresh, small_batches
 SPACE = "▁"
 #: What an unknown character costs beyond the worst piece.
 PENALTY = 10.0
-#: Words whose pieces a worker remembers: twice as many at most.
-REMEMBERED = 400_000
+#: Words whose pieces a worker remembers, and characters of them: twice as many at most.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
 
 
 class Model:
@@ -56,6 +56,7 @@ class Model:
         self.words = re.compile(".+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.chars = 0
 
     def segment(self, word: str) -> list[int]:
         """The ids of the pieces with the largest sum of scores. Of equal sums, the longer last piece wins.
@@ -99,9 +100,11 @@ class Model:
             wanted.update(words)
         known = self.known
         new = [w for w in wanted if w not in known]
-        if len(known) + len(new) > REMEMBERED:
+        self.chars += sum(map(len, new))
+        if len(known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             known, self.before = {}, known
             self.known, new = known, list(wanted)
+            self.chars = sum(map(len, new))
         before = self.before
         for w in new:
             ids = before.get(w)
@@ -148,7 +151,12 @@ def decoded(ids: Column, path: str) -> Column:
 
 def encode_decode(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
     """Adds ids, score (the sum of the pieces' scores), ids_crc32, n_ids and round_trip (whether decoding gives the
-    text again, the space sign counting as a space) to every row; columns of docs with these names are replaced."""
+    text again, the space sign counting as a space) to every row; columns of docs with these names are replaced.
+
+    Null and empty texts have no ids, score zero, and come back as the empty text. Texts of any length are encoded whole, a word at a time where
+    no piece goes over the end of a word, so a task's memory is a text and the words that it remembers. Of segmentations with one score the one with
+    the longer last piece wins, so repeated rows have equal ids. An empty table gives no rows.
+    """
     docs = small_batches(docs).drop("ids", "score", "ids_crc32", "n_ids", "round_trip")
     got = fresh(docs, "got")
     out = docs.withColumn(got, encoded(F.col(f"`{text_col}`"), path))

@@ -165,6 +165,34 @@ def test_language_id(spark, odd):
     assert langid.profiles(odd.limit(0)) == {} and {r.lang_pred for r in langid.identify(odd, {}).collect()} == {"und"}
 
 
+def test_predictions_against_single_ngrams(spark):
+    """Prototypes, cosines and predictions from loops over letters."""
+    first, second, third = (v.astype(np.int64) for v in langid._vectors())
+    classes = langid._classes()
+
+    def vector(text):
+        x = [0]
+        for c in text or "":
+            k = int(classes[ord(c)])
+            if k or x[-1]:
+                x.append(k)
+        x += [0] if x[-1] else []
+        return sum((first[a] * second[b] * third[c] for a, b, c in zip(x, x[1:], x[2:])), np.zeros(langid.DIM, np.int64))
+
+    rows = [(1, "The cat sat on the mat", "en"), (2, "Der Hund liegt unter dem Tisch", "de"), (3, "the dog and the cat", "en"), (4, "Le chat est sur la table", "fr"), (5, "under the table", None), (6, "12 34", "en"), (7, None, "de"), (8, "liegt der Hund", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = langid.profiles(docs.where("doc_id <> 8"))
+    sums = {lang: sum((vector(t) for _, t, l in rows if l == lang), np.zeros(langid.DIM, np.int64)) for lang in ("de", "en", "fr")}
+    assert set(known) == set(sums) and all(np.allclose(known[k], v / np.linalg.norm(v), atol=1e-6) for k, v in sums.items())
+    for r in langid.identify(docs, known).collect():
+        v = vector(r.text)
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score, r.cosines) == ("und", 0, [])
+            continue
+        cosines = {k: max(0.0, float(v @ s / np.linalg.norm(v) / np.linalg.norm(s))) for k, s in sums.items()}
+        assert np.allclose(r.cosines, [cosines[k] for k in sorted(cosines)], atol=1e-5) and r.lang_pred == max(cosines, key=cosines.get)
+
+
 def test_bundling_against_single_ngrams():
     text = "Über alle Gipfel, ist Ruh!"
     first, second, third = langid._vectors()
