@@ -22,8 +22,9 @@ from .common import fresh, small_batches, written
 
 CAPACITY = 4096
 END = 1
-#: Pieces of one length are ranked in groups of about so many, so that a frequent length is not one task's work.
-RANKED = 100_000
+#: Pieces of one length are ranked in groups, so that a frequent length is not one task's work: of a MOST_GROUPS-th of all pieces, LEAST_GROUP
+#: at least. So there are no more groups than MOST_GROUPS and one for each length.
+MOST_GROUPS, LEAST_GROUP = 10_000, 100
 #: Words whose ids a worker remembers, and characters of them: twice as many at most.
 REMEMBERED, REMEMBERED_CHARS = 300_000, 6_000_000
 
@@ -232,13 +233,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan({k: v[0] for k, v in columns.items()}, {k: v[1] for k, v in columns.items()}, {k: v[2] for k, v in columns.items()}, sequence)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, ranked: int = RANKED) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, least_group: int = LEAST_GROUP) -> DataFrame:
     """Packs all documents into few sequences of at most capacity tokens: (id_col, piece, start, length, ids_crc32,
     sequence_id, offset), a row per piece.
 
-    The pieces are written once, numbered. Counts by length (capacity of them) decide the plan. A length with more than `ranked` pieces is
-    dealt to groups of about that size by the pieces' numbers, so no id or length is one task's work; counts by length and group (at most
-    capacity and one for each `ranked` pieces) say where a group's ranks start, and each piece finds its place by its rank. Null texts are
+    The pieces are written once, numbered. Counts by length (capacity of them) decide the plan. A frequent length is dealt to groups by the
+    pieces' numbers, so no id or length is one task's work; counts by length and group (at most capacity and MOST_GROUPS) say
+    where a group's ranks start, and each piece finds its place by its rank. Null texts are
     empty documents; rows repeated or with null ids are documents of their own; ids keep their type; other columns, of any name, are
     not looked at; an empty table gives no rows.
     """
@@ -247,7 +248,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     ident, number, group, rank = (fresh(cut, x) for x in ("ident", "number", "group", "rank"))
     cut = written(cut.withColumn(number, F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # bounded by capacity
-    many = {length: -(-n // ranked) for length, n in counts.items() if n > ranked}
+    part = max(least_group, -(-sum(counts.values()) // MOST_GROUPS))
+    many = {length: -(-n // part) for length, n in counts.items() if n > part}
     groups = fresh(cut, "groups")
     dealt = spark.createDataFrame(sorted(many.items()), f"length long, {groups} int")  # capacity rows at most
     salted = cut.join(F.broadcast(dealt), "length", "left").withColumn(group, F.pmod(F.xxhash64(number), F.coalesce(groups, F.lit(1))).cast("int"))

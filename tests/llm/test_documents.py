@@ -250,7 +250,7 @@ def test_packing_of_frequent_lengths_and_texts_as_ids(spark):
     """Lengths that are dealt to many groups, null and repeated ids, ids that are texts, columns with the names of own ones."""
     rows = [(None if k % 3 == 0 else f"d{k % 7}", "word " * (k % 5), "g", "r") for k in range(200)] + [("long", "word " * 9_000, "g", "r")]
     docs = spark.createDataFrame(rows, "doc_id string, text string, number string, rank string")
-    got = packing.pack(docs, TOKENIZER, ranked=7).collect()
+    got = packing.pack(docs, TOKENIZER, least_group=7).collect()
     places = defaultdict(list)
     for r in got:
         places[r.sequence_id].append((r.offset, r.length))
