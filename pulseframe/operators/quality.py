@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Clients not seen for so many days are lost.
@@ -66,25 +66,64 @@ def channel_switches(pings: DataFrame) -> DataFrame:
     return rows.groupBy("day", "e.channel").agg(count("new").alias("new"), count("in").alias("switched_in"), count("out").alias("switched_out"))
 
 
-def counter_deltas(df: DataFrame, source: str, value: str, scale: float | None = None) -> DataFrame:
-    """Adds delta, the increase of a cumulative counter since the source's row before; after a reset the new value; null at first."""
-    before = F.lag(value).over(Window.partitionBy(source).orderBy("ts", "event_id"))
-    delta = F.when(before.isNull(), None).when(F.col(value) >= before, F.col(value) - before).otherwise(F.col(value))
-    return df.withColumn("delta", delta if scale is None else delta * scale)
+def _carried(rows: DataFrame, key: str, aggregates: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
+    """rows (with a column _slice) with what the slices of their key before theirs say: aggregates are made by slice, and carry, a
+    name and a window expression for each, over the slices of a key, of which there is one row each."""
+    per = rows.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of")).agg(*[c.alias(n) for n, c in aggregates.items()])
+    edges = per.select("_key", "_of", *[c.alias(n) for n, c in carry.items()])
+    met = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of"))
+    return rows.join(edges, met).drop("_key", "_of")
+
+
+def _slices():
+    return Window.partitionBy("_key").orderBy("_of")
+
+
+def _before():
+    return _slices().rowsBetween(Window.unboundedPreceding, -1)
+
+
+def counter_deltas(df: DataFrame, source: str, value: str, scale: float | None = None, *, every: str = "hour") -> DataFrame:
+    """Adds delta, the increase of a cumulative counter since the source's row before; after a reset the new value; null at first.
+
+    A source is dealt to slices of time, whose last values are carried over, so that few sources are still many tasks' work. Rows need a time.
+    """
+    order = F.struct("ts", "event_id")
+    within = Window.partitionBy(source, "_slice").orderBy("ts", "event_id")
+    rows = df.withColumn("_slice", F.date_trunc(every, "ts"))
+    own = _carried(rows, source, {"_last": F.max_by(F.struct(F.col(value).alias("v")), order)}, {"_carry": F.lag("_last.v").over(_slices())})
+    before = F.when(F.row_number().over(within) == 1, F.col("_carry")).otherwise(F.lag(value).over(within))
+    known = own.withColumn("_before", before)
+    delta = F.when(F.col("_before").isNull(), None).when(F.col(value) >= F.col("_before"), F.col(value) - F.col("_before")).otherwise(F.col(value))
+    return known.withColumn("delta", delta if scale is None else delta * scale).drop("_slice", "_carry", "_before")
 
 
 def output_health(df: DataFrame, ignored: Iterable[str] = IGNORED, stall_s: int = 60) -> DataFrame:
     """Reports (name, ts, failures, messages) -> alerts: failures rose, or the count of messages stood for more than stall_s seconds;
-    the first of each output and hour, a stall before a rise at one time."""
-    w = Window.partitionBy("name").orderBy("ts", "event_id")
-    most = F.coalesce(F.max("failures").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    changed = F.when(F.col("messages").eqNullSafe(F.lag("messages").over(w)), 0).otherwise(1)
-    runs = df.where("name is not null").select("*", (F.col("failures") > most).alias("rose"), changed.alias("changed")).withColumn("run", F.sum("changed").over(w))
-    since = F.first("ts").over(Window.partitionBy("name", "run").orderBy("ts", "event_id"))
+    the first of each output and hour, a stall before a rise at one time.
+
+    An output's hours are worked on apart; the last count, the most failures and the newest change of those before are carried over.
+    """
+    order = F.struct("ts", "event_id")
+    w = Window.partitionBy("name", "_slice").orderBy("ts", "event_id")
+    rows = df.where("name is not null").withColumn("_slice", F.date_trunc("hour", "ts"))
+    known = _carried(
+        rows,
+        "name",
+        {"_last": F.max_by(F.struct("messages"), order), "_most": F.max("failures")},
+        {"_messages": F.lag("_last.messages").over(_slices()), "_failures": F.max("_most").over(_before())},
+    )
+    first = F.row_number().over(w) == 1
+    before = F.when(first, F.col("_messages")).otherwise(F.lag("messages").over(w))
+    changed = F.when(~F.col("messages").eqNullSafe(before), F.col("ts"))
+    most = F.greatest(F.coalesce(F.max("failures").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.coalesce("_failures", F.lit(0)))
+    judged = known.select(*rows.columns, (F.col("failures") > most).alias("rose"), changed.alias("_changed"))
+    timed = _carried(judged, "name", {"_newest": F.max("_changed")}, {"_since": F.max("_newest").over(_before())})
+    since = F.greatest(F.max("_changed").over(w), F.col("_since"))
     stalled = (F.unix_micros("ts") - F.unix_micros(since) > stall_s * 1_000_000) & ~F.col("name").isin(list(ignored))
-    text = F.when(stalled, F.format_string("%s ProcessMessageCount has stalled at %d", "name", "messages")).when(F.col("rose"), F.format_string("%s ProcessFileFailures has increased to %d", "name", "failures"))
-    alerts = runs.withColumn("alert", text).where("alert is not null").withColumn("hour", F.date_trunc("hour", "ts"))
-    return alerts.withColumn("nth", F.row_number().over(Window.partitionBy("name", "hour").orderBy("ts", "event_id"))).where("nth = 1").select("name", "hour", "ts", "alert")
+    text = F.when(F.coalesce(stalled, F.lit(False)), F.format_string("%s ProcessMessageCount has stalled at %d", "name", "messages")).when(F.col("rose"), F.format_string("%s ProcessFileFailures has increased to %d", "name", "failures"))
+    alerts = timed.withColumn("alert", text).where("alert is not null").withColumn("hour", F.col("_slice"))
+    return alerts.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("name", "hour", "ts", "alert")
 
 
 def no_new_data(series: DataFrame, seconds: int) -> DataFrame:

@@ -251,4 +251,10 @@ def column_function(spark, sf_dir):
 
 @query("x04_seq_comb", with_flat("SELECT channel, CAST(sum(CASE WHEN doc_type = 'crash' THEN 1 ELSE 0 END) AS BIGINT) AS crashes, count(DISTINCT client_id) AS clients FROM f GROUP BY 1"))
 def seq_comb(spark, sf_dir):
-    return _channelled(spark, sf_dir).groupBy("channel").agg(F.count_if(F.col("doc_type") == "crash").alias("crashes"), F.count_distinct("client_id").alias("clients"))
+    """Crashes and clients by channel in the seq and comb form: rows are added to states within tasks, then states to each other. Rows are
+    taken together by client first, so that a state is two numbers."""
+    rows = _channelled(spark, sf_dir).groupBy("channel", "client_id").agg(F.count_if(F.col("doc_type") == "crash").alias("n"))
+    zero = lambda: {"crashes": 0, "clients": 0}
+    seq = lambda s, r: {"crashes": s["crashes"] + r["n"], "clients": s["clients"] + 1}
+    comb = lambda a, b: {k: a[k] + b[k] for k in a}
+    return user.aggregate_rows(rows, ["channel"], zero, seq, comb, lambda key, s: {"channel": key[0], **s}, "crashes long, clients long", "channel string, crashes long, clients long")

@@ -52,7 +52,11 @@ def kafka_options(topics: list[str], servers: str, start: str = "newest") -> dic
 
 def stream_kafka(spark: SparkSession, topics: list[str], servers: str, start: str = "newest") -> DataFrame:
     """A stream of messages with key, topic, partition and offset. Needs Spark's Kafka connector on the class path."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(topics, servers, start)).load()
+    return kafka_messages(spark.readStream.format("kafka").options(**kafka_options(topics, servers, start)).load())
+
+
+def kafka_messages(raw: DataFrame) -> DataFrame:
+    """The columns of a topic stream under the names of messages."""
     return raw.select(F.col("value").alias("payload"), "key", "topic", "partition", "offset", "timestamp")
 
 

@@ -133,3 +133,44 @@ def test_filters_reach_the_scan(spark, tmp_path):
     df = scan.scan_dims(spark, path, {"dimensions": [{"field_name": "a", "allowed_values": "1"}]})
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(a" in plan and df.count() == 3
+
+
+def test_topic_messages(spark):
+    """The projection on a stand-in with the columns of the connector, which is not here."""
+    from pulseframe.sources import scan
+
+    raw = spark.createDataFrame([(b"k", b"v", "t", 3, 7, T0, 0)], "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    (r,) = scan.kafka_messages(raw).collect()
+    assert (bytes(r.payload), bytes(r.key), r.topic, r.partition, r.offset, r.timestamp) == (b"v", b"k", "t", 3, 7, T0) and len(r) == 6
+
+
+def test_counters_over_slices(spark):
+    """Values are carried over hours without rows, and a source's first row has no delta."""
+    rows = [("a", T0 + timedelta(minutes=m), m, v) for m, v in ((0, 5), (30, 9), (200, 12), (201, 3), (600, 3), (601, None), (700, 4))]
+    got = quality.counter_deltas(spark.createDataFrame(rows, "src string, ts timestamp, event_id long, v long"), "src", "v").orderBy("ts").collect()
+    assert [r.delta for r in got] == [None, 4, 3, 3, 0, None, None]
+
+
+def test_gunzip_stops_at_the_cap(spark):
+    import gzip
+
+    from pulseframe.operators import decode
+
+    cap = decode.MOST_BYTES
+    bodies = {"bomb": gzip.compress(b"0" * (cap * 40)), "at": gzip.compress(b"1" * cap), "over": b"x" * (cap + 1), "two": gzip.compress(b"a") + gzip.compress(b"b"), "cut": gzip.compress(b"abc" * 99)[:-9], "none": b"", "plain": b"{}"}
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in bodies.items()], "name string, b binary")
+    got = {r.name: (r.u.size, None if r.u.document is None else len(r.u.document)) for r in df.select("name", decode.gunzipped(F.col("b")).alias("u")).collect()}
+    assert got == {"bomb": (cap + 1, None), "at": (cap, cap), "over": (cap + 1, None), "two": (2, 2), "cut": (None, None), "none": (0, 0), "plain": (2, 2)}
+
+
+def test_decoded_documents_lose_their_sections(spark):
+    import json
+
+    from pulseframe.operators import decode
+
+    doc = {"version": 4, "type": "main", "creationDate": "2024-01-05T10:00:00Z", "application": {"name": "B"}, "environment": {"system": {"os": {"name": "L"}}, "other": [1]}, "payload": {"info": {"reason": "r"}, "more": {"x": 1}}, "n": 1.5}
+    good, bad = decode.decode_pings(spark.createDataFrame([(bytearray(json.dumps(doc).encode()), T0)], "payload binary, ts timestamp"))
+    (r,) = good.collect()
+    assert {k: json.loads(v) for k, v in r.sections.items()} == {"environment.system": {"os": {"name": "L"}}, "payload.info": {"reason": "r"}}
+    rest = {k: v for k, v in doc.items()} | {"environment": {"other": [1]}, "payload": {"more": {"x": 1}}}
+    assert json.loads(r.document) == rest and bad.count() == 0 and (r.os, r.reason, r.app_version) == ("L", "r", "UNKNOWN")
