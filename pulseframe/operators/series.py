@@ -41,27 +41,29 @@ def horizon(series: DataFrame, rows: int, seconds: int) -> DataFrame:
 
 
 def flattened(df: DataFrame, doc: str) -> DataFrame:
-    """JSON objects (a column of text), of any depth -> rows (parts, kind, number, other), one for each value and each object or array within.
+    """JSON objects (a column of text), of any depth -> rows (parts, kind, number, other), one for each value, kind being number, string,
+    boolean, or table for an empty object or array.
 
-    parts are the keys from the top, those of arrays as [0], [1] and so on. Nulls and text that is no object count for nothing. A level is
-    exploded at a time, until one has no objects and arrays any more.
+    parts are the keys from the top, those of arrays as [0], [1] and so on. Nulls and text that is no object count for nothing. Each document is
+    parsed once and exploded a level at a time; a first pass finds how many there are.
     """
     own = [c for c in df.columns if c != doc]
     spark = df.sparkSession
-    level = df.select(*own, F.array().cast("array<string>").alias("parts"), F.try_parse_json(doc).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
-    rows = None
-    while rows is None or level.take(1):
-        inner = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        shape = F.schema_of_variant("value")
-        kind = F.when(shape.rlike("^(OBJECT|ARRAY)"), "table").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", None).otherwise("number")
+    parsed = df.select(*own, F.array().cast("array<string>").alias("parts"), F.try_parse_json(doc).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    signs = F.transform(F.regexp_extract_all(F.schema_of_variant("v"), F.lit("([<>])"), F.lit(1)), lambda c: F.when(c == "<", 1).otherwise(-1))
+    deepest = F.aggregate(signs, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")))["most"]
+    rows = parsed
+    for _ in range(parsed.agg(F.max(deepest)).first()[0] or 0):
+        held = rows.withColumn("inner", F.when(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"), F.col("v")))
+        inner = held.lateralJoin(spark.tvf.variant_explode_outer(F.col("inner").outer()))
         key = F.coalesce("key", F.format_string("[%d]", "pos"))
-        found = inner.select(*own, F.concat("parts", F.array(key)).alias("parts"), kind.alias("kind"), F.col("value").alias("v")).where("kind is not null")
-        number = F.when(F.col("kind") == "number", F.try_variant_get("v", "$", "double"))
-        other = F.when(F.col("kind").isin("string", "boolean"), F.try_variant_get("v", "$", "string"))
-        made = found.select(*own, "parts", "kind", number.alias("number"), other.alias("other"))
-        rows = made if rows is None else rows.unionByName(made)
-        level = found.where("kind = 'table'").select(*own, "parts", "v")
-    return rows
+        rows = inner.select(*own, F.when(F.col("value").isNull(), F.col("parts")).otherwise(F.concat("parts", F.array(key))).alias("parts"), F.coalesce("value", "v").alias("v"))
+    shape = F.schema_of_variant("v")
+    kind = F.when(shape.rlike("^(OBJECT|ARRAY)"), "table").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", None).otherwise("number")
+    named = rows.select(*own, "parts", "v", kind.alias("kind")).where("kind is not null and size(parts) > 0")
+    number = F.when(F.col("kind") == "number", F.try_variant_get("v", "$", "double"))
+    other = F.when(F.col("kind").isin("string", "boolean"), F.try_variant_get("v", "$", "string"))
+    return named.select(*own, "parts", "kind", number.alias("number"), other.alias("other"))
 
 
 def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -73,14 +75,16 @@ def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     order = F.struct("ts", "event_id")
     own = [*keys, "parts"]
     per = rows.groupBy(*own, "kind").agg(F.min(order).alias("first"), F.sum("number").alias("number"), F.max_by("other", order).alias("other"))
-    chosen = per.groupBy(*own).agg(F.min_by(F.struct("kind", "number", "other"), "first").alias("r")).select(*own, "r.*")
     above = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.slice("parts", 1, n))
-    inner = chosen.where(F.size("parts") > 1).select(*own, F.explode(above).alias("above"))
-    plain = chosen.where("kind <> 'table'").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("parts").alias("above"))
-    met = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    lost = inner.alias("i").join(plain.alias("p"), reduce(Column.__and__, met, F.col("i.above") == F.col("p.above"))).select(*[F.col(f"i.{k}") for k in own]).distinct()
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"l.{k}")) for k in own]
-    kept = chosen.where("kind <> 'table'").alias("c").join(lost.alias("l"), reduce(Column.__and__, same), "left_anti")
+    inner = per.where(F.size("parts") > 1).select(*keys, F.explode(above).alias("parts"), F.lit("table").alias("kind"), "first")
+    tables = inner.groupBy(*own, "kind").agg(F.min("first").alias("first"))
+    chosen = per.unionByName(tables, allowMissingColumns=True).groupBy(*own).agg(F.min_by(F.struct("kind", "number", "other"), "first").alias("r")).select(*own, "r.*")
+    values = chosen.where("kind <> 'table'")
+    under = values.where(F.size("parts") > 1).select(*own, F.explode(above).alias("above"))
+    plain = values.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("parts").alias("_above"))
+    met = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("above") == F.col("_above"))
+    lost = under.join(plain, met).select(*[F.col(k).alias(f"_{k}") for k in own]).distinct()
+    kept = values.join(lost, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in own]), "left_anti")
     path = F.replace(F.array_join("parts", "."), F.lit(".["), F.lit("["))
     return kept.select(*keys, path.alias("path"), "kind", "number", "other")
 
