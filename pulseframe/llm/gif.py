@@ -81,14 +81,42 @@ def lzw_encode(data: bytes, size: int = 8) -> bytes:
     return out[: (base + 7) // 8].astype(np.uint8).tobytes()
 
 
+def _run(codes: np.ndarray, clear: int) -> np.ndarray:
+    """The samples of the codes between two clear codes.
+
+    The string that a code adds to the table is what the code before it gave and the sample after that, so it stands in the output
+    already: each sample is one sample itself or the copy of one before it. Copies of copies are followed in steps that double.
+    """
+    n = len(codes)
+    places = np.arange(n)
+    single = codes < clear
+    # The code that the string of a code was added after; a code that is not there yet is the one just to be added.
+    origin = np.where(single, places, np.minimum(codes - clear - 2, places - 1))
+    if n and (origin.min() < 0 or not single[0]):
+        raise ValueError("bad code")
+    length, at = (~single).astype(np.int64), origin
+    while (length[at] > 0).any():
+        length, at = length + length[at], at[at]
+    length += 1
+    begin = np.cumsum(length) - length
+    source = np.arange(int(length.sum())) + np.repeat(np.where(single, 0, begin[origin] - begin), length)
+    while True:
+        further = source[source]
+        if (further == source).all():
+            break
+        source = further
+    samples = np.zeros(len(source), np.uint8)
+    samples[begin[single]] = codes[single]
+    return samples[source]
+
+
 def lzw_decode(data: bytes, size: int) -> bytes:
-    """The samples of an LZW code stream; a stream that ends early gives what it holds."""
+    """The samples of an LZW code stream; a stream that ends early gives what it holds. Raises ValueError for codes that no table can have."""
     clear, end = 1 << size, (1 << size) + 1
     raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.int64)
     total, out = 8 * len(data), []
     starts = _schedule(size, max(3 * MOST_CODES, total // 12 + MOST_CODES) if total > 24 * MOST_CODES else 3 * MOST_CODES)
     begin, width = starts[1:] - starts[1], np.diff(starts[1:])
-    single = [bytes((k,)) for k in range(clear)] + [b"", b""]
     base = size + 1 if total and int(raw[0] | raw[1] << 8) & (2 * clear - 1) == clear else 0
     while base < total:
         # The codes up to the next clear code, read as if there were none.
@@ -98,22 +126,9 @@ def lzw_decode(data: bytes, size: int) -> bytes:
         codes = (raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16) >> (offset & 7) & ((1 << width[:n]) - 1)
         stops = np.flatnonzero((codes == clear) | (codes == end))
         used = int(stops[0]) if len(stops) else n
-        again = len(stops) > 0 and codes[used] == clear
-        some = codes[:used].tolist()
-        if some:
-            table = single[:]
-            grow, put, size_now = table.append, out.append, len(single)
-            previous = table[some[0]]
-            put(previous)
-            room = MOST_CODES - size_now + 1
-            for code in some[1:room]:
-                entry = table[code] if code < size_now else previous + previous[:1]
-                grow(previous + entry[:1])
-                size_now += 1
-                put(entry)
-                previous = entry
-            out += [table[code] for code in some[room:]]
-        if not again:
+        if used:
+            out.append(_run(codes[:used], clear).tobytes())
+        if not len(stops) or codes[used] == end:
             break
         base += int(begin[used + 1])
     return b"".join(out)
