@@ -67,6 +67,16 @@ def test_html_template_decides(spark):
     assert all("Home" in html.main_text(h, html.Template()) for _, _, h in rows)
 
 
+def test_html_templates_too_many_to_broadcast(spark, sf_dir, monkeypatch):
+    """The same texts where templates are joined: hosts with a large part of the pages, small ones, and pages without a host."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = pages.unionByName(pages.limit(9).withColumns({"url": F.lit(None).cast("string"), "page_id": F.col("page_id") + 10_000}))
+    usual = sorted((r.page_id, r.text) for r in html.extract(pages).collect())
+    monkeypatch.setattr(html, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(html, "MOST_HOT", 8)
+    assert sorted((r.page_id, r.text) for r in html.extract(pages).collect()) == usual
+
+
 def test_html_copies_stay(spark):
     """Copies of an article on one host, with menus and adverts of their own, are no template, whether all pages are copies or some."""
     text = "".join(f"<p>Paragraph {j} of the piece that was sent to all.</p>" for j in range(6))
