@@ -52,6 +52,8 @@ _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices newsletter subscribe subscription signup login sidebar nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar share sharing social related recommended popup modal overlay paywall comment comments commentlist disqus respond replies reply discussion toolbar pagination pager menu search widget skip".split()
 )
 _NEUTRAL = frozenset("site page main top bottom left right box block list links link container wrapper wrap inner outer area section item items bar global primary secondary post posts article articles entry module region js thread form content text buttons button icons mobile desktop".split())
+#: The name of an article's header, where no element says that it is in one.
+_OWN_HEADER = re.compile(r"(?:entry|post|article)[-_]?header", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
@@ -131,9 +133,9 @@ def events(html: str | None) -> list[Event]:
         if len(stack) > DEPTH:
             deeper[name] += 1
             return
-        header = up.header or ("header" in label and up.article + up.main > 0)
-        if "header" in label and header:
-            marked = False
+        own = "header" in label and (up.article + up.main > 0 or bool(_OWN_HEADER.search(label)))
+        header = up.header or own
+        marked = marked and not own
         stack.append(Element(name, _digest(f"{up.role}/{label}"), up.out or marked, up.article + (name == "article"), up.main + (name == "main"), header))
         open_names[name] += 1
         out.append((OPEN, stack[-1], "", 0))

@@ -100,6 +100,7 @@ def test_html_copies_stay(spark):
         ("<article>a <math>x<mi>y</mi></math> <noscript>c</noscript></article>", "a xy c"),
         ("<article><div class='warning'>Mind the gap</div><div class='form-of-government'>a</div><div class='share-links'>b</div></article>", "Mind the gap\na"),
         ("<article><div class='entry-header'>by me<h1>T</h1></div><p>a</p></article>", "T\na"),
+        ("<div class='post-header'>by me<h1>T</h1></div><p>a</p><div class='site-header'><h2>b</h2></div>", "T\na"),
         ("<article><p>a<script>x</p></script>b<style>p{}</style></p><section id=comments>c</section></article>", "ab"),
         ("1 < 2 &amp; 3 <b>x</b> <unfinished", "1 < 2 & 3 x"),
         ('<p title="5" tall">a</p><p title=">">b</p><p title="never>c</p>', "a\nb\nc"),
