@@ -165,6 +165,25 @@ def test_language_id(spark, odd):
     assert langid.profiles(odd.limit(0)) == {} and {r.lang_pred for r in langid.identify(odd, {}).collect()} == {"und"}
 
 
+def test_language_stage_finds_wrong_labels_of_each_language(spark):
+    """Documents that are not learned from are declared as another language, the others as they are."""
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["de", "en", "es", "fr"]
+    array, held = F.array(*map(F.lit, names)), langid.held_out(F.col("doc_id"))
+    # Each language is followed by another one, by one, two or three places.
+    turned = F.get(array, ((F.array_position(array, F.col("lang")) - 1 + 1 + F.col("doc_id") % 3) % 4).cast("int"))
+    swapped = docs.withColumn("lang", F.when(held, turned).otherwise(F.col("lang")))
+    kept = {r.doc_id for r in c.language(spark, swapped, sf).collect()}
+    own = {r.doc_id: r for r in swapped.withColumn("held", held).where(F.col("text").rlike(r"\p{L}")).collect()}
+    assert sum(i not in kept for i, r in own.items() if not r.held) <= 0.002 * len(own)
+    for name in names:
+        wrong = [i for i, r in own.items() if r.held and r.lang == name]
+        assert len(wrong) > 10 and sum(i not in kept for i in wrong) >= 0.95 * len(wrong), name
+
+
 def test_predictions_against_single_ngrams(spark):
     """Prototypes, cosines and predictions from loops over letters."""
     first, second, third = (v.astype(np.int64) for v in langid._vectors())
@@ -316,6 +335,8 @@ def test_language_stage_on_short_and_mixed_texts(spark):
     """Texts of 3 to 30 words go under another language's name and stay under their own; mixed ones stay under either."""
     import corpus_pipeline as c
 
+    import corpus_pipeline as c
+
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     by = defaultdict(list)
