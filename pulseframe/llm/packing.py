@@ -11,6 +11,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,8 @@ _SPLITTERS = [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Remov
 _WORD = regex.compile(_SPLIT)
 _BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 
+_ID = attrgetter("id")
+
 #: Texts with other characters go to the tokenizer whole: for these, normalising in Python is the same for sure.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
 
@@ -62,14 +65,14 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """The ids of what is one word for the tokenizer too. Its model reads bytes as characters."""
-        ids = self.known.get(part)
-        if ids is None:
-            found = self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))
-            ids = array("I", [t.id for t in found]).tobytes()
-        return ids
+        return self.known.get(part) or self._ids(part)
+
+    def _ids(self, part: str) -> bytes:
+        found = self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))
+        return array("I", map(_ID, found)).tobytes()
 
     def _learn(self, word: str) -> bytes:
-        return self._part(word) if word.isalpha() else b"".join(map(self._part, _WORD.findall(word)))
+        return self._ids(word) if word.isalpha() else b"".join(map(self._part, _WORD.findall(word)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
