@@ -105,7 +105,13 @@ def _get(path: str, kind: str = "string") -> Column:
 
 
 def _is_object(path: str) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_variant_get("doc", path, "variant")).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get("doc", path, "struct<>").isNotNull()
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is worked out once for each row, however often and in whatever filter it is used: what a generator makes is
+    not put in the place of its name, as a projection's expression is."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _creation() -> Column:
@@ -141,14 +147,13 @@ def decode_pings(raw: DataFrame, *, device_app: str = UNKNOWN) -> tuple[DataFram
     """
     own = raw if "dims" in raw.columns else raw.withColumn("dims", F.create_map().cast("map<string,string>"))
     text = own.withColumn("unpacked", gunzipped(F.col("payload"))).withColumn("document", F.col("unpacked.document")).withColumn("size", F.col("unpacked.size"))
-    parsed = text.withColumn("doc", F.try_parse_json("document"))
-    has = lambda path: F.try_variant_get("doc", path, "variant").isNotNull() & ~F.coalesce(F.schema_of_variant(F.try_variant_get("doc", path, "variant")) == "VOID", F.lit(False))
+    parsed = _once(text, "doc", F.try_parse_json("document"))
+    has = lambda path: F.try_variant_get("doc", path, "variant").isNotNull() & ~F.is_variant_null(F.try_variant_get("doc", path, "variant"))
     form = F.when(has("$.ver"), F.when(_get("$.ver", "double") == 3, "saved").otherwise("old")).when(has("$.version"), "unified").when(_is_object("$.deviceinfo"), "device").when(has("$.v"), "core").otherwise("other")
-    shape = F.schema_of_variant("doc")
-    formed = parsed.withColumn("format", F.when(shape.startswith("OBJECT"), form).otherwise("other"))
+    formed = _once(parsed, "format", F.when(_is_object("$"), form).otherwise("other"))
     kind = F.col("format")
     missing = (
-        F.when(~shape.rlike("^(OBJECT|ARRAY)"), "no object")
+        F.when((kind == "other") & ~_is_object("$") & F.try_variant_get("doc", "$", "array<variant>").isNull(), "no object")
         .when((kind == "old") & ~_is_object("$.info"), "missing info object")
         .when((kind == "unified") & ~_is_object("$.application"), "missing application object")
         .when((kind == "unified") & _creation().isNull(), "missing creationDate")
@@ -158,9 +163,9 @@ def decode_pings(raw: DataFrame, *, device_app: str = UNKNOWN) -> tuple[DataFram
         .when(F.col("size").isNull(), "gzip")
         .when(F.col("size") > MOST_BYTES, "size")
         .when(F.col("doc").isNull(), "json")
-        .when(missing.isNotNull(), "payload")
+        .when(F.col("missing").isNotNull(), "payload")
     )
-    judged = formed.withColumn("error_type", phase).withColumn("error", F.when(phase == "payload", missing))
+    judged = _once(formed.withColumn("missing", missing), "error_type", phase).withColumn("error", F.when(F.col("error_type") == "payload", F.col("missing")))
     of_path = lambda name: F.try_element_at("dims", F.lit(name))
     unknown = F.lit(UNKNOWN)
 
@@ -224,7 +229,7 @@ def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tupl
                 at = at[part]
             bad = bad | at.isNull()
         error = error.when((kind == name) & bad, "json")
-    judged = named.withColumn("error_type", error).withColumn("doc", F.when(F.col("error_type").isNull(), F.try_parse_json("document")))
+    judged = _once(_once(named, "error_type", error), "doc", F.when(F.col("error_type").isNull(), F.try_parse_json("document")))
     fields = {
         "creation_ts": _creation(),
         "reason": _get("$.payload.info.reason"),
@@ -254,10 +259,10 @@ def fhr_dimensions(df: DataFrame) -> DataFrame:
     Version 1 has them under a measurement of the last day, of two possible names. Name, version and channel that are missing are UNKNOWN; build, system, vendor
     and client have no default.
     """
-    doc = df.withColumn("doc", F.try_parse_json("document")).withColumn("fhr_version", _get("$.version"))
+    doc = _once(df, "doc", F.try_parse_json("document")).withColumn("fhr_version", _get("$.version"))
     version = F.col("fhr_version")
     last = F.try_variant_get("doc", "$.data.last", "map<string,variant>")
-    objects_of = lambda end: F.map_values(F.map_filter(last, lambda k, v: k.endswith(end) & F.schema_of_variant(v).startswith("OBJECT")))
+    objects_of = lambda end: F.map_values(F.map_filter(last, lambda k, v: k.endswith(end) & F.try_variant_get(v, "$", "struct<>").isNotNull()))
     old = F.coalesce(*[F.get(objects_of(end), F.lit(0)) for end in HEALTH_KEYS])
     at = (
         F.when(version == "1", old)
@@ -270,7 +275,7 @@ def fhr_dimensions(df: DataFrame) -> DataFrame:
             error = error.when((version == number) & ~_is_object(f"$.{name}"), f"missing object: {name}")
     error = error.when((version == "1") & old.isNull(), f"missing object: data.last[{HEALTH_KEYS[0]}]")
     error = error.when(~F.coalesce(version.isin("1", "2", "3"), F.lit(False)), "unknown payload version")
-    own = doc.withColumn("info", at).withColumn("error", error)
+    own = _once(doc.withColumn("error", error), "info", at)
     info = lambda f: F.when(F.col("error").isNull(), F.try_variant_get("info", f"$.{f}", "string"))
     named = lambda f: F.when(F.col("error").isNull(), F.coalesce(info(f), F.lit(UNKNOWN)))
     country = F.coalesce("geo_country", F.lit(UNKNOWN_PLACE)) if "geo_country" in df.columns else F.lit(UNKNOWN_PLACE)

@@ -40,6 +40,10 @@ def horizon(series: DataFrame, rows: int, seconds: int) -> DataFrame:
     return series.join(F.broadcast(newest)).where(F.unix_timestamp("bucket") > F.unix_timestamp("_newest") - rows * seconds).drop("_newest")  # one row
 
 
+def _fits(kind: str) -> Column:
+    return F.try_variant_get("v", "$", kind).isNotNull()
+
+
 def flattened(df: DataFrame, doc: str) -> DataFrame:
     """JSON objects (a column of text), of any depth -> rows (parts, kind, number, other), one for each value, kind being number, string,
     boolean, or table for an empty object or array.
@@ -49,12 +53,13 @@ def flattened(df: DataFrame, doc: str) -> DataFrame:
     """
     own = [c for c in df.columns if c != doc]
     spark = df.sparkSession
-    parsed = df.select(*own, F.array().cast("array<string>").alias("parts"), F.try_parse_json(doc).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    # What a generator makes is worked out once, while a projection's expression would be put in the place of its name.
+    parsed = df.select(*own, F.array().cast("array<string>").alias("parts"), F.explode(F.array(F.try_parse_json(doc))).alias("v")).where(_fits("struct<>"))
     signs = F.transform(F.regexp_extract_all(F.schema_of_variant("v"), F.lit("([<>])"), F.lit(1)), lambda c: F.when(c == "<", 1).otherwise(-1))
     deepest = F.aggregate(signs, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")))["most"]
     rows = parsed
     for _ in range(parsed.agg(F.max(deepest)).first()[0] or 0):
-        held = rows.withColumn("inner", F.when(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"), F.col("v")))
+        held = rows.withColumn("inner", F.when(_fits("struct<>") | _fits("array<variant>"), F.col("v")))
         inner = held.lateralJoin(spark.tvf.variant_explode_outer(F.col("inner").outer()))
         key = F.coalesce("key", F.format_string("[%d]", "pos"))
         rows = inner.select(*own, F.when(F.col("value").isNull(), F.col("parts")).otherwise(F.concat("parts", F.array(key))).alias("parts"), F.coalesce("value", "v").alias("v"))
