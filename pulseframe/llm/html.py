@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, written
+from .common import MOST_HOT, fresh, small_batches, written
 
 #: An equivalence class needs so many pages and so many tokens.
 LEAST_PAGES, LEAST_TOKENS = 4, 3
@@ -21,12 +21,12 @@ LEAST_PAGES, LEAST_TOKENS = 4, 3
 SHARE = 0.8
 #: The article is in the innermost container of the template that holds such a share of its pages' text.
 REGION = 0.95
-#: A class of texts that make up more of their pages' text are copies of an article; a slot of which links are more is a list of links.
-COPY, LINKS = 0.5, 0.5
-#: Templates' tokens in all, up to which the templates are broadcast (16 bytes each).
+#: A class of texts that make up more of their pages' text are copies of an article; a slot of which links are more is a list of links,
+#: unless the rest of it is more than LISTED of its host's text: an article with many links.
+COPY, LINKS, LISTED = 0.5, 0.5, 0.2
+#: Templates' tokens in all, up to which the templates are broadcast (16 bytes each). Beyond, those of hosts of more than 1/MOST_HOT of all
+#: pages still are (there are fewer than MOST_HOT), the others are joined.
 MOST_BROADCAST = 500_000
-#: Beyond, hosts of more than 1/MOST_HOT of all pages are broadcast still (there are fewer than MOST_HOT), the others are joined.
-MOST_HOT = 1_000
 #: Elements nested deeper are not told from the one around them; their text is.
 DEPTH = 512
 
@@ -455,8 +455,10 @@ def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html")
     summed = seen.groupBy("host", "kind", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("low").alias("low"), F.max("high").alias("high"))
     keys = lambda kind, test: F.collect_set(F.when((F.col("kind") == kind) & test, F.col("key")))
     a, b = F.col("a"), F.col("b")
-    judged = summed.groupBy("host").agg(
-        keys("region", (b > 0) & (a >= REGION * b)).alias("regions"), keys("slot", b > LINKS * (a + b)).alias("lists"), keys("class", a > COPY * b).alias("copies"), keys("order", F.col("low") != F.col("high")).alias("unordered")
+    every = summed.where("kind = 'slot'").groupBy("host").agg(F.sum("a").alias("every"))
+    listed = (b > LINKS * (a + b)) & (a <= LISTED * F.col("every"))
+    judged = summed.join(every, "host", "left").groupBy("host").agg(
+        keys("region", (b > 0) & (a >= REGION * b)).alias("regions"), keys("slot", listed).alias("lists"), keys("class", a > COPY * b).alias("copies"), keys("order", F.col("low") != F.col("high")).alias("unordered")
     )
     # What is not in order is no token; what is a copy is one, but its texts stay.
     at = F.arrays_zip("tokens", "classes")

@@ -77,6 +77,16 @@ def test_html_templates_too_many_to_broadcast(spark, sf_dir, monkeypatch):
     assert sorted((r.page_id, r.text) for r in html.extract(pages).collect()) == usual
 
 
+def test_html_articles_of_links_stay(spark):
+    """Where most words of an article are in links, it is no list of links; a menu of links beside it is."""
+    rows = []
+    for k in range(9):
+        links = " ".join(f"<a href='/{x}'>linked words of {k} and {x}</a> a {x}" for x in range(12))
+        rows.append((k, f"https://links.example/{k}", f"<body><ul><li><a>topic {k}</a></li><li><a>other {k}</a></li></ul><div class=x><h2>Head {k}</h2><p>{links}</p></div><div class=y><p><a>next {k + 1}</a></p></div></body>"))
+    for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text.startswith(f"Head {r.page_id}\nlinked words of {r.page_id} and 0 a 0") and "topic" not in r.text and "next" not in r.text
+
+
 def test_html_copies_stay(spark):
     """Copies of an article on one host, with menus and adverts of their own, are no template, whether all pages are copies or some."""
     text = "".join(f"<p>Paragraph {j} of the piece that was sent to all.</p>" for j in range(6))
