@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .common import fresh, joined, written
 
-SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 #: Words of a window, of which repeats are counted.
 WINDOW = 5
@@ -49,7 +48,7 @@ def _repeat_words(words: Column) -> Column:
     Windows are 64-bit hashes. Where they are not all different, they are sorted with their places, so that equal ones are neighbours; the
     places of those are sorted, and each covers what is before the next one.
     """
-    hashes = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda k: F.xxhash64(*[F.get(w, k + j) for j in range(WINDOW)]))
+    hashes = lambda w: F.slice(F.transform(w, lambda x, k: F.xxhash64(x, *[F.get(w, k + j) for j in range(1, WINDOW)])), F.lit(1), F.size(w) - (WINDOW - 1))
     pairs = lambda h: F.array_sort(F.transform(h, lambda x, k: F.struct(x.alias("h"), k.alias("k"))))
     same = lambda s, x, k: F.coalesce(x["h"] == F.get(s, k - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(s, k + 1)["h"], F.lit(False))
     places = lambda s: F.array_sort(F.transform(F.filter(s, lambda x, k: same(s, x, k)), lambda x: x["k"]))
@@ -68,18 +67,16 @@ def measured(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
     docs = docs.drop(*names)
     own = [F.col(f"`{c}`") for c in docs.columns]
-    t, words, lines, bare = (fresh(docs, x) for x in ("t", "words", "lines", "bare"))
+    t, words, lines, symbols = (fresh(docs, x) for x in ("t", "words", "lines", "symbols"))
     text = docs.select(*own, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(t))
-    without = lambda chars: F.char_length(F.translate(F.col(t), chars, ""))
     row = F.struct(
         F.filter(F.split(F.col(t), r"[ \t-\r]+", -1), lambda w: w != "").alias(words),
         F.filter(F.split(F.col(t), "\n", -1), lambda x: x.rlike(r"[^ \t-\r]")).alias(lines),
-        without(SPACES).cast("long").alias(bare),
-        (F.char_length(F.col(t)) - without(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.when(F.col(t).rlike(f"[{SYMBOLS}]"), F.char_length(F.col(t)) - F.char_length(F.translate(F.col(t), SYMBOLS, ""))).otherwise(0).alias(symbols),
     )
     # The generator keeps the arrays from being worked out again for each use.
     cut = text.select(*own, F.inline(F.array(row)))
-    return cut.select(*own, F.size(words).cast("long").alias("n_words"), F.col(bare).alias("word_chars"), "n_symbols", F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"), _repeat_words(F.col(words)).alias("n_repeat_words"))
+    return cut.select(*own, F.size(words).cast("long").alias("n_words"), F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a + F.char_length(w)).alias("word_chars"), F.col(symbols).cast("long").alias("n_symbols"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"), _repeat_words(F.col(words)).alias("n_repeat_words"))
 
 
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
@@ -108,18 +105,18 @@ def select_cutoffs(holdout: DataFrame, *, rules: tuple[Rule, ...] = RULES, alpha
     be taken: that which rejects the largest share of bad documents beyond its share of good ones, the more lenient of equal ones, none if no
     cutoff rejects more of the bad. A stratum with few good documents passes no cutoff, and nothing is rejected there.
 
-    Rows are counted by stratum, rule and the number of cutoffs that reject them, so what the windows see is strata * rules * cutoffs rows. Rows
+    Rows are counted by stratum, rule and the first cutoff that rejects them, so what the windows see is strata * rules * cutoffs rows. Rows
     with a null stratum or quality do not count; an empty holdout selects nothing.
     """
     known = holdout.where("stratum is not null and quality is not null")
-    level = lambda r: F.size(F.filter(F.lit(list(r.cutoffs)), lambda c: F.expr(r.value.format(div="div")) > c))
+    level = lambda r: F.size(F.filter(F.lit(list(r.cutoffs)), lambda c: F.expr(r.value.format(div="div")) <= c))
     each = known.select("stratum", (F.col("quality") == 1).alias("good"), F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), level(r).alias("level")) for r in rules])).alias("x"))
     counted = each.groupBy("stratum", "x.rule", "x.level").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     grid = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(list(r.cutoffs)))])
-    # A row for each cutoff: the counts of all levels that reach it.
+    # A row for each cutoff, which rejects all whose first rejecting cutoff it is or comes after.
     strata = counted.groupBy("stratum", "rule").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"), F.collect_list(F.struct("level", "good", "bad")).alias("levels"))  # a level for each cutoff and 0
     steps = strata.select("*", F.posexplode(F.element_at(grid, F.col("rule"))).alias("step", "cutoff"))
-    reached = lambda what: F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + F.when(x["level"] > F.col("step"), x[what]).otherwise(0))
+    reached = lambda what: F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + F.when(x["level"] <= F.col("step"), x[what]).otherwise(0))
     tested = steps.select("stratum", "rule", "step", "cutoff", "n_good", "n_bad", reached("good").alias("n_rejected"), reached("bad").alias("bad_rejected"))
     n_strata = strata.agg(F.count_distinct("stratum")).first()[0]
     limit = delta / (len(rules) * max(n_strata, 1))

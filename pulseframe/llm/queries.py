@@ -152,8 +152,9 @@ _RULES_SQL = ", ".join(f"{{'rule': '{r.name}', 'value': {r.value.format(div='//'
 QUALITY_RULES_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
 cut AS (SELECT r, list_filter(regexp_split_to_array(t, '[ \\t-\\r]+'), lambda w: w <> '') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS lines FROM d),
-windows AS (SELECT r, unnest(range(1, len(words) - 3)) AS k, unnest(list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))) AS w FROM cut WHERE len(words) > 5),
-twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, w) AS n FROM windows) x WHERE n > 1),
+places AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS k FROM cut),
+windows AS (SELECT r, k, w || ' ' || lead(w, 1) OVER x || ' ' || lead(w, 2) OVER x || ' ' || lead(w, 3) OVER x || ' ' || lead(w, 4) OVER x AS w FROM places WINDOW x AS (PARTITION BY r ORDER BY k)),
+twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, w) AS n FROM windows WHERE w IS NOT NULL) x WHERE n > 1),
 covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + 5)) AS p FROM twice) x GROUP BY 1),
 seen AS (SELECT r, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ \\t-\\r]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
