@@ -12,7 +12,7 @@ from .common import ascii_lower, written
 #: Children of a node.
 FAN_OUT = 16
 #: A window's partition holds so many whole runs of one group, so that no group is one task.
-RUNS = 256
+RUNS = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
