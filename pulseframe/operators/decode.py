@@ -49,12 +49,12 @@ def route_submissions(raw: DataFrame, namespaces: DataFrame, ranges: DataFrame |
 
     Landfill is each submission without addresses, with its day and place. A decoded one has a logger (the namespace unless that names
     another), a document id if the path has one, and the parts after it by the namespace's first dimensions; as path_components where it has
-    fewer dimensions than there are parts. Addresses are looked up in ranges (see geo.locate) and then dropped. What is wrong is named in
-    error_type, the first that holds.
+    fewer dimensions than there are parts. Addresses are looked up in ranges (see geo.locate_first) and then dropped: country and city
+    are each those of the first forwarded address, or of the remote one where nothing is known of that. What is wrong is named in error_type, the first that holds.
     """
-    seen = raw.withColumn("ip", N.first_forwarded_ip(F.col("forwarded_for"), F.col("remote_addr"))).drop("forwarded_for", "remote_addr")
+    seen = raw.withColumn("ip", N.first_forwarded_ip(F.col("forwarded_for"), F.col("remote_addr"))).drop("forwarded_for")
     unknown = {"country": F.lit(UNKNOWN_PLACE), "city": F.lit(UNKNOWN_PLACE)}
-    placed = (geo.locate(seen, ranges, "ip") if ranges is not None else seen.withColumns(unknown)).drop("ip")
+    placed = (geo.locate_first(seen, ranges, ["ip", "remote_addr"]) if ranges is not None else seen.withColumns(unknown)).drop("ip", "remote_addr")
     landfill = placed.withColumnsRenamed({"country": "geo_country", "city": "geo_city"}).withColumn("submission_date", F.to_date("ts"))
     known = _within(F.col("parts"), namespaces, landfill.withColumn("parts", N.split_path(F.col("path"))))
     error = (

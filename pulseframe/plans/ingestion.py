@@ -57,11 +57,13 @@ def _namespaces(spark):
 
 
 def _ranges(spark):
-    return spark.createDataFrame([(167772160, 167772191, "AA", "A-city"), (151587072, 151587327, "BB", "B-city")], "first long, last long, country string, city string")
+    """The third is within the first, and has no city."""
+    return spark.createDataFrame([(167772160, 167772191, "AA", "A-city"), (151587072, 151587327, "BB", "B-city"), (167772168, 167772175, "AC", None)], "first long, last long, country string, city string")
 
 
 _ERROR = "CASE WHEN k < 2 THEN 'not enough path components' WHEN k < 4 THEN 'invalid path prefix' WHEN k < 8 THEN 'invalid namespace' WHEN k BETWEEN 16 AND 19 AND length(props) * 40 > 300 THEN 'payload too large' WHEN k BETWEEN 30 AND 33 THEN 'path too long' END"
-_PLACE = "CASE WHEN k % 3 > 0 THEN 'BB' WHEN k < 32 THEN 'AA' ELSE '??' END"
+#: What is known of no forwarded address is asked of the remote one.
+_PLACE = "CASE WHEN k % 3 > 0 OR k >= 32 THEN 'BB' WHEN k BETWEEN 8 AND 15 THEN 'AC' ELSE 'AA' END"
 
 
 @query("j01_route_submissions", with_flat(f"SELECT coalesce({_ERROR}, 'decoded') AS outcome, CASE WHEN {_ERROR} IS NULL THEN {_PLACE} END AS country, count(*) AS n FROM f GROUP BY ALL UNION ALL SELECT 'landfill', {_PLACE}, count(*) FROM f GROUP BY ALL"))

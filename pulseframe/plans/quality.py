@@ -211,6 +211,28 @@ def locate(spark, sf_dir):
     return geo.locate(df.select("event_id", ip.alias("ip")), ranges).select("event_id", "country", "city")
 
 
+@query(
+    "jn06_locate_nested",
+    with_flat(f""", nums AS (SELECT event_id, {_IP} AS n FROM f), nets AS (SELECT DISTINCT 16777216 * 10 + 65536 * (user_id % 40) AS base, user_id % 40 AS net FROM f),
+rg AS (SELECT base AS first, base + 65535 AS last, 'C' || (net % 7) AS country, CASE WHEN net % 2 = 0 THEN 'outer' END AS city FROM nets UNION ALL SELECT base + 5000, base + 9000, 'D' || (net % 3), 'inner' FROM nets WHERE net % 3 > 0
+UNION ALL SELECT base + 6000, base + 6500, 'E', 'innermost' FROM nets WHERE net % 2 = 1)
+SELECT event_id, coalesce(arg_min(country, last - first), '??') AS country, coalesce(first(city ORDER BY last - first), '??') AS city FROM nums LEFT JOIN rg ON n BETWEEN first AND last GROUP BY event_id"""),
+)
+def locate_nested(spark, sf_dir):
+    """Ranges within ranges, of both families: odd events come from an address of the sixth version with the same last bits."""
+    df = pings(spark, sf_dir)
+    n = F.expr("16777216L * 10 + 65536 * (user_id % 40) + 256 * k + event_id % 256")
+    group = lambda c: F.lower(F.hex(c))
+    six = lambda c: F.concat(F.lit("2001:DB8::"), group(F.floor(c / 65536)), F.lit(":"), group(c % 65536))
+    four = lambda c: F.concat_ws(".", *[(F.floor(c / 256**k) % 256).cast("string") for k in (3, 2, 1, 0)])
+    nets = df.select(F.expr("16777216L * 10 + 65536 * (user_id % 40)").alias("base"), (F.col("user_id") % 40).alias("net")).distinct()
+    part = lambda rows, a, b, country, city: rows.select((F.col("base") + a).alias("first"), (F.col("base") + b).alias("last"), country.alias("country"), city.alias("city"))
+    rows = part(nets, 0, 65535, F.concat(F.lit("C"), F.col("net") % 7), F.when(F.col("net") % 2 == 0, "outer"))
+    rows = rows.unionByName(part(nets.where("net % 3 > 0"), 5000, 9000, F.concat(F.lit("D"), F.col("net") % 3), F.lit("inner"))).unionByName(part(nets.where("net % 2 = 1"), 6000, 6500, F.lit("E"), F.lit("innermost")))
+    ranges = rows.select(four(F.col("first")).alias("first"), four(F.col("last")).alias("last"), "country", "city").unionByName(rows.select(six(F.col("first")).alias("first"), six(F.col("last")).alias("last"), "country", "city"))
+    return geo.locate(df.select("event_id", F.when(F.col("event_id") % 2 == 1, six(n)).otherwise(four(n)).alias("ip")), ranges).select("event_id", "country", "city")
+
+
 @query("jn05_semi_clients", with_flat("SELECT event_id FROM f WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)"))
 def semi(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("user_id"))

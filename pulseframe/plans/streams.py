@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..sources import scan
-from ..streaming import jobs
+from ..streaming import jobs, timers
 from .aggregates import plain
 from .fixtures import pings, with_flat
 from .ingestion import folder
@@ -22,8 +22,25 @@ def source(spark, sf_dir, columns=_COLUMNS):
     return scan.stream_new_files(spark, path + "/in", spark.read.parquet(path + "/in").schema), path
 
 
+def disordered(spark, sf_dir, columns=_COLUMNS):
+    """A stream of the submissions in five micro-batches, in which a row may be an hour before rows of the batch before it; and in the
+    last one a row of nobody (source and client are empty), two days after all others, that lets the watermark pass them."""
+    path = folder(spark)
+    df = pings(spark, sf_dir).select(*columns)
+    first, last = df.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    shifted = F.unix_micros("ts") + F.col("event_id") * 7 % 60 * 60_000_000
+    part = F.least(F.floor((shifted - first) * 4 / max(1, last - first)), F.lit(3))
+    for k in range(4):  # files are taken by their age
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path + "/in")
+    closing = df.agg(F.max("ts").alias("ts")).select(F.expr("ts + interval 2 days").alias("ts"), F.lit("").alias("client_id"), F.lit("").alias("raw_channel"), F.lit("crash").alias("doc_type"))
+    df.limit(0).unionByName(closing, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(path + "/in")
+    return scan.stream_new_files(spark, path + "/in", spark.read.parquet(path + "/in").schema, per_trigger=1), path
+
+
 def finished(spark, df, path, mode="append", **options):
-    jobs.run(df, path + "/out", path + "/checkpoint", mode=mode, **options).awaitTermination()
+    with timers.state_store(spark):
+        q = jobs.run(df, path + "/out", path + "/checkpoint", mode=mode, **options)
+    q.awaitTermination()
     return spark.read.parquet(path + "/out")
 
 
@@ -33,7 +50,9 @@ def _updates(spark, df, path, mode):
     def write(batch, number):
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/out/part={number}")
 
-    df.writeStream.outputMode(mode).option("checkpointLocation", path + "/checkpoint").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    with timers.state_store(spark):
+        q = df.writeStream.outputMode(mode).option("checkpointLocation", path + "/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    q.awaitTermination()
     return spark.read.option("basePath", path + "/out").parquet(path + "/out")
 
 
@@ -52,6 +71,20 @@ def late_source(spark, sf_dir, query, mode="update"):
     return _updates(spark, query(scan.stream_new_files(spark, path + "/in", schema)), path, mode)
 
 
+@query("x02_timer_emit", with_flat("""SELECT doc_type, until, CAST(sum(total) OVER w AS BIGINT) AS total, max(most) OVER w AS most
+FROM (SELECT doc_type, time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') + INTERVAL 1 DAY AS until, sum(k) AS total, CAST(max(k) AS BIGINT) AS most FROM f GROUP BY ALL) d
+WINDOW w AS (PARTITION BY doc_type ORDER BY until)"""))
+def timer_emit(spark, sf_dir):
+    """User code that adds to a state with each submission, and whose running result leaves by a timer at the end of each day."""
+    df, path = disordered(spark, sf_dir)
+    add = lambda a, b: {"total": a["total"] + b["total"], "most": max(a["most"], b["most"])}
+    seq = lambda s, r: add(s, {"total": r["k"], "most": r["k"]})
+    finish = lambda key, until, s: {"doc_type": key[0], "until_ms": until, **s}
+    own = df.select("ts", "doc_type", "client_id", F.coalesce("k", F.lit(0)).alias("k"))
+    out = timers.aggregate_on_timer(own, ["doc_type"], lambda: {"total": 0, "most": -1}, seq, add, finish, "total long, most long", "doc_type string, until_ms long, total long, most long", every_s=86_400, delay_s=7200, running=True)
+    return finished(spark, out, path).select("doc_type", F.timestamp_millis("until_ms").alias("until"), "total", "most")
+
+
 def _late_sql(days, keys=""):
     """A late row counts if its bucket was not closed yet: if it ends after the newest time that was on time, less the horizon."""
     bucket = _BUCKET.format(86400)
@@ -109,8 +142,8 @@ def duplicate_counts(spark, sf_dir):
 @query("st06_channel_events", with_flat(""", l AS (SELECT *, lag(channel) OVER (PARTITION BY client_id ORDER BY ts, event_id) AS b FROM f)
 SELECT day, channel, kind, count(*) AS n FROM (SELECT CAST(submission_date AS VARCHAR) AS day, channel, 'new' AS kind FROM l WHERE b IS NULL UNION ALL SELECT CAST(submission_date AS VARCHAR), b, 'out' FROM l WHERE b <> channel UNION ALL SELECT CAST(submission_date AS VARCHAR), channel, 'in' FROM l WHERE b <> channel) e GROUP BY ALL"""))
 def channel_events(spark, sf_dir):
-    df, path = source(spark, sf_dir)
-    out = finished(spark, jobs.channel_events(df.withColumn("channel", N.norm_channel(F.col("raw_channel")))), path)
+    df, path = disordered(spark, sf_dir)
+    out = finished(spark, timers.channel_events(df.withColumn("channel", N.norm_channel(F.col("raw_channel"))), delay="2 hours"), path).where("client_id <> ''")
     return plain(out.groupBy("day", "channel", "kind").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -118,7 +151,7 @@ def channel_events(spark, sf_dir):
 def last_seen(spark, sf_dir):
     """Clients idle for two days at the end are forgotten then."""
     df, path = source(spark, sf_dir)
-    out = _updates(spark, jobs.last_seen(df, ttl_days=2), path, "update")
+    out = _updates(spark, timers.last_seen(df, ttl_days=2), path, "update")
     return out.groupBy("client_id").agg(F.max("last_seen").alias("last_seen"), F.max_by("forgotten", "batch").alias("forgotten"))
 
 
@@ -146,9 +179,9 @@ SELECT source, ts, alert FROM r JOIN a USING (source, ts)"""),
 )
 def throttled(spark, sf_dir):
     """Whether an alert passes depends on the last that passed, so the SQL is recursive."""
-    df, path = source(spark, sf_dir)
+    df, path = disordered(spark, sf_dir)
     alerts = df.where("doc_type = 'crash'").select(F.col("raw_channel").alias("source"), "ts", "event_id", F.col("document_id").alias("alert"))
-    return finished(spark, jobs.throttled(alerts), path)
+    return finished(spark, timers.throttled(alerts, delay="2 hours"), path).where("source <> ''")
 
 
 @query("st11_restart", with_flat("SELECT event_id FROM f"))

@@ -1,22 +1,14 @@
-"""Structured Streaming forms of the counters and of per-client state.
+"""Structured Streaming forms of the counters; per-client state is in timers.py.
 
 Each function takes a streaming (or batch) DataFrame and returns one; run() starts a query with a checkpoint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from datetime import timedelta
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-#: Alerts of one source are so many seconds apart at least.
-THROTTLE_S = 3600
-#: Clients idle for so many days are forgotten.
-TTL_DAYS = 42
 
 
 def bucket_counts(df: DataFrame, keys: list[Column], *, seconds: int = 60, rows: int = 1440) -> DataFrame:
@@ -56,83 +48,6 @@ def fan_out(df: DataFrame, sinks: list[tuple[str, Callable[[DataFrame], DataFram
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _ordered(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(parts)).sort_values(["ts", "event_id"])
-
-
-SWITCH = "day date, channel string, kind string, client_id string"
-
-
-def channel_events(df: DataFrame) -> DataFrame:
-    """Per client: new, in and out, as its channel is first seen and changes. The state is a client's channel, forgotten
-    after TTL_DAYS; a micro-batch's rows are taken in event-time order, and rows more than an hour late are dropped."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before = state.get[0] if state.exists else None
-        out = []
-        for ts, channel in _ordered(parts)[["ts", "channel"]].itertuples(index=False):
-            if before is None:
-                out.append((ts.date(), channel, "new", key[0]))
-            elif before != channel:
-                out += [(ts.date(), before, "out", key[0]), (ts.date(), channel, "in", key[0])]
-            before = channel
-        state.update((before,))
-        state.setTimeoutTimestamp(int((pd.Timestamp(ts) + timedelta(days=TTL_DAYS)).timestamp() * 1000))
-        yield pd.DataFrame(out, columns=["day", "channel", "kind", "client_id"])
-
-    own = df.where("client_id is not null and channel is not null").withWatermark("ts", "1 hour").select("client_id", "ts", "event_id", "channel")
-    return own.groupBy("client_id").applyInPandasWithState(step, SWITCH, "channel string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def last_seen(df: DataFrame, *, ttl_days: int = TTL_DAYS) -> DataFrame:
-    """Per client the newest time seen, with each micro-batch that has rows of it. A client idle for ttl_days of event time is forgotten, which is
-    a row too (forgotten is true); one that comes back later starts anew. The state is a time."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            last = state.get[0]
-            state.remove()
-            yield pd.DataFrame({"client_id": [key[0]], "last_seen": [pd.Timestamp(last)], "forgotten": [True]})
-            return
-        newest = pd.Timestamp(state.get[0]) if state.exists else None
-        for p in parts:
-            most = p["ts"].max()
-            newest = most if newest is None or most > newest else newest
-        state.update((newest.to_pydatetime(),))
-        state.setTimeoutTimestamp(int((newest + timedelta(days=ttl_days)).timestamp() * 1000))
-        yield pd.DataFrame({"client_id": [key[0]], "last_seen": [newest], "forgotten": [False]})
-
-    own = df.where("client_id is not null").withWatermark("ts", "1 hour").select("client_id", "ts")
-    return own.groupBy("client_id").applyInPandasWithState(step, "client_id string, last_seen timestamp, forgotten boolean", "seen timestamp", "update", GroupStateTimeout.EventTimeTimeout)
-
-
-def throttled(alerts: DataFrame, seconds: int = THROTTLE_S) -> DataFrame:
-    """Alerts (source, ts, event_id, alert): those that come seconds or more after the source's last one that passed.
-
-    A source's alerts of one micro-batch are ordered in memory, so bound micro-batches (maxFilesPerTrigger) to what a task can hold.
-    """
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, out = (state.get[0] if state.exists else None), []
-        for ts, alert in _ordered(parts)[["ts", "alert"]].itertuples(index=False):
-            at = ts.value // 1000
-            if last is None or at - last >= seconds * 1_000_000:
-                out.append((key[0], ts, alert))
-                last = at
-        state.update((last,))
-        state.setTimeoutTimestamp(last // 1000 + 2 * seconds * 1000)
-        yield pd.DataFrame(out, columns=["source", "ts", "alert"])
-
-    own = alerts.withWatermark("ts", "1 hour")
-    return own.groupBy("source").applyInPandasWithState(step, "source string, ts timestamp, alert string", "last long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def duplicate_counts(df: DataFrame, *, seconds: int = 86_400, horizon: str = "2 days") -> DataFrame:
     """Rows and documents by bucket, of which the difference is duplicates: an aggregate over (bucket, document) counts both."""
     own = df.withWatermark("ts", horizon)
