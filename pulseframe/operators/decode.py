@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import jsonschema
 from ..functions import normalize as N
 from . import geo
 
@@ -205,12 +206,12 @@ def decode_pings(raw: DataFrame, *, device_app: str = UNKNOWN) -> tuple[DataFram
     return good, judged.where("error_type is not null").select(*carried, "error_type", "error")
 
 
-def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tuple[T.StructType, list[str]]]) -> DataFrame:
-    """Submissions (path, document: JSON text) against a declared schema per document type, with the fields that must be there.
+def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tuple[T.StructType, list[str]] | dict | str]) -> DataFrame:
+    """Submissions (path, document: JSON text) against a schema per document type: a JSON Schema, or a declared one with the fields that must be there.
 
     Adds the dimensions of the path (dims) and of the document (creation_ts to sample_id) and error_type: uri for a path that is short, has
     another prefix, an unknown namespace, too many characters or more parts than dimensions, or whose type has no schema; json for a document that is none or
-    does not fit its schema. saved-session is held against main's schema.
+    does not fit its schema. saved-session is held against main's schema. violation says where and how a document first breaks a JSON Schema.
     """
     known = _within(F.col("parts"), namespaces, df.withColumn("parts", N.split_path(F.col("path"))))
     short = F.col("path").isNull() | (F.size("parts") < 3) | (F.get("parts", F.lit(0)) != "submit")
@@ -218,8 +219,15 @@ def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tupl
     named = known.withColumn("dims", F.when(~wrong, _named()))
     doc_type = F.try_element_at("dims", F.lit("docType"))
     kind = F.when(doc_type == "saved-session", "main").otherwise(doc_type)
-    error = F.when(wrong | ~F.coalesce(kind.isin(list(schemas)), F.lit(False)), "uri")
-    for name, (schema, required) in schemas.items():
+    unknown = wrong | ~F.coalesce(kind.isin(list(schemas)), F.lit(False))
+    named = _once(named, "doc", F.when(~unknown, F.try_parse_json("document")))
+    error, broken = F.when(unknown, "uri"), F.lit(None).cast("string")
+    for name, given in schemas.items():
+        if not isinstance(given, tuple):
+            broken = F.when(kind == name, jsonschema.violation(given, F.col("doc"))).otherwise(broken)
+            error = error.when((kind == name) & (F.col("doc").isNull() | F.col("violation").isNotNull()), "json")
+            continue
+        schema, required = given
         open_schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
         value = F.from_json("document", open_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
         bad = value.isNull() | value["_corrupt_record"].isNotNull()
@@ -229,7 +237,7 @@ def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tupl
                 at = at[part]
             bad = bad | at.isNull()
         error = error.when((kind == name) & bad, "json")
-    judged = _once(_once(named, "error_type", error), "doc", F.when(F.col("error_type").isNull(), F.try_parse_json("document")))
+    judged = _once(_once(named, "violation", broken), "error_type", error)
     fields = {
         "creation_ts": _creation(),
         "reason": _get("$.payload.info.reason"),
@@ -249,7 +257,7 @@ def validate_pings(df: DataFrame, namespaces: DataFrame, schemas: dict[str, tupl
     }
     good = F.col("error_type").isNull()
     own = [c for c in df.columns if c not in fields]
-    return judged.select(*own, "namespace", "document_id", "dims", "error_type", *[F.when(good, c).alias(n) for n, c in fields.items()])
+    return judged.select(*own, "namespace", "document_id", "dims", "error_type", "violation", *[F.when(good, c).alias(n) for n, c in fields.items()])
 
 
 def fhr_dimensions(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..functions.normalize import iso_countries
-from ..operators import budget, derive, reports, stability, updates, usage
+from ..operators import budget, derive, reports, snapshot, stability, updates, usage
 from .fixtures import crashes, mains, nested, pings, summaries, with_flat
-from .registry import SQL, query, table
+from .registry import SQL, folder, query, table
 
 WEEK = date(2024, 1, 14)
 DAY = date(2024, 1, 15)
@@ -95,6 +95,21 @@ def interval(spark, sf_dir):
     return plain(rounded(reports.interval_report(summaries(spark, sf_dir), "week"), "hours"))
 
 
+@query("a06_increments", SQL["a06_interval_report"])
+def increments(spark, sf_dir):
+    """The interval report week by week: each increment reads one week and the snapshot of clients that the one before it left."""
+    path = folder(spark)
+    rows = summaries(spark, sf_dir)
+    rows.withColumn("submission_date", F.to_date("timestamp")).write.partitionBy("submission_date").parquet(path + "/rows")
+    rows = spark.read.parquet(path + "/rows")
+    first, last = rows.agg(F.min("submission_date"), F.max("submission_date")).first()
+    week, end = (d - timedelta((d.weekday() + 1) % 7) for d in (first, last))
+    while week < end:  # the last one is open
+        snapshot.advance(spark, path + "/root", rows, week, "week", buckets=8)
+        week += timedelta(7)
+    return plain(rounded(snapshot.published(spark, path + "/root"), "hours"))
+
+
 @query(
     "a07_cube_all",
     with_flat(f""", rep AS ({_REPORT.replace('round(sum(hours), 4)', 'sum(hours)')}) SELECT CASE WHEN grouping(geo) = 1 THEN 'all' ELSE geo END AS geo, CASE WHEN grouping(channel) = 1 THEN 'all' ELSE channel END AS channel, CASE WHEN grouping(os) = 1 THEN 'all' ELSE os END AS os, date,

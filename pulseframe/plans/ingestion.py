@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 
@@ -16,18 +15,7 @@ from ..operators import decode, derive
 from ..sources import index, scan, sinks
 from .aggregates import plain
 from .fixtures import crashes, mains, nested, pings, with_flat
-from .registry import query, table
-
-
-def folder(spark: SparkSession) -> str:
-    """A new folder name that driver and executors share: under spark.checkpoint.dir, in a local session where that is unset under /tmp."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: executors do not share a machine's folders")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/round-trip-{uuid.uuid4().hex}"
+from .registry import folder, query, table
 
 
 def _raw(spark, sf_dir):
@@ -168,6 +156,35 @@ def validate(spark, sf_dir):
     return out.select("event_id", "error_type", "client_id", "normalized_channel", "doc_type", "os", "creation_ts", F.try_element_at("dims", F.lit("docType")).alias("path_type"))
 
 
+#: A ping's schema, with a definition used twice, and what is wrong with some documents.
+_PING_SCHEMA = {
+    "type": "object",
+    "required": ["clientId", "type"],
+    "definitions": {"version": {"type": "string", "pattern": "^[0-9]+[.][0-9]$"}},
+    "properties": {
+        "clientId": {"type": "string", "minLength": 1},
+        "type": {"enum": ["main", "saved-session"]},
+        "version": {"$ref": "#/definitions/version"},
+        "application": {"type": "object", "properties": {"channel": {"type": "string", "maxLength": 13}, "version": {"$ref": "#/definitions/version"}}, "additionalProperties": False},
+        "counts": {"type": "array", "maxItems": 3, "items": {"type": "integer", "minimum": 0, "maximum": 98}},
+    },
+}
+
+
+@query("j03_json_schema", with_flat("""SELECT event_id, CASE WHEN k % 8 = 0 THEN 'json' WHEN v IS NOT NULL THEN 'json' END AS error_type, v AS violation, CASE WHEN k % 8 > 0 AND v IS NULL THEN client_id END AS client_id FROM (SELECT *, CASE WHEN k % 8 = 0 THEN NULL WHEN k % 8 = 1 THEN '#: required clientId' WHEN k % 8 = 2 THEN '#/version: pattern'
+  WHEN length(raw_channel) > 13 THEN '#/application/channel: maxLength' WHEN k % 8 = 3 THEN '#/application/version: type' WHEN k % 8 = 4 THEN '#/application/extra: not allowed' WHEN k % 8 = 5 THEN '#/counts: maxItems' WHEN k - 1 < 0 THEN '#/counts/1: minimum' WHEN k - 1 > 98 THEN '#/counts/1: maximum' END AS v FROM f) t"""))
+def json_schema(spark, sf_dir):
+    """Documents against a JSON Schema; each broken one with the place and keyword that it breaks first."""
+    k = F.col("k") % 8
+    application = F.struct(F.col("raw_channel").alias("channel"), F.when(k == 3, F.lit(None).cast("string")).otherwise("40.0").alias("version"), F.when(k == 4, "x").alias("extra"))
+    counts = F.when(k == 5, F.array(*[F.lit(1)] * 4)).otherwise(F.array(F.lit(0), F.col("k") - 1))
+    whole = F.to_json(F.struct(F.when(k != 1, F.col("client_id")).alias("clientId"), F.lit("main").alias("type"), F.when(k == 2, "4").otherwise("40.1").alias("version"), application.alias("application"), counts.alias("counts")))
+    null_version = F.regexp_replace(whole, "[}],\"counts\"", ',"version":null},"counts"')
+    body = F.when(k == 0, F.lit("[1,")).when(k == 3, null_version).otherwise(whole)
+    df = pings(spark, sf_dir).select("event_id", F.concat(F.lit("/submit/telemetry/"), "document_id", F.lit("/main")).alias("path"), body.alias("document"))
+    return decode.validate_pings(df, _namespaces(spark), {"main": _PING_SCHEMA}).select("event_id", "error_type", "violation", "client_id")
+
+
 _EXEC = """SELECT event_id, ts AS "timestamp", CASE WHEN doc_type = 'crash' THEN CAST(submission_date - CAST(event_id % 3 AS INT) AS TIMESTAMP) ELSE CAST(submission_date - CAST(event_id % 3 AS INT) AS TIMESTAMP) END AS activity_timestamp, profile_ts AS profile_creation_timestamp,
   client_id, document_id, doc_type, country, channel, os, is_default AS "default", round(hours, 6) AS hours, google, bing, yahoo, other, CASE WHEN doc_type = 'main' THEN CASE WHEN event_id % 5 = 0 THEN 'aborted-session' ELSE 'shutdown' END END AS reason, 'City' || (user_id % 9) AS city FROM f WHERE doc_type IN ('main', 'crash')"""
 _EXEC_COLUMNS = ["event_id", "timestamp", "activity_timestamp", "profile_creation_timestamp", "client_id", "document_id", "doc_type", "country", "channel", "os", "default", "hours", "google", "bing", "yahoo", "other", "reason", "city"]

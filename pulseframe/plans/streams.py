@@ -152,7 +152,7 @@ def last_seen(spark, sf_dir):
     """Clients idle for two days at the end are forgotten then."""
     df, path = source(spark, sf_dir)
     out = _updates(spark, timers.last_seen(df, ttl_days=2), path, "update")
-    return out.groupBy("client_id").agg(F.max("last_seen").alias("last_seen"), F.max_by("forgotten", "batch").alias("forgotten"))
+    return out.groupBy("client_id").agg(F.max("last_seen").alias("last_seen"), F.max_by("forgotten", F.struct("last_seen", "batch")).alias("forgotten"))
 
 
 @query("st08_late_rows", _late_sql(10, "doc_type,"))

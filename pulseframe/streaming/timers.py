@@ -166,13 +166,19 @@ class _LastSeen(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before = self.newest.get()[0] if self.newest.exists() else None
-        most = max([int(p["us"].max()) for p in rows] + ([before] if before is not None else []))
+        first, most = None, before
+        for p in rows:
+            low, high = int(p["us"].min()), int(p["us"].max())
+            first, most = low if first is None else min(first, low), high if most is None else max(most, high)
+        out = []
+        if before is not None and first >= before + self.ttl_us:
+            out.append((key[0], before, True))  # it came back in the micro-batch in which its timer expires
         if most != before:
             if before is not None:
                 self.handle.deleteTimer(self._end(before))
             self.newest.update((most,))
             self.handle.registerTimer(self._end(most))
-        yield pd.DataFrame({"client_id": [key[0]], "us": [most], "forgotten": [False]})
+        yield pd.DataFrame([*out, (key[0], most, False)], columns=["client_id", "us", "forgotten"])
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         most = self.newest.get()[0]

@@ -111,7 +111,7 @@ def test_last_seen(spark, tmp_path):
         q = timers.last_seen(df, ttl_days=2).writeStream.outputMode("update").foreachBatch(lambda b, n: rows.extend(tuple(r) for r in b.collect())).trigger(availableNow=True).option("checkpointLocation", path + "/c").start()
     q.awaitTermination()
     assert [r for r in rows if r[0] == "a"] == [("a", at(5), False), ("a", at(5), False), ("a", at(5), True), ("a", at(100), False), ("a", at(100), True)]
-    assert [r for r in rows if r[0] == "b"] == [("b", at(4), False), ("b", at(60), False), ("b", at(60), True)]
+    assert [r for r in rows if r[0] == "b"] == [("b", at(4), False), ("b", at(4), True), ("b", at(60), False), ("b", at(60), True)]
 
 
 @pytest.mark.parametrize("running", [True, False])
