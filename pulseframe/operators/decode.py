@@ -270,8 +270,9 @@ def fhr_dimensions(df: DataFrame) -> DataFrame:
     doc = _once(df, "doc", F.try_parse_json("document")).withColumn("fhr_version", _get("$.version"))
     version = F.col("fhr_version")
     last = F.try_variant_get("doc", "$.data.last", "map<string,variant>")
-    objects_of = lambda end: F.map_values(F.map_filter(last, lambda k, v: k.endswith(end) & F.try_variant_get(v, "$", "struct<>").isNotNull()))
-    old = F.coalesce(*[F.get(objects_of(end), F.lit(0)) for end in HEALTH_KEYS])
+    # Of names that end alike the smallest counts.
+    names_of = lambda end: F.array_sort(F.map_keys(F.map_filter(last, lambda k, v: k.endswith(end) & F.try_variant_get(v, "$", "struct<>").isNotNull())))
+    old = F.coalesce(*[F.try_element_at(last, F.get(names_of(end), F.lit(0))) for end in HEALTH_KEYS])
     at = (
         F.when(version == "1", old)
         .when(version == "2", F.try_variant_get("doc", "$.geckoAppInfo", "variant"))

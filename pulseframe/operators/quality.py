@@ -133,7 +133,17 @@ def no_new_data(series: DataFrame, seconds: int) -> DataFrame:
     return per.join(F.broadcast(newest)).select("series", "last", (F.col("last") < F.col("newest")).alias("silent"))  # one row
 
 
-def offset_gaps(df: DataFrame) -> DataFrame:
-    """(topic, partition, offset) -> the offsets that do not follow the one before, what was expected, and the difference."""
-    expected = F.lag("offset").over(Window.partitionBy("topic", "partition").orderBy("offset")) + 1
-    return df.withColumn("expected", expected).where("offset <> expected").select("topic", "partition", "offset", "expected", (F.col("offset") - F.col("expected")).alias("difference"))
+def offset_gaps(df: DataFrame, *, size: int = 1_000_000) -> DataFrame:
+    """(topic, partition, offset) -> the offsets that do not follow the one before, what was expected, and the difference.
+
+    A topic's partition is worked on in slices of size offsets, each of which knows the last offset of the slices before it from a row for each
+    slice. Of equal offsets each but the first is reported.
+    """
+    own = ["topic", "partition"]
+    cut = df.select(*own, "offset", F.floor(F.col("offset") / size).alias("_slice"))
+    ends = cut.groupBy(*own, "_slice").agg(F.max("offset").alias("_end"))
+    before = ends.select(*own, "_slice", F.lag("_end").over(Window.partitionBy(*own).orderBy("_slice")).alias("_end"))
+    within = cut.withColumn("_last", F.lag("offset").over(Window.partitionBy(*own, "_slice").orderBy("offset")))
+    named = before.select(*[F.col(c).alias(f"_{c}") for c in own], F.col("_slice").alias("_at"), "_end")
+    met = within.join(named, F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition")) & F.col("_slice").eqNullSafe(F.col("_at")))
+    return met.withColumn("expected", F.coalesce("_last", "_end") + 1).where("offset <> expected").select("topic", "partition", "offset", "expected", (F.col("offset") - F.col("expected")).alias("difference"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,35 +43,56 @@ def horizon(series: DataFrame, rows: int, seconds: int) -> DataFrame:
     return series.join(F.broadcast(newest)).where(F.unix_timestamp("bucket") > F.unix_timestamp("_newest") - rows * seconds).drop("_newest")  # one row
 
 
-def _fits(kind: str) -> Column:
-    return F.try_variant_get("v", "$", kind).isNotNull()
+#: Documents that are nested deeper than this are none, as for Spark's own parser.
+MOST_DEPTH = 1_000
+LEAVES = "array<struct<parts: array<string>, kind: string, number: double, other: string>>"
+
+
+def _leaves(text: str | None) -> list[tuple] | None:
+    """A document's values in one walk, without recursion."""
+
+    def refuse(x: str) -> None:
+        raise ValueError(x)
+
+    def unique(pairs: list[tuple[str, object]]) -> dict:
+        if len(found := dict(pairs)) < len(pairs):
+            raise ValueError("a key comes twice")
+        return found
+
+    try:
+        top = json.loads(text, parse_constant=refuse, object_pairs_hook=unique) if text else None
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(top, dict):
+        return None
+    out, todo = [], [((), top)]
+    while todo:
+        parts, v = todo.pop()
+        if len(parts) > MOST_DEPTH:
+            return None
+        if isinstance(v, (dict, list)) and v:
+            inner = v.items() if isinstance(v, dict) else ((f"[{k}]", x) for k, x in enumerate(v))
+            todo += [((*parts, k), x) for k, x in inner]
+        elif v is not None and parts:
+            kind = "table" if isinstance(v, (dict, list)) else "string" if isinstance(v, str) else "boolean" if isinstance(v, bool) else "number"
+            number = None if kind != "number" else float(v) if abs(v) < 1e308 else math.copysign(math.inf, v)
+            out.append({"parts": list(parts), "kind": kind, "number": number, "other": v if kind == "string" else str(v).lower() if kind == "boolean" else None})
+    return out
+
+
+def _all_leaves(texts: pd.Series) -> pd.Series:
+    return texts.map(_leaves)
 
 
 def flattened(df: DataFrame, doc: str) -> DataFrame:
-    """JSON objects (a column of text), of any depth -> rows (parts, kind, number, other), one for each value, kind being number, string,
+    """JSON objects (a column of text), of any depth up to MOST_DEPTH -> rows (parts, kind, number, other), one for each value, kind being number, string,
     boolean, or table for an empty object or array.
 
-    parts are the keys from the top, those of arrays as [0], [1] and so on. Nulls and text that is no object count for nothing. Each document is
-    parsed once and exploded a level at a time; a first pass finds how many there are.
+    parts are the keys from the top, those of arrays as [0], [1] and so on. Nulls and text that is no object, or has a key twice in one, count
+    for nothing. Each document is parsed once, in one pass, whatever the depth of any.
     """
     own = [c for c in df.columns if c != doc]
-    spark = df.sparkSession
-    # What a generator makes is worked out once, while a projection's expression would be put in the place of its name.
-    parsed = df.select(*own, F.array().cast("array<string>").alias("parts"), F.explode(F.array(F.try_parse_json(doc))).alias("v")).where(_fits("struct<>"))
-    signs = F.transform(F.regexp_extract_all(F.schema_of_variant("v"), F.lit("([<>])"), F.lit(1)), lambda c: F.when(c == "<", 1).otherwise(-1))
-    deepest = F.aggregate(signs, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")))["most"]
-    rows = parsed
-    for _ in range(parsed.agg(F.max(deepest)).first()[0] or 0):
-        held = rows.withColumn("inner", F.when(_fits("struct<>") | _fits("array<variant>"), F.col("v")))
-        inner = held.lateralJoin(spark.tvf.variant_explode_outer(F.col("inner").outer()))
-        key = F.coalesce("key", F.format_string("[%d]", "pos"))
-        rows = inner.select(*own, F.when(F.col("value").isNull(), F.col("parts")).otherwise(F.concat("parts", F.array(key))).alias("parts"), F.coalesce("value", "v").alias("v"))
-    shape = F.schema_of_variant("v")
-    kind = F.when(shape.rlike("^(OBJECT|ARRAY)"), "table").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", None).otherwise("number")
-    named = rows.select(*own, "parts", "v", kind.alias("kind")).where("kind is not null and size(parts) > 0")
-    number = F.when(F.col("kind") == "number", F.try_variant_get("v", "$", "double"))
-    other = F.when(F.col("kind").isin("string", "boolean"), F.try_variant_get("v", "$", "string"))
-    return named.select(*own, "parts", "kind", number.alias("number"), other.alias("other"))
+    return df.select(*own, F.inline(F.pandas_udf(_all_leaves, LEAVES)(doc)))
 
 
 def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

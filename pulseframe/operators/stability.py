@@ -82,7 +82,10 @@ def stability_summary(main: DataFrame, crashes: DataFrame, days: Sequence[str] =
 
 def stability_rollups(mains: DataFrame, crashes: DataFrame, start: date, end: date, *, yesterday: date, latency: int = LATENCY) -> dict[str, DataFrame]:
     """The stability tables of every activity day that submissions of start to end can change: from latency days before start to yesterday
-    at most -> main, crashes, actives and summary with their activity_date, and usage of the submission days.
+    at most -> main, crashes, actives, actives_weekly and summary with their activity_date, and usage of the submission days.
+
+    actives are users by the dimensions of their newest row and the days they were active on: of a day (one), and in actives_weekly of the
+    week that ends with it. A user's day is a row before it is spread over the seven weeks that it is in.
 
     Each is one plan for all days; write it with dynamic partition overwrite by activity_date, usage by submission_date.
     """
@@ -96,6 +99,13 @@ def stability_rollups(mains: DataFrame, crashes: DataFrame, start: date, end: da
     crashed = crash_counts(timely(crashes, "crash_date"), ["activity_date", *DIMS, "has_crash_environment"])
     keys = [d for d in DIMS if d != "build_id"]
     newest = F.max_by(F.struct(*keys), F.struct("timestamp", "event_id")).alias("r")
-    per = timely(mains, "subsession_date").where("client_id is not null").groupBy("activity_date", "client_id").agg(newest)
-    actives = per.groupBy("activity_date", *[F.col(f"r.{k}").alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("active_users"))
-    return {"main": main, "crashes": crashed, "actives": actives, "usage": usage_aggregate(mains, crashes, (start, last)), "summary": stability_summary(main, crashed, ["activity_date"])}
+    users = lambda per: per.groupBy("activity_date", *[F.col(f"r.{k}").alias(k) for k in keys], "active_days").agg(F.count(F.lit(1)).alias("active_users"))
+    actives = users(timely(mains, "subsession_date").where("client_id is not null").groupBy("activity_date", "client_id").agg(newest, F.lit(1).cast("long").alias("active_days")))
+
+    # A week also waits for what comes latency days after its last day, and for what came up to two days before its first.
+    own = mains.where(F.col("client_id").isNotNull() & F.col("submission_date").between(F.lit(first - timedelta(8)), F.lit(yesterday)) & F.col("subsession_date").between(F.lit(first - timedelta(6)), F.lit(last)))
+    rows = own.groupBy("client_id", "subsession_date", "submission_date").agg(newest, F.max(F.struct("timestamp", "event_id")).alias("at"))
+    ends = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.date_add("subsession_date", k))
+    spread = rows.select("*", F.explode(ends).alias("activity_date")).where(F.col("activity_date").between(F.lit(first), F.lit(last)) & F.datediff("submission_date", "activity_date").between(-8, latency - 1))
+    weekly = users(spread.groupBy("activity_date", "client_id").agg(F.max_by("r", F.struct("subsession_date", "at")).alias("r"), F.count_distinct("subsession_date").alias("active_days")))
+    return {"main": main, "crashes": crashed, "actives": actives, "actives_weekly": weekly, "usage": usage_aggregate(mains, crashes, (start, last)), "summary": stability_summary(main, crashed, ["activity_date"])}

@@ -107,9 +107,12 @@ def mobile_retention(df: DataFrame, mode: str, start: date | None = None, end: d
     combination of system version, country and channel (`all` where one is not told apart): actives, new records, and clients
     back on day 1, 7 and 30 of their profile.
 
-    A document counts once, and a client once a day within a segment. Segments without a profile date have no row.
+    A document counts once, by its first row (the smallest by day and then by its values); rows without a document id are documents of their own. A
+    client counts once a day within a segment. Segments without a profile date have no row.
     """
-    own = df.dropDuplicates(["document_id"])
+    columns = ["submission_date", *[c for c in df.columns if c not in ("submission_date", "document_id")]]
+    first = df.where(F.col("document_id").isNotNull()).groupBy("document_id").agg(F.min(F.struct(*columns)).alias("r")).select("document_id", "r.*")
+    own = first.unionByName(df.where(F.col("document_id").isNull()))
     if start is not None:
         own = own.where(F.col("submission_date") >= (N.sunday_week(F.lit(start)) if mode == "weekly" else N.month_start(F.lit(start))))
     if end is not None:

@@ -229,12 +229,23 @@ def rollup_crashes(spark, sf_dir):
 
 @query(
     "a39_rollup_actives",
-    with_flat(f"""SELECT CAST(activity_date AS VARCHAR) AS activity_date, {', '.join(d for d in stability.DIMS if d != 'build_id')}, count(*) AS active_users FROM (SELECT activity_date, {_DIMS.replace('build_id, ', '')}, row_number() OVER (PARTITION BY client_id, activity_date ORDER BY ts DESC, event_id DESC) AS r FROM m WHERE {_ROLLED.format('activity_date')}) t WHERE r = 1 GROUP BY ALL"""),
+    with_flat(f"""SELECT CAST(activity_date AS VARCHAR) AS activity_date, {', '.join(d for d in stability.DIMS if d != 'build_id')}, CAST(1 AS BIGINT) AS active_days, count(*) AS active_users FROM (SELECT activity_date, {_DIMS.replace('build_id, ', '')}, row_number() OVER (PARTITION BY client_id, activity_date ORDER BY ts DESC, event_id DESC) AS r FROM m WHERE {_ROLLED.format('activity_date')}) t WHERE r = 1 GROUP BY ALL"""),
 )
 def rollup_actives(spark, sf_dir):
     return _rolled(spark, sf_dir, "actives")
 
 
+@query(
+    "a39_rollup_actives_weekly",
+    with_flat(f""", ends AS (SELECT CAST(DATE '2024-01-10' + CAST(i AS INT) AS DATE) AS day FROM range(0, 13) r(i)),
+w AS (SELECT day, client_id, {_DIMS.replace('build_id, ', '')}, dense_rank() OVER (PARTITION BY day, client_id ORDER BY activity_date) AS active_days, row_number() OVER (PARTITION BY day, client_id ORDER BY activity_date DESC, ts DESC, event_id DESC) AS r
+  FROM m JOIN ends ON activity_date <= day AND activity_date > day - 7 AND submission_date BETWEEN day - 8 AND least(day + 9, DATE '2024-01-28'))
+SELECT CAST(day AS VARCHAR) AS activity_date, {', '.join(d for d in stability.DIMS if d != 'build_id')}, active_days, count(*) AS active_users FROM w WHERE r = 1 GROUP BY ALL"""),
+)
+def rollup_actives_weekly(spark, sf_dir):
+    return _rolled(spark, sf_dir, "actives_weekly")
+
+
 @query("a39_rollup_usage", SQL["a12_usage_aggregate"].replace("2024-01-10", "2024-01-20").replace("2024-01-16", "2024-01-22"))
 def rollup_usage(spark, sf_dir):
     return _rolled(spark, sf_dir, "usage")
@@ -518,9 +529,7 @@ def except_clients(spark, sf_dir):
     return last.select("client_id").subtract(this.select("client_id"))
 
 
-@query("jn07_sessions_and_crashes", with_flat("SELECT coalesce(a.channel, b.channel) AS channel, coalesce(a.os, b.os) AS os, coalesce(sessions, 0) AS sessions, coalesce(crashes, 0) AS crashes FROM (SELECT channel, os, count(*) AS sessions FROM m WHERE k > 60 GROUP BY ALL) a FULL JOIN (SELECT channel, os, count(*) AS crashes FROM c WHERE k < 40 GROUP BY ALL) b ON a.channel = b.channel AND a.os = b.os"))
+@query("jn07_sessions_and_crashes", with_flat("SELECT coalesce(a.channel, b.channel) AS channel, coalesce(a.os, b.os) AS os, coalesce(sessions, 0) AS sessions, coalesce(crashes, 0) AS crashes FROM (SELECT channel, os, count(*) AS sessions FROM m GROUP BY ALL) a FULL JOIN (SELECT channel, os, count(*) AS crashes FROM c GROUP BY ALL) b ON a.channel = b.channel AND a.os = b.os"))
 def sessions_and_crashes(spark, sf_dir):
     count = lambda df, n: df.groupBy("channel", "os").agg(F.count(F.lit(1)).alias(n))
-    keep = pings(spark, sf_dir).select("event_id", "k")
-    own = count(mains(spark, sf_dir).join(keep.where("k > 60"), "event_id", "left_semi"), "sessions")
-    return reports.merge_aggregates([own, count(crashes(spark, sf_dir).join(keep.where("k < 40"), "event_id", "left_semi"), "crashes")], ["channel", "os"])
+    return reports.merge_aggregates([count(mains(spark, sf_dir), "sessions"), count(crashes(spark, sf_dir), "crashes")], ["channel", "os"])

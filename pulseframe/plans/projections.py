@@ -155,9 +155,9 @@ def os_and_profile(spark, sf_dir):
     return df.where((F.col("raw_os") == "Darwin") & F.col("profile_day").isNotNull()).select("event_id")
 
 
-@query("f08_fraction_sampling")
+@query("f08_fraction_sampling", with_flat(f"SELECT event_id FROM f WHERE {_CRC.format("('7-' || event_id)")} < {int(0.1 * 2**32)}"))
 def fraction_sampling(spark, sf_dir):
-    return pings(spark, sf_dir).sample(0.1, 7).select("event_id")
+    return pings(spark, sf_dir).where(N.sampled(F.col("event_id").cast("string"), 0.1, "7-")).select("event_id")
 
 
 @query("sf01_strings", with_flat("SELECT event_id, starts_with(raw_os, 'Win') AS prefix, contains(raw_os, 'nu') OR contains(raw_os, 'NU') AS inside, regexp_matches(raw_channel, '^b.*x$') AS matched, upper(raw_os) AS up, split_part(raw_channel, '-', 2) AS second, replace(raw_channel, '-', '.') AS replaced, substr(raw_channel, 2, 3) AS part FROM f"))

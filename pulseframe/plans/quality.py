@@ -36,10 +36,10 @@ def nearest(spark, sf_dir):
     return _channelled(spark, sf_dir).groupBy("channel").agg(F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY seconds)").alias("p75"))
 
 
-@query("a28_error_tally", with_flat("SELECT coalesce(CASE k % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'gzip' WHEN 2 THEN 'uri' END, '<none>') AS error, count(*) AS n FROM f WHERE doc_type = 'crash' GROUP BY 1"))
+@query("a28_error_tally", with_flat("SELECT coalesce(CASE k % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'gzip' WHEN 2 THEN 'uri' END, '<none>') AS error, count(*) AS n FROM f GROUP BY 1"))
 def tally(spark, sf_dir):
     error = F.get(F.array(F.lit("json"), F.lit("gzip"), F.lit("uri")), F.col("k") % 4)
-    return quality.error_tally(pings(spark, sf_dir).where("doc_type = 'crash'").withColumn("error", error))
+    return quality.error_tally(pings(spark, sf_dir).withColumn("error", error))
 
 
 @query("a29_duplicate_report", with_flat("SELECT CAST(submission_date AS VARCHAR) AS day, channel, count(*) AS duplicates, count(DISTINCT client_id) AS clients FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY ts, event_id) AS r FROM f) t WHERE r > 1 GROUP BY ALL"))
@@ -179,10 +179,10 @@ def ordered(spark, sf_dir):
     return _channelled(spark, sf_dir).groupBy("channel").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "channel")
 
 
-@query("s18_series_to_wide", with_flat(f"""SELECT strftime({_BUCKET.format(86400)}, '%Y-%m-%d %H:%M:%S') AS "Time", CAST(sum(CASE WHEN doc_type = 'main' THEN k END) AS BIGINT) AS main, CAST(sum(CASE WHEN doc_type = 'crash' THEN k END) AS BIGINT) AS crash FROM f GROUP BY 1"""))
+@query("s18_series_to_wide", with_flat(f"""SELECT strftime({_BUCKET.format(86400)}, '%Y-%m-%d %H:%M:%S') AS "Time", CAST(sum(CASE WHEN doc_type = 'main' THEN k END) AS BIGINT) AS main, CAST(sum(CASE WHEN doc_type = 'crash' THEN k END) AS BIGINT) AS crash, CAST(sum(CASE WHEN doc_type = 'saved-session' THEN k END) AS BIGINT) AS "saved-session" FROM f GROUP BY 1"""))
 def wide(spark, sf_dir):
     long = pings(spark, sf_dir).select(series.bucket(F.col("ts"), 86_400).alias("bucket"), F.col("doc_type").alias("name"), F.col("k").alias("value"))
-    return series.series_to_wide(long.where("name in ('main', 'crash')"), ["main", "crash"])
+    return series.series_to_wide(long, ["main", "crash", "saved-session"])
 
 
 @query("s19_offset_gaps", with_flat("""SELECT topic, "partition", "offset", expected, "offset" - expected AS difference FROM (SELECT doc_type AS topic, user_id % 4 AS "partition", event_id AS "offset", lag(event_id) OVER (PARTITION BY doc_type, user_id % 4 ORDER BY event_id) + 1 AS expected FROM f) t WHERE "offset" <> expected"""))

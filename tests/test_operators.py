@@ -2,8 +2,10 @@
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from pulseframe.functions import normalize as N
 from pulseframe.operators import budget, quality, reports, series, updates, usage
 from pulseframe.plans import streams
 
@@ -34,6 +36,18 @@ def test_merge_of_objects(spark):
     assert merged(spark, None) == {}
 
 
+def test_merge_of_any_depth(spark):
+    """500 levels of objects and arrays in turn; 1,001 are none; a key that comes twice makes no object."""
+    deep = lambda n: '{"a":[' * (n // 2) + "7" + "]}" * (n // 2)
+    path = ".".join(["a[0]"] * 250)
+    assert merged(spark, deep(500), deep(500), deep(1002), '{"b": 1, "b": 2}', '{"c": NaN}') == {path: 14}
+    assert len(merged(spark, deep(1000))) == 1
+    rows = spark.createDataFrame([(deep(1002), T0, 1)], "doc string, ts timestamp, event_id long")
+    assert series.flattened(rows, "doc").count() == 0
+    short, long = (series.flattened(spark.createDataFrame([(deep(n), T0, 1)], "doc string, ts timestamp, event_id long"), "doc")._jdf.queryExecution().executedPlan().toString().count("\n") for n in (2, 500))
+    assert short == long  # the plan does not follow the depth
+
+
 def test_merge_of_series(spark):
     rows = [("s", T0, "n", "sum", 1.0), ("s", T0, "n", "sum", float("nan")), ("s", T0, "n", "sum", 4.0), ("s", T0, "lo", "min", 3.0), ("s", T0, "lo", "min", 2.0), ("s", T0, "hi", "max", 3.0), ("s", T0, "hi", "max", 2.0)]
     got = {r.name: r.value for r in series.merge_series(spark.createDataFrame(rows, "series string, bucket timestamp, name string, aggregation string, value double")).collect()}
@@ -52,6 +66,33 @@ def test_offset_gaps(spark):
     assert [(r.offset, r.expected, r.difference) for r in got] == [(5, 3, 2)]
 
 
+@pytest.mark.parametrize("size", [1, 3, 10, 10**6])
+def test_offset_gaps_in_slices(spark, size):
+    """However offsets are cut, each is held against the one before it, in the same slice or an earlier one; null topics too."""
+    rows = [("t", 0, o) for o in (1, 2, 3, 4, 40, 41, 41, 99)] + [(None, None, o) for o in (7, 9)] + [("t", 1, o) for o in range(50, 60)]
+    got = quality.offset_gaps(spark.createDataFrame(rows, "topic string, partition int, offset long"), size=size).collect()
+    assert sorted((r.topic or "", r.offset, r.expected) for r in got) == [("", 9, 8), ("t", 40, 5), ("t", 41, 42), ("t", 99, 42)]
+
+
+def test_retention_of_rows_without_ids(spark):
+    """Rows without a document id are documents of their own; of a repeated id the first row counts."""
+    day = date(2024, 1, 8)
+    rows = [(None, f"c{k}", "6", "US", "release", day - timedelta(1), day) for k in range(5)] + [("d", "x", "6", "US", "release", day - timedelta(1), day), ("d", "y", "6", "US", "release", day - timedelta(1), day + timedelta(1))]
+    df = spark.createDataFrame(rows, "document_id string, client_id string, os_version string, country string, channel string, profile_day date, submission_date date").withColumn("profile_day", F.unix_date("profile_day"))
+    got = {r.os_version: (r.actives, r.d1) for r in usage.mobile_retention(df, "weekly").where("country = 'US' and channel = 'release'").collect()}
+    assert got == {"6": (6, 6), "all": (6, 6)}
+
+
+def test_samples_are_of_keys(spark):
+    """About the share of all keys, the same in any order, another set with another seed, no null."""
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("key")).union(spark.createDataFrame([(None,)], "key string"))
+    one = {r.key for r in df.where(N.sampled(F.col("key"), 0.1)).collect()}
+    assert abs(len(one) - 2000) < 4 * (20_000 * 0.09) ** 0.5 and None not in one
+    assert one == {r.key for r in df.repartition(7).where(N.sampled(F.col("key"), 0.1)).collect()}
+    assert len(one & {r.key for r in df.where(N.sampled(F.col("key"), 0.1, "b")).collect()}) < 400
+    assert df.where(N.sampled(F.col("key"), 0.0)).count() == 0 and df.where(N.sampled(F.col("key"), 1.0)).count() == 20_000
+
+
 def test_channel_switches(spark):
     rows = [("a", c, T0 + timedelta(hours=k), k) for k, c in enumerate(("x", "y", "x", "x"))] + [(None, "x", T0, 9)]
     got = {r.channel: (r.new, r.switched_in, r.switched_out) for r in quality.channel_switches(spark.createDataFrame(rows, "client_id string, channel string, ts timestamp, event_id long")).collect()}
