@@ -123,7 +123,7 @@ def sample_id(client: Column) -> Column:
 def sampled(key: Column, fraction: float, seed: str = "") -> Column:
     """Whether a key is in a sample of that share of keys: whether its hash, with the seed before it, is under the share of all hashes. The same
     keys in any table, however it is laid out; null keys are not."""
-    return F.coalesce(F.crc32(F.concat(F.lit(seed), key).cast("binary")) < int(fraction * 2**32), F.lit(False))
+    return F.coalesce(F.conv(F.left(F.md5(F.concat(F.lit(seed), key).cast("binary")), F.lit(8)), 16, 10).cast("long") < int(fraction * 2**32), F.lit(False))
 
 
 def build_date(build: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -377,8 +378,11 @@ def write_jdbc(spark, sf_dir):
             raise ValueError("pulseframe.jdbc.url is not set")
         url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
     name = f"rows_of_days_{uuid.uuid4().hex}"
-    sinks.write_jdbc_days(pings(spark, sf_dir).select("event_id", "raw_os", "k", "submission_date"), url, name, day="submission_date", driver=driver)
-    return spark.read.option("driver", driver).jdbc(url, name).select(*[F.col(c).alias(c.lower()) for c in ("event_id", "raw_os", "k")])
+    rows = pings(spark, sf_dir).select("event_id", "raw_os", "k", "submission_date")
+    days = sinks.write_jdbc_days(rows, url, name, day="submission_date", driver=driver, run="one")
+    days = days if sinks.write_jdbc_days(rows, url, name, day="submission_date", driver=driver, run="one") == days else []  # a run that is done adds nothing
+    tables = [spark.read.option("driver", driver).jdbc(url, sinks.day_table(name, d)).select("event_id", "raw_os", "k") for d in days]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("s11_load_day_table", with_flat("SELECT event_id, left(raw_channel, 5) AS raw_channel FROM f WHERE submission_date = DATE '2024-01-06'"))
@@ -430,14 +434,17 @@ def export(spark, sf_dir):
 def _by_day(spark, sf_dir):
     path = folder(spark)
     own = pings(spark, sf_dir).select("event_id", F.when(F.col("k") % 50 != 0, F.col("client_id")).alias("client_id"), "submission_date")
-    own.repartition("submission_date").write.partitionBy("submission_date").parquet(path)
+    own.repartition("submission_date").sortWithinPartitions("submission_date", "client_id", "event_id").write.partitionBy("submission_date").parquet(path)
     return path
 
 
-@query("s16_build_client_index", with_flat("SELECT CASE WHEN k % 50 <> 0 THEN client_id END AS client_id, CAST(submission_date AS VARCHAR) AS submission_date, count(*) AS n FROM f GROUP BY ALL"))
+@query("s16_build_client_index", with_flat("""SELECT client_id, CAST(submission_date AS VARCHAR) AS submission_date, min(place) AS position, count(*) AS n
+FROM (SELECT CASE WHEN k % 50 <> 0 THEN client_id END AS client_id, submission_date, row_number() OVER (PARTITION BY submission_date ORDER BY CASE WHEN k % 50 <> 0 THEN client_id END NULLS FIRST, event_id) - 1 AS place FROM f) t GROUP BY client_id, submission_date"""))
 def client_index(spark, sf_dir):
-    own = index.build_client_index(spark, _by_day(spark, sf_dir))
-    return plain(own.groupBy("client_id", "submission_date").agg(F.sum("rows").alias("n")))
+    """A day is a file here, sorted by client: a run of each."""
+    path = folder(spark)
+    index.write_client_index(index.build_client_index(spark, _by_day(spark, sf_dir)), path)
+    return plain(spark.read.parquet(path).select("client_id", "submission_date", "position", F.col("rows").alias("n")))
 
 
 @query("s17_lookup_clients", with_flat("SELECT event_id FROM f WHERE k % 50 <> 0 AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AND submission_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'"))

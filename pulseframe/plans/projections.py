@@ -155,7 +155,7 @@ def os_and_profile(spark, sf_dir):
     return df.where((F.col("raw_os") == "Darwin") & F.col("profile_day").isNotNull()).select("event_id")
 
 
-@query("f08_fraction_sampling", with_flat(f"SELECT event_id FROM f WHERE {_CRC.format("('7-' || event_id)")} < {int(0.1 * 2**32)}"))
+@query("f08_fraction_sampling", with_flat(f"SELECT event_id FROM f WHERE CAST('0x' || left(md5('7-' || event_id), 8) AS BIGINT) < {int(0.1 * 2**32)}"))
 def fraction_sampling(spark, sf_dir):
     return pings(spark, sf_dir).where(N.sampled(F.col("event_id").cast("string"), 0.1, "7-")).select("event_id")
 
