@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -71,11 +72,12 @@ def _marked(name: str) -> bool:
 
 
 class Element:
-    __slots__ = ("name", "role", "out", "article", "main", "header")
+    __slots__ = ("name", "role", "out", "form", "article", "main", "header")
 
-    def __init__(self, name: str, role: int, out: bool, article: int, main: int, header: bool) -> None:
+    def __init__(self, name: str, role: int, out: bool, form: bool, article: int, main: int, header: bool) -> None:
         self.name, self.role = name, role  # the role is a digest of the path of names and classes
         self.out = out  # within a region with marks
+        self.form = form  # of which all are forms
         self.article, self.main = article, main  # the articles and main elements around
         self.header = header  # within the header of an article
 
@@ -101,7 +103,7 @@ def events(html: str | None) -> list[Event]:
     """The elements and blocks of text of a page, in one pass over it; end tags that nothing opened are skipped and missing ones implied."""
     html = html or ""
     out: list[Event] = []
-    stack = [Element("", 0, False, 0, 0, False)]
+    stack = [Element("", 0, False, False, 0, 0, False)]
     open_names: Counter[str] = Counter()
     deeper: Counter[str] = Counter()  # elements beyond DEPTH
     run: list[str] = []
@@ -136,7 +138,10 @@ def events(html: str | None) -> list[Event]:
         own = "header" in label and (up.article + up.main > 0 or bool(_OWN_HEADER.search(label)))
         header = up.header or own
         marked = marked and not own
-        stack.append(Element(name, _digest(f"{up.role}/{label}"), up.out or marked, up.article + (name == "article"), up.main + (name == "main"), header))
+        form = up.form and not marked or marked and name == "form" and not up.out
+        # A form that holds an article is the page's, not a form to fill in.
+        within = up.out and not (up.form and name in ("article", "main"))
+        stack.append(Element(name, _digest(f"{up.role}/{label}"), within or marked, form and (within or marked), up.article + (name == "article"), up.main + (name == "main"), header))
         open_names[name] += 1
         out.append((OPEN, stack[-1], "", 0))
 
@@ -313,12 +318,16 @@ def main_text(html: str | None, template: Template) -> str:
 
     The article is in the innermost container of the template that holds the text, or in the whole page where the template names none.
     The template's own texts go, and so do slots that hold lists of links and regions with marks, but for headings in an
-    article's header. An article element around the container, or else those within, then main elements, are the text. A title that stands
+    article's header. Within article and main elements what stands in each article of a site between other text, such as its headings, is
+    the article's, and so are up to LEAST_TOKENS - 1 such blocks at its begin or end; more of them there are notices. An article element around the container, or else those within, then main elements, are the text. A title that stands
     before the container belongs to it.
     """
     page = matched(html, template)
     own = [b for b in page.blocks if not b.element.out and (not b.element.header or b.element.name in _HEADING)]
-    kept = [b for b in own if b.token not in template.texts and (b.slot not in template.lists or b.element.name in _HEADING)]
+    fixed = lambda b: b.token in template.texts or b.slot in template.lists and b.element.name not in _HEADING
+    inner = [b for b in own if b.element.article or b.element.main]
+    notices = {id(b) for side in (inner, inner[::-1]) if len(run := list(itertools.takewhile(fixed, side))) >= LEAST_TOKENS for b in run}
+    kept = [b for b in own if not (id(b) in notices if b.element.article or b.element.main else fixed(b))]
     holders = [w for w in page.within if w[0] in template.regions]
     if holders:
         _, first, last, _ = max(holders, key=lambda w: w[1])

@@ -43,8 +43,7 @@ def test_html(spark):
     assert len(got) == len(rows)
     tail = "Body of {k} goes on for quite a few words, so that it is most of what the page has."
     for k in range(10):
-        # What is in each article of a host with enough pages is template.
-        lines = [f"Title {k} & more", f"First words of {k}.", "Café <b> " + tail.format(k=k), f"one {k}", f"two {k}", *(["Read our terms"] if k >= 8 else [])]
+        lines = [f"Title {k} & more", f"First words of {k}.", "Café <b> " + tail.format(k=k), f"one {k}", f"two {k}", "Read our terms"]
         assert got[k].text.split("\n") == lines
         assert got[k].n_chars == len(got[k].text) and got[k].host_of == "h"
     assert got[21].text == got[22].text == "" and got[None].text == "plain & simple"
@@ -52,6 +51,24 @@ def test_html(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_html_keeps_what_each_article_has(spark, element):
+    """Headings and lines that all articles of a host share, whatever the number of its pages; also where a form is around the page."""
+    rng = random.Random(3)
+    rows, expected = [], {}
+    for host, n, wrap in (("small", 3, ""), ("large", 12, ""), ("net", 1, "form"), ("asp", 9, "form")):
+        for k in range(n):
+            words = lambda m: " ".join(f"w{rng.randrange(900)}" for _ in range(m))
+            lines = [f"Dish {words(2)}", words(40), "Ingredients", "1 pinch of salt", words(3), "Method", words(60), "Serves 4"]
+            a, b, c, d, e, f, g, s = lines
+            body = f"<{element}><h1>{a}</h1><p>{b}</p><h2>{c}</h2><ul><li>{d}<li>{e}</ul><h2>{f}</h2><p>{g}</p><p>{s}</p><form><p>your name</p></form></{element}>"
+            page_ = f"<nav><a href='/'>Home</a></nav>{body}<footer>of {host}</footer>"
+            rows.append((len(rows), f"https://{host}.example/{k}", f"<html><body>{f'<form id=aspnetForm>{page_}</form>' if wrap else page_}</body></html>"))
+            expected[len(rows) - 1] = "\n".join(lines)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(pages).collect()} == expected
+
+
 def test_html_template_decides(spark):
     """Menus, adverts and footers without a telling element or class: only the template says what they are."""
     rng = random.Random(8)
