@@ -138,10 +138,14 @@ def events(html: str | None) -> list[Event]:
         own = "header" in label and (up.article + up.main > 0 or bool(_OWN_HEADER.search(label)))
         header = up.header or own
         marked = marked and not own
-        form = up.form and not marked or marked and name == "form" and not up.out
-        # A form that holds an article is the page's, not a form to fill in.
-        within = up.out and not (up.form and name in ("article", "main"))
-        stack.append(Element(name, _digest(f"{up.role}/{label}"), within or marked, form and (within or marked), up.article + (name == "article"), up.main + (name == "main"), header))
+        region, form = up.out, False
+        if region:
+            form = up.form and not marked
+            if up.form and (name == "article" or name == "main"):
+                region = form = False  # a form that holds an article is the page's, not a form to fill in
+        elif marked:
+            form = name == "form"
+        stack.append(Element(name, _digest(f"{up.role}/{label}"), region or marked, form, up.article + (name == "article"), up.main + (name == "main"), header))
         open_names[name] += 1
         out.append((OPEN, stack[-1], "", 0))
 
@@ -325,7 +329,7 @@ def main_text(html: str | None, template: Template) -> str:
     page = matched(html, template)
     own = [b for b in page.blocks if not b.element.out and (not b.element.header or b.element.name in _HEADING)]
     fixed = lambda b: b.token in template.texts or b.slot in template.lists and b.element.name not in _HEADING
-    inner = [b for b in own if b.element.article or b.element.main]
+    inner = [b for b in own if b.element.article or b.element.main] if template.texts or template.lists else []
     notices = {id(b) for side in (inner, inner[::-1]) if len(run := list(itertools.takewhile(fixed, side))) >= LEAST_TOKENS for b in run}
     kept = [b for b in own if not (id(b) in notices if b.element.article or b.element.main else fixed(b))]
     holders = [w for w in page.within if w[0] in template.regions]
