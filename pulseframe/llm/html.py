@@ -465,7 +465,8 @@ def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html")
 
     own = _with_templates(_keyed(pages, url_col, html_col), found, "host", names)
     seen = own.where("tokens is not null").mapInPandas(read, "host string, kind string, key long, a long, b long, low long, high long")
-    summed = seen.groupBy("host", "kind", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # Written, as it is used twice: each time the pages would be parsed.
+    summed = written(seen.groupBy("host", "kind", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.min("low").alias("low"), F.max("high").alias("high")), "sums")
     keys = lambda kind, test: F.collect_set(F.when((F.col("kind") == kind) & test, F.col("key")))
     a, b = F.col("a"), F.col("b")
     every = summed.where("kind = 'slot'").groupBy("host").agg(F.sum("a").alias("every"))
