@@ -76,6 +76,11 @@ def merged(rows: DataFrame, before: DataFrame, start: date, mode: str) -> DataFr
     return met.select("client_id", F.coalesce("first_seen", "day").alias("first_seen"), F.coalesce("new", "now").alias("now"), F.when(seen, F.col("now")).alias("was"), seen.alias("active"), F.coalesce(fresh, F.lit(False)).alias("is_new"), F.col("new_mask").alias("mask"), F.coalesce("new_default", F.lit(False)).alias("is_default"))
 
 
+def _entry(paths: dict[str, str], start: date, mode: str, buckets: int) -> str:
+    """What the log says of an increment."""
+    return json.dumps(paths | {"start": start.isoformat(), "mode": mode, "buckets": buckets})
+
+
 def advance(spark: SparkSession, root: str, df: DataFrame, start: date, mode: str = "week", *, day_column: str = "submission_date", buckets: int = BUCKETS) -> DataFrame:
     """Brings the snapshot under root up to date with the rows of df in the interval that starts so, and gives that interval's report, as
     reports.interval_report has it. Only that interval is read of df (day_column is its partition column), and of the past a row for each client.
@@ -111,8 +116,7 @@ def advance(spark: SparkSession, root: str, df: DataFrame, start: date, mode: st
     written = spark.read.schema(own.schema).parquet(paths["report"])
     written.select(*KEYS, "total").write.parquet(paths["totals"])
 
-    entry = json.dumps(paths | {"start": start.isoformat(), "mode": mode, "buckets": buckets})
-    spark.createDataFrame([(n, entry)], "n int, entry string").coalesce(1).write.mode("error").json(f"{root}/log/{n:06d}")
+    spark.createDataFrame([(n, _entry(paths, start, mode, buckets))], "n int, entry string").coalesce(1).write.mode("error").json(f"{root}/log/{n:06d}")
     return _report(written, start)
 
 
