@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions import normalize as N
 from ..functions.normalize import iso_countries
 from ..operators import decode, derive
-from ..sources import index, scan, sinks
+from ..sources import index, scan, sinks, versions
 from .aggregates import plain
 from .fixtures import crashes, mains, nested, pings, with_flat
 from .registry import folder, query, table
@@ -336,7 +336,7 @@ def import_json(spark, sf_dir):
     first, last = own.agg(F.min("submission_date"), F.max("submission_date")).first()
     scan.backfill_json(spark, lambda d: f"{path}/json/submission_date={d}", schema, first, last, path + "/table")
     scan.import_json_day(spark, f"{path}/json/submission_date={last}", schema, last, path + "/table")  # again: no row is there twice
-    return spark.read.parquet(path + "/table").select("event_id", "k", "raw_os")
+    return versions.read(spark, path + "/table").select("event_id", "k", "raw_os")
 
 
 _FIELDS = [("event_id", "BIGINT", "event_id"), ("note", "VARCHAR(40)", "note"), ("seconds", "INTEGER", "seconds"), ("flag", "BOOLEAN", "is_default"), ("at", "TIMESTAMP", "ts")]
@@ -397,8 +397,10 @@ def load_day(spark, sf_dir):
 def merge_report(spark, sf_dir):
     new = pings(spark, sf_dir).groupBy(N.norm_channel(F.col("raw_channel")).alias("channel"), F.col("submission_date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     existing = new.withColumn("n", F.lit(0).cast("long"))
-    once = sinks.merge_report(existing, new.where("day >= '2024-01-20'"), ["channel", "day"])
-    return sinks.merge_report(once, new.where("day >= '2024-01-20'"), ["channel", "day"])
+    path = folder(spark)
+    for rows in (existing, new.where("day >= '2024-01-20'"), new.where("day >= '2024-01-20'")):
+        sinks.publish_report(rows, path, ["channel", "day"])
+    return versions.read(spark, path)
 
 
 _TABLE = with_flat("SELECT event_id, raw_os, k FROM f")

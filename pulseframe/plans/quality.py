@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from ..operators import derive, geo, quality, series, user
+from ..operators import derive, geo, history, quality, series, user
 from .aggregates import plain
 from .fixtures import pings, with_flat
-from .registry import query, table
+from .registry import folder, query, table
 
 
 def _channelled(spark, sf_dir):
@@ -47,6 +49,22 @@ def duplicates(spark, sf_dir):
     return plain(quality.duplicate_report(_channelled(spark, sf_dir)))
 
 
+#: The last week, in which one submission of ten sends an old document again, is held against the days before it.
+_NEW = "submission_date > (SELECT max(submission_date) FROM f) - 7"
+_AGAIN = "CASE WHEN event_id % 10 = 0 THEN CAST(CAST(FLOOR(event_id / 20) AS BIGINT) AS {}) ELSE document_id END"
+
+
+@query(
+    "a29_repeats_of_history",
+    with_flat(f"SELECT CAST(submission_date AS VARCHAR) AS day, channel, count(*) AS duplicates, count(DISTINCT client_id) AS clients FROM f WHERE {_NEW} AND {_AGAIN.format('VARCHAR')} IN (SELECT document_id FROM f WHERE NOT {_NEW}) GROUP BY ALL"),
+)
+def repeats(spark, sf_dir):
+    path, df = folder(spark), _channelled(spark, sf_dir)
+    first = F.lit(df.agg(F.max("submission_date")).first()[0] - timedelta(6))
+    history.add(df.where(F.col("submission_date") < first), path, buckets=4)
+    return plain(history.repeats(df.where(F.col("submission_date") >= first).withColumn("document_id", F.expr(_AGAIN.format("string"))), path, buckets=4))
+
+
 @query("u04_unique_documents", with_flat("SELECT document_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY ts, event_id) AS r FROM f) t WHERE r = 1"))
 def unique(spark, sf_dir):
     return quality.unique_documents(pings(spark, sf_dir).select("document_id", "event_id", "ts")).select("document_id", "event_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..sources import scan
-from ..streaming import jobs, timers
+from ..streaming import announced, jobs, timers
 from .aggregates import plain
 from .fixtures import pings, with_flat
 from .ingestion import folder
@@ -221,6 +221,21 @@ def new_files(spark, sf_dir):
     return finished(spark, df.select("event_id", "k"), path)
 
 
+@query("s06_announced_objects", with_flat("SELECT event_id, k FROM f"))
+def announced_objects(spark, sf_dir):
+    """Objects are files by day, whose names come as a stream, some of them again, and one of an object that is not there."""
+    path = folder(spark)
+    pings(spark, sf_dir).select("event_id", "k", "submission_date").repartition("submission_date").write.partitionBy("submission_date").parquet(path + "/objects")
+    stored = spark.read.parquet(path + "/objects")
+    names = stored.select(F.concat(F.lit(path + "/objects/submission_date="), F.col("submission_date").cast("string")).alias("path"), F.day("submission_date").alias("d")).distinct()
+    again = names.where("d % 3 = 0").unionByName(spark.createDataFrame([(path + "/objects/none", 0)], "path string, d int"))
+    for n, some in enumerate((names.where("d < 20"), names.where("d >= 20").unionByName(again))):
+        some.coalesce(1).select("path").write.mode("append").parquet(f"{path}/announced/{n}")
+    stream = spark.readStream.schema("path string").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(path + "/announced")
+    announced.ingest(stream, path + "/taken", stored.select("event_id", "k").schema, path + "/checkpoint").awaitTermination()
+    return announced.read_rows(spark, path + "/taken")
+
+
 @query("st04_final_emission", with_flat("SELECT channel, count(*) AS n FROM f GROUP BY 1"))
 def final_emission(spark, sf_dir):
     df, path = source(spark, sf_dir)

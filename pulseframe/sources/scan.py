@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import dims
+from . import dims, versions
 
 
 def scan_dims(spark: SparkSession, root: str, spec: str | dict, *, schema: T.StructType | None = None) -> DataFrame:
@@ -97,18 +99,19 @@ def nullable(schema: dict, root: dict) -> bool:
     return kinds == "null" or "null" in kinds if not isinstance(kinds, str) else False
 
 
-def import_json_day(spark: SparkSession, src: str, schema: T.StructType | dict, day: date, dest: str, *, files: int = 10) -> None:
-    """A day of JSON lines as a partition of a parquet table; a second import replaces the first."""
-    declared = schema if isinstance(schema, T.StructType) else from_json_schema(schema)
-    rows = spark.read.schema(declared).json(src).withColumn("day", F.lit(day))
-    rows.repartition(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(dest)
+def import_json_day(spark: SparkSession, src: str, schema: T.StructType | dict, day: date, dest: str) -> None:
+    """A day of JSON lines as a partition of a table in versions (see versions.read); a second import replaces the first, and one that fails
+    leaves it."""
+    backfill_json(spark, lambda _: src, schema, day, day, dest)
 
 
-def backfill_json(spark: SparkSession, src_of, schema: T.StructType | dict, start: date, end: date, dest: str) -> None:
-    """import_json_day() for each day from start to end; src_of gives a day's path."""
-    for k in range((end - start).days + 1):
-        day = start + timedelta(k)
-        import_json_day(spark, src_of(day), schema, day, dest)
+def backfill_json(spark: SparkSession, src_of: Callable[[date], str], schema: T.StructType | dict, start: date, end: date, dest: str) -> None:
+    """import_json_day() for each day from start to end, in one job and one version; src_of gives a day's path. A day of which
+    there is no path is an error, one without lines has no rows any more."""
+    declared = schema if isinstance(schema, T.StructType) else from_json_schema(schema)
+    days = [start + timedelta(k) for k in range((end - start).days + 1)]
+    rows = reduce(DataFrame.unionByName, [spark.read.schema(declared).json(src_of(d)).withColumn("day", F.lit(d)) for d in days])
+    versions.publish(rows.hint("rebalance", "day"), dest, by=["day"], replaces=[f"day={d}" for d in days])
 
 
 def load_day_table(spark: SparkSession, src: str, schema: T.StructType, widths: dict[str, int]) -> DataFrame:
