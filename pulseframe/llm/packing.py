@@ -11,6 +11,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import product
 from operator import attrgetter
 
 import numpy as np
@@ -134,13 +135,16 @@ class Plan:
     sequences: int
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """Packs so many pieces of each length into few sequences.
+#: The ways to plan, in order: the pieces that may fill a gap together at most; and whether single pieces go first for all gaps, then pairs, then triples, and of
+#: these the most even, which spares the short pieces, or each gap takes what there is, the most uneven first.
+WAYS = [(3, False), (3, True), (2, True), (2, False), (1, True), (0, True)]
+
 
-    Works on counts by length alone, so its size depends on capacity and not on the number of
-    pieces. Lengths descend; the gap that a piece leaves is filled exactly by one piece, a pair or
-    a triple while there are any, as many at once as their counts allow. What is left is
-    placed by best fit: into the smallest gap that holds it, else a new sequence.
+def bins_of(counts: dict[int, int], capacity: int, most: int, even: bool) -> list[tuple[tuple[int, ...], int]]:
+    """One way to pack so many pieces of each length -> lengths of a sequence, and how many sequences are made so.
+
+    Lengths descend; the gap that a piece leaves is filled exactly by one piece, a pair or a triple (of most pieces) while there are any, as many at
+    once as their counts allow. What is left is placed by best fit: into the smallest gap that holds it, else a new sequence.
     """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
@@ -154,10 +158,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
         bins.append((lengths, n))
 
     def pair(total: int, spare: dict[int, int]) -> tuple[int, int] | None:
-        """Two lengths with this sum of which pieces are left beside spare; the most uneven first."""
+        """Two lengths with this sum of which pieces are left beside spare; the most even or uneven first."""
         if total < 2:
             return None
-        a = np.arange(1, total // 2 + 1)
+        a = np.arange(1, total // 2 + 1)[:: -1 if even else 1]
         have = left[: total + 1]
         for x in a[(have[a] > 0) & (have[total - a] > 0)]:
             y = total - int(x)
@@ -165,7 +169,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
                 return int(x), y
         return None
 
-    for length in range(capacity, 0, -1):
+    for level, length in product(range(1, most + 1) if even else [most], range(capacity, 0, -1)):
         while left[length] > 0:
             gap = capacity - length
             own = {length: 1}
@@ -173,11 +177,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
                 use((length,))
             elif left[gap] - own.get(gap, 0) > 0:
                 use((length, gap))
-            elif two := pair(gap, own):
+            elif level > 1 and (two := pair(gap, own)):
                 use((length, *two))
             else:
                 third = None
-                have = np.flatnonzero(left[: gap - 1] > 0) if gap > 2 else []
+                have = np.flatnonzero(left[: gap - 1] > 0) if gap > 2 and level > 2 else []
                 if len(have):
                     some = (left[: gap + 1] > 0).astype(np.float64)
                     size = 1 << (2 * len(some)).bit_length()
@@ -220,7 +224,26 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
                 each = min(capacity // length, n)
                 put((length,) * each, n // each)
                 n -= n // each * each
-    bins += [x for some in opened.values() for x in some]
+    return bins + [x for some in opened.values() for x in some]
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """Packs so many pieces of each length into few sequences.
+
+    Works on counts by length alone, so its size depends on capacity and not on the number of pieces. Of several ways (WAYS) to choose what
+    fills gaps exactly, the last of which is best fit alone, the one with the fewest sequences is taken, the first of these if equal; once
+    one has no more sequences than the tokens could fill, or than there are pieces above half a sequence, no other is tried.
+    """
+    fewest = max(-(-sum(length * n for length, n in counts.items()) // capacity), sum(n for length, n in counts.items() if 2 * length > capacity))
+    bins: list[tuple[tuple[int, ...], int]] = []
+    best = None
+    for most, even in WAYS:
+        made = bins_of(counts, capacity, most, even)
+        number = sum(n for _, n in made)
+        if best is None or number < best:
+            bins, best = made, number
+        if best == fewest:
+            break
 
     runs: dict[int, list[tuple[int, int, int]]] = {}
     used: dict[int, int] = {}

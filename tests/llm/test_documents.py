@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -245,6 +246,42 @@ def test_plan(counts):
     assert found.sequences <= 1.5 * least + 1
 
 
+def best_fit_decreasing(lengths, capacity):
+    """The number of sequences of plain best fit, by gaps one at a time."""
+    gaps, sequences = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect_left(gaps, n)
+        if at == len(gaps):
+            sequences += 1
+        gap = (gaps.pop(at) if at < len(gaps) else capacity) - n
+        if gap:
+            insort(gaps, gap)
+    return sequences
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_plans_are_never_worse_than_best_fit(seed):
+    """Ten distributions of lengths; and of most the number is near the bound by tokens."""
+    rng = np.random.default_rng(seed)
+    n = 4000
+    some = {
+        "all": rng.integers(1, 4097, n),
+        "no short ones": rng.integers(200, 4097, n),
+        "middle": rng.integers(600, 2001, n),
+        "around half": rng.integers(1000, 3001, n),
+        "thirds": rng.integers(1200, 1500, n),
+        "short": np.minimum(rng.geometric(1 / 300, n), 4096),
+        "log": np.clip(rng.lognormal(6.5, 1, n).astype(int), 1, 4096),
+        "long and tiny": np.r_[rng.integers(3000, 4097, n // 4), rng.integers(1, 60, n)],
+        "few lengths": rng.choice([1365, 1366, 2048, 700, 4096], n),
+        "one": np.full(n, 1025),
+    }
+    for name, lengths in some.items():
+        found = packing.plan(dict(Counter(lengths.tolist())))
+        assert -(-int(lengths.sum()) // 4096) <= found.sequences <= best_fit_decreasing(lengths.tolist(), 4096), name
+    assert packing.plan({}).sequences == 0
+
+
 def test_packing(spark, odd, sf_dir):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     for docs in (odd, spark.read.parquet(f"{sf_dir}/documents.parquet")):
