@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions import normalize as N
 from ..functions.normalize import iso_countries
 from ..operators import decode, derive
-from ..sources import index, scan, sinks, versions
+from ..sources import filled, index, scan, sinks, versions
 from .aggregates import plain
 from .fixtures import crashes, mains, nested, pings, with_flat
 from .registry import folder, query, table
@@ -368,6 +368,17 @@ def write_tsv(spark, sf_dir):
     return sinks.read_lines(spark, path).select("value")
 
 
+@query("s09_filled_files", with_flat("SELECT event_id, raw_channel, props, TRUE AS by_size FROM f"))
+def filled_files(spark, sf_dir):
+    """Folders by channel, files of 150 KB, of which none has twice that; where a folder has several, none has less than half."""
+    path = folder(spark)
+    filled.write_filled(pings(spark, sf_dir).select("event_id", "raw_channel", "props"), path + "/out", by=["raw_channel"], staging=path + "/staging", target=150_000)
+    out = spark.read.parquet(path + "/out").withColumns({"file": F.col("_metadata.file_path"), "size": F.col("_metadata.file_size")})
+    sizes = out.groupBy("raw_channel").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.count_distinct("file").alias("files"))
+    good = sizes.select("raw_channel", ((F.col("most") <= 300_000) & ((F.col("files") == 1) | (F.col("least") >= 75_000))).alias("by_size"))
+    return out.join(F.broadcast(good), "raw_channel").select("event_id", "raw_channel", "props", "by_size")  # a row for each of six channels
+
+
 @query("s10_write_jdbc", with_flat("SELECT event_id, raw_os, k FROM f"))
 def write_jdbc(spark, sf_dir):
     """To the database that the session's pulseframe.jdbc.url and .driver name. Where they are unset, to an in-memory one, which only a

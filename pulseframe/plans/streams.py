@@ -215,6 +215,17 @@ def rolled(spark, sf_dir):
     return files.groupBy("doc_type").agg(F.sum("n").alias("n"), (F.max("n") <= 40).alias("by_size"), (F.max("origins") == 1).alias("by_age"))
 
 
+@query("st13_filled_batches", with_flat("SELECT doc_type, count(*) AS n, TRUE AS by_size, TRUE AS by_age FROM f GROUP BY 1"))
+def filled_batches(spark, sf_dir):
+    """Folders by type; files are of 200 KB, none has twice that, nor rows of two micro-batches."""
+    df, path = source(spark, sf_dir)
+    one = scan.stream_new_files(spark, path + "/in", df.schema, per_trigger=1).select("*", F.col("_metadata.file_name").alias("origin"))
+    jobs.run_filled(one, path + "/out", path + "/checkpoint", by=["doc_type"], target=200_000).awaitTermination()
+    out = spark.read.parquet(path + "/out").withColumns({"file": F.col("_metadata.file_path"), "size": F.col("_metadata.file_size")})
+    files = out.groupBy("doc_type", "file", "size").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("origin").alias("origins"))
+    return files.groupBy("doc_type").agg(F.sum("n").alias("n"), (F.max("size") <= 400_000).alias("by_size"), (F.max("origins") == 1).alias("by_age"))
+
+
 @query("s06_stream_new_files", with_flat("SELECT event_id, k FROM f"))
 def new_files(spark, sf_dir):
     df, path = source(spark, sf_dir)

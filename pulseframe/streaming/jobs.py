@@ -5,11 +5,14 @@ Each function takes a streaming (or batch) DataFrame and returns one; run() star
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import filled
+
 
 def bucket_counts(df: DataFrame, keys: list[Column], *, seconds: int = 60, rows: int = 1440) -> DataFrame:
     """Counts by event-time bucket and keys. The horizon of rows buckets is the watermark: what is older is dropped."""
@@ -36,6 +39,17 @@ def run(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", ever
     return writer.start(path)
 
 
+def run_filled(df: DataFrame, path: str, checkpoint: str, *, by: list[str], target: int = filled.TARGET, every: str | None = None):
+    """Starts a query whose micro-batches are written under path/batch=N as filled.write_filled() has it: files roll by age with each trigger, and by
+    bytes. A batch that is written again replaces itself. Staged rows are beside path, in a folder whose name ends in _staging."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        filled.write_filled(batch, f"{path}/batch={number}", by=by, staging=f"{path}_staging/{number}-{uuid.uuid4().hex}", target=target)
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def fan_out(df: DataFrame, sinks: list[tuple[str, Callable[[DataFrame], DataFrame]]], checkpoint: str):
     """One input to several tables, such as a summary and the original. Each micro-batch is read once; a batch that is written again replaces itself."""
 

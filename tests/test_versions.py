@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators import history
-from pulseframe.sources import versions
+from pulseframe.sources import scan, sinks, versions
 
 SCHEMA = "day date, k long, name string"
 
@@ -115,3 +115,31 @@ def test_history_without_days(spark, tmp_path):
     assert history.seen(now, root).rows.count() == 0 and history.unseen(now, root).count() == 2
     history.add(spark.createDataFrame([], "document_id string, submission_date date"), root)
     assert history.seen(now, root).rows.count() == 0 and history.unseen(now, root).count() == 2
+
+
+def test_reports_and_imports_in_versions(spark, tmp_path):
+    """A report that another writer published meanwhile, an import that fails, and one that runs again."""
+    root = f"file://{tmp_path}/report"
+    report = lambda *some: spark.createDataFrame(list(some), "channel string, n long")
+    sinks.publish_report(report(("beta", 1), (None, 2)), root, ["channel"])
+    sinks.publish_report(report((None, 3), ("new", 4)), root, ["channel"])
+    assert got(spark, root) == sorted([("beta", 1), (None, 3), ("new", 4)], key=repr)
+    seen_before = versions.version(spark, root)
+    late = sinks.merge_report(versions.read(spark, root, of=seen_before), report(("beta", 9)), ["channel"])
+    sinks.publish_report(report(("beta", 5)), root, ["channel"])
+    with pytest.raises(versions.Conflict):
+        versions.publish(late, root, base=seen_before, replaces=versions.ALL)
+    assert ("beta", 5) in got(spark, root)
+
+    table, schema = f"file://{tmp_path}/table", {"type": "object", "properties": {"k": {"type": "integer"}}}
+    for d, lines in ((D1, '{"k": 1}\n{"k": 2}\n'), (D2, '{"k": 3}\n')):
+        (tmp_path / f"{d}.json").write_text(lines)
+    src = lambda d: f"file://{tmp_path}/{d}.json"
+    scan.backfill_json(spark, src, schema, D1, D2, table)
+    scan.import_json_day(spark, src(D1), schema, D1, table)
+    assert got(spark, table) == [(1, D1), (2, D1), (3, D2)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan.backfill_json(spark, src, schema, D1, D2 + timedelta(1), table)
+    (tmp_path / f"{D1}.json").write_text("")
+    scan.backfill_json(spark, src, schema, D1, D2, table)
+    assert got(spark, table) == [(3, D2)] and versions.versions(spark, table) == [1, 2, 3]
