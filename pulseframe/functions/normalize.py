@@ -208,17 +208,36 @@ def day_number(text: Column) -> Column:
     return F.unix_date(F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"))
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """A double with so many digits as C's printf writes it: the double itself rounded, half to even. Java's format rounds the shortest decimal
+    that names the double, and half up.
+
+    The part behind the point is split at its 26th binary digit, so that all products are exact.
+    """
+    scale, split = 10**digits, float(1 << 26)
+    size = F.abs(x)
+    part = size - F.floor(size)
+    high = F.floor(part * split) / split
+    low, whole = (part - high) * scale, F.floor(high * scale)
+    half = 0.5 - (high * scale - whole)
+    up = (low > half) | ((low == half) & (whole % 2 == 1))
+    n = whole + F.when(up, 1).otherwise(0)  # scale, where all digits are nines
+    text = F.concat(F.when(x < 0, "-").otherwise(""), (F.floor(size) + F.floor(n / scale)).cast("string"), F.lit("."), F.lpad((n % scale).cast("string"), digits, "0"))
+    return F.when(size < float(1 << 53), text).otherwise(F.format_string(f"%.{digits}f", x))
+
+
 def percent(actual: Column, expected: Column) -> Column:
-    return F.format_string("%.1f%%", 100.0 * actual / expected)
+    return F.concat(fixed(100.0 * actual / expected, 1), F.lit("%"))
 
 
 def gigabytes(n: Column) -> Column:
-    return F.format_string("%.2fGB", n / float(1 << 30))
+    return F.concat(fixed(n / float(1 << 30), 2), F.lit("GB"))
 
 
 def pretty_size(n: Column) -> Column:
     """Bytes as a short text, in units of 1024."""
-    out = F.format_string("%.2fTB", n / float(1 << 40))
+    size = lambda bits, unit: F.concat(fixed(n / float(1 << bits), 2), F.lit(unit))
+    out = size(40, "TB")
     for bits, unit in ((30, "GB"), (20, "MB"), (10, "KB")):
-        out = F.when(n < float(1 << (bits + 10)), F.format_string(f"%.2f{unit}", n / float(1 << bits))).otherwise(out)
+        out = F.when(n < float(1 << (bits + 10)), size(bits, unit)).otherwise(out)
     return F.when(n < 1024, F.format_string("%sB", n.cast("string"))).otherwise(out)

@@ -119,3 +119,14 @@ def test_json_schema():
     schema = {"type": "object", "properties": {"a": {"$ref": "#/definitions/n"}, "b": {"type": ["string", "null"]}, "c": {"type": "array", "items": {"type": "boolean"}}}, "definitions": {"n": {"type": "integer"}}}
     assert scan.from_json_schema(schema).simpleString() == "struct<a:bigint,b:string,c:array<boolean>>"
     assert [f.nullable for f in scan.from_json_schema(schema).fields] == [False, True, False]
+
+
+def test_sizes_are_rounded_as_printf_has_it(spark):
+    """Ties of the double itself go to the even digit; what only its shortest decimal has as a tie is none."""
+    numbers = [0.0, 0.125, 0.375, 1.005, 1.015, 0.045, 587.625, 587.635, 0.994999, 0.995, 9.995, 99.99500000000001, 1e-9, 0.15, 0.25, 0.35, -0.125, -2.675, 1023.999, 123456789.125, 3.0000000001]
+    got = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", N.fixed(F.col("x"), 2).alias("two"), N.fixed(F.col("x"), 1).alias("one")).collect()
+    assert [(r.two, r.one) for r in got] == [(f"{r.x:.2f}", f"{r.x:.1f}") for r in got]
+    sizes = spark.createDataFrame([(77809 * 7919 + 1,), (1000,), (1024 + 128,), (5 << 40,)], "n long").select(N.pretty_size(F.col("n")).alias("p"), N.gigabytes(F.col("n")).alias("g"), N.percent(F.col("n"), F.lit(16000)).alias("%")).collect()
+    assert [r.p for r in sizes] == [f"{(77809 * 7919 + 1) / 2**20:.2f}MB", "1000B", "1.12KB", "5.00TB"]
+    assert [r.g for r in sizes] == [f"{n / 2**30:.2f}GB" for n in (77809 * 7919 + 1, 1000, 1152, 5 << 40)]
+    assert [r["%"] for r in sizes] == [f"{100 * n / 16000:.1f}%" for n in (77809 * 7919 + 1, 1000, 1152, 5 << 40)]
