@@ -30,9 +30,11 @@ def run(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append", ever
     """Starts a query. every: a trigger interval such as `60 seconds`, else what there is and an end. A new version of
     a query's state has a new checkpoint folder, so that it starts afresh.
 
-    Files roll by age with each trigger, since a micro-batch writes files of its own, and by size after roll_rows rows.
+    Files roll by age with each trigger, since a micro-batch writes files of its own, and by size after roll_rows rows. Rows that make many
+    small files are dealt out to all cores first, however few files or blocks they come from.
     """
-    writer = df.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", f"{checkpoint}/v{version}")
+    own = df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism) if roll_rows else df
+    writer = own.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", f"{checkpoint}/v{version}")
     writer = writer.option("maxRecordsPerFile", roll_rows) if roll_rows else writer
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
