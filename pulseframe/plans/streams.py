@@ -13,12 +13,14 @@ from .ingestion import folder
 from .registry import query
 
 _COLUMNS = ["event_id", "document_id", "client_id", "ts", "doc_type", "raw_channel", "value", "k"]
+#: A micro-batch is a file; tasks share its blocks.
+BLOCKS = {"parquet.block.size": 2 << 20}
 
 
 def source(spark, sf_dir, columns=_COLUMNS):
     """A stream of the submissions from a folder of files, and a folder for what comes of it."""
     path = folder(spark)
-    pings(spark, sf_dir).select(*columns).repartitionByRange(4, "ts").write.parquet(path + "/in")
+    pings(spark, sf_dir).select(*columns).repartitionByRange(4, "ts").write.options(**BLOCKS).parquet(path + "/in")
     return scan.stream_new_files(spark, path + "/in", spark.read.parquet(path + "/in").schema), path
 
 
@@ -30,8 +32,8 @@ def disordered(spark, sf_dir, columns=_COLUMNS):
     first, last = df.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
     shifted = F.unix_micros("ts") + F.col("event_id") * 7 % 60 * 60_000_000
     part = F.least(F.floor((shifted - first) * 4 / max(1, last - first)), F.lit(3))
-    for k in range(4):  # files are taken by their age
-        df.where(part == k).coalesce(1).write.mode("append").parquet(path + "/in")
+    for k in range(4):  # files are taken by their age; all cores read the table for each
+        df.where(part == k).repartition(1).write.options(**BLOCKS).mode("append").parquet(path + "/in")
     closing = df.agg(F.max("ts").alias("ts")).select(F.expr("ts + interval 2 days").alias("ts"), F.lit("").alias("client_id"), F.lit("").alias("raw_channel"), F.lit("crash").alias("doc_type"))
     df.limit(0).unionByName(closing, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(path + "/in")
     return scan.stream_new_files(spark, path + "/in", spark.read.parquet(path + "/in").schema, per_trigger=1), path

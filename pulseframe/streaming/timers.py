@@ -6,6 +6,7 @@ state_store().
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -14,11 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Alerts of one source are so many seconds apart at least.
 THROTTLE_S = 3600
 #: Clients idle for so many days are forgotten.
 TTL_DAYS = 42
+#: Keys whose rows are put in order share so many states.
+GROUPS = 1024
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -48,83 +52,64 @@ def _order(row: tuple) -> tuple:
     return tuple((x is None, 0 if x is None else x) for x in row)
 
 
-class _InOrder(StatefulProcessor):
-    """Rows wait in list state; a timer at the end of the first one's slice takes all that the watermark has passed, in order, through step."""
-
-    def __init__(self, names: list[str], row_schema: str, state_schema: str, columns: list[str], step: Step, slice_us: int, idle_us: int):
-        self.names, self.row_schema, self.state_schema, self.columns, self.step, self.slice_us, self.idle_us = names, row_schema, state_schema, columns, step, slice_us, idle_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
-        self.own = handle.getValueState("own", self.state_schema)
-        self.newest = handle.getValueState("newest", "us long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            self.waiting.appendList([_plain(r) for r in part[self.names].itertuples(index=False, name=None)])
-            least = int(part["us"].min())
-            first = least if first is None or least < first else first
-        if first is not None:
-            self._wake(first)
-        return iter(())
-
-    def _wake(self, us: int) -> None:
-        """A timer at the end of the slice of us; it takes care of later slices itself."""
-        self.handle.registerTimer((us // self.slice_us + 1) * self.slice_us // 1000)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = max(expiredTimerInfo.getExpiryTimeInMs() * 1000, timerValues.getCurrentWatermarkInMs() * 1000 // self.slice_us * self.slice_us)
-        rows = list(self.waiting.get()) if self.waiting.exists() else []
-        due = sorted((r for r in rows if r[0] < now), key=_order)
-        newest = self.newest.get()[0] if self.newest.exists() else None
-        if not due:
-            if newest is not None and not rows and now >= newest + self.idle_us:
-                self.own.clear()
-                self.newest.clear()
-            return
-        state, out = (self.own.get() if self.own.exists() else None), []
-        for row in due:
-            if newest is not None and row[0] >= newest + self.idle_us:
-                state = None  # idle for that long before it came back
-            state, more = self.step(key, state, row)
+def _values(part: pd.DataFrame, names: list[str]) -> list[tuple]:
+    rows = zip(*[part[c].tolist() for c in names], strict=True)
+    return [_plain(r) for r in rows] if part[names].isna().any(axis=None) else list(rows)
+
+
+def _stepped(names: list[str], columns: list[str], step: Step, slice_us: int, idle_us: int):
+    """Rows of a group of keys (names, the key last) wait in the group's state; those that the watermark has passed, to the end of their slice, are
+    taken, in order, through step. The state (rows that wait, by key the newest time and what step keeps) comes and goes once for each
+    group and micro-batch, and by a timeout where none of the group's rows comes."""
+
+    def run(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, kept = pickle.loads(state.get[0]) if state.exists else ([], {})
+        for part in parts:
+            waiting += _values(part, names)
+        now = max(0, state.getCurrentWatermarkMs()) * 1000 // slice_us * slice_us
+        due, rest, out = [r for r in waiting if r[0] < now], [r for r in waiting if r[0] >= now], []
+        try:
+            due.sort()
+        except TypeError:
+            due.sort(key=_order)  # some are null
+        for *row, key in due:
+            newest, own = kept.get(key, (row[0], None))
+            if row[0] >= newest + idle_us:
+                own = None  # idle for that long before it came back
+            own, more = step((key,), own, tuple(row))
             out += more
-            newest = row[0]
-        rest = [r for r in rows if r[0] >= now]
-        if rest:
-            self.waiting.put(rest)
-            self._wake(min(r[0] for r in rest))
-        else:
-            self.waiting.clear()
-        self.own.update(state)
-        self.newest.update((newest,))
-        self.handle.registerTimer(-(-(newest + self.idle_us) // 1000))
+            kept[key] = (row[0], own)
+        # Keys are forgotten a slice's end after their time; one that has rows waiting is judged with them.
+        kept = {k: v for k, v in kept.items() if v[0] + idle_us > now}
+        if rest or kept:
+            wake = min(r[0] for r in rest) if rest else min(v[0] for v in kept.values()) + idle_us - 1
+            state.update((pickle.dumps((rest, kept)),))
+            state.setTimeoutTimestamp((wake // slice_us + 1) * slice_us // 1000 - 1)  # the watermark has to be past it, not at it
+        elif state.exists:
+            state.remove()
         if out:
-            yield pd.DataFrame(out, columns=self.columns)
+            yield pd.DataFrame(out, columns=columns)
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 def names_of(schema: str) -> list[str]:
     return [c.strip().split()[0] for c in schema.split(",")]
 
 
-def in_order(df: DataFrame, key: str, columns: list[str], step: Step, *, state_schema: str, schema: str, delay: str = "1 hour", slice_s: int = 60, idle_s: int) -> DataFrame:
+def in_order(df: DataFrame, key: str, columns: list[str], step: Step, *, schema: str, delay: str = "1 hour", slice_s: int = 60, idle_s: int, groups: int = GROUPS) -> DataFrame:
     """Takes each key's rows through step in order of event time, in whatever micro-batches they come.
 
-    step gets (key, state, row) and gives (state, rows of the result): row is (micros, *columns), ordered by that, state is a tuple of
-    state_schema, None at first and after idle_s without a row, when a key is forgotten. A row waits until the watermark, delay behind
-    the newest row of all, passes the end of its slice; rows later than that are dropped. So a task holds what one key has
-    within the delay and a slice, never a key's micro-batch or history. Rows with a null key or time take no part.
+    step gets (key, state, row) and gives (state, rows of the result): row is (micros, *columns), ordered by that, state is what it gave for the
+    key's last row, None at first and after idle_s without a row, when a key is forgotten. A row waits until the watermark, delay behind
+    the newest row of all, passes the end of its slice; rows later than that are dropped. Keys share a state by groups, so that calls and
+    timeouts are as many as groups, however many keys there are. A task holds what one group, which is a key at least, has in a micro-batch and within the
+    delay and a slice, and each key's state, never its history. A query's number of groups stays with its checkpoint. Rows with a null key or time take no part.
     """
     own = df.where(F.col(key).isNotNull() & F.col("ts").isNotNull()).withWatermark("ts", delay)
-    own = own.select(F.col(key), "ts", F.unix_micros("ts").alias("us"), *[c for c in columns if c != key])
-    types = dict(own.dtypes)
-    row_schema = ", ".join(f"{c} {types[c]}" for c in ["us", *columns])
-    processor = _InOrder(["us", *columns], row_schema, state_schema, names_of(schema), step, slice_s * 1_000_000, idle_s * 1_000_000)
-    return own.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    own = own.select(F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group"), "ts", F.unix_micros("ts").alias("us"), *columns, F.col(key).alias("_key"))
+    run = _stepped(["us", *columns, "_key"], names_of(schema), step, slice_s * 1_000_000, idle_s * 1_000_000)
+    return own.groupBy("_group").applyInPandasWithState(run, schema, "state binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def channel_events(df: DataFrame, *, ttl_days: int = TTL_DAYS, delay: str = "1 hour") -> DataFrame:
@@ -140,7 +125,7 @@ def channel_events(df: DataFrame, *, ttl_days: int = TTL_DAYS, delay: str = "1 h
         return (channel,), [(us, name, kind, key[0]) for name, kind in events]
 
     own = df.where("channel is not null")
-    out = in_order(own, "client_id", ["event_id", "channel"], step, state_schema="channel string", schema="us long, channel string, kind string, client_id string", delay=delay, idle_s=ttl_days * 86_400)
+    out = in_order(own, "client_id", ["event_id", "channel"], step, schema="us long, channel string, kind string, client_id string", delay=delay, idle_s=ttl_days * 86_400)
     return out.select(F.timestamp_micros("us").cast("date").alias("day"), "channel", "kind", "client_id")
 
 
@@ -153,7 +138,7 @@ def throttled(alerts: DataFrame, *, seconds: int = THROTTLE_S, delay: str = "1 h
             return state, []
         return (us,), [(key[0], us, alert)]
 
-    out = in_order(alerts, "source", ["event_id", "alert"], step, state_schema="last long", schema="source string, us long, alert string", delay=delay, idle_s=2 * seconds)
+    out = in_order(alerts, "source", ["event_id", "alert"], step, schema="source string, us long, alert string", delay=delay, idle_s=2 * seconds)
     return out.select("source", F.timestamp_micros("us").alias("ts"), "alert")
 
 
@@ -260,9 +245,12 @@ def aggregate_on_timer(df: DataFrame, keys: list[str], zero: Callable[[], State]
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own: dict[tuple, State] = {}
         for batch in batches:
-            for row in batch.to_dict("records"):
-                at = (*[None if pd.isna(row[k]) else row[k] for k in keys], row["until_ms"])
-                own[at] = seq(own[at] if at in own else zero(), row)
+            for found, rows in batch.groupby([*keys, "until_ms"], sort=False, dropna=False):
+                at = _plain(found)
+                state = own[at] if at in own else zero()
+                for row in rows.to_dict("records"):
+                    state = seq(state, row)
+                own[at] = state
         yield pd.DataFrame([(*k, *[s[c] for c in states]) for k, s in own.items()], columns=[*keys, "until_ms", *states])
 
     cut = df.where("ts is not null").withColumn("until_ms", (F.floor(F.unix_millis("ts") / tick) + 1) * tick)

@@ -5,6 +5,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulseframe.sources import scan
 from pulseframe.streaming import jobs, timers
@@ -156,3 +157,22 @@ def test_state_is_restarted(spark, tmp_path):
             expected += [(r[0], r[2].date(), "out", before[r[0]]), (r[0], r[2].date(), "in", r[4])]
         before[r[0]] = r[4]
     assert got == sorted(expected)
+
+
+def test_states_are_as_many_as_groups(spark, tmp_path):
+    """Many keys in few states, each row in its key's order all the same."""
+    start = int(datetime(2024, 1, 1).timestamp())
+    rows = spark.range(4000).select(F.concat(F.lit("c"), (F.col("id") % 800).cast("string")).alias("client_id"), F.timestamp_seconds(start + F.col("id") * 7919 % 4000).alias("ts"), F.col("id").alias("event_id"), F.lit("a").alias("channel"))
+    path = str(tmp_path)
+    rows.repartition(1).write.parquet(path + "/in")
+    rows.limit(1).withColumn("client_id", F.lit("end")).withColumn("ts", F.expr("ts + interval 2 days")).coalesce(1).write.mode("append").parquet(path + "/in")
+    step = lambda key, state, row: ((state[0] + 1 if state else 1, row[0]), [(key[0], row[0], state[0] + 1 if state else 1, state is None or state[1] <= row[0])])
+    own = scan.stream_new_files(spark, path + "/in", rows.schema, per_trigger=1)
+    out = timers.in_order(own, "client_id", ["event_id"], step, schema="client_id string, us long, n long, fine boolean", idle_s=86_400, groups=16)
+    with timers.state_store(spark):
+        q = jobs.run(out, path + "/out", path + "/checkpoint")
+    q.awaitTermination()
+    assert max(o.numRowsTotal for p in q.recentProgress for o in p.stateOperators) <= 16
+    got = spark.read.parquet(path + "/out").where("client_id <> 'end'")
+    assert got.where("fine").count() == 4000
+    assert {tuple(r) for r in got.groupBy("client_id").agg(F.max("n"), F.count_distinct("n")).select("max(n)", "count(DISTINCT n)").collect()} == {(5, 5)}
