@@ -215,3 +215,14 @@ def test_decoded_documents_lose_their_sections(spark):
     assert {k: json.loads(v) for k, v in r.sections.items()} == {"environment.system": {"os": {"name": "L"}}, "payload.info": {"reason": "r"}}
     rest = {k: v for k, v in doc.items()} | {"environment": {"other": [1]}, "payload": {"more": {"x": 1}}}
     assert json.loads(r.document) == rest and bad.count() == 0 and (r.os, r.reason, r.app_version) == ("L", "r", "UNKNOWN")
+
+
+def test_sketches_are_by_day_only(spark):
+    """No aggregate that has a sketch is by client too, and nulls and repeats count for nothing."""
+    df = spark.range(3000).select(F.expr("date'2024-01-01' + cast(id % 3 as int)").alias("day"), F.when(F.col("id") % 10 > 0, (F.col("id") % 700).cast("string")).alias("client_id"))
+    out = usage.sketch_error(df)
+    sketches = [line for line in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "approx_count_distinct" in line and "Aggregate" in line]
+    assert sketches and not any("keys=[day" in line and "client_id" in line.split("functions=")[0] for line in sketches)
+    expected = {r.day: r.n for r in df.groupBy("day").agg(F.count_distinct("client_id").alias("n")).collect()}
+    assert {r.day: r.exact for r in out.collect()} == expected
+    assert all(abs(r.ratio - 1) < 0.05 for r in out.collect())
