@@ -6,8 +6,9 @@ import json
 import math
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,8 +81,13 @@ def _leaves(text: str | None) -> list[tuple] | None:
     return out
 
 
-def _all_leaves(texts: pd.Series) -> pd.Series:
-    return texts.map(_leaves)
+def _all_leaves(texts: pa.Array) -> pa.Array:
+    """The leaves of each text, by column, so that no value is converted on its own; text that is no object has none."""
+    found = [_leaves(x) or [] for x in texts.to_pylist()]
+    flat = [leaf for leaves in found for leaf in leaves]
+    types = {"parts": pa.list_(pa.string()), "kind": pa.string(), "number": pa.float64(), "other": pa.string()}
+    values = pa.StructArray.from_arrays([pa.array([x[n] for x in flat], t) for n, t in types.items()], names=list(types))
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, found))], pa.int32()), values)
 
 
 def flattened(df: DataFrame, doc: str) -> DataFrame:
@@ -92,7 +98,7 @@ def flattened(df: DataFrame, doc: str) -> DataFrame:
     for nothing. Each document is parsed once, in one pass, whatever the depth of any.
     """
     own = [c for c in df.columns if c != doc]
-    return df.select(*own, F.inline(F.pandas_udf(_all_leaves, LEAVES)(doc)))
+    return df.select(*own, F.inline(F.arrow_udf(_all_leaves, LEAVES)(doc)))
 
 
 def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -105,9 +111,13 @@ def merge_json_counts(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     own = [*keys, "parts"]
     per = rows.groupBy(*own, "kind").agg(F.min(order).alias("first"), F.sum("number").alias("number"), F.max_by("other", order).alias("other"))
     above = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.slice("parts", 1, n))
-    inner = per.where(F.size("parts") > 1).select(*keys, F.explode(above).alias("parts"), F.lit("table").alias("kind"), "first")
-    tables = inner.groupBy(*own, "kind").agg(F.min("first").alias("first"))
-    chosen = per.unionByName(tables, allowMissingColumns=True).groupBy(*own).agg(F.min_by(F.struct("kind", "number", "other"), "first").alias("r")).select(*own, "r.*")
+    # From one branch, not a union of two, for which each document would be parsed twice.
+    none = {"number": F.lit(None).cast("double"), "other": F.lit(None).cast("string")}
+    place = lambda parts, kind, **values: F.struct(parts.alias("parts"), kind.alias("kind"), *[values.get(n, c).alias(n) for n, c in none.items()])
+    size = F.size("parts")
+    places = F.transform(F.sequence(F.lit(1), size), lambda n: F.when(n == size, place(F.col("parts"), F.col("kind"), number=F.col("number"), other=F.col("other"))).otherwise(place(F.slice("parts", 1, n), F.lit("table"))))
+    every = per.select(*keys, "first", F.inline(places))
+    chosen = every.groupBy(*own).agg(F.min_by(F.struct("kind", "number", "other"), "first").alias("r")).select(*own, "r.*")
     values = chosen.where("kind <> 'table'")
     under = values.where(F.size("parts") > 1).select(*own, F.explode(above).alias("above"))
     plain = values.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("parts").alias("_above"))

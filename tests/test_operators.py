@@ -226,3 +226,12 @@ def test_sketches_are_by_day_only(spark):
     expected = {r.day: r.n for r in df.groupBy("day").agg(F.count_distinct("client_id").alias("n")).collect()}
     assert {r.day: r.exact for r in out.collect()} == expected
     assert all(abs(r.ratio - 1) < 0.05 for r in out.collect())
+
+
+def test_documents_are_parsed_once(spark):
+    """The plan of merged documents has one walk over them, but for what is an exchange's copy."""
+    df = spark.range(40).select(F.timestamp_seconds("id").alias("ts"), F.col("id").alias("event_id"), F.to_json(F.struct(F.struct(F.col("id").alias("x")).alias("a"), F.lit("t").alias("b"))).alias("doc"))
+    out = series.merge_json_counts(series.flattened(df, "doc"))
+    assert sorted((r.path, r.kind, r.number, r.other) for r in out.collect()) == [("a.x", "number", 780.0, None), ("b", "string", None, "t")]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ArrowEvalPython") == 1
