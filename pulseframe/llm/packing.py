@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import unicodedata
 import zlib
 from array import array
@@ -16,11 +17,13 @@ from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, written
+from .common import BATCH, fresh, small_batches, written
 
 CAPACITY = 4096
 END = 1
@@ -46,7 +49,8 @@ _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
 
 class Encoder:
     """Token ids by the `tokenizers` library. Where the tokenizer's settings are those above, no token crosses white space, and
-    texts are encoded word by word: the ids of a word are asked for once and remembered while it is in use. Any other tokenizer gets whole texts."""
+    texts are encoded word by word: of some texts at once the different words are found by Arrow, and their ids are asked for once and remembered
+    while they are in use. Any other tokenizer gets whole texts."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -65,37 +69,55 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        """The ids of what is one word for the tokenizer too. Its model reads bytes as characters."""
-        return self.known.get(part) or self._ids(part)
+        """The ids of what is one word for the tokenizer too, which words with other signs around it share. Its model reads bytes as characters."""
+        known = self.known
+        found = known.get(part)
+        if found is None:
+            found = self.before.get(part) or self._ids(part)
+            if len(known) < REMEMBERED and self.chars < REMEMBERED_CHARS:
+                known[part] = found
+                self.chars += len(part)
+        return found
 
     def _ids(self, part: str) -> bytes:
         found = self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES))
         return array("I", map(_ID, found)).tobytes()
 
     def _learn(self, word: str) -> bytes:
-        return self._ids(word) if word.isalpha() else b"".join(map(self._part, _WORD.findall(word)))
+        if word.isalpha():
+            return self._ids(word)
+        stem = word.rstrip(string.punctuation)
+        return b"".join(map(self._part, (stem, word[len(stem) :]) if stem.isalpha() else _WORD.findall(word)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if not self.by_words:
             return [self.whole(t) for t in texts]
-        split = [None if _OTHER.search(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
-        wanted: set[str] = set()
-        for words in split:
-            if words:
-                wanted.update(words)
-        known = self.known
-        new = [w for w in wanted if w not in known]
-        self.chars += sum(map(len, new))
-        if len(known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            known, self.before = {}, known
-            self.known, new = known, list(wanted)
-            self.chars = sum(map(len, new))
-        before = self.before
-        for w in new:
-            known[w] = before.get(w) or self._learn(w)
-        get = known.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
+        plain = [None if _OTHER.search(t) else unicodedata.normalize("NFC", t).lower() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        words = split.values.dictionary_encode()
+        found = pa.array(self._of(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(words.indices)
+        _, offsets, data = found.buffers()
+        ids = data.to_pybytes() if data else b""
+        ends = np.frombuffer(offsets, np.int64)[split.offsets.to_numpy()].tolist() if len(found) else [0] * (len(texts) + 1)
+        return [self.whole(t) if p is None else ids[a:b] for t, p, a, b in zip(texts, plain, ends, ends[1:], strict=False)]
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some different words."""
+        found = list(map(self.known.get, words))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if len(self.known) + len(new) > REMEMBERED or self.chars + sum(len(words[k]) for k in new) > REMEMBERED_CHARS:
+            self.before, self.known = self.known, {w: ids for w, ids in zip(words, found, strict=True) if ids is not None}
+            self.chars = sum(map(len, self.known))
+        known, before = self.known, self.before
+        for k in new:
+            w = words[k]
+            ids = known.get(w)
+            if ids is None:
+                known[w] = ids = before.get(w) or self._learn(w)
+                self.chars += len(w)
+            found[k] = ids
+        return found
 
 
 @cache
@@ -112,8 +134,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             out = []
             texts = ["" if t is None else t for t in batch["t"]]
-            for at in range(0, len(texts), 512):
-                for i, ids in zip(batch["i"].iloc[at : at + 512], encode(texts[at : at + 512]), strict=True):
+            for at in range(0, len(texts), BATCH):
+                for i, ids in zip(batch["i"].iloc[at : at + BATCH], encode(texts[at : at + BATCH]), strict=True):
                     ids += end
                     for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[a : a + 4 * capacity]

@@ -228,6 +228,19 @@ def test_encoder_is_the_tokenizer(text):
     assert packing.encoder(TOKENIZER)([text])[0] == np.array(own, "<u4").tobytes()
 
 
+def test_encoder_asks_for_a_stem_once_and_forgets(monkeypatch):
+    texts = ["gerlich, gerlich. (gerlich) it's gerlich!!", "", "漢 gerlich", "a1 b2, c3. d4; e5: f6 gerlich.,"]
+    monkeypatch.setattr(packing, "REMEMBERED", 6)
+    own = [np.array(packing.encoder(TOKENIZER).tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    encode, asked = packing.Encoder(TOKENIZER), []
+    ids = encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda part: asked.append(part) or ids(part))
+    assert encode(texts[:1]) == own[:1] and asked.count("gerlich") == 1
+    for k in (1, 2, 3, 0):
+        assert encode(texts[k : k + 1]) == own[k : k + 1]
+    assert encode(texts) == own and encode([]) == []
+
+
 @settings(deadline=None, max_examples=80)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 9)))
 def test_plan(counts):
