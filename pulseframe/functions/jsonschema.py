@@ -26,7 +26,11 @@ def _step(key: str) -> str:
 
 
 class _Value:
-    """A place in a document: a path below a variant column, and how it is called in messages."""
+    """A place in a document: a path below a variant column, and how it is called in messages.
+
+    As a variant, alone or in a map or an array, a value is copied with all its parts. So what a value is, its keys and its size are asked of
+    structs without fields, which are objects or null, and copy nothing.
+    """
 
     def __init__(self, base: Column, path: str, name: Column):
         self.base, self.path, self.name = base, path, name
@@ -39,11 +43,11 @@ class _Value:
 
     @property
     def here(self) -> Column:
-        return self.as_("variant")
+        return self.base if self.path == "$" else self.as_("variant")
 
     @property
     def there(self) -> Column:
-        return self.here.isNotNull()
+        return self.as_("struct<>").isNotNull() | self.here.isNotNull()
 
     @property
     def kind(self) -> Column:
@@ -53,15 +57,23 @@ class _Value:
     def entries(self) -> Column:
         return self.as_("map<string,variant>")
 
+    @property
+    def keys(self) -> Column:
+        return F.map_keys(self.as_("map<string,struct<>>"))
+
     @property
     def items(self) -> Column:
         return self.as_("array<variant>")
 
+    @property
+    def n_items(self) -> Column:
+        return F.size(self.as_("array<struct<>>"))
+
     def is_a(self, name: str) -> Column:
         number = self.kind.rlike(_NUMBERS)
         tests = {
-            "object": lambda: self.entries.isNotNull(),
-            "array": lambda: self.items.isNotNull(),
+            "object": lambda: self.as_("struct<>").isNotNull(),
+            "array": lambda: self.as_("array<struct<>>").isNotNull(),
             "string": lambda: self.kind == "STRING",
             "boolean": lambda: self.kind == "BOOLEAN",
             "null": lambda: F.is_variant_null(self.here),
@@ -136,10 +148,10 @@ class _Compiler:
             "minLength": ("string", lambda x: F.char_length(text) < x),
             "maxLength": ("string", lambda x: F.char_length(text) > x),
             "pattern": ("string", lambda x: ~text.rlike(x)),
-            "minItems": ("array", lambda x: F.size(value.items) < x),
-            "maxItems": ("array", lambda x: F.size(value.items) > x),
-            "minProperties": ("object", lambda x: F.size(value.entries) < x),
-            "maxProperties": ("object", lambda x: F.size(value.entries) > x),
+            "minItems": ("array", lambda x: value.n_items < x),
+            "maxItems": ("array", lambda x: value.n_items > x),
+            "minProperties": ("object", lambda x: F.size(value.keys) < x),
+            "maxProperties": ("object", lambda x: F.size(value.keys) > x),
         }
         for key, (kind, bad) in limits.items():
             if key in schema:
@@ -152,7 +164,7 @@ class _Compiler:
         named, patterns = schema.get("properties", {}), schema.get("patternProperties", {})
         for key, s in named.items():
             child = value.child(key)
-            out.append(F.when(value.is_a("object") & child.there, sub(s, child)))
+            out.append(F.when(child.there, sub(s, child)))  # only objects have one
         each = lambda keep, s: _first(F.transform(F.filter(F.map_entries(value.entries), lambda e: keep(e["key"])), lambda e: sub(s, _Value(e["value"], "$", F.concat(value.name, F.lit("/"), e["key"])))))
         for pattern, s in patterns.items():
             out.append(each(lambda k, p=pattern: k.rlike(p), s))
@@ -166,12 +178,15 @@ class _Compiler:
                     keep = keep & ~k.rlike(p)
                 return keep
 
-            out.append(each(rest, more))
+            if more is False:
+                out.append(F.concat(value.name, F.lit("/"), F.get(F.filter(value.keys, rest), F.lit(0)), F.lit(": not allowed")))
+            else:
+                out.append(each(rest, more))
         items = schema.get("items", True)
         if isinstance(items, list):
             for k, s in enumerate(items):
                 place = _Value(value.base, f"{value.path}[{k}]", F.concat(value.name, F.lit(f"/{k}")))
-                out.append(F.when(value.is_a("array") & place.there, sub(s, place)))
+                out.append(F.when(place.there, sub(s, place)))  # only arrays have one
         elif items is not True and items != {}:
             out.append(_first(F.transform(value.items, lambda x, k: sub(items, _Value(x, "$", F.concat(value.name, F.lit("/"), k.cast("string")))))))
         out += [sub(s, value) for s in schema.get("allOf", [])]

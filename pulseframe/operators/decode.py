@@ -17,6 +17,8 @@ from . import geo
 # What a missing dimension and an unknown place read, the type and source version of device reports.
 UNKNOWN, UNKNOWN_PLACE = "UNKNOWN", "??"
 DEVICE_TYPE, DEVICE_VERSION = "appusage", "3"
+#: Namespaces that are broadcast at most, a row of settings each; and beyond that, the copies to which the rows of one are dealt.
+MOST_NAMESPACES, SALTS = 10_000, 256
 #: Documents of more bytes are refused.
 MOST_BYTES = 2 * 1024 * 1024
 # The objects that become sections of their own, and the types of document whose payload is split.
@@ -28,11 +30,17 @@ HEALTH_KEYS = (".appInfo.appinfo", ".appInfo.appinfo.1")
 
 
 def _within(parts: Column, namespaces: DataFrame, df: DataFrame) -> DataFrame:
-    """df with the path's namespace and its settings (null where there are none), the document's id and the rest of the path."""
+    """df with the path's namespace and its settings (null where there are none), the document's id and the rest of the path.
+
+    Most submissions have one namespace, so no task may get all of its rows: up to MOST_NAMESPACES are broadcast; of more,
+    each has SALTS copies, and its rows are dealt to these by their paths."""
     own = df.withColumn("namespace", F.get(parts, F.lit(1))).withColumn("document_id", F.get(parts, F.lit(2)))
     rest = F.slice(parts, 4, F.greatest(F.size(parts) - 3, F.lit(0)))
     known = namespaces if "logger" in namespaces.columns else namespaces.withColumn("logger", F.lit(None).cast("string"))
-    return own.withColumn("rest", rest).join(known, "namespace", "left")
+    if known.limit(MOST_NAMESPACES + 1).count() <= MOST_NAMESPACES:
+        return own.withColumn("rest", rest).join(F.broadcast(known), "namespace", "left")
+    salted = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return own.withColumn("rest", rest).withColumn("_salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")).join(salted, ["namespace", "_salt"], "left").drop("_salt")
 
 
 def _fits() -> Column:
