@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +81,8 @@ def route_submissions(raw: DataFrame, namespaces: DataFrame, ranges: DataFrame |
 
 def gunzipped(payload: Column, most: int = MOST_BYTES) -> Column:
     """Gzip bytes to struct(document, size); bytes that are not gzip as they are. The document is null where the stream is broken or
-    too large; no more than most bytes and one are ever unpacked."""
+    too large; no more than most bytes and one are ever unpacked. Rows come one by one and not as Arrow's batches, of which each
+    could hold 10,000 unpacked documents; so the workers need neither Arrow nor pandas."""
 
     def unpacked(raw: bytes) -> bytes | None:
         if raw[:2] != b"\x1f\x8b":
@@ -100,13 +99,13 @@ def gunzipped(payload: Column, most: int = MOST_BYTES) -> Column:
             return None
         return out
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for some in batches:
-            found = [None if b is None else unpacked(bytes(b)) for b in some]
-            texts = [None if x is None or len(x) > most else x.decode("utf-8", "replace") for x in found]
-            yield pd.DataFrame({"document": pd.Series(texts, dtype=object), "size": pd.array([None if x is None else len(x) for x in found], dtype="Int64")})
+    def run(raw: bytes | None) -> tuple[str | None, int | None]:
+        found = None if raw is None else unpacked(bytes(raw))
+        if found is None:
+            return None, None
+        return None if len(found) > most else found.decode("utf-8", "replace"), len(found)
 
-    return F.pandas_udf(run, "document string, size long")(payload)
+    return F.udf(run, "document string, size long", useArrow=False)(payload)
 
 
 def _get(path: str, kind: str = "string") -> Column:

@@ -77,9 +77,6 @@ def decoded_dimensions(spark, sf_dir):
 def _documents(spark, sf_dir):
     """Payload bytes of each format, plain and gzip, with and without what the format must have."""
     import gzip
-    from collections.abc import Iterator
-
-    import pandas as pd
 
     k = F.col("k") % 16
     json = lambda **fields: F.to_json(F.struct(*[(c if hasattr(c, "alias") else F.lit(c)).alias(n) for n, c in fields.items()]))
@@ -106,12 +103,10 @@ def _documents(spark, sf_dir):
     for n, t in texts.items():
         text = F.when(k == n, t).otherwise(text)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            data = [gzip.compress(t.encode()) if k % 16 in (2, 4) else b"\x1f\x8bnot" if k % 16 == 5 else t.encode() for t, k in zip(b["text"], b["k"], strict=True)]
-            yield pd.DataFrame({"ts": b["ts"], "raw_channel": b["raw_channel"], "payload": data})
+    def pack(text: str, k: int) -> bytes:
+        return gzip.compress(text.encode()) if k in (2, 4) else b"\x1f\x8bnot" if k == 5 else text.encode()
 
-    made = pings(spark, sf_dir).select("ts", "k", "raw_channel", text.alias("text")).mapInPandas(pack, "ts timestamp, raw_channel string, payload binary")
+    made = pings(spark, sf_dir).select("ts", "raw_channel", F.udf(pack, "binary", useArrow=False)(text, k).alias("payload"))
     dims = F.create_map(F.lit("docType"), F.lit("ftu"), F.lit("appName"), F.lit("App"), F.lit("appUpdateChannel"), F.col("raw_channel"))
     return made.select("ts", "payload", dims.alias("dims"))
 
